@@ -13,6 +13,14 @@ NULL_TOKENS = (
     "-1.#QNAN",
 )
 
+# The characters Python's str.strip() removes (Unicode white
+# space), so text is trimmed the same way without a regular expression.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Accepted reporting-period shapes, YYYYMM or YYYY-MM.
 PERIOD_PATTERN = r"^(\d{4})-?(\d{2})$"
 # A period inside a link title is the first "20" + four digits.
@@ -30,9 +38,9 @@ def null_tokens(c: str | Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Colum
 
 
 def strip_text(c: str | Column) -> Column:
-    """Remove leading and trailing Unicode white space (``trim`` only removes
-    blanks)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing Unicode white space (plain ``trim`` only
+    removes blanks)."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 # ---------------------------------------------------------------- periods
@@ -42,18 +50,32 @@ def period_text(c: str | Column) -> Column:
     return strip_text(_col(c).cast("string"))
 
 
+def _period_group(c: str | Column, group: int) -> Column:
+    """One capture group of the period pattern; empty text when the period
+    does not match."""
+    return F.regexp_extract(period_text(c), PERIOD_PATTERN, group)
+
+
+def period_is_valid(c: str | Column) -> Column:
+    """Well formed and a month 01..12, in one regex evaluation per row (a
+    set lookup on the captured month). Null input is not valid."""
+    months = [f"{m:02d}" for m in range(1, 13)]
+    return F.coalesce(_period_group(c, 2).isin(*months), F.lit(False))
+
+
 def period_is_well_formed(c: str | Column) -> Column:
     """True when the period is YYYYMM or YYYY-MM (null input: false)."""
     return F.coalesce(period_text(c).rlike(PERIOD_PATTERN), F.lit(False))
 
 
 def period_year(c: str | Column) -> Column:
-    return F.when(period_is_well_formed(c), F.substring(period_text(c), 1, 4).cast("int"))
+    text = _period_group(c, 1)
+    return F.when(text != "", text.cast("int"))
 
 
 def period_month(c: str | Column) -> Column:
-    return F.when(period_is_well_formed(c),
-                  F.substring(F.replace(period_text(c), F.lit("-"), F.lit("")), 5, 2).cast("int"))
+    text = _period_group(c, 2)
+    return F.when(text != "", text.cast("int"))
 
 
 def period_problem(c: str | Column) -> Column:
@@ -61,9 +83,8 @@ def period_problem(c: str | Column) -> Column:
 
     Format is checked first, as a whole file is refused on the first kind of
     problem found."""
-    month = period_month(c)
     return (F.when(~period_is_well_formed(c), F.lit("format"))
-            .when(~month.between(1, 12), F.lit("month")))
+            .when(~period_is_valid(c), F.lit("month")))
 
 
 def reporting_period_from_text(text: str | Column, as_of_year: int | Column | None = None) -> Column:
@@ -86,7 +107,7 @@ def safe_filename(text: str | Column) -> Column:
     and ``_`` is stripped from both ends."""
     lowered = F.lower(strip_text(text))
     collapsed = F.regexp_replace(lowered, r"[^a-z0-9]+", "_")
-    return F.regexp_replace(collapsed, r"^_+|_+$", "")
+    return F.btrim(collapsed, F.lit("_"))
 
 
 def record_filename(title: str | Column, period: str | Column) -> Column:
@@ -94,7 +115,7 @@ def record_filename(title: str | Column, period: str | Column) -> Column:
     base = F.replace(safe_filename(title), F.lit("fullanalysis"), F.lit("full_analysis"))
     suffix = "csv_document"
     base = F.when(base.endswith(suffix),
-                  F.regexp_replace(F.regexp_replace(base, f"{suffix}$", ""), r"_+$", "")
+                  F.rtrim(F.regexp_replace(base, f"{suffix}$", ""), F.lit("_"))
                   ).otherwise(base)
     base = F.when(base.endswith("csv"), base).otherwise(F.concat(base, F.lit(".csv")))
     period = _col(period)

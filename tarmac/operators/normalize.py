@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.exprs import nan_to_null
 from tarmac.functions.text import (
-    null_tokens, period_month, period_problem, period_text, period_year,
+    null_tokens, period_is_valid, period_month, period_problem, period_text, period_year,
 )
 
 # Raw column -> standard column, in precedence order. When the
@@ -83,15 +83,27 @@ def _is_measure(name: str) -> bool:
     return name.endswith("_percent") or name == "average_delay_mins"
 
 
-def _typed(name: str) -> Column:
-    """Cast one text column to the type its name stands for (null on bad
-    values, never an error)."""
+def _typed(name: str, dtype: str) -> Column:
+    """Clean one column and give it the type its name stands for.
+
+    Text columns (as a CSV read yields them) lose missing-value tokens and
+    are cast with ``try_cast`` (null on bad values, never an error); typed
+    columns pass through, with NaN measures turned into null."""
     c = F.col(f"`{name}`")
+    if name in ("year", "month"):
+        return c
+    if dtype == "string":
+        c = null_tokens(c)
+        if name in COUNT_COLUMNS:
+            # "12" and "12.0" both read as 12.
+            return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+        if _is_measure(name):
+            return nan_to_null(c.try_cast("double"))
+        return c
     if name in COUNT_COLUMNS:
-        # "12" and "12.0" both read as 12.
-        return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+        return c.cast("bigint")
     if _is_measure(name):
-        return nan_to_null(c.try_cast("double"))
+        return nan_to_null(c.cast("double"))
     return c
 
 
@@ -110,11 +122,14 @@ def parse_file(df: DataFrame) -> DataFrame:
 
 
 def split_periods(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows with a ``period_problem`` column)."""
-    problem = period_problem("reporting_period")
-    tagged = df.withColumn("period_problem", problem)
-    good = tagged.filter(F.col("period_problem").isNull()).drop("period_problem")
-    bad = tagged.filter(F.col("period_problem").isNotNull())
+    """(good rows, quarantined rows with a ``period_problem`` column).
+
+    The good side is one cheap predicate, since the optimizer may push it
+    far down (below an aggregation, onto raw rows); the reason for a
+    rejection is only worked out on the quarantined side."""
+    valid = period_is_valid("reporting_period")
+    good = df.filter(valid)
+    bad = df.filter(~valid).withColumn("period_problem", period_problem("reporting_period"))
     return good, bad
 
 
@@ -199,11 +214,7 @@ def fill_bands(df: DataFrame) -> DataFrame:
 def normalize(df: DataFrame) -> DataFrame:
     """Raw text union -> typed, standard-named, ordered table."""
     df = drop_noise(df)
-    df = df.select(*[
-        (F.col(f"`{c}`") if c in ("year", "month") else null_tokens(F.col(f"`{c}`")).alias(c))
-        for c in df.columns
-    ])
-    df = df.select(*[_typed(c).alias(c) for c in df.columns])
+    df = df.select(*[_typed(c, t).alias(c) for c, t in df.dtypes])
     df = coalesce_rename(df)
     df = fill_bands(df)
     return df.select(*[F.col(f"`{c}`") for c in FINAL_COLUMNS if c in df.columns])

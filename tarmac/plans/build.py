@@ -14,23 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.normalize import normalize_files
 from tarmac.operators.staging import int_scheduled_flights, scheduled, staging
-from tarmac.plans.fixture import raw_layouts
+from tarmac.plans.fixture import raw_flights
 
 
 @dataclass(frozen=True)
 class Flights:
     """The frames every model starts from."""
 
-    normalized: DataFrame
-    quarantine: DataFrame
+    normalized: DataFrame | None  # None when read from a written staging table
+    quarantine: DataFrame | None
     stg: DataFrame
     sch: DataFrame
     periods: DataFrame  # scheduled staging rows: source of latest-period subqueries
 
 
 def raw_frames(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    layouts = raw_layouts(spark, sf_dir)
-    return [layouts["coarse"], layouts["fine"]]
+    """The raw input files. Both layouts arrive as one frame (their union
+    by name), so the fixture's join and aggregation run once."""
+    return [raw_flights(spark, sf_dir)]
 
 
 def flights_from_frames(frames: list[DataFrame]) -> Flights:

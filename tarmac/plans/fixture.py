@@ -2,8 +2,9 @@
 
 The driver ships TPC-H-style tables, not on-time-performance files. This
 module turns them into the two raw file layouts the ingest stage expects
-(all columns strings, as a CSV reader yields them) and into a catalogue of
-web pages linking to monthly files. Every row is computed from the given
+(typed like the per-year load tables; :func:`as_text` gives the all-string
+form a CSV read yields) and into a catalogue of web pages linking to
+monthly files. Every row is computed from the given
 tables, so the work grows with them.
 
 Flights fixture: lineitem joined to orders, customer (+ nation, region),
@@ -145,7 +146,7 @@ def _pct(part: Column, whole: Column) -> Column:
     return F.floor(F.lit(100) * part / whole).cast("double")
 
 
-def _common_columns(cells: DataFrame, period: Column) -> list[Column]:
+def _common_columns(period: Column) -> list[Column]:
     sum_qty = F.col("sum_qty")
     return [
         F.concat_ws("-", F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0"),
@@ -167,34 +168,63 @@ def _common_columns(cells: DataFrame, period: Column) -> list[Column]:
     ]
 
 
-def _as_text(df: DataFrame) -> DataFrame:
+def _coarse_only() -> list[Column]:
+    return [_pct(F.col(_band_key(lo, hi)), F.col("sum_qty")).alias(name)
+            for name, lo, hi in COARSE_BANDS]
+
+
+def _fine_only() -> list[Column]:
+    return [
+        *[_pct(F.col(_band_key(lo, hi)), F.col("sum_qty")).alias(name)
+          for name, lo, hi in FINE_BANDS],
+        _pct(F.col("n_div40"), F.col("n_rows")).alias("flights_cancelled_percent"),
+        F.col("n_div40").cast("bigint").alias("number_flights_cancelled"),
+        F.lit(0).cast("bigint").alias("previous_year_month_flights_matched"),
+    ]
+
+
+def _periods() -> tuple[Column, Column]:
+    y, m = F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0")
+    return F.concat(y, m), F.concat_ws("-", y, m)
+
+
+def as_text(df: DataFrame) -> DataFrame:
     """Every column as a string, the way a header-only CSV read yields it."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
 def raw_layouts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The two raw file layouts, as string-typed DataFrames.
+    """The two raw file layouts as separate, typed DataFrames.
 
     ``coarse``: years up to 1998, period ``YYYYMM``, six coarse bands.
     ``fine``: later years, period ``YYYY-MM``, nine fine bands, cancellation
     columns and a ``previous_year_*`` column that normalisation drops.
+    Each layout re-runs the cell aggregation for its years; use
+    :func:`raw_flights` when both are needed together.
     """
     cells = flight_cells(spark, sf_dir)
-    sum_qty = F.col("sum_qty")
-    y, m = F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0")
-
+    coarse_period, fine_period = _periods()
     coarse = cells.filter(F.col("y") <= LAST_COARSE_YEAR).select(
-        *_common_columns(cells, F.concat(y, m)),
-        *[_pct(F.col(_band_key(lo, hi)), sum_qty).alias(name) for name, lo, hi in COARSE_BANDS],
-    )
+        *_common_columns(coarse_period), *_coarse_only())
     fine = cells.filter(F.col("y") > LAST_COARSE_YEAR).select(
-        *_common_columns(cells, F.concat_ws("-", y, m)),
-        *[_pct(F.col(_band_key(lo, hi)), sum_qty).alias(name) for name, lo, hi in FINE_BANDS],
-        _pct(F.col("n_div40"), F.col("n_rows")).alias("flights_cancelled_percent"),
-        F.col("n_div40").cast("bigint").alias("number_flights_cancelled"),
-        F.lit(0).cast("bigint").alias("previous_year_month_flights_matched"),
-    )
-    return {"coarse": _as_text(coarse), "fine": _as_text(fine)}
+        *_common_columns(fine_period), *_fine_only())
+    return {"coarse": coarse, "fine": fine}
+
+
+def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both layouts in one pass: the same rows and columns as
+    ``unionByName(coarse, fine, allowMissingColumns=True)``, but the cell
+    aggregation runs once instead of once per layout."""
+    cells = flight_cells(spark, sf_dir)
+    coarse = F.col("y") <= LAST_COARSE_YEAR
+    coarse_period, fine_period = _periods()
+    common = _common_columns(F.when(coarse, coarse_period).otherwise(fine_period))
+    only_coarse = [F.when(coarse, c) for c in _coarse_only()]
+    only_fine = [F.when(~coarse, c) for c in _fine_only()]
+    names = ([n for n, _, _ in COARSE_BANDS] + [n for n, _, _ in FINE_BANDS]
+             + ["flights_cancelled_percent", "number_flights_cancelled",
+                "previous_year_month_flights_matched"])
+    return cells.select(*common, *[c.alias(n) for c, n in zip(only_coarse + only_fine, names)])
 
 
 # Catalogue link suffixes chosen by order key modulo 4.
@@ -207,14 +237,7 @@ CATALOGUE_SUFFIXES = (
 CATALOGUE_BASE_URL = "https://data.example.org/punctuality/"
 
 
-def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalogue page per order: ``(page_id, year, url, html)``.
-
-    The page links one monthly file whose title carries the order month as
-    ``YYYYMM`` and one of four suffixes; two of them must be rejected by the
-    title filter. ``year`` is the catalogue year the page was listed under.
-    """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+def _pages_from_orders(orders: DataFrame) -> DataFrame:
     suffix = F.element_at(F.array(*[F.lit(s) for s in CATALOGUE_SUFFIXES]),
                           (F.col("o_orderkey") % 4 + 1).cast("int"))
     title = F.concat(F.date_format("o_orderdate", "yyyyMM"), suffix)
@@ -229,11 +252,20 @@ def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalogue page per order: ``(page_id, year, url, html)``.
+
+    The page links one monthly file whose title carries the order month as
+    ``YYYYMM`` and one of four suffixes; two of them must be rejected by the
+    title filter. ``year`` is the catalogue year the page was listed under.
+    """
+    return _pages_from_orders(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue pages whose files were landed by an earlier run: those of
+    """Catalogue pages whose files an earlier run already landed: those of
     fulfilled orders (status ``F``). Their manifest paths form the listing
     of existing objects."""
-    pages = catalogue_pages(spark, sf_dir)
-    fulfilled = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F") \
-        .select(F.col("o_orderkey").alias("page_id"))
-    return pages.join(fulfilled, "page_id", "left_semi")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return _pages_from_orders(orders.filter(F.col("o_orderstatus") == "F"))
