@@ -92,8 +92,8 @@ def reporting_period_from_text(text: str | Column, as_of_year: int | Column | No
     lies in 2000..as_of_year and the month in 1..12. Only the first match is
     considered. ``as_of_year`` defaults to the current year."""
     found = F.regexp_extract(_col(text), TITLE_PERIOD_PATTERN, 1)
-    year = F.substring(found, 1, 4).cast("int")
-    month = F.substring(found, 5, 2).cast("int")
+    year = F.substring(found, 1, 4).try_cast("int")
+    month = F.substring(found, 5, 2).try_cast("int")
     limit = F.year(F.current_date()) if as_of_year is None else (
         F.lit(as_of_year) if isinstance(as_of_year, int) else as_of_year)
     ok = (found != "") & year.between(F.lit(2000), limit) & month.between(1, 12)

@@ -269,3 +269,44 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     of existing objects."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     return _pages_from_orders(orders.filter(F.col("o_orderstatus") == "F"))
+
+
+def dirty_staging(stg: DataFrame) -> DataFrame:
+    """The staging table with three planted faults, for the data-quality
+    checks (the clean fixture has none): cancellations of -1 in 2001-03,
+    an unmatched share of 101 % in 2000-07 and a missing airline in
+    1999-05. The surrogate key is recomputed after the change."""
+    from tarmac.operators.staging import unique_row_id
+
+    y, m = F.col("year"), F.col("month")
+    dirty = stg.withColumns({
+        "number_flights_cancelled": F.when((y == 2001) & (m == 3), F.lit(-1).cast("bigint"))
+                                     .otherwise(F.col("number_flights_cancelled")),
+        "flights_unmatched_percent": F.when((y == 2000) & (m == 7), F.lit(101.0))
+                                      .otherwise(F.col("flights_unmatched_percent")),
+        "airline_name": F.when((y == 1999) & (m == 5), F.lit(None).cast("string"))
+                         .otherwise(F.col("airline_name")),
+    })
+    return dirty.withColumn("unique_row_id", unique_row_id())
+
+
+def dirty_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with malformed periods planted for the quarantine: charter
+    rows of December 1997 carry month 13 and charter rows of May 1996 a
+    slash-separated period. All other rows are unchanged."""
+    raw = raw_flights(spark, sf_dir)
+    period = F.col("reporting_period")
+    charter = F.col("scheduled_charter") == "C"
+    return raw.withColumn(
+        "reporting_period",
+        F.when(charter & (period == "199712"), F.lit("199713"))
+         .when(charter & (period == "199605"), F.lit("1996/05"))
+         .otherwise(period))
+
+
+def loaded_years(spark: SparkSession, sf_dir: str, as_of_year: int) -> DataFrame:
+    """Years already loaded into the warehouse: every shipment year before
+    ``as_of_year`` (only the current year is still open)."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.select(F.year("l_shipdate").alias("year"))
+            .filter(F.col("year") < as_of_year).distinct())

@@ -156,6 +156,75 @@ sch AS (
       ORDER BY __DEDUPE_ORDER__) AS rn
     FROM stg WHERE scheduled_charter = 'S') ranked
   WHERE rn = 1
+),
+layout_common AS (
+  SELECT y, m,
+         CAST(y AS VARCHAR) || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '-28' AS run_date,
+         reporting_airport, origin_destination_country, origin_destination, airline_name,
+         scheduled_charter, number_flights_matched, actual_flights_unmatched,
+         average_delay_mins, planned_flights_unmatched, flights_unmatched_percent,
+         p_early16, p_early1, p_0_15, p_to15, p_16_30, p_31_60, p_61_120, p_121_180,
+         p_61_180, p_181_360, p_361, p_cancelled, n_cancelled
+  FROM base
+),
+layout_coarse AS (
+  SELECT run_date, CAST(y AS VARCHAR) || lpad(CAST(m AS VARCHAR), 2, '0') AS reporting_period,
+         reporting_airport, origin_destination_country, origin_destination, airline_name,
+         scheduled_charter, number_flights_matched, actual_flights_unmatched,
+         average_delay_mins, planned_flights_unmatched, flights_unmatched_percent,
+         p_to15 AS early_to_15_mins_late_percent,
+         p_16_30 AS flts_16_to_30_mins_late_percent,
+         p_31_60 AS flts_31_to_60_mins_late_percent,
+         p_61_180 AS flts_61_to_180_mins_late_percent,
+         p_181_360 AS flts_181_to_360_mins_late_percent,
+         p_361 AS more_than_360_mins_late_percent
+  FROM layout_common WHERE y <= 1998
+),
+layout_fine AS (
+  SELECT run_date, CAST(y AS VARCHAR) || '-' || lpad(CAST(m AS VARCHAR), 2, '0') AS reporting_period,
+         reporting_airport, origin_destination_country, origin_destination, airline_name,
+         scheduled_charter, number_flights_matched, actual_flights_unmatched,
+         average_delay_mins, planned_flights_unmatched, flights_unmatched_percent,
+         p_early16 AS flights_more_than_15_minutes_early_percent,
+         p_early1 AS flights_15_minutes_early_to_1_minute_early_percent,
+         p_0_15 AS flights_0_to_15_minutes_late_percent,
+         p_16_30 AS flights_between_16_and_30_minutes_late_percent,
+         p_31_60 AS flights_between_31_and_60_minutes_late_percent,
+         p_61_120 AS flights_between_61_and_120_minutes_late_percent,
+         p_121_180 AS flights_between_121_and_180_minutes_late_percent,
+         p_181_360 AS flights_between_181_and_360_minutes_late_percent,
+         p_361 AS flights_more_than_360_minutes_late_percent,
+         p_cancelled AS flights_cancelled_percent,
+         n_cancelled AS number_flights_cancelled,
+         CAST(0 AS BIGINT) AS previous_year_month_flights_matched
+  FROM layout_common WHERE y > 1998
+),
+layouts AS (
+  SELECT * FROM layout_coarse UNION ALL BY NAME SELECT * FROM layout_fine
+),
+dstg0 AS (
+  SELECT * REPLACE (
+    CASE WHEN year = 2001 AND month = 3 THEN CAST(-1 AS BIGINT)
+         ELSE number_flights_cancelled END AS number_flights_cancelled,
+    CASE WHEN year = 2000 AND month = 7 THEN 101.0::DOUBLE
+         ELSE flights_unmatched_percent END AS flights_unmatched_percent,
+    CASE WHEN year = 1999 AND month = 5 THEN NULL ELSE airline_name END AS airline_name)
+  FROM stg
+),
+dstg AS (
+  SELECT * REPLACE (
+    md5(coalesce(CAST(month AS VARCHAR), '') || coalesce(CAST(year AS VARCHAR), '')
+        || coalesce(reporting_airport, '') || coalesce(origin_destination, '')
+        || coalesce(airline_name, '') || coalesce(scheduled_charter, '')) AS unique_row_id)
+  FROM dstg0
+),
+dsch AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY year, month, unique_row_id
+      ORDER BY __DEDUPE_ORDER__) AS rn
+    FROM dstg WHERE scheduled_charter = 'S') ranked
+  WHERE rn = 1
 )"""
 
 FLIGHTS_CTES = _FACTS.replace(
@@ -275,7 +344,184 @@ ORDER BY avg_delay_mins DESC NULLS LAST""", busiest)
     return q
 
 
+def _q(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+_NOT_NULL = ("unique_row_id", "year", "month", "reporting_period_date", "reporting_airport",
+             "origin_destination_country", "origin_destination", "airline_name",
+             "number_flights_matched")
+_NON_NEGATIVE = ("number_flights_matched < 0 OR actual_flights_unmatched < 0 "
+                 "OR planned_flights_unmatched < 0 OR number_flights_cancelled < 0")
+_PERCENT_BAD = ("flights_cancelled_percent < 0 OR flights_cancelled_percent > 100 "
+                "OR flights_unmatched_percent < 0 OR flights_unmatched_percent > 100 "
+                "OR more_than_360_mins_late_percent < 0 OR more_than_360_mins_late_percent > 100")
+
+
+def ingest_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["union_layouts"] = _flights("SELECT * FROM layouts")
+    q["parse_period"] = _flights("""
+SELECT DISTINCT reporting_period,
+       CAST(substr(reporting_period, 1, 4) AS INTEGER) AS year,
+       CAST(right(reporting_period, 2) AS INTEGER) AS month
+FROM layouts""")
+    q["period_quarantine"] = _flights(r"""
+SELECT reporting_period, period_problem, count(*) AS n_rows
+FROM (
+  SELECT reporting_period,
+         CASE WHEN NOT regexp_full_match(reporting_period, '(\d{4})-?(\d{2})') THEN 'format'
+              ELSE 'month' END AS period_problem
+  FROM (
+    SELECT CASE WHEN scheduled_charter = 'C' AND reporting_period = '199712' THEN '199713'
+                WHEN scheduled_charter = 'C' AND reporting_period = '199605' THEN '1996/05'
+                ELSE reporting_period END AS reporting_period
+    FROM layouts) dirty
+  WHERE NOT regexp_full_match(reporting_period, '(\d{4})-?(\d{2})')
+     OR CAST(right(reporting_period, 2) AS INTEGER) NOT BETWEEN 1 AND 12) bad
+GROUP BY reporting_period, period_problem""")
+    renamed = """
+SELECT reporting_airport, origin_destination_country, origin_destination, airline_name,
+       scheduled_charter, number_flights_matched, actual_flights_unmatched,
+       average_delay_mins, planned_flights_unmatched, flights_unmatched_percent,
+       early_to_15_mins_late_percent,
+       coalesce(flts_16_to_30_mins_late_percent, flights_between_16_and_30_minutes_late_percent)
+         AS "16_to_30_mins_late_percent",
+       coalesce(flts_31_to_60_mins_late_percent, flights_between_31_and_60_minutes_late_percent)
+         AS "31_to_60_mins_late_percent",
+       flts_61_to_180_mins_late_percent AS "61_to_180_mins_late_percent",
+       coalesce(flts_181_to_360_mins_late_percent, flights_between_181_and_360_minutes_late_percent)
+         AS "181_to_360_mins_late_percent",
+       coalesce(more_than_360_mins_late_percent, flights_more_than_360_minutes_late_percent)
+         AS more_than_360_mins_late_percent,
+       flights_more_than_15_minutes_early_percent AS more_than_15_mins_early_percent,
+       flights_15_minutes_early_to_1_minute_early_percent AS "15_mins_early_to_1_minute_early_percent",
+       flights_0_to_15_minutes_late_percent AS "0_to_15_mins_late_percent",
+       flights_between_61_and_120_minutes_late_percent AS "61_to_120_mins_late_percent",
+       flights_between_121_and_180_minutes_late_percent AS "121_to_180_mins_late_percent",
+       flights_cancelled_percent, number_flights_cancelled
+FROM layouts"""
+    q["coalesce_rename"] = _flights(renamed)
+    q["fill_bands"] = _flights(f"""
+SELECT reporting_airport, origin_destination_country, origin_destination, airline_name,
+       scheduled_charter,
+       coalesce(early_to_15_mins_late_percent,
+                ("15_mins_early_to_1_minute_early_percent" + "0_to_15_mins_late_percent")
+                + more_than_15_mins_early_percent) AS early_to_15_mins_late_percent,
+       coalesce("61_to_180_mins_late_percent",
+                "61_to_120_mins_late_percent" + "121_to_180_mins_late_percent")
+         AS "61_to_180_mins_late_percent"
+FROM ({renamed}) renamed""")
+    q["normalize"] = _flights("SELECT * FROM normalized")
+    cols = ("run_date", "reporting_period", "reporting_airport", "origin_destination_country",
+            "origin_destination", "airline_name", "scheduled_charter", "number_flights_matched",
+            "actual_flights_unmatched", "average_delay_mins", "planned_flights_unmatched",
+            "flights_unmatched_percent", "early_to_15_mins_late_percent",
+            "flts_16_to_30_mins_late_percent", "flts_31_to_60_mins_late_percent",
+            "flts_61_to_180_mins_late_percent", "flts_181_to_360_mins_late_percent",
+            "more_than_360_mins_late_percent", "flights_more_than_15_minutes_early_percent",
+            "flights_15_minutes_early_to_1_minute_early_percent",
+            "flights_0_to_15_minutes_late_percent",
+            "flights_between_16_and_30_minutes_late_percent",
+            "flights_between_31_and_60_minutes_late_percent",
+            "flights_between_61_and_120_minutes_late_percent",
+            "flights_between_121_and_180_minutes_late_percent",
+            "flights_between_181_and_360_minutes_late_percent",
+            "flights_more_than_360_minutes_late_percent", "flights_cancelled_percent",
+            "number_flights_cancelled", "previous_year_month_flights_matched")
+    q["null_tokens"] = _flights("\nUNION ALL\n".join(
+        f"SELECT {_q(c)} AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count "
+        f"FROM layouts" for c in cols))
+    return q
+
+
+def staging_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["surrogate_key"] = _flights("""
+SELECT unique_row_id, month, year, reporting_airport, origin_destination, airline_name,
+       scheduled_charter FROM stg""")
+    q["period_date"] = _flights("SELECT DISTINCT year, month, reporting_period_date FROM stg")
+    q["stg_roundtrip"] = _flights("SELECT * FROM stg")
+    return q
+
+
+def primitive_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["weighted_mean_all"] = _flights(f"""
+SELECT reporting_airport, year, {_wmean(0)} AS avg_delay_mins
+FROM sch GROUP BY reporting_airport, year""")
+    q["weighted_mean_valid"] = _flights("""
+SELECT reporting_airport, year,
+       round(sum(CASE WHEN valid THEN number_flights_matched * average_delay_mins END)
+             / nullif(sum(CASE WHEN valid THEN number_flights_matched END), 0), 0) AS avg_delay_mins
+FROM (SELECT *, coalesce(number_flights_matched > 0 AND average_delay_mins IS NOT NULL
+                         AND NOT isnan(average_delay_mins), false) AS valid FROM sch) v
+GROUP BY reporting_airport, year""")
+    q["latest_period"] = _flights(f"SELECT DISTINCT year, month FROM stg WHERE {_LATEST_STG}")
+    q["safe_divide"] = _flights("""
+SELECT year, CAST(sum(number_flights_cancelled) AS DOUBLE)
+             / nullif(sum(number_flights_matched), 0) AS cancelled_ratio
+FROM stg GROUP BY year""")
+    q["month_name"] = _flights(f"SELECT DISTINCT month, {_MONTH_CASE} AS month_name FROM stg")
+    return q
+
+
+def quality_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["dq_not_null"] = _flights("\nUNION ALL\n".join(
+        f"SELECT {_q(c)} AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS failing_rows "
+        f"FROM dstg" for c in _NOT_NULL))
+    q["dq_unique"] = _flights("""
+SELECT unique_row_id, count(*) AS n FROM sch WHERE unique_row_id IS NOT NULL
+GROUP BY unique_row_id HAVING count(*) > 1""")
+    q["dq_duplicate_keys"] = _flights("""
+SELECT unique_row_id, count(*) AS n FROM stg WHERE unique_row_id IS NOT NULL
+GROUP BY unique_row_id HAVING count(*) > 1""")
+    q["dq_non_negative"] = _flights(f"SELECT * FROM dstg WHERE coalesce({_NON_NEGATIVE}, false)")
+    q["dq_percent_bounds"] = _flights(f"SELECT * FROM dstg WHERE coalesce({_PERCENT_BAD}, false)")
+    parts = [f"SELECT {_q('not_null_stg_' + c)} AS check_name, "
+             f"count(*) FILTER (WHERE \"{c}\" IS NULL) AS failing_rows FROM dstg" for c in _NOT_NULL]
+    parts += [
+        f"SELECT 'non_negative_counts', count(*) FILTER (WHERE coalesce({_NON_NEGATIVE}, false)) FROM dstg",
+        f"SELECT 'percent_bounds', count(*) FILTER (WHERE coalesce({_PERCENT_BAD}, false)) FROM dstg",
+        "SELECT 'not_null_int_unique_row_id', count(*) FILTER (WHERE unique_row_id IS NULL) FROM dsch",
+        """SELECT 'unique_int_unique_row_id', count(*) FROM (
+             SELECT unique_row_id FROM dsch WHERE unique_row_id IS NOT NULL
+             GROUP BY unique_row_id HAVING count(*) > 1) d""",
+    ]
+    q["dq_report"] = _flights(
+        "SELECT check_name, failing_rows, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status\n"
+        "FROM (" + "\nUNION ALL\n".join(parts) + ") checks")
+    return q
+
+
+def view_sql(marts: dict[str, str]) -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["view_annual_trend"] = _flights(f"""
+SELECT CAST(year AS VARCHAR) AS year, {_wmean(0)} AS avg_delay_mins
+FROM sch WHERE number_flights_matched > 0 GROUP BY year""")
+    q["view_monthly_bars"] = marts["fct_delay_vs_month_last_year"]
+    q["view_airport_treemap"] = marts["fct_recent_airport_delays"]
+    q["view_kpis"] = _flights(f"""
+SELECT coalesce(lbl.recent_published_date, 'N/A') AS recent_published_date,
+       coalesce(format('{{:,}}', tot.total_tracked_flights), 'N/A') AS total_tracked_flights
+FROM (SELECT 1 AS k) one
+LEFT JOIN (SELECT 1 AS k, sum(number_flights_matched) AS total_tracked_flights
+           FROM stg WHERE {_LATEST_STG}) tot ON one.k = tot.k
+LEFT JOIN (SELECT 1 AS k, {_MONTH_CASE} || ' ' || CAST(year AS VARCHAR) AS recent_published_date
+           FROM stg WHERE {_LATEST_STG} LIMIT 1) lbl ON one.k = lbl.k""")
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(flights_sql())
+    out.update(ingest_sql())
+    out.update(staging_sql())
+    out.update(primitive_sql())
+    out.update(quality_sql())
+    out.update(view_sql(out))
+    from tarmac.plans.oracle_manifest import manifest_sql
+    out.update(manifest_sql())
     return out
