@@ -146,7 +146,14 @@ def resolve_url(base: str | Column, href: str | Column) -> Column:
     path = F.when(has_netloc & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
     without_fragment = F.regexp_extract(base, r"^([^#]*)", 1)
 
-    return (F.when(href.rlike(_SCHEME), href)
+    # Fast path: a root-relative link without dot segments resolves to the
+    # base origin followed by the link, so one regex replaces the general
+    # resolution below (which only runs for the other rows).
+    root_plain = href.startswith("/") & ~href.startswith("//") & ~href.contains("/.")
+    base_origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)", 1)
+
+    return (F.when(root_plain & has_netloc, F.concat(base_origin, href))
+            .when(href.rlike(_SCHEME), href)
             .when(href == "", base)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
             .when(href.startswith("#"), F.concat(without_fragment, href))

@@ -158,7 +158,7 @@ SELECT page_id, pos, reporting_period, filename FROM records_catalogue""")
     q["manifest_dedupe"] = _with(*man, select="""
 SELECT title, url, reporting_period, filename, year, page_id, pos FROM manifest_catalogue""")
     q["manifest_paths"] = _with(*man, select="SELECT filename, path FROM paths_catalogue")
-    landed = [_catalogue("landed", "WHERE o_orderstatus = 'F'"), _links_ctes("landed", "page_id, year"),
+    landed = [_catalogue("landed", "WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '2001-01-01'"), _links_ctes("landed", "page_id, year"),
               _manifest_ctes("landed")]
     q["manifest_pending"] = _with(*man, *landed, select="""
 SELECT filename, path FROM paths_catalogue
