@@ -50,7 +50,7 @@ def decode_entities(c: str | Column) -> Column:
     def to_char(code: Column) -> Column:
         hexa = F.when(code.startswith("x") | code.startswith("X"), F.substring(code, 2, 8)) \
                 .otherwise(F.conv(code, 10, 16))
-        return F.decode(F.unhex(F.lpad(hexa, 8, "0")), "UTF-32BE")
+        return F.decode(F.unhex(F.lpad(hexa, 8, "0")), "UTF-32")
 
     chars = F.transform(codes, to_char)
     rebuilt = F.array_join(

@@ -231,3 +231,20 @@ def normalize_files(frames: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
         bads.append(bad.select(period_text("reporting_period").alias("reporting_period"),
                                "period_problem"))
     return normalize(union_layouts(goods)), union_layouts(bads)
+
+
+def conform(normalized: DataFrame) -> DataFrame:
+    """All final columns with fixed types (absent ones null), so tables
+    written from different layouts share one schema."""
+    present = set(normalized.columns)
+
+    def typed(name: str) -> str:
+        if name in ("year", "month"):
+            return "int"
+        if name in COUNT_COLUMNS:
+            return "bigint"
+        return "string" if name in TEXT_COLUMNS else "double"
+
+    return normalized.select(*[
+        (F.col(f"`{c}`") if c in present else F.lit(None)).cast(typed(c)).alias(c)
+        for c in FINAL_COLUMNS])
