@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights, scheduled
 from tarmac.plans.build import Flights, flights
 from tarmac.session import ensure_checkpoint_dir
-from tarmac.sources.tables import is_complete, mark_complete, read_staging, write_staging
+from tarmac.sources.tables import mark_complete, read_staging, write_staging
 
 _INPUTS = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 _PACKAGE = Path(__file__).resolve().parents[1]
@@ -51,13 +53,29 @@ def staging_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/tarmac/staging/{digest}"
 
 
+def _complete_attempt(spark: SparkSession, base: str) -> str | None:
+    """A committed copy of the table under ``base``, if any. Each marker
+    holds its attempt's path; the marker is only written after the table."""
+    try:
+        rows = spark.read.text(f"{base}/*.complete").select("value").distinct().collect()
+    except AnalysisException:
+        return None
+    return min(r["value"] for r in rows) if rows else None
+
+
 def build_staging(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """Write the staging table unless a committed copy exists; return its path."""
-    path = staging_path(spark, sf_dir)
-    if force or not is_complete(spark, path):
-        write_staging(flights(spark, sf_dir).stg, path)
-        mark_complete(spark, path)
-    return path
+    """Write the staging table unless a committed copy exists; return its
+    path. Every build writes its own attempt folder, so concurrent builds
+    never overwrite each other and readers only see committed attempts."""
+    base = staging_path(spark, sf_dir)
+    if not force:
+        found = _complete_attempt(spark, base)
+        if found:
+            return found
+    attempt = f"{base}/v-{uuid.uuid4().hex[:16]}"
+    write_staging(flights(spark, sf_dir).stg, attempt)
+    mark_complete(spark, attempt)
+    return attempt
 
 
 def staged_flights(spark: SparkSession, sf_dir: str) -> Flights:

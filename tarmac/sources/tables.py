@@ -30,8 +30,10 @@ def _marker(path: str) -> str:
 
 def mark_complete(spark: SparkSession, path: str) -> None:
     """Record that the table at ``path`` was fully committed. Written after
-    the table's own job commits, so its presence implies a whole table."""
-    spark.range(1).selectExpr("'complete' AS value").write.mode("overwrite").text(_marker(path))
+    the table's own job commits, so its presence implies a whole table; it
+    holds the table's path."""
+    (spark.range(1).select(F.lit(path.rstrip("/")).alias("value"))
+     .coalesce(1).write.mode("overwrite").text(_marker(path)))
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
