@@ -13,9 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.exprs import nan_to_null
 from tarmac.functions.text import (
-    null_tokens, period_is_valid, period_month, period_problem, period_text, period_year,
+    NULL_TOKENS, period_is_valid, period_month, period_problem, period_text, period_year,
 )
 
 # Raw column -> standard column, in precedence order. When the
@@ -83,28 +82,37 @@ def _is_measure(name: str) -> bool:
     return name.endswith("_percent") or name == "average_delay_mins"
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_TOKENS_SQL = ", ".join(_sql_text(t) for t in NULL_TOKENS)
+
+
 def _typed(name: str, dtype: str) -> Column:
     """Clean one column and give it the type its name stands for.
 
     Text columns (as a CSV read yields them) lose missing-value tokens and
     are cast with ``try_cast`` (null on bad values, never an error); typed
-    columns pass through, with NaN measures turned into null."""
-    c = F.col(f"`{name}`")
+    columns pass through, with NaN measures turned into null. Written as SQL
+    expression text, one call per column."""
+    c = f"`{name}`"
     if name in ("year", "month"):
-        return c
+        return F.col(c)
     if dtype == "string":
-        c = null_tokens(c)
+        c = f"(CASE WHEN {c} IN ({_TOKENS_SQL}) THEN NULL ELSE {c} END)"
         if name in COUNT_COLUMNS:
             # "12" and "12.0" both read as 12.
-            return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+            return F.expr(f"coalesce(try_cast({c} AS BIGINT), "
+                          f"try_cast(try_cast({c} AS DOUBLE) AS BIGINT))")
         if _is_measure(name):
-            return nan_to_null(c.try_cast("double"))
-        return c
+            return F.expr(f"nanvl(try_cast({c} AS DOUBLE), CAST(NULL AS DOUBLE))")
+        return F.expr(c)
     if name in COUNT_COLUMNS:
-        return c.cast("bigint")
+        return F.expr(f"CAST({c} AS BIGINT)")
     if _is_measure(name):
-        return nan_to_null(c.cast("double"))
-    return c
+        return F.expr(f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))")
+    return F.col(c)
 
 
 # ------------------------------------------------------------ N1-N3, N5
