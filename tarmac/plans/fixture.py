@@ -127,6 +127,10 @@ def flight_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     okln = F.col("ok") + F.col("ln")
     bands = {(lo, hi) for _, lo, hi in COARSE_BANDS + FINE_BANDS}
     aggs = [
+        # The period as an aggregate output (equal to y*100+m within a
+        # group): predicates on the period text then stay above the
+        # aggregation instead of being pushed onto every line-item row.
+        F.max(F.col("y") * 100 + F.col("m")).alias("ym"),
         F.sum("qty").alias("sum_qty"),
         F.sum(delay * qty).alias("sum_delay_qty"),
         F.sum("pk").alias("sum_pk"),
@@ -146,11 +150,18 @@ def _pct(part: Column, whole: Column) -> Column:
     return F.floor(F.lit(100) * part / whole).cast("double")
 
 
+def _period_parts() -> tuple[Column, Column]:
+    """Year and zero-padded month text, from the aggregated ``ym``."""
+    ym = F.col("ym")
+    return ((ym / 100).cast("int").cast("string"),
+            F.lpad((ym % 100).cast("string"), 2, "0"))
+
+
 def _common_columns(period: Column) -> list[Column]:
     sum_qty = F.col("sum_qty")
+    y, m = _period_parts()
     return [
-        F.concat_ws("-", F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0"),
-                    F.lit("28")).alias("run_date"),
+        F.concat_ws("-", y, m, F.lit("28")).alias("run_date"),
         period.alias("reporting_period"),
         F.col("ap").alias("reporting_airport"),
         F.col("cty").alias("origin_destination_country"),
@@ -184,7 +195,7 @@ def _fine_only() -> list[Column]:
 
 
 def _periods() -> tuple[Column, Column]:
-    y, m = F.col("y").cast("string"), F.lpad(F.col("m").cast("string"), 2, "0")
+    y, m = _period_parts()
     return F.concat(y, m), F.concat_ws("-", y, m)
 
 
