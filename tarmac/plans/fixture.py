@@ -55,15 +55,6 @@ def _band_key(lo: int | None, hi: int | None) -> str:
     return f"band_{'lo' if lo is None else str(lo).replace('-', 'm')}_{'hi' if hi is None else str(hi).replace('-', 'm')}"
 
 
-def _in_band(delay: Column, lo: int | None, hi: int | None) -> Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (delay >= lo)
-    if hi is not None:
-        cond = cond & (delay <= hi)
-    return cond
-
-
 def flight_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the fixture's derived attributes.
 
@@ -123,24 +114,29 @@ def flight_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     unless the input itself is one cell.
     """
     facts = flight_facts(spark, sf_dir)
-    qty, delay = F.col("qty"), F.col("delay")
-    okln = F.col("ok") + F.col("ln")
     bands = {(lo, hi) for _, lo, hi in COARSE_BANDS + FINE_BANDS}
-    aggs = [
-        # The period as an aggregate output (equal to y*100+m within a
-        # group): predicates on the period text then stay above the
-        # aggregation instead of being pushed onto every line-item row.
-        F.max(F.col("y") * 100 + F.col("m")).alias("ym"),
-        F.sum("qty").alias("sum_qty"),
-        F.sum(delay * qty).alias("sum_delay_qty"),
-        F.sum("pk").alias("sum_pk"),
-        F.sum("ok").alias("sum_ok"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(okln % 25 == 0).alias("n_div25"),
-        F.count_if(okln % 30 == 0).alias("n_div30"),
-        F.count_if(okln % 40 == 0).alias("n_div40"),
-    ] + [
-        F.sum(F.when(_in_band(delay, lo, hi), qty).otherwise(0)).alias(_band_key(lo, hi))
+
+    def in_band(lo: int | None, hi: int | None) -> str:
+        parts = ([f"delay >= {lo}"] if lo is not None else []) + \
+                ([f"delay <= {hi}"] if hi is not None else [])
+        return " AND ".join(parts) or "true"
+
+    # Aggregates as SQL text (one driver call each). The period is an
+    # aggregate output (equal to y*100+m within a group), so predicates on
+    # the period text stay above the aggregation instead of being pushed
+    # onto every line-item row.
+    aggs = [F.expr(text) for text in (
+        "max(y * 100 + m) AS ym",
+        "sum(qty) AS sum_qty",
+        "sum(delay * qty) AS sum_delay_qty",
+        "sum(pk) AS sum_pk",
+        "sum(ok) AS sum_ok",
+        "count(1) AS n_rows",
+        "count_if((ok + ln) % 25 = 0) AS n_div25",
+        "count_if((ok + ln) % 30 = 0) AS n_div30",
+        "count_if((ok + ln) % 40 = 0) AS n_div40",
+    )] + [
+        F.expr(f"sum(CASE WHEN {in_band(lo, hi)} THEN qty ELSE 0 END) AS {_band_key(lo, hi)}")
         for lo, hi in sorted(bands, key=lambda b: (b[0] is not None, b[0] or 0))
     ]
     return facts.groupBy("y", "m", "ap", "cty", "od", "al", "sc", "rf").agg(*aggs)
@@ -150,6 +146,10 @@ def _pct(part: Column, whole: Column) -> Column:
     return F.floor(F.lit(100) * part / whole).cast("double")
 
 
+def _pct_sql(part: str, whole: str) -> str:
+    return f"CAST(floor(100 * {part} / {whole}) AS DOUBLE)"
+
+
 def _period_parts() -> tuple[Column, Column]:
     """Year and zero-padded month text, from the aggregated ``ym``."""
     ym = F.col("ym")
@@ -179,21 +179,25 @@ def _common_columns(period: Column) -> list[Column]:
     ]
 
 
-def _coarse_only() -> list[Column]:
-    return [_pct(F.col(_band_key(lo, hi)), F.col("sum_qty")).alias(name)
-            for name, lo, hi in COARSE_BANDS]
+def _coarse_only() -> list[tuple[str, str]]:
+    return [(_pct_sql(_band_key(lo, hi), "sum_qty"), name) for name, lo, hi in COARSE_BANDS]
 
 
-def _fine_only() -> list[Column]:
+def _fine_only() -> list[tuple[str, str]]:
     return [
-        *[_pct(F.col(_band_key(lo, hi)), F.col("sum_qty")).alias(name)
-          for name, lo, hi in FINE_BANDS],
-        _pct(F.col("n_div40"), F.col("n_rows")).alias("flights_cancelled_percent"),
-        F.col("n_div40").cast("bigint").alias("number_flights_cancelled"),
-        F.lit(0).cast("bigint").alias("previous_year_month_flights_matched"),
+        *[(_pct_sql(_band_key(lo, hi), "sum_qty"), name) for name, lo, hi in FINE_BANDS],
+        (_pct_sql("n_div40", "n_rows"), "flights_cancelled_percent"),
+        ("CAST(n_div40 AS BIGINT)", "number_flights_cancelled"),
+        ("CAST(0 AS BIGINT)", "previous_year_month_flights_matched"),
     ]
 
 
+def _exprs(pairs: list[tuple[str, str]], guard: str | None = None) -> list[Column]:
+    if guard is None:
+        return [F.expr(f"{text} AS `{name}`") for text, name in pairs]
+    return [F.expr(f"CASE WHEN {guard} THEN {text} END AS `{name}`") for text, name in pairs]
+
+
 def _periods() -> tuple[Column, Column]:
     y, m = _period_parts()
     return F.concat(y, m), F.concat_ws("-", y, m)
@@ -216,9 +220,9 @@ def raw_layouts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     cells = flight_cells(spark, sf_dir)
     coarse_period, fine_period = _periods()
     coarse = cells.filter(F.col("y") <= LAST_COARSE_YEAR).select(
-        *_common_columns(coarse_period), *_coarse_only())
+        *_common_columns(coarse_period), *_exprs(_coarse_only()))
     fine = cells.filter(F.col("y") > LAST_COARSE_YEAR).select(
-        *_common_columns(fine_period), *_fine_only())
+        *_common_columns(fine_period), *_exprs(_fine_only()))
     return {"coarse": coarse, "fine": fine}
 
 
@@ -230,12 +234,9 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     coarse = F.col("y") <= LAST_COARSE_YEAR
     coarse_period, fine_period = _periods()
     common = _common_columns(F.when(coarse, coarse_period).otherwise(fine_period))
-    only_coarse = [F.when(coarse, c) for c in _coarse_only()]
-    only_fine = [F.when(~coarse, c) for c in _fine_only()]
-    names = ([n for n, _, _ in COARSE_BANDS] + [n for n, _, _ in FINE_BANDS]
-             + ["flights_cancelled_percent", "number_flights_cancelled",
-                "previous_year_month_flights_matched"])
-    return cells.select(*common, *[c.alias(n) for c, n in zip(only_coarse + only_fine, names)])
+    return cells.select(*common,
+                        *_exprs(_coarse_only(), f"y <= {LAST_COARSE_YEAR}"),
+                        *_exprs(_fine_only(), f"y > {LAST_COARSE_YEAR}"))
 
 
 # Catalogue link suffixes chosen by order key modulo 4.
