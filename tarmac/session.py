@@ -8,6 +8,7 @@ shared checkpoint folder from the session's own configuration.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,13 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    used as is. Only when it is unset (local tests) is a fresh scratch folder
-    made and registered.
+    used as is; without it the job stops with a clear error, since a folder
+    of the driver's own machine cannot be seen by executors. A local session
+    (``local[N]``: one machine, one JVM) gets a fresh scratch folder instead.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share: intermediate tables are written there")
         configured = tempfile.mkdtemp(prefix="tarmac-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured

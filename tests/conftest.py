@@ -20,8 +20,6 @@ def spark():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tarmac-test-ckpt-"))
     yield session
     session.stop()
 
