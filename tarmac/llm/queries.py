@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.llm import exact, packing, simhash
-from tarmac.llm.common import documents
+from tarmac.llm import (exact, fingerprint, language, packing, quality, sentencepiece, simhash,
+                        substring, template, toxicity)
+from tarmac.llm.common import documents, fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,66 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Score from which on a document counts as of label 1.
+TOXIC_FROM = 0.7
+GOOD_FROM = 0.3
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 3) != 1)
+    model = toxicity.fit_toxicity(docs, labels)
+    return (docs.select("doc_id", toxicity.toxicity(model, F.col("text")).alias("found"))
+            .select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "found.score",
+                    (F.col("found.score") >= TOXIC_FROM).cast("int").alias("predicted"), "found.spans"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit_language(docs.filter(fold("doc_id", 4) != 2))
+    return (docs.select("doc_id", language.language(model, F.col("text")).alias("found"))
+            .select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"),
+                    F.col("found.lang").alias("lang_pred"), "found.score"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_texts(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
+    model = quality.fit_quality(docs, labels)
+    return (docs.select("doc_id", quality.quality_score(model, F.col("text")).alias("score"))
+            .select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+                    (F.col("score") >= GOOD_FROM).cast("int").alias("predicted")))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = substring.remove_repeats(docs, window=50)
+    found = F.col(substring.result_column(docs))
+    return out.select("doc_id", found["n_words"].alias("n_words"), found["n_removed"].alias("n_removed"),
+                      F.sha2(found["kept"], 256).alias("kept_sha256"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("piece_bpe_32k.model")
+    docs = documents(spark, sf_dir)
+    ids = docs.select("doc_id", "text", sentencepiece.encode(F.col("text"), path).alias("ids"))
+    back = ids.select("doc_id", "text", "ids", sentencepiece.decode(F.col("ids"), path).alias("decoded"))
+    return back.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_ids"),
+        F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
 
@@ -35,7 +97,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_language": op2_language,
+        "op3_html_text": op3_html_text,
+        "op4_quality": op4_quality,
+        "op5_substring_dedup": op5_substring_dedup,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_simhash": op7_simhash,
+        "op8_fingerprint": op8_fingerprint,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
     }
@@ -51,6 +120,32 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP5_SQL = r"""
+WITH words AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+    SELECT doc_id, p, hash(array_to_string(w[p:p + 49], ' ')) AS h1,
+           md5(array_to_string(w[p:p + 49], ' ')) AS h2
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50)),
+first AS (SELECT h1, h2, min(doc_id) AS first_doc FROM windows GROUP BY h1, h2),
+repeated AS (
+    SELECT doc_id, p FROM windows JOIN first USING (h1, h2) WHERE first_doc < doc_id),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM repeated),
+marked AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+lost AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i
+    FROM words JOIN marked USING (doc_id)),
+kept AS (
+    SELECT lost.doc_id, array_to_string(list(word ORDER BY lost.i), ' ') AS kept
+    FROM lost ANTI JOIN gone ON lost.doc_id = gone.doc_id AND lost.i = gone.i GROUP BY lost.doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(len(marked.gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN marked.gone IS NULL THEN array_to_string(w, ' ')
+                   ELSE coalesce(kept.kept, '') END) AS kept_sha256
+FROM words LEFT JOIN marked USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL}
