@@ -17,7 +17,10 @@ rows are packed once each; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -41,48 +44,66 @@ class ChunkedTokenizer:
     A single space between two characters that are not white space always
     starts a new pre-token of this tokenizer, so a text may be cut there
     and each chunk (with its space) be encoded on its own; the ids are
-    those of the whole text. A text with one of the tokenizer's special
-    strings is encoded whole.
+    those of the whole text. A text with one of the tokenizer's special strings
+    is encoded whole.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._odd = regex.compile(r"\s | \s|^ | $")
-        self._cut = regex.compile(r"(?<=\S) (?=\S)")
+        self._other_space = re.compile(r"[^\S ]+")
+        self._cut = re.compile(r"(?<=\S) (?=\S)")
         self._known: dict[str, bytes] = {}
 
     @staticmethod
     def _pack(ids: Sequence[int]) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
+        packed = array("I", ids)  # four bytes each
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _plain(self, text: str) -> bool:
+        """Every space stands between characters that are not white space."""
+        return not (text.startswith(" ") or text.endswith(" ") or "  " in text or any(
+            text[m.start() - 1:m.start()] == " " or text[m.end():m.end() + 1] == " "
+            for m in self._other_space.finditer(text)))
 
     def _chunks(self, text: str) -> list[str]:
-        parts = self._cut.split(text) if self._odd.search(text) else text.split(" ")
+        parts = text.split(" ") if self._plain(text) else self._cut.split(text)
         return [parts[0], *[f" {p}" for p in parts[1:]]]
 
+    def _learn(self, chunks: set[str]) -> None:
+        new = list(chunks)
+        for lo in range(0, len(new), 4096):
+            part = new[lo:lo + 4096]
+            # without offsets, which nobody needs here
+            encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self._known.update(zip(part, [self._pack(e.ids) for e in encoded]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         if len(self._known) > CACHE_ENTRIES:
             self._known.clear()
-        known, out, chunked = self._known, [], []
+        known, found, new = self._known, [], set()
         for text in texts:
             if any(s in text for s in self._special):
-                chunked.append(None)
-            else:
-                chunked.append(self._chunks(text))
-        new = list({c for chunks in chunked if chunks for c in chunks if c not in known})
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for chunk, enc in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[chunk] = self._pack(enc.ids)
-        for text, chunks in zip(texts, chunked):
+                found.append((None, None))
+                continue
+            chunks = self._chunks(text)
+            ids = list(map(known.get, chunks))
+            if None in ids:
+                new.update(c for c, x in zip(chunks, ids) if x is None)
+            found.append((chunks, ids))
+        self._learn(new)
+        out = []
+        for text, (chunks, ids) in zip(texts, found):
             if chunks is None:
                 out.append(self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids))
             else:
-                out.append(b"".join(map(known.__getitem__, chunks)))
+                out.append(b"".join(known[c] if x is None else x for c, x in zip(chunks, ids))
+                           if None in ids else b"".join(ids))
         return out
 
 
