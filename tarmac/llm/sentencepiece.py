@@ -10,10 +10,14 @@ longer piece of equals). A character without a piece is written as its UTF-8
 bytes' pieces. Every encoded word is decoded again and compared, so a hash
 collision cannot pass. Words are remembered, up to a bound, by each worker.
 
-The best path is that of the sum of piece scores, which is what a unigram
-vocabulary is made for; with a vocabulary made by merges, the scores are ranks
-and the path can differ from a sequence of merges. Decoding is the same for
-both and gives back the text.
+A unigram vocabulary's scores are log-probabilities, and the best sum is the
+encoding. A vocabulary made by merges has ranks as scores, whose sum means
+nothing; there the trellis has transitions too: two neighbouring pieces are
+allowed only if merging their joined text would give just these two. Of all
+segmentations exactly one has only allowed neighbours, and it is the one that
+merging gives, so the same forward pass with backpointers finds it. Whether
+two pieces may meet is worked out by undoing their merges, latest first, and
+asking whether the pieces then at the border would have merged earlier.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 string; repeated rows get equal ids; an empty table gives an empty result.
@@ -67,9 +71,60 @@ class Vocabulary:
         self.keys, self.ids = keys[order], np.array(plain, np.int32)[order]
         scores = np.array([model.get_score(i) for i in plain], np.float64)
         self.scores = scores[order]
-        self.lengths = sorted({len(self.pieces[i]) for i in plain})
+        self.sizes = np.array([len(self.pieces[i]) for i in self.ids], np.int64)
+        self.lengths = sorted(set(self.sizes.tolist()))
         self.unknown_score = scores.min() - 10.0
+        self.powers = np.ones(int(self.sizes.max()) + 1, np.uint64)
+        np.cumprod(np.full(len(self.powers) - 1, _BASE, np.uint64), out=self.powers[1:])
         self.known: dict[str, bytes] = {}
+        # Merges are scored 0, -1, -2, ...: log-probabilities are no whole numbers.
+        long = self.sizes > 1
+        self.merged = bool((scores == np.round(scores)).all())
+        self.usable = np.ones(len(self.keys), bool)
+        if self.merged:
+            self.rank = np.where(long, -self.scores, -1).astype(np.int64)
+            self._split_pieces()
+
+    def _split_pieces(self) -> None:
+        """For each piece the two that its last merge joins (-1: a character).
+        A piece that merging its own text does not give is never used."""
+        self.left = np.full(len(self.keys), -1, np.int64)
+        self.right = np.full(len(self.keys), -1, np.int64)
+        index = {self.pieces[i]: k for k, i in enumerate(self.ids.tolist())}
+        rank = self.rank.tolist()
+        for k, i in enumerate(self.ids.tolist()):
+            parts = list(self.pieces[i])
+            while len(parts) > 2:
+                found = [(rank[index[a + b]], at) for at, (a, b) in enumerate(zip(parts, parts[1:]))
+                         if a + b in index]
+                if not found:
+                    break
+                at = min(found)[1]
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            if len(parts) == 2 and all(p in index for p in parts):
+                self.left[k], self.right[k] = (index[p] for p in parts)
+            elif len(parts) > 1:
+                self.usable[k] = False
+
+    def _may_meet(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the text of pieces ``a`` and ``b`` gives just them.
+        -1 stands for no piece, which any other may meet."""
+        allowed = np.ones(len(a), bool)
+        rows = np.flatnonzero(a >= 0)
+        x, y = a[rows], b[rows]
+        limit = np.full(len(rows), np.iinfo(np.int64).max)
+        while len(rows):
+            joined = self._find(self.keys[x] * self.powers[self.sizes[y]] + self.keys[y])
+            merges = (joined >= 0) & (self.rank[joined] < limit)
+            allowed[rows[merges]] = False
+            # Undo the later of the two last merges. Of one rank the left one
+            # comes first, so a merge at the border beats y's but not x's.
+            undo_x = self.rank[x] > self.rank[y]
+            limit = np.where(undo_x, self.rank[x], self.rank[y] + 1)
+            x, y = np.where(undo_x, self.right[x], x), np.where(undo_x, y, self.left[y])
+            on = ~merges & (x >= 0) & (y >= 0)
+            rows, x, y, limit = rows[on], x[on], y[on], limit[on]
+        return allowed
 
     @staticmethod
     def hashes(codes: np.ndarray) -> np.ndarray:
@@ -93,28 +148,29 @@ class Vocabulary:
         prefix[:, 1:] = self.hashes(_codes(words, length))
         best = np.full((length + 1, len(words)), -np.inf)
         best[0] = 0
-        step = np.zeros((length + 1, len(words)), np.int32)
-        piece = np.full((length + 1, len(words)), -1, np.int32)
-        power = {size: np.uint64(pow(int(_BASE), size, 1 << 64)) for size in self.lengths}
+        step = np.ones((length + 1, len(words)), np.int32)
+        piece = np.full((length + 1, len(words)), -1, np.int64)  # place in the sorted keys
         for end in range(1, length + 1):
-            # an unknown character, unless a piece is better
-            best[end], step[end] = best[end - 1] + self.unknown_score, 1
+            # an unknown character, unless there is a piece
+            best[end] = best[end - 1] + self.unknown_score * (length + 1.0 if self.merged else 1.0)
             for size in self.lengths:
                 if size > end:
                     break
-                part = prefix[:, end] - prefix[:, end - size] * power[size]
-                at = self._find(part)
-                total = np.where(at >= 0, best[end - size] + self.scores[at], -np.inf)
-                better = (total >= best[end]) & (at >= 0)
-                best[end] = np.where(better, total, best[end])
-                step[end] = np.where(better, size, step[end])
-                piece[end] = np.where(better, self.ids[at], piece[end])
+                at = self._find(prefix[:, end] - prefix[:, end - size] * self.powers[size])
+                rows = np.flatnonzero((at >= 0) & self.usable[at])
+                if self.merged and len(rows):
+                    rows = rows[self._may_meet(piece[end - size, rows], at[rows])]
+                total = best[end - size, rows] + self.scores[at[rows]]
+                better = total >= best[end, rows]
+                rows = rows[better]
+                best[end, rows], step[end, rows] = total[better], size
+                piece[end, rows] = at[rows]
         out: list[list[int]] = []
         for row, word in enumerate(words):
             ids, end = [], length
             while end:
                 if piece[end, row] >= 0:
-                    ids.append(int(piece[end, row]))
+                    ids.append(int(self.ids[piece[end, row]]))
                 else:
                     ids.extend(self.byte_ids.get(b, self.unknown)
                                for b in reversed(word[end - 1].encode("utf-8", "surrogatepass")))
