@@ -12,6 +12,7 @@ results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,7 +66,7 @@ def fit_language(labelled: DataFrame, text_col: str = "text", lang_col: str = "l
         for batch in batches:
             y, data = [], []
             for i, lang, text in zip(*(batch.column(c).to_pylist() for c in ("id", "y", "t"))):
-                for row in sample_windows(text.encode(), WINDOW, TRAIN_WINDOWS, abs(hash(i)) % 2**31):
+                for row in sample_windows(text.encode(), WINDOW, TRAIN_WINDOWS, zlib.crc32(str(i).encode())):
                     y.append(lang)
                     data.append(row.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.string()), pa.array(data, pa.binary())],

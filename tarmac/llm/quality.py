@@ -14,6 +14,7 @@ any usable label every score is 0.5, with one class only its smoothed share.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,7 +82,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_c
         for batch in batches:
             y, data = [], []
             for i, label_, text in zip(*(batch.column(c).to_pylist() for c in ("id", "y", "t"))):
-                for row in sample_windows(text.encode(), CHUNK, TRAIN_CHUNKS, abs(hash(i)) % 2**31):
+                for row in sample_windows(text.encode(), CHUNK, TRAIN_CHUNKS, zlib.crc32(str(i).encode())):
                     y.append(label_)
                     data.append(row.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(data, pa.binary())],

@@ -24,6 +24,7 @@ labels' smoothed mean, or 0.5.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -254,7 +255,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
             for i, label_, text in zip(*(batch.column(c).to_pylist() for c in ("id", "y", "t"))):
                 words = text.encode().split()
                 count = max(1, -(-len(words) // CHAIN))
-                rng = np.random.default_rng(abs(hash(i)) % 2**31)
+                rng = np.random.default_rng(zlib.crc32(str(i).encode()))
                 picks = range(count) if count <= TRAIN_CHAINS else \
                     sorted(rng.choice(count, TRAIN_CHAINS, replace=False).tolist())
                 out.append((label_, b"\n".join(
