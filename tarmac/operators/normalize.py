@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import (
-    NULL_TOKENS, period_is_valid, period_month, period_problem, period_text, period_year,
+    NULL_TOKENS, period_is_valid, period_month, period_problem, period_year,
 )
 
 # Raw column -> standard column, in precedence order. When the
@@ -74,7 +74,7 @@ COUNT_COLUMNS = (
     "number_flights_matched", "actual_flights_unmatched",
     "planned_flights_unmatched", "number_flights_cancelled",
 )
-DROPPED_COLUMNS = ("reporting_period", "run_date")
+DROPPED_COLUMNS = ("reporting_period", "run_date", "source_file")
 DROPPED_PREFIX = "previous_year_"
 
 
@@ -89,7 +89,18 @@ def _sql_text(value: str) -> str:
 _TOKENS_SQL = ", ".join(_sql_text(t) for t in NULL_TOKENS)
 
 
-def _typed(name: str, dtype: str) -> Column:
+def _clean_sql(c: str) -> str:
+    return f"(CASE WHEN {c} IN ({_TOKENS_SQL}) THEN NULL ELSE {c} END)"
+
+
+def _count_sql(c: str) -> str:
+    """A whole number from text, null for anything else."""
+    number = f"try_cast({c} AS DOUBLE)"
+    return (f"coalesce(try_cast({c} AS BIGINT), "
+            f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) END)")
+
+
+def _typed_column(name: str, dtype: str) -> Column:
     """Clean one column and give it the type its name stands for.
 
     Text columns (as a CSV read yields them) lose missing-value tokens and
@@ -100,11 +111,11 @@ def _typed(name: str, dtype: str) -> Column:
     if name in ("year", "month"):
         return F.col(c)
     if dtype == "string":
-        c = f"(CASE WHEN {c} IN ({_TOKENS_SQL}) THEN NULL ELSE {c} END)"
+        c = _clean_sql(c)
         if name in COUNT_COLUMNS:
-            # "12" and "12.0" both read as 12.
-            return F.expr(f"coalesce(try_cast({c} AS BIGINT), "
-                          f"try_cast(try_cast({c} AS DOUBLE) AS BIGINT))")
+            # "12" and "12.0" both read as 12; a text that is no whole number
+            # never gets here from a load, which quarantines it.
+            return F.expr(_count_sql(c))
         if _is_measure(name):
             return F.expr(f"nanvl(try_cast({c} AS DOUBLE), CAST(NULL AS DOUBLE))")
         return F.expr(c)
@@ -117,41 +128,68 @@ def _typed(name: str, dtype: str) -> Column:
 
 # ------------------------------------------------------------ N1-N3, N5
 
+def _with_period(df: DataFrame) -> DataFrame:
+    if "reporting_period" not in df.columns:
+        raise ValueError("without a reporting_period column a file's rows have no year and month")
+    return df
+
+
 def parse_file(df: DataFrame) -> DataFrame:
     """Add ``year``/``month`` parsed from ``reporting_period`` and drop
     ``run_date``. Rows keep their period text until normalisation."""
-    if "reporting_period" not in df.columns:
-        raise ValueError("CSV must include a reporting_period column to derive year and month")
-    out = df.withColumns({
+    out = _with_period(df).withColumns({
         "year": period_year("reporting_period"),
         "month": period_month("reporting_period"),
     })
     return out.drop("run_date")
 
 
+def parse_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed good rows, bad rows as they were read, with ``period_problem``)."""
+    good, bad = split_periods(_with_period(df))
+    return parse_file(good), bad
+
+
+def count_problem(df: DataFrame) -> Column:
+    """``count`` when a count column holds text that is no whole number
+    (missing-value tokens are nulls, not problems), else null."""
+    tests = []
+    for name, dtype in df.dtypes:
+        if name in COUNT_COLUMNS and dtype == "string":
+            clean = _clean_sql(f"`{name}`")
+            tests.append(f"({clean} IS NOT NULL AND {_count_sql(clean)} IS NULL)")
+    return F.expr(f"CASE WHEN {' OR '.join(tests)} THEN 'count' END") if tests else \
+        F.lit(None).cast("string")
+
+
 def split_periods(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows with a ``period_problem`` column).
 
-    The good side is one cheap predicate, since the optimizer may push it
-    far down (below an aggregation, onto raw rows); the reason for a
-    rejection is only worked out on the quarantined side."""
-    valid = period_is_valid("reporting_period")
-    good = df.filter(valid)
-    bad = df.filter(~valid).withColumn("period_problem", period_problem("reporting_period"))
-    return good, bad
+    A quarantined row keeps all its raw columns. Its problem is the period's
+    format or month, or a count that is no whole number. The good side is a
+    cheap predicate, since the optimizer may push it far down (below an
+    aggregation, onto raw rows); the reason for a rejection is only worked out
+    on the quarantined side."""
+    wrong = count_problem(df)
+    valid = period_is_valid("reporting_period") & wrong.isNull()
+    bad = df.filter(~valid).withColumn(
+        "period_problem", F.coalesce(period_problem("reporting_period"), wrong))
+    return df.filter(valid), bad
 
 
 def assert_periods(df: DataFrame, examples: int = 20) -> None:
-    """Fail like the original loader when any period is bad. The message
-    names up to ``examples`` distinct bad values and their total count."""
-    for kind, text in (("format", "Unable to parse reporting_period values. "
-                                  "Expected YYYYMM or YYYY-MM format"),
-                       ("month", "reporting_period month must be 01-12")):
-        bad = df.filter(period_problem("reporting_period") == kind) \
-                .select(F.col("reporting_period")).distinct()
-        sample = [r[0] for r in bad.limit(examples).collect()]
-        if sample:
-            raise ValueError(f"{text}: {sample} ({bad.count()} distinct)")
+    """Stop when a row would be quarantined, as the original loader stops a
+    whole file. The message names up to ``examples`` of the values."""
+    _, bad = split_periods(_with_period(df))
+    found = bad.groupBy("period_problem").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.slice(F.sort_array(F.collect_set("reporting_period")), 1, examples).alias("values"))
+    reasons = {"format": "not written as YYYYMM or YYYY-MM", "month": "a month outside 01 to 12",
+               "count": "a flight count that is no whole number"}
+    rows = sorted(found.collect(), key=lambda r: r["period_problem"])
+    if rows:
+        raise ValueError("; ".join(
+            f"{r['n']} rows with {reasons[r['period_problem']]} (periods {r['values']})" for r in rows))
 
 
 def union_layouts(frames: list[DataFrame]) -> DataFrame:
@@ -221,23 +259,31 @@ def fill_bands(df: DataFrame) -> DataFrame:
 
 def normalize(df: DataFrame) -> DataFrame:
     """Raw text union -> typed, standard-named, ordered table."""
-    df = drop_noise(df)
-    df = df.select(*[_typed(c, t).alias(c) for c, t in df.dtypes])
-    df = coalesce_rename(df)
+    df = coalesce_rename(typed(drop_noise(df)))
     df = fill_bands(df)
     return df.select(*[F.col(f"`{c}`") for c in FINAL_COLUMNS if c in df.columns])
 
 
-def normalize_files(frames: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Per-file parse, quarantine of bad periods, union and normalisation.
+def typed(df: DataFrame) -> DataFrame:
+    """Missing-value tokens to null and every column to its type. Frames are
+    typed before they are united, so a text frame and a typed one can meet."""
+    return df.select(*[_typed_column(c, t).alias(c) for c, t in df.dtypes])
+
+
+def normalize_files(frames: list[DataFrame], on_bad: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+    """Per-file parse, bad rows apart, typing, union and normalisation.
 
-    Returns (normalised table, quarantined raw rows)."""
+    Returns (normalised table, quarantined rows with all their raw columns).
+    With ``on_bad="fail"`` a bad row stops the load instead."""
+    if on_bad not in ("quarantine", "fail"):
+        raise ValueError(f"on_bad is {on_bad!r}, not 'quarantine' or 'fail'")
     goods, bads = [], []
     for frame in frames:
-        good, bad = split_periods(parse_file(frame))
-        goods.append(good)
-        bads.append(bad.select(period_text("reporting_period").alias("reporting_period"),
-                               "period_problem"))
+        if on_bad == "fail":
+            assert_periods(frame)
+        good, bad = parse_rows(frame)
+        goods.append(typed(good))
+        bads.append(bad.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in bad.columns]))
     return normalize(union_layouts(goods)), union_layouts(bads)
 
 
@@ -246,7 +292,7 @@ def conform(normalized: DataFrame) -> DataFrame:
     written from different layouts share one schema."""
     present = set(normalized.columns)
 
-    def typed(name: str) -> str:
+    def type_of(name: str) -> str:
         if name in ("year", "month"):
             return "int"
         if name in COUNT_COLUMNS:
@@ -254,5 +300,5 @@ def conform(normalized: DataFrame) -> DataFrame:
         return "string" if name in TEXT_COLUMNS else "double"
 
     return normalized.select(*[
-        (F.col(f"`{c}`") if c in present else F.lit(None)).cast(typed(c)).alias(c)
+        (F.col(f"`{c}`") if c in present else F.lit(None)).cast(type_of(c)).alias(c)
         for c in FINAL_COLUMNS])

@@ -1,20 +1,26 @@
 """Landed CSV files: listing, per-file encoding choice and per-layout reads.
 
 Monthly files arrive in UTF-8 or Latin-1 and in two column layouts. One
-distributed pass over the raw bytes (``binaryFile``) works out, per file,
-whether the bytes are valid UTF-8 and what the header line is. Only that
-per-file metadata (one small row per file, like a directory listing) comes
-to the driver; files are then read with one CSV scan per (encoding, header)
-group, every column as a string, and the groups are unioned by name. Data
-rows never pass through the driver.
+distributed pass over the lines works out, per file, whether every line is
+valid UTF-8, whether a quoted field spans lines, and what the header is. The
+pass reads files in splits, so a file's size does not matter. Files with one
+header, encoding and kind of quoting form a group; a group is one CSV scan,
+every column as a string, and the groups are unioned by name. The driver sees
+one row per group with its file names, never data.
+
+Fields are quoted with doubled quotes and there is no escape character, so a
+backslash is an ordinary character.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tarmac.functions.exprs import let
 
 # The two encodings tried, in order; Latin-1 decodes any bytes,
 # so no third fallback can ever be reached.
@@ -22,6 +28,9 @@ ENCODINGS = ("UTF-8", "ISO-8859-1")
 # Matches ".csv" in any letter case.
 CSV_GLOB = "*.[cC][sS][vV]"
 
+SOURCE_FILE = "source_file"
+REJECTED = "rejected_record"
+
 
 def year_dir(root: str, year: str | int) -> str:
     root = root.rstrip("/")
@@ -29,42 +38,70 @@ def year_dir(root: str, year: str | int) -> str:
 
 
 def list_csv(spark: SparkSession, root: str, year: str | int | None = None) -> DataFrame:
-    """Files ending in ``.csv`` (any case) directly under ``root[/year]``:
-    ``path``, ``length``, ``is_utf8`` and the raw ``header`` line. Raises
-    when there are none."""
+    """Files ending in ``.csv`` (any case) anywhere under ``root[/year]``:
+    ``path``, ``is_utf8``, ``spans_lines`` (a quoted field has a line end) and
+    the raw bytes of the ``header`` line. Raises when there are none."""
     where = year_dir(root, year) if year is not None else root
-    files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", CSV_GLOB)
-             .option("recursiveFileLookup", "false")
-             .load(where))
-    content = F.col("content")
-    utf8 = F.is_valid_utf8(content)
-    first_line = F.substring_index(F.when(utf8, F.decode(content, "UTF-8"))
-                                   .otherwise(F.decode(content, "ISO-8859-1")), "\n", 1)
-    listing = files.select("path", "length", utf8.alias("is_utf8"),
-                           F.regexp_replace(first_line, "\r$", "").alias("header"))
-    if listing.isEmpty():
-        raise ValueError(f"No CSV files found in {where}")
-    return listing
+    lines = (spark.read.option("pathGlobFilter", CSV_GLOB)
+             .option("recursiveFileLookup", "true").text(where))
+    # Every split of a file is read by one task, in order, so ``first`` of the
+    # split at offset 0 is the header line.
+    at = F.col("_metadata.file_block_start")
+    splits = lines.groupBy(F.col("_metadata.file_path").alias("path"), at.alias("at")).agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.bool_or(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("spans_lines"),
+        F.first(F.col("value").cast("binary")).alias("line"))
+    files = splits.groupBy("path").agg(
+        F.bool_and("is_utf8").alias("is_utf8"), F.bool_or("spans_lines").alias("spans_lines"),
+        F.min_by("line", "at").alias("header"))
+    if files.isEmpty():
+        raise ValueError(f"no CSV file under {where}")
+    return files
 
 
-def read_csv_mixed_encoding(spark: SparkSession, root: str, year: str | int | None = None,
-                            with_source: bool = True) -> DataFrame:
-    """All CSV files under ``root[/year]`` as one string-typed DataFrame.
-
-    Each file is decoded as UTF-8 when its bytes are valid UTF-8, otherwise
-    as Latin-1, and columns are matched by header name across files (absent
-    columns are null). ``source_file`` records each row's file."""
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in list_csv(spark, root, year).select("path", "is_utf8", "header").collect():
-        encoding = ENCODINGS[0] if row["is_utf8"] else ENCODINGS[1]
-        groups.setdefault((encoding, row["header"]), []).append(row["path"])
+def _fields(record: Column) -> Column:
+    """Number of fields of a raw record: separators outside quotes, plus one."""
+    bare = F.regexp_replace(record, r'"[^"]*+"', "")
+    return let(bare, lambda b: F.length(b) - F.length(F.replace(b, F.lit(","), F.lit("")))) + 1
+
+
+def read_csv(spark: SparkSession, root: str, year: str | int | None = None) -> DataFrame:
+    """All CSV files under ``root[/year]`` as one string-typed DataFrame with
+    two more columns: ``source_file``, and ``rejected_record``, the raw text of
+    a record with more fields than its header (null for all others).
+
+    Each file is decoded as UTF-8 when all of it is valid UTF-8, otherwise as
+    Latin-1; columns are matched by name across files (absent ones are null).
+    A record with fewer fields has nulls at its end."""
+    groups = (list_csv(spark, root, year).groupBy("is_utf8", "spans_lines", "header")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
     frames = []
-    for (encoding, _), paths in sorted(groups.items()):
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("encoding", encoding).option("multiLine", True)
-              .option("mode", "PERMISSIVE").csv(paths))
-        if with_source:
-            df = df.withColumn("source_file", F.col("_metadata.file_path"))
-        frames.append(df)
+    for group in sorted(groups, key=lambda g: g["paths"][0]):
+        reader = (spark.read.option("header", True).option("inferSchema", False)
+                  .option("encoding", ENCODINGS[0] if group["is_utf8"] else ENCODINGS[1])
+                  .option("quote", '"').option("escape", '"')
+                  .option("multiLine", bool(group["spans_lines"])))
+        names = reader.csv(group["paths"][0]).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECTED]])
+        df = (reader.schema(schema).option("mode", "PERMISSIVE").option("columnPruning", "false")
+              .option("columnNameOfCorruptRecord", REJECTED).csv(group["paths"]))
+        # Spark reads the raw record only together with a data column; the test
+        # on the first one is always true and keeps it in every scan.
+        data = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+        too_many = data & (_fields(F.col(REJECTED)) > len(names))
+        frames.append(df.select(
+            *[F.col(f"`{n}`") for n in names],
+            F.when(too_many, F.col(REJECTED)).alias(REJECTED),
+            F.col("_metadata.file_path").alias(SOURCE_FILE)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_csv_mixed_encoding(spark: SparkSession, root: str, year: str | int | None = None,
+                            with_source: bool = True) -> DataFrame:
+    """Whole records of :func:`read_csv`; reading a record with too many fields
+    stops the job."""
+    df = read_csv(spark, root, year)
+    message = F.concat(F.col(SOURCE_FILE), F.lit(": a record has more fields than the header: "),
+                       F.left(F.col(REJECTED), F.lit(200)))
+    df = df.filter(F.when(F.col(REJECTED).isNotNull(), F.raise_error(message)).otherwise(F.lit(True)))
+    return df.drop(REJECTED) if with_source else df.drop(REJECTED, SOURCE_FILE)

@@ -2,26 +2,22 @@
 partitioned staging table and the small mart tables.
 
 Paths may be local or any Hadoop-compatible URI; only the DataFrame reader
-and writer touch them.
+and writer, and Spark's file-system layer, touch them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from tarmac.sources import files
 
 # Rows per output file; bounds file size however the input is partitioned.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` resolves, using only the reader's listing."""
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
+    return files.exists(spark, path)
 
 
 def _marker(path: str) -> str:
@@ -33,7 +29,7 @@ def mark_complete(spark: SparkSession, path: str) -> None:
     the table's own job commits, so its presence implies a whole table; it
     holds the table's path."""
     (spark.range(1).select(F.lit(path.rstrip("/")).alias("value"))
-     .coalesce(1).write.mode("overwrite").text(_marker(path)))
+     .repartition(1).write.mode("overwrite").text(_marker(path)))
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -43,26 +39,49 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 def load_model(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """Read a written table, with a clear error naming it when it is missing."""
     if not path_exists(spark, path):
-        raise ValueError(f"Table not found: {name or path}. "
-                         "Build the model first so the table exists.")
+        raise ValueError(f"there is no table {name or path} yet; build its model first")
     return spark.read.parquet(path)
 
 
-def write_year(df: DataFrame, path: str) -> None:
-    """Replace only the years present in ``df`` in a ``year``-partitioned
-    table, creating it when missing (dynamic partition overwrite)."""
-    (df.sortWithinPartitions("year")
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
+# ------------------------------------------------------------ yearly tables
+
+def year_table(root: str, prefix: str, year: str | int) -> str:
+    """Each landed year is a table of its own, as in the original pipeline."""
+    return f"{root.rstrip('/')}/{prefix}{year}"
+
+
+def write_year(df: DataFrame, root: str, prefix: str, year: str | int) -> None:
+    """Replace the table of one landed year, whatever years its rows name: a
+    stray row of another year stays in the table of the folder it came from."""
+    (df.hint("rebalance").write.mode("overwrite")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .partitionBy("year")
-       .parquet(path))
+       .parquet(year_table(root, prefix, year)))
+
+
+def source_tables(spark: SparkSession, root: str, prefix: str, destination: str | None = None) -> list[str]:
+    """Names of the tables under ``root`` that start with ``prefix``, sorted,
+    without the union table itself. Raises when there are none."""
+    found = [f.name for f in files.listing(spark, root)
+             if f.is_dir and f.name.startswith(prefix) and f.name != destination]
+    if not found:
+        raise ValueError(f"no table under {root} starts with {prefix!r}")
+    return found
+
+
+def loaded_years(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """(year): the years that have a table under ``root``."""
+    names = [f.name.removeprefix(prefix) for f in files.listing(spark, root)
+             if f.is_dir and f.name.startswith(prefix)]
+    return spark.createDataFrame([(n,) for n in names if n.isdigit()], "year string")
 
 
 def write_normalized(df: DataFrame, path: str) -> None:
     """Full overwrite of the normalised union table."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    (df.hint("rebalance").write.mode("overwrite")
+     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
+
 
+# ------------------------------------------------------- staging and marts
 
 def write_staging(stg: DataFrame, path: str) -> None:
     """Staging sink: partitioned by ``year``/``month`` so latest-period
@@ -72,10 +91,12 @@ def write_staging(stg: DataFrame, path: str) -> None:
     The ``rebalance`` hint groups rows of a month into few tasks (few files
     per directory) while AQE splits any partition above the advisory size,
     so a month or key holding a third of the data is written by many tasks,
-    not one. ``maxRecordsPerFile`` caps file size."""
+    not one. ``maxRecordsPerFile`` caps file size. The whole table is
+    replaced: a month that the new rows lack is gone afterwards."""
     (stg.hint("rebalance", "year", "month")
         .sortWithinPartitions("year", "month", "origin_destination", "airline_name")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("year", "month")
         .parquet(path))
@@ -88,5 +109,6 @@ def read_staging(spark: SparkSession, path: str, columns: tuple[str, ...]) -> Da
 
 
 def write_mart(df: DataFrame, path: str) -> None:
-    """Marts are a few dozen rows: one file, full overwrite."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """Marts are a few dozen rows: one file, full overwrite. ``repartition``
+    leaves the aggregation before it as parallel as it was."""
+    df.repartition(1).write.mode("overwrite").parquet(path)

@@ -3,68 +3,71 @@
 The file stream source keeps the log of files already processed in its
 checkpoint, which replaces the "skip years/files already loaded" checks of
 a batch run and survives restarts. Each micro-batch only names new files;
-the years they touch are then rebuilt from *all* of that year's files and
-written with dynamic partition overwrite, exactly like a yearly load that
-replaces the year. Replaying a micro-batch after a failure rewrites the
-same partitions with the same rows, so the sink is idempotent.
+the years they touch are then rebuilt from *all* of that year's files, each
+as its own yearly table, exactly like a batch load that replaces the year.
+Replaying a micro-batch after a failure rewrites the same tables with the same
+rows, so the sink is idempotent. A file outside every year folder stops the
+batch, so that it is not marked as processed and forgotten.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.operators.normalize import conform, normalize_files
+from tarmac.plans.load import PREFIX, load_year
 from tarmac.session import ensure_checkpoint_dir
-from tarmac.sources.csv import CSV_GLOB, read_csv_mixed_encoding
+from tarmac.sources import files
+from tarmac.sources.csv import CSV_GLOB
+
+# Listings write one path with one or three slashes after its scheme.
+_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:/+"
 
-_YEAR_FROM_PATH = r"/(\d{4})/[^/]*$"
-# The fixed schema of the binaryFile source (streams need it stated).
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
+def _plain(path: str) -> str:
+    return re.sub(_SCHEME, "/", path)
 
-def _load_years(spark: SparkSession, landing_root: str, years: list[str],
-                table_path: str, quarantine_path: str) -> None:
-    """Rebuild the given years from all their landed files."""
-    for year in years:
-        raw = read_csv_mixed_encoding(spark, landing_root, year, with_source=False)
-        normalized, quarantine = normalize_files([raw])
-        (conform(normalized).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year").parquet(table_path))
-        (quarantine.withColumn("landing_year", F.lit(year))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("landing_year").parquet(quarantine_path))
 
+# The fixed schema of the binaryFile source (streams need it stated).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def start_incremental_load(spark: SparkSession, landing_root: str, table_path: str,
-                           quarantine_path: str | None = None,
-                           checkpoint: str | None = None,
+
+def start_incremental_load(spark: SparkSession, landing_root: str, tables: str,
+                           prefix: str = PREFIX, checkpoint: str | None = None,
                            available_now: bool = True) -> StreamingQuery:
-    """Watch ``landing_root/<year>/*.csv`` and keep the year-partitioned
-    normalised table at ``table_path`` current.
+    """Watch ``landing_root/<year>/**/*.csv`` and keep the yearly tables under
+    ``tables`` current.
 
     ``available_now`` processes everything new and stops (a scheduled
     batch); otherwise the query keeps running."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     checkpoint = checkpoint or f"{root}/tarmac/streams/landing"
-    quarantine_path = quarantine_path or f"{table_path.rstrip('/')}_quarantine"
 
-    files = (spark.readStream.format("binaryFile")
+    found = (spark.readStream.format("binaryFile")
              .schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", CSV_GLOB)
              .option("recursiveFileLookup", "true")
              .load(landing_root)
              .select("path"))
 
+    # The folder right below the landing root names the year, files lie at any depth.
+    base = _plain(files.qualified(spark, landing_root)).rstrip("/")
+    in_year = "^\\Q" + base + "\\E/([0-9]{4})/"
+
     def per_batch(batch: DataFrame, _batch_id: int) -> None:
-        years = sorted({r["year"] for r in batch.select(
-            F.regexp_extract("path", _YEAR_FROM_PATH, 1).alias("year")).distinct().collect()
-            if r["year"]})
-        if years:
-            _load_years(batch.sparkSession, landing_root, years, table_path, quarantine_path)
+        plain = F.regexp_replace("path", _SCHEME, "/")
+        by_year = batch.select("path", F.regexp_extract(plain, in_year, 1).alias("year")).groupBy(
+            "year").agg(F.min("path").alias("example")).collect()
+        lost = [r["example"] for r in by_year if not r["year"]]
+        if lost:
+            raise ValueError(f"landed outside every year folder: {lost[0]}")
+        for year in sorted(r["year"] for r in by_year):
+            load_year(batch.sparkSession, landing_root, tables, year, prefix)
 
-    writer = files.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    writer = found.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()

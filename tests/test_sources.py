@@ -4,9 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators.normalize import normalize_files
-from tarmac.sources.csv import list_csv, read_csv_mixed_encoding
+from tarmac.plans.load import (
+    DESTINATION, PREFIX, load_union, load_year, parsed_year, quarantined,
+)
+from tarmac.sources import files
+from tarmac.sources.csv import list_csv, read_csv, read_csv_mixed_encoding
 from tarmac.sources.tables import (
-    is_complete, load_model, mark_complete, write_staging, write_year,
+    is_complete, load_model, loaded_years, mark_complete, source_tables, write_mart,
+    write_normalized, write_staging, write_year, year_table,
 )
 
 COARSE = ("run_date,reporting_period,reporting_airport,origin_destination_country,"
@@ -47,13 +52,122 @@ def test_list_and_read_mixed_encodings(spark, scratch):
     assert quarantine.count() == 0
 
 
-def test_write_year_replaces_only_that_year(spark, scratch):
-    path = f"{scratch}/yearly"
+HEADER = ("reporting_period,reporting_airport,origin_destination_country,origin_destination,"
+          "airline_name,scheduled_charter,number_flights_matched,average_delay_mins\n")
+
+
+def _write(path, text, encoding="utf-8"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+
+
+def test_quotes_backslashes_and_line_ends(spark, scratch):
+    _write(f"{scratch}/2012/a.csv", HEADER
+           + '201201,A,EU,R,"AIR ""X"" LTD, CO",S,10,5\n'
+           + '201202,B,EU,R,"BACK\\",S,11,5\n201203,C,EU,R,plain\\,S,12,5\n')
+    _write(f"{scratch}/2012/deep/er/b.csv", HEADER + '201204,D,EU,R,"two\nlines",S,13,5\n201205,E,EU,R,X,S,14,5\n')
+    _write(f"{scratch}/2012/c.csv", HEADER.replace("\n", "\r\n") + "201206,F,EU,R,X,S,15,5\r\n")
+    rows = {r.reporting_airport: r for r in read_csv_mixed_encoding(spark, scratch, 2012).collect()}
+    assert set(rows) == set("ABCDEF")
+    assert [rows[x].airline_name for x in "ABCD"] == ['AIR "X" LTD, CO', "BACK\\", "plain\\", "two\nlines"]
+    assert rows["F"].average_delay_mins == "5" and rows["D"].source_file.endswith("deep/er/b.csv")
+    headers = list_csv(spark, scratch, 2012).select("header").distinct().collect()
+    assert max(len(r.header) for r in headers) < 200
+
+
+def test_too_many_and_too_few_fields(spark, scratch):
+    _write(f"{scratch}/2012/a.csv", HEADER + "201201,A,EU,R,X,S,10,5,extra\n201202,B,EU,R,X,S\n201203,C,EU,R,X,S,1,2\n")
+    good = {r.reporting_airport: r for r in read_csv(spark, scratch, 2012).collect() if not r.rejected_record}
+    assert set(good) == {"B", "C"} and good["B"].number_flights_matched is None
+    with pytest.raises(Exception, match="more fields"):
+        read_csv_mixed_encoding(spark, scratch, 2012).collect()
+    ok, bad = parsed_year(spark, scratch, 2012)
+    assert ok.count() == 2
+    assert [(r.period_problem, r.rejected_record) for r in bad.collect()] == [("fields", "201201,A,EU,R,X,S,10,5,extra")]
+
+
+def test_yearly_tables_keep_stray_rows(spark, scratch):
+    """A row of another year stays in the table of its folder; loading a year
+    again replaces that folder's table only."""
+    landing, tables = f"{scratch}/landing", f"{scratch}/tables"
+    _write(f"{landing}/2010/a.csv", HEADER + "201001,A,EU,R,X,S,10,5\n201002,A,EU,R,X,S,11,5\n")
+    _write(f"{landing}/2011/a.csv", HEADER + "201101,B,EU,R,X,S,20,5\n201012,B,EU,R,X,S,21,5\n")
+    with pytest.raises(ValueError, match="no table under"):
+        source_tables(spark, tables, PREFIX)
+    for year in (2010, 2011):
+        assert load_year(spark, landing, tables, year)
+    assert not load_year(spark, landing, tables, 2010, overwrite=False)
+    assert source_tables(spark, tables, PREFIX) == [f"{PREFIX}2010", f"{PREFIX}2011"]
+    load_union(spark, tables)
+    assert source_tables(spark, tables, PREFIX, DESTINATION) == [f"{PREFIX}2010", f"{PREFIX}2011"]
+    union = load_model(spark, f"{tables}/{DESTINATION}")
+    assert sorted((r.year, r.month, r.number_flights_matched) for r in union.collect()) == [
+        (2010, 1, 10), (2010, 2, 11), (2010, 12, 21), (2011, 1, 20)]
+    assert sorted(r.year for r in loaded_years(spark, tables, PREFIX).collect()) == ["2010", "2011"]
+    _write(f"{landing}/2011/a.csv", HEADER + "201103,B,EU,R,X,S,30,5\n")
+    load_year(spark, landing, tables, 2011)
+    load_union(spark, tables)
+    spark.catalog.refreshByPath(tables)
+    got = spark.read.parquet(f"{tables}/{DESTINATION}").collect()
+    assert sorted((r.year, r.month) for r in got) == [(2010, 1), (2010, 2), (2011, 3)]
+
+
+def test_bad_rows_are_kept_whole_or_stop_the_load(spark, scratch):
+    landing, tables = f"{scratch}/landing", f"{scratch}/tables"
+    _write(f"{landing}/2011/a.csv", HEADER + "2011/01,A,EU,R,X,S,10,5\n201113,B,EU,R,X,S,20,5\n"
+           "201102,C,EU,R,X,S,12.7,5\n201103,D,EU,R,X,S,12.0,5\n201104,E,EU,R,X,S,NA,5\n")
+    load_year(spark, landing, tables, 2011)
+    bad = {r.reporting_airport: r for r in quarantined(spark, tables).collect()}
+    assert {k: r.period_problem for k, r in bad.items()} == {"A": "format", "B": "month", "C": "count"}
+    assert bad["C"].number_flights_matched == "12.7" and bad["A"].source_file.endswith("a.csv")
+    load_union(spark, tables)
+    counts = {r.reporting_airport: r.number_flights_matched
+              for r in load_model(spark, f"{tables}/{DESTINATION}").collect()}
+    assert counts == {"D": 12, "E": None}
+    with pytest.raises(ValueError, match="2011/01"):
+        load_year(spark, landing, tables, 2011, on_bad="fail")
+
+
+def test_text_and_typed_frames_unite(spark):
+    typed = spark.createDataFrame([("201101", 5, 1.5)], "reporting_period string, number_flights_matched long, average_delay_mins double")
+    text = spark.createDataFrame([("201102", "NA", "NA")], "reporting_period string, number_flights_matched string, average_delay_mins string")
+    out, _ = normalize_files([typed, text])
+    assert sorted((r.month, r.number_flights_matched) for r in out.collect()) == [(1, 5), (2, None)]
+    with pytest.raises(ValueError, match="201313"):
+        normalize_files([spark.createDataFrame([("201313",)], "reporting_period string")], on_bad="fail")
+
+
+def test_write_year_and_other_sinks(spark, scratch):
     df = spark.createDataFrame([(2010, "a"), (2011, "b")], "year int, v string")
-    write_year(df, path)
-    write_year(spark.createDataFrame([(2011, "c")], "year int, v string"), path)
-    got = sorted((r.year, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [(2010, "a"), (2011, "c")]
+    write_year(df, scratch, "t_", 2010)
+    write_year(df.filter("year = 2011"), scratch, "t_", 2011)
+    write_year(df.filter("v = 'c'"), scratch, "t_", 2011)
+    assert spark.read.parquet(year_table(scratch, "t_", 2010)).count() == 2
+    assert spark.read.parquet(year_table(scratch, "t_", 2011)).count() == 0
+    for sink in (write_normalized, write_mart):
+        sink(df, f"{scratch}/once")
+        sink(df.limit(1), f"{scratch}/once")
+        assert spark.read.parquet(f"{scratch}/once").count() == 1
+
+
+def test_staging_rebuild_drops_absent_months(spark, scratch):
+    df = spark.createDataFrame([(2001, m, "R", "X") for m in (1, 2)],
+                               "year int, month int, origin_destination string, airline_name string")
+    write_staging(df, f"{scratch}/stg")
+    write_staging(df.filter("month = 2"), f"{scratch}/stg")
+    assert [r.month for r in spark.read.parquet(f"{scratch}/stg").collect()] == [2]
+
+
+def test_fingerprint_follows_the_files(spark, scratch):
+    _write(f"{scratch}/t/a.csv", "x")
+    one = files.fingerprint(spark, [f"{scratch}/t"])
+    assert one == files.fingerprint(spark, [f"{scratch}/t"])
+    _write(f"{scratch}/t/a.csv", "xy")
+    two = files.fingerprint(spark, [f"{scratch}/t"])
+    _write(f"{scratch}/t/b.csv", "x")
+    assert len({one, two, files.fingerprint(spark, [f"{scratch}/t"])}) == 3
+    assert files.fingerprint(spark, [f"{scratch}/none"]) and files.listing(spark, f"{scratch}/none") == []
 
 
 def test_staging_sink_partitions_and_marker(spark, scratch):
@@ -70,5 +184,5 @@ def test_staging_sink_partitions_and_marker(spark, scratch):
     plan = back.filter((F.col("year") == 2001) & (F.col("month") == 2))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan and "month" in plan
-    with pytest.raises(ValueError, match="Table not found: missing"):
+    with pytest.raises(ValueError, match="no table missing"):
         load_model(spark, f"{scratch}/nope", "missing")

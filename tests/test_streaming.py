@@ -1,5 +1,9 @@
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from tarmac.plans.load import PREFIX, quarantined
 from tarmac.streaming.landing import start_incremental_load
 
 HEADER = ("reporting_period,reporting_airport,origin_destination_country,origin_destination,"
@@ -12,17 +16,30 @@ def _write(root, year, name, rows):
         f.write(HEADER + "".join(rows))
 
 
+def _rows(spark, tables, year):
+    spark.catalog.refreshByPath(tables)
+    return sorted((r.year, r.month, r.number_flights_matched)
+                  for r in spark.read.parquet(f"{tables}/{PREFIX}{year}").collect())
+
+
 def test_incremental_load_rebuilds_touched_years(spark, scratch):
-    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
+    landing, tables, ckpt = f"{scratch}/landing", f"{scratch}/tables", f"{scratch}/ckpt"
     _write(landing, 2010, "a.csv", ["201001,A,EU,R,X,S,10,5\n"])
     _write(landing, 2011, "b.csv", ["201101,B,EU,R,X,S,20,6\n", "2011/02,B,EU,R,X,S,1,1\n"])
-    start_incremental_load(spark, landing, table, checkpoint=ckpt).awaitTermination()
-    got = sorted((r.year, r.month, r.number_flights_matched) for r in spark.read.parquet(table).collect())
-    assert got == [(2010, 1, 10), (2011, 1, 20)]
-    quarantined = spark.read.parquet(f"{table}_quarantine").collect()
-    assert [(r.reporting_period, r.period_problem) for r in quarantined] == [("2011/02", "format")]
+    _write(landing, "2011/sub/2012", "d.csv", ["201104,B,EU,R,X,S,40,6\n"])
+    start_incremental_load(spark, landing, tables, checkpoint=ckpt).awaitTermination()
+    assert _rows(spark, tables, 2010) == [(2010, 1, "10")]
+    assert _rows(spark, tables, 2011) == [(2011, 1, "20"), (2011, 4, "40")]
+    bad = quarantined(spark, tables).collect()
+    assert [(r.reporting_period, r.period_problem) for r in bad] == [("2011/02", "format")]
 
     _write(landing, 2011, "c.csv", ["201103,C,EU,R,X,S,30,7\n"])
-    start_incremental_load(spark, landing, table, checkpoint=ckpt).awaitTermination()
-    got = sorted((r.year, r.month, r.number_flights_matched) for r in spark.read.parquet(table).collect())
-    assert got == [(2010, 1, 10), (2011, 1, 20), (2011, 3, 30)]
+    start_incremental_load(spark, landing, tables, checkpoint=ckpt).awaitTermination()
+    assert _rows(spark, tables, 2011) == [(2011, 1, "20"), (2011, 3, "30"), (2011, 4, "40")]
+
+
+def test_file_outside_year_folders_stops_the_load(spark, scratch):
+    landing = f"{scratch}/landing"
+    _write(landing, "misc", "a.csv", ["201001,A,EU,R,X,S,10,5\n"])
+    with pytest.raises(StreamingQueryException, match="outside every year folder"):
+        start_incremental_load(spark, landing, f"{scratch}/t", checkpoint=f"{scratch}/c").awaitTermination()
