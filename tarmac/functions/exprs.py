@@ -5,6 +5,8 @@ month names and NaN handling. Everything here is a plain Column built from
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often
+    ``body`` names it (an expression named twice would be written out twice)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def round_half(x: str | Column, digits: int = 0) -> Column:
     """Round half away from zero on the scaled double.
 
@@ -76,11 +84,3 @@ def month_name(month: str | Column) -> Column:
     month = _col(month)
     names = F.array(*[F.lit(name) for name in MONTH_NAMES])
     return F.when(month.between(1, 12), F.try_element_at(names, month.cast("int")))
-
-
-def nan_to_null(x: str | Column) -> Column:
-    """NaN compares greater than every number in Spark; the reference's
-    warehouse treats it as incomparable. Turning it into null once keeps
-    range checks and aggregates honest."""
-    x = _col(x)
-    return F.nanvl(x, F.lit(None).cast("double"))

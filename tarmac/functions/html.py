@@ -1,35 +1,42 @@
 """HTML anchor extraction and URL resolution as column expressions.
 
-Pages are processed whole. Anchors come out with ``regexp_extract_all`` +
-``posexplode``; their text is the tag-separated pieces, entity-decoded,
-stripped and joined by one space; relative links are resolved against the
+Pages are processed whole. A page is cut at its ``<a`` start tags; an anchor's
+text is the tag-separated pieces up to its end, entity-decoded, stripped and
+joined by one space; relative links are resolved against the
 page URL with RFC 3986 dot-segment removal done by ``aggregate``. No Python
 runs per row.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tarmac.functions.exprs import let
 from tarmac.functions.text import WHITESPACE
 
 # Blocks whose content is not markup (comments, scripts and
-# style sheets), anchors, tags, the href attribute.
-NON_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR = r"(?is)<a(?:\s[^>]*)?>.*?</a\s*>"
-ANCHOR_PARTS = r"(?is)^<a(\s[^>]*)?>(.*)</a\s*>$"
-TAG = r"(?s)<[^>]*>"
-HREF_PRESENT = r"(?i)(?:^|\s)href(?:\s*=|\s|$)"
-HREF_VALUE = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-
-# Named character references decoded in text and attributes
-# (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``).
-NAMED_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"),
-)
-NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+# style sheets). One that never ends takes the rest of the page.
+NON_MARKUP = (r"(?is)<!--.*?(?:-->|$(?!\n))|<script\b.*?(?:</script\s*>|$(?!\n))"
+              r"|<style\b.*?(?:</style\s*>|$(?!\n))")
+# The attributes of a start tag: anything but ``>``, which may
+# stand inside quotes. Possessive, so no text makes it slow or deep.
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+ANCHOR_START = rf"(?is)<a(?=[\s/>])({_INSIDE})>"
+TAG = rf"(?s)</?[a-zA-Z!?]{_INSIDE}>|<!?>"
+# Where an anchor's text ends: its end tag, or else the end of
+# an element around it.
+ANCHOR_END = (r"(?is)</(?:a|p|li|ul|ol|dl|dd|dt|td|th|tr|table|div|section|article|nav|header|footer|main"
+              r"|aside|h[1-6]|form|body|html)\s*>")
+# One attribute, its name and its value in any of three forms.
+ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
+
+# A character reference, with or without its semicolon.
+REFERENCE = r"&(#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+;?)"
+REPLACEMENT = "�"
 
 # Marker that stands for a tag boundary inside anchor text.
 _BOUNDARY = "\u0001"
@@ -39,28 +46,56 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def decode_entities(c: str | Column) -> Column:
-    """Decode numeric references (``&#233;``, ``&#xE9;``) and the common
-    named ones. Numeric references are split out and rebuilt from their
-    UTF-32 code units; text without ``&`` passes untouched."""
-    s = _col(c)
-    pieces = F.split(s, NUMERIC_ENTITY, -1)
-    codes = F.regexp_extract_all(s, F.lit(NUMERIC_ENTITY), 1)
+def _named() -> Column:
+    """Map from a reference's name (with its semicolon where it needs one) to
+    its characters, as the HTML standard has them: a constant of the plan."""
+    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+
+def _windows() -> Column:
+    """Map for the numbers 128 to 159, which mean Windows-1252 characters."""
+    found = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+    return F.from_json(F.lit(json.dumps(found)), "map<string,string>")
+
+
+def _character(code: Column) -> Column:
+    """The character of a number, given as decimal text without leading
+    zeros; the replacement character for what is none."""
+    number = code.try_cast("bigint")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return (F.when(~F.coalesce(valid, F.lit(False)), F.lit(REPLACEMENT))
+            .when(number.between(128, 159), F.element_at(_windows(), code))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")))
+
+
+def _decode_reference(ref: Column) -> Column:
+    """Text of one reference (without ``&``); an unknown one stays as it is."""
+    bare = F.rtrim(ref, F.lit(";"))
+    digits = F.ltrim(F.regexp_replace(bare, "^#[xX]?", ""), F.lit("0"))
+    # More digits than any character's number has: out of range.
+    number = (F.when(F.length(digits) > 9, F.lit("9999999999"))
+              .when(bare.startswith("#x") | bare.startswith("#X"),
+                    F.conv(F.concat(F.lit("0"), digits), 16, 10))
+              .otherwise(F.concat(F.lit(""), digits)))
+    named = F.coalesce(F.element_at(_named(), ref),
+                       # without its semicolon only some names are known
+                       F.concat(F.element_at(_named(), bare), F.when(ref != bare, F.lit(";"))))
+    return F.when(ref.startswith("#"), _character(number)).otherwise(
+        F.coalesce(named, F.concat(F.lit("&"), ref)))
 
-    def to_char(code: Column) -> Column:
-        hexa = F.when(code.startswith("x") | code.startswith("X"), F.substring(code, 2, 8)) \
-                .otherwise(F.conv(code, 10, 16))
-        return F.decode(F.unhex(F.lpad(hexa, 8, "0")), "UTF-32")
 
-    chars = F.transform(codes, to_char)
+def decode_entities(c: str | Column) -> Column:
+    """Decode character references: ``&#233;``, ``&#xE9;`` and every named one
+    of the standard, with or without a semicolon. No reference is an error:
+    a number out of range gives U+FFFD, an unknown name stays. Text without
+    ``&`` passes untouched."""
+    s = _col(c)
+    pieces = F.split(s, REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(s, F.lit(REFERENCE), 1), _decode_reference)
     rebuilt = F.array_join(
-        F.zip_with(pieces, F.concat(chars, F.array(F.lit(""))),
-                   lambda p, ch: F.concat(p, F.coalesce(ch, F.lit("")))), "")
-    numeric = F.when(s.contains("&#"), rebuilt).otherwise(s)
-    out = numeric
-    for entity, char in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(s.contains("&"), out).otherwise(s)
+        F.zip_with(pieces, F.concat(found, F.array(F.lit(""))),
+                   lambda p, x: F.concat(F.coalesce(p, F.lit("")), F.coalesce(x, F.lit("")))), "")
+    return F.when(s.contains("&"), rebuilt).otherwise(s)
 
 
 def strip_markup_blocks(html: str | Column) -> Column:
@@ -68,28 +103,39 @@ def strip_markup_blocks(html: str | Column) -> Column:
     return F.regexp_replace(_col(html), NON_MARKUP, "<!>")
 
 
-def anchors(html: str | Column) -> Column:
-    """Array of every ``<a ...>...</a>`` in document order."""
-    return F.regexp_extract_all(strip_markup_blocks(html), F.lit(ANCHOR), 0)
-
-
-def anchor_text(anchor: str | Column) -> Column:
+def anchor_text(inner: str | Column) -> Column:
     """Visible text: the text pieces between tags, entity-decoded, each
     stripped of white space, empty ones dropped, joined by one space."""
-    inner = F.regexp_extract(_col(anchor), ANCHOR_PARTS, 2)
-    marked = F.regexp_replace(inner, TAG, _BOUNDARY)
+    marked = F.regexp_replace(_col(inner), TAG, _BOUNDARY)
     pieces = F.transform(F.split(marked, _BOUNDARY, -1),
                          lambda p: F.btrim(decode_entities(p), F.lit(WHITESPACE)))
     return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
 
 
-def anchor_href(anchor: str | Column) -> Column:
-    """The ``href`` value (entity-decoded), empty text for ``href=""`` or a
-    bare ``href``, null when the anchor has no ``href``."""
-    attrs = F.regexp_extract(_col(anchor), ANCHOR_PARTS, 1)
-    value = F.coalesce(*[F.nullif(F.regexp_extract(attrs, HREF_VALUE, g), F.lit(""))
-                         for g in (1, 2, 3)], F.lit(""))
-    return F.when(attrs.rlike(HREF_PRESENT), decode_entities(value))
+def anchor_href(attributes: str | Column) -> Column:
+    """The first ``href`` value (entity-decoded), empty text for ``href=""`` or
+    a bare ``href``, null when there is none. Attributes are read from the
+    start one by one, so text inside another one's quotes is none."""
+    c = _col(attributes)
+    names = F.regexp_extract_all(c, F.lit(ATTRIBUTE), 1)
+    values = F.regexp_extract_all(c, F.lit(ATTRIBUTE), 2)
+    at = F.array_position(F.transform(names, F.lower), "href")
+    raw = F.element_at(values, F.when(at > 0, at).cast("int"))
+    return decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
+
+
+def anchors(html: str | Column) -> Column:
+    """Array of (text, href), one for every ``<a`` start tag in document order,
+    closed or not. A start tag ends an anchor that is still open, as anchors
+    do not nest."""
+    def read(clean: Column) -> Column:
+        attributes = F.regexp_extract_all(clean, F.lit(ANCHOR_START), 1)
+        rest = F.slice(F.split(clean, ANCHOR_START, -1), 2, F.greatest(F.size(attributes), F.lit(1)))
+        return F.zip_with(attributes, rest, lambda a, r: F.struct(
+            anchor_text(F.element_at(F.split(r, ANCHOR_END, 2), 1)).alias("title"),
+            anchor_href(a).alias("href")))
+
+    return let(strip_markup_blocks(html), read)
 
 
 # ------------------------------------------------------------ URL resolution

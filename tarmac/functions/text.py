@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tarmac.functions.exprs import let
+
 # Texts a default pandas CSV read turns into missing values.
 NULL_TOKENS = (
     "", "NA", "N/A", "n/a", "#N/A", "#N/A N/A", "#NA", "NaN", "nan", "-NaN",
@@ -91,13 +93,16 @@ def reporting_period_from_text(text: str | Column, as_of_year: int | Column | No
     """First ``20dddd`` in the text as ``YYYYMM``; empty text unless the year
     lies in 2000..as_of_year and the month in 1..12. Only the first match is
     considered. ``as_of_year`` defaults to the current year."""
-    found = F.regexp_extract(_col(text), TITLE_PERIOD_PATTERN, 1)
-    year = F.substring(found, 1, 4).try_cast("int")
-    month = F.substring(found, 5, 2).try_cast("int")
     limit = F.year(F.current_date()) if as_of_year is None else (
         F.lit(as_of_year) if isinstance(as_of_year, int) else as_of_year)
-    ok = (found != "") & year.between(F.lit(2000), limit) & month.between(1, 12)
-    return F.when(ok, found).otherwise(F.lit(""))
+
+    def checked(found: Column) -> Column:
+        year = F.substring(found, 1, 4).try_cast("int")
+        month = F.substring(found, 5, 2).try_cast("int")
+        ok = (found != "") & year.between(F.lit(2000), limit) & month.between(1, 12)
+        return F.when(ok, found).otherwise(F.lit(""))
+
+    return let(F.regexp_extract(_col(text), TITLE_PERIOD_PATTERN, 1), checked)
 
 
 # -------------------------------------------------------------- file names
@@ -111,15 +116,22 @@ def safe_filename(text: str | Column) -> Column:
 
 
 def record_filename(title: str | Column, period: str | Column) -> Column:
-    """Stable CSV file name for a link title and its period."""
+    """Stable CSV file name for a link title and its period. Each step's text
+    is bound once, so the pattern work is not repeated by the steps after it."""
+    period, suffix = _col(period), "csv_document"
+
+    def without_suffix(base: Column) -> Column:
+        return F.when(base.endswith(suffix), F.rtrim(
+            F.left(base, F.length(base) - len(suffix)), F.lit("_"))).otherwise(base)
+
+    def with_extension(base: Column) -> Column:
+        return F.when(base.endswith("csv"), base).otherwise(F.concat(base, F.lit(".csv")))
+
+    def with_period(base: Column) -> Column:
+        return F.when(base.startswith(period), base).otherwise(F.concat(period, F.lit("_"), base))
+
     base = F.replace(safe_filename(title), F.lit("fullanalysis"), F.lit("full_analysis"))
-    suffix = "csv_document"
-    base = F.when(base.endswith(suffix),
-                  F.rtrim(F.regexp_replace(base, f"{suffix}$", ""), F.lit("_"))
-                  ).otherwise(base)
-    base = F.when(base.endswith("csv"), base).otherwise(F.concat(base, F.lit(".csv")))
-    period = _col(period)
-    return F.when(base.startswith(period), base).otherwise(F.concat(period, F.lit("_"), base))
+    return let(let(let(base, without_suffix), with_extension), with_period)
 
 
 def destination_path(period: str | Column, filename: str | Column, prefix: str = "") -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.html import anchor_href, anchor_text, anchors, resolve_url
+from tarmac.functions.html import anchors, resolve_url
 from tarmac.functions.text import destination_path, record_filename, reporting_period_from_text
 
 # Titles of monthly full-analysis files, excluding the
@@ -36,9 +36,7 @@ def extract_links(pages: DataFrame, html_col: str = "html", url_col: str = "url"
     kept = [c for c in keep if c in pages.columns]
     exploded = pages.select(*kept, F.col(url_col).alias("page_url"),
                             F.posexplode(anchors(html_col)).alias("pos", "anchor"))
-    links = exploded.select(*kept, "page_url", "pos",
-                            anchor_text("anchor").alias("title"),
-                            anchor_href("anchor").alias("href"))
+    links = exploded.select(*kept, "page_url", "pos", "anchor.title", "anchor.href")
     return links.filter((F.col("title") != "") & F.col("href").isNotNull())
 
 
@@ -54,15 +52,18 @@ def filter_titles(links: DataFrame, pattern: str = TITLE_PATTERN) -> DataFrame:
 def manifest_records(links: DataFrame, as_of_year: int | None = None) -> DataFrame:
     """Wanted links with a valid period: adds ``url`` (resolved),
     ``reporting_period`` and ``filename``."""
-    with_period = filter_titles(links).withColumn(
-        "reporting_period", reporting_period_from_text("title", as_of_year))
-    valid = with_period.filter(F.col("reporting_period") != "")
-    return valid.select(
-        *[c for c in valid.columns if c not in ("href", "page_url", "reporting_period")],
-        resolve_url("page_url", "href").alias("url"),
-        "reporting_period",
-        record_filename("title", "reporting_period").alias("filename"),
-    )
+    wanted = filter_titles(links)
+    # Worked out once per link: a generated row's columns are not written out
+    # again into the filters and projections above it.
+    found = F.array(F.struct(
+        reporting_period_from_text("title", as_of_year).alias("reporting_period")))
+    dated = wanted.select(*wanted.columns, F.inline(found)).filter("reporting_period != ''")
+    named = F.array(F.struct(resolve_url("page_url", "href").alias("url"),
+                             record_filename("title", "reporting_period").alias("filename")))
+    return (dated.select(*dated.columns, F.inline(named))
+            .drop("href", "page_url").select(
+                *[c for c in dated.columns if c not in ("href", "page_url", "reporting_period")],
+                "url", "reporting_period", "filename"))
 
 
 def dedupe_manifest(records: DataFrame, order: tuple[str, ...] = ("year", "page_id", "pos")) -> DataFrame:
@@ -98,31 +99,32 @@ def pending_files(manifest: DataFrame, existing: DataFrame, prefix: str = "",
 
 
 def landing_status(manifest: DataFrame, existing: DataFrame, prefix: str = "",
-                   overwrite: bool = False) -> DataFrame:
-    """Each manifest row with ``status`` ``skipped`` (already landed) or
-    ``pending``."""
-    paths = manifest_paths(manifest, prefix)
-    if overwrite:
-        return paths.withColumn("status", F.lit("pending"))
-    landed = existing.select("path").distinct().withColumn("_landed", F.lit(True))
-    return (paths.join(landed, "path", "left")
-            .withColumn("status", F.when(F.col("_landed"), F.lit("skipped"))
-                        .otherwise(F.lit("pending")))
-            .drop("_landed"))
-
-
-def manifest_summary(pages: DataFrame, manifest: DataFrame, existing: DataFrame,
-                     prefix: str = "", overwrite: bool = False) -> DataFrame:
+                   overwrite: bool = False, failed: DataFrame | None = None) -> DataFrame:
+    """Each manifest row with ``status``: ``skipped`` (already landed),
+    ``failed`` (its path is among those of ``failed``) or ``pending``."""
+    out = manifest_paths(manifest, prefix)
+    status = F.lit("pending")
+    marks = [] if failed is None else [("failed", failed)]
+    marks += [] if overwrite else [("skipped", existing)]
+    for name, paths in marks:  # the last one counts: a landed file is not a failure
+        out = out.join(paths.select("path").distinct().withColumn(f"_{name}", F.lit(True)), "path", "left")
+        status = F.when(F.col(f"_{name}"), F.lit(name)).otherwise(status)
+    return out.withColumn("status", status).drop(*[f"_{n}" for n, _ in marks])
+
+
+def manifest_summary(pages: DataFrame, as_of_year: int | None, existing: DataFrame, prefix: str = "",
+                     overwrite: bool = False, failed: DataFrame | None = None) -> DataFrame:
     """Run summary as (metric, value) rows: pages scanned, links matched and
-    one count per landing status. Global aggregates only."""
+    one count per landing status. The manifest is worked out once: links
+    matched is the sum of the counts by status, and pages are only counted."""
     scanned = pages.agg(F.count(F.lit(1)).alias("value")) \
         .select(F.lit("pages_scanned").alias("metric"), "value")
-    matched = manifest.agg(F.count(F.lit(1)).alias("value")) \
-        .select(F.lit("links_matched").alias("metric"), "value")
-    by_status = (landing_status(manifest, existing, prefix, overwrite)
-                 .groupBy("status").agg(F.count(F.lit(1)).alias("value"))
-                 .select(F.concat(F.lit("files_"), "status").alias("metric"), "value"))
-    return scanned.unionByName(matched).unionByName(by_status)
+    status = landing_status(build_manifest(pages, as_of_year), existing, prefix, overwrite, failed)
+    statuses = ("skipped", "failed", "pending")
+    counts = status.agg(F.count(F.lit(1)).alias("links_matched"),
+                        *[F.count_if(F.col("status") == s).alias(f"files_{s}") for s in statuses])
+    rows = counts.unpivot([], counts.columns, "metric", "value")
+    return scanned.unionByName(rows.filter("value > 0 or metric = 'links_matched'"))
 
 
 def manifest_years(manifest: DataFrame) -> DataFrame:

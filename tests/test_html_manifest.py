@@ -2,7 +2,7 @@ from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
-from tarmac.functions.html import anchor_href, anchor_text, anchors, decode_entities, resolve_url
+from tarmac.functions.html import anchors, decode_entities, resolve_url
 from tarmac.operators import manifest
 
 
@@ -12,17 +12,39 @@ def test_anchor_text_and_href(spark):
             "<a class='c' href='/b?x=1&amp;y=2'>  caf&eacute; &amp; caf&#233; &#xE9;t&nbsp;</a>"
             '<a>no href</a><a href="/empty">  </a><a href>bare</a><A HREF=/up>Upper</A>'
             '<abbr>not an anchor</abbr></p>')
+    got = _read(spark, html)
+    assert got == [("Full Analysis 201104", "/a"), ("café & café ét", "/b?x=1&y=2"), ("no href", None),
+                   ("", "/empty"), ("bare", ""), ("Upper", "/up")]
+
+
+def _read(spark, html):
     df = spark.createDataFrame([(html,)], "html string").select(
-        F.posexplode(anchors("html")).alias("pos", "a"))
-    rows = df.select("pos", anchor_text("a").alias("t"), anchor_href("a").alias("h")).collect()
-    got = [(r.pos, r.t, r.h) for r in rows]
-    assert got[0] == (0, "Full Analysis 201104", "/a")
-    assert got[1] == (1, "caf&eacute; & café ét", "/b?x=1&y=2")
-    assert got[2] == (2, "no href", None)
-    assert got[3] == (3, "", "/empty")
-    assert got[4] == (4, "bare", "")
-    assert got[5] == (5, "Upper", "/up")
-    assert len(got) == 6
+        F.posexplode(anchors("html")).alias("pos", "a")).orderBy("pos")
+    return [(r.a.title, r.a.href) for r in df.collect()]
+
+
+def test_anchors_of_ordinary_pages(spark):
+    assert _read(spark, '<a title="a>b" href="/q">x</a>') == [("x", "/q")]
+    assert _read(spark, '<a title="see href=foo">x</a>') == [("x", None)]
+    assert _read(spark, "<a title='see href=foo' href=bar/>x</a>") == [("x", "bar/")]
+    assert _read(spark, "<a href=/1>one<a href=/2>two</a> out") == [("one", "/1"), ("two", "/2")]
+    assert _read(spark, "<li><a href=/1>one</li><li>no</li>") == [("one", "/1")]
+    assert _read(spark, "<a href=/1>to the end") == [("to the end", "/1")]
+    assert _read(spark, "<a href='/1' data-x='<a href=/2>'>one</a>") == [("one", "/1")]
+    assert _read(spark, "<A\nHREF = \"/1\"><i title='>'>one</i></A>") == [("one", "/1")]
+    assert _read(spark, "no anchors < a > <area href=/x>") == []
+    assert _read(spark, "<script>never ends <a href=/1>one</a>") == []
+    assert _read(spark, "") == [] and _read(spark, "<a" + " x='y'" * 20_000 + " href=/z>t</a>") == [("t", "/z")]
+
+
+def test_no_reference_is_an_error(spark):
+    texts = {"&#9999999; &#xFFFFFF;": "\ufffd \ufffd", "&#00000233;": "é", "&#233 &#xE9;": "é é",
+             "&eacute;&Eacute;": "éÉ", "&copy 2 &amp": "© 2 &", "&nosuch; &nosuch &;": "&nosuch; &nosuch &;",
+             "&#55296; &#0;": "\ufffd \ufffd", "&#128;": "€", "&#;&#x;": "&#;&#x;", "&#" + "9" * 300 + ";": "\ufffd",
+             "&ngE;": "≧̸"}
+    df = spark.createDataFrame(list(texts.items()), "s string, want string")
+    for r in df.select("want", decode_entities("s").alias("got")).collect():
+        assert r.got == r.want
 
 
 def test_decode_entities(spark):
@@ -65,8 +87,15 @@ def test_manifest_dedupe_and_pending(spark):
     pending = [r.filename for r in manifest.pending_files(m, existing, "raw").collect()]
     assert pending == ["201105_full_analysis.csv"]
     assert manifest.pending_files(m, existing, "raw", overwrite=True).count() == 2
-    summary = {r.metric: r.value for r in manifest.manifest_summary(pages, m, existing, "raw").collect()}
+    summary = {r.metric: r.value for r in manifest.manifest_summary(pages, 2026, existing, "raw").collect()}
     assert summary == {"pages_scanned": 3, "links_matched": 2, "files_skipped": 1, "files_pending": 1}
+    failed = spark.createDataFrame([("raw/2011/201104_full_analysis.csv",),
+                                    ("raw/2011/201105_full_analysis.csv",)], "path string")
+    summary = {r.metric: r.value for r in
+               manifest.manifest_summary(pages, 2026, existing, "raw", failed=failed).collect()}
+    assert summary == {"pages_scanned": 3, "links_matched": 2, "files_skipped": 1, "files_failed": 1}
+    none = manifest.manifest_summary(pages.limit(0), 2026, existing, "raw")
+    assert {r.metric: r.value for r in none.collect()} == {"pages_scanned": 0, "links_matched": 0}
     assert [r.year for r in manifest.manifest_years(m).collect()] == ["2011"]
     loaded = spark.createDataFrame([(2011,)], "year int")
     assert manifest.pending_years(m, loaded).count() == 0
