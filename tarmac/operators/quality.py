@@ -70,11 +70,12 @@ def duplicate_keys(df: DataFrame, cols: tuple[str, ...] = ("unique_row_id",)) ->
             .filter(F.col("n") > 1))
 
 
-def dq_report(stg: DataFrame, sch: DataFrame) -> DataFrame:
+def dq_report(stg: DataFrame, sch: DataFrame, quarantine: DataFrame | None = None) -> DataFrame:
     """One row per check: ``check_name``, ``failing_rows``, ``status``.
 
     Staging checks share one aggregation pass; the deduplicated table gets a
-    not-null pass and a duplicate-key pass."""
+    not-null pass and a duplicate-key pass. Rows that a load quarantined, if
+    given, are a check of their own."""
     stg_counts = stg.agg(
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"not_null_stg_{c}") for c in NOT_NULL_COLUMNS],
         F.count_if(non_negative_violation()).alias("non_negative_counts"),
@@ -83,8 +84,23 @@ def dq_report(stg: DataFrame, sch: DataFrame) -> DataFrame:
     sch_nulls = sch.agg(F.count_if(F.col("unique_row_id").isNull())
                         .alias("not_null_int_unique_row_id"))
     sch_dupes = duplicate_keys(sch).agg(F.count(F.lit(1)).alias("unique_int_unique_row_id"))
+    parts = [stg_counts, sch_nulls, sch_dupes]
+    if quarantine is not None:
+        parts.append(quarantine.agg(F.count(F.lit(1)).alias("quarantined_rows")))
     long = reduce(lambda a, b: a.unionByName(b), [
-        part.unpivot([], part.columns, "check_name", "failing_rows")
-        for part in (stg_counts, sch_nulls, sch_dupes)])
+        part.unpivot([], part.columns, "check_name", "failing_rows") for part in parts])
     return long.withColumn("status", F.when(F.col("failing_rows") == 0, F.lit("pass"))
                            .otherwise(F.lit("fail")))
+
+
+class DataQualityError(RuntimeError):
+    """At least one check of a data-quality report failed."""
+
+
+def dq_gate(report: DataFrame) -> DataFrame:
+    """The report, if all its checks pass; else the run stops with the names
+    and numbers of the failing ones. A report has one row per check."""
+    failed = report.filter("status = 'fail'").orderBy("check_name").collect()
+    if failed:
+        raise DataQualityError(", ".join(f"{r['check_name']}: {r['failing_rows']} rows" for r in failed))
+    return report

@@ -4,7 +4,7 @@ staging projection, the scheduled subset and one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Surrogate-key inputs, concatenated in this order with no
@@ -58,17 +58,15 @@ DEDUPE_ORDER = (
 )
 
 
-def unique_row_id(*cols: str) -> Column:
+def unique_row_id() -> Column:
     """MD5 (hex) of the key columns' text, nulls as empty, no delimiter."""
-    cols = cols or KEY_COLUMNS
-    return F.md5(F.concat(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols]))
+    key = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '')" for c in KEY_COLUMNS)
+    return F.expr(f"md5(concat({key}))")
 
 
-def period_date(year: str | Column = "year", month: str | Column = "month") -> Column:
+def period_date() -> Column:
     """First day of the month (null when either part is null)."""
-    y = F.col(year) if isinstance(year, str) else year
-    m = F.col(month) if isinstance(month, str) else month
-    return F.make_date(y, m, F.lit(1))
+    return F.expr("make_date(`year`, `month`, 1)")
 
 
 def staging(normalized: DataFrame) -> DataFrame:
@@ -76,19 +74,14 @@ def staging(normalized: DataFrame) -> DataFrame:
     Built as SQL expression text: one call per column instead of a chain of
     column objects (driver-side planning cost only)."""
     present = set(normalized.columns)
-    key = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '')" for c in KEY_COLUMNS)
-    derived = {"unique_row_id": f"md5(concat({key}))",
-               "reporting_period_date": "make_date(`year`, `month`, 1)"}
-    exprs = []
-    for name, dtype in STAGING_COLUMNS:
+    derived = {"unique_row_id": unique_row_id(), "reporting_period_date": period_date()}
+
+    def column(name: str, dtype: str) -> Column:
         if name in derived:
-            text = derived[name]
-        elif name in present:
-            text = f"CAST(`{name}` AS {dtype})"
-        else:
-            text = f"CAST(NULL AS {dtype})"
-        exprs.append(f"{text} AS `{name}`")
-    return normalized.selectExpr(*exprs)
+            return derived[name].alias(name)
+        return F.expr(f"CAST({f'`{name}`' if name in present else 'NULL'} AS {dtype}) AS `{name}`")
+
+    return normalized.select(*[column(n, t) for n, t in STAGING_COLUMNS])
 
 
 def scheduled(stg: DataFrame) -> DataFrame:
@@ -96,20 +89,15 @@ def scheduled(stg: DataFrame) -> DataFrame:
 
 
 def dedupe_rank() -> Column:
-    """``row_number()`` over :func:`dedupe_window`, as one SQL expression."""
+    """``row_number()`` within a key, by a total order. Partitioned by (year,
+    month, unique_row_id): year and month are inputs of the key, so the groups
+    are the same as by the key alone, and a filter on year or month can pass
+    below the window down to the scan."""
     order = ", ".join(f"`{c}` DESC NULLS LAST" for c in DEDUPE_ORDER)
     return F.expr(f"row_number() OVER (PARTITION BY `year`, `month`, `unique_row_id` "
                   f"ORDER BY {order})")
 
 
-def dedupe_window() -> Window:
-    """Partitioned by (year, month, unique_row_id): year and month are inputs
-    of the key, so the groups are the same as by the key alone, and a filter
-    on year or month can pass below the window down to the scan."""
-    order = [F.col(f"`{c}`").desc_nulls_last() for c in DEDUPE_ORDER]
-    return Window.partitionBy("year", "month", "unique_row_id").orderBy(*order)
-
-
 def int_scheduled_flights(stg: DataFrame) -> DataFrame:
     """One scheduled row per key.
 

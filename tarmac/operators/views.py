@@ -28,18 +28,14 @@ def airport_treemap(airport_delays: DataFrame) -> DataFrame:
 
 def kpis(tracked_flights: DataFrame, published_date: DataFrame) -> DataFrame:
     """One row: the latest period label and the thousands-separated flight
-    count, each ``N/A`` when missing. Both inputs have at most one row, so
-    the outer join on a constant key is a one-row join."""
-    flights = tracked_flights.select(
-        F.lit(1).alias("_k"),
-        F.format_number(F.col("total_tracked_flights"), 0).alias("total_tracked_flights"))
-    label = published_date.select(F.lit(1).alias("_k"), "recent_published_date")
-    anchor = flights.sparkSession.range(1).select(F.lit(1).alias("_k"))
-    joined = anchor.join(flights, "_k", "left").join(label, "_k", "left")
-    return joined.select(
-        F.coalesce("recent_published_date", F.lit(NOT_AVAILABLE)).alias("recent_published_date"),
-        F.coalesce("total_tracked_flights", F.lit(NOT_AVAILABLE)).alias("total_tracked_flights"),
-    )
+    count, each ``N/A`` when missing. One global aggregate over both inputs,
+    so there is a row even when they are empty."""
+    both = tracked_flights.select("total_tracked_flights").unionByName(
+        published_date.select("recent_published_date"), allowMissingColumns=True)
+    return both.agg(
+        F.coalesce(F.max("recent_published_date"), F.lit(NOT_AVAILABLE)).alias("recent_published_date"),
+        F.coalesce(F.format_number(F.max("total_tracked_flights"), 0), F.lit(NOT_AVAILABLE))
+        .alias("total_tracked_flights"))
 
 
 def dashboard_bundle(stg: DataFrame, sch: DataFrame, as_of: str | None = None) -> dict[str, DataFrame]:
@@ -47,11 +43,10 @@ def dashboard_bundle(stg: DataFrame, sch: DataFrame, as_of: str | None = None) -
     or written ``stg`` so the five reads share one scan source."""
     from tarmac.operators import models
 
-    periods = stg.filter(F.col("scheduled_charter") == "S")
     return {
         "fct_delay_over_years": models.fct_delay_over_years(sch),
         "fct_recent_published_date": models.fct_recent_published_date(stg),
         "fct_recent_number_tracked_flights": models.fct_recent_number_tracked_flights(stg),
         "fct_delay_vs_month_last_year": models.fct_delay_vs_month_last_year(sch, as_of),
-        "fct_recent_airport_delays": models.fct_recent_airport_delays(sch, periods),
+        "fct_recent_airport_delays": models.fct_recent_airport_delays(sch),
     }

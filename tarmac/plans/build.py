@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.normalize import normalize_files
 from tarmac.operators.staging import int_scheduled_flights, scheduled, staging
-from tarmac.plans.fixture import raw_flights
+from tarmac.plans.fixture import flight_cells, raw_flights
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,6 @@ class Flights:
     periods: DataFrame  # scheduled staging rows: source of latest-period subqueries
 
 
-def raw_frames(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The raw input files. Both layouts arrive as one frame (their union
-    by name), so the fixture's join and aggregation run once."""
-    return [raw_flights(spark, sf_dir)]
-
-
 def flights_from_frames(frames: list[DataFrame]) -> Flights:
     normalized, quarantine = normalize_files(frames)
     stg = staging(normalized)
@@ -42,4 +36,6 @@ def flights_from_frames(frames: list[DataFrame]) -> Flights:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> Flights:
-    return flights_from_frames(raw_frames(spark, sf_dir))
+    """Both layouts arrive as one frame (their union by name), so the fixture's
+    join and aggregation run once."""
+    return flights_from_frames([raw_flights(flight_cells(spark, sf_dir))])

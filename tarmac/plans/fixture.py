@@ -208,16 +208,13 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def raw_layouts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_layouts(cells: DataFrame) -> dict[str, DataFrame]:
     """The two raw file layouts as separate, typed DataFrames.
 
     ``coarse``: years up to 1998, period ``YYYYMM``, six coarse bands.
     ``fine``: later years, period ``YYYY-MM``, nine fine bands, cancellation
     columns and a ``previous_year_*`` column that normalisation drops.
-    Each layout re-runs the cell aggregation for its years; use
-    :func:`raw_flights` when both are needed together.
     """
-    cells = flight_cells(spark, sf_dir)
     coarse_period, fine_period = _periods()
     coarse = cells.filter(F.col("y") <= LAST_COARSE_YEAR).select(
         *_common_columns(coarse_period), *_exprs(_coarse_only()))
@@ -226,11 +223,9 @@ def raw_layouts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"coarse": coarse, "fine": fine}
 
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both layouts in one pass: the same rows and columns as
-    ``unionByName(coarse, fine, allowMissingColumns=True)``, but the cell
-    aggregation runs once instead of once per layout."""
-    cells = flight_cells(spark, sf_dir)
+def raw_flights(cells: DataFrame) -> DataFrame:
+    """Both layouts in one pass over the cells: the same rows and columns as
+    ``unionByName(coarse, fine, allowMissingColumns=True)``."""
     coarse = F.col("y") <= LAST_COARSE_YEAR
     coarse_period, fine_period = _periods()
     common = _common_columns(F.when(coarse, coarse_period).otherwise(fine_period))
@@ -249,16 +244,6 @@ CATALOGUE_SUFFIXES = (
 CATALOGUE_BASE_URL = "https://data.example.org/punctuality/"
 
 
-def _spread(orders: DataFrame) -> DataFrame:
-    """A page table lives in many files; the driver's single-row-group file
-    would put every page in one task. Hash-partition the (two-column) order
-    rows by key over the cluster's cores before the per-page text work. The
-    count is explicit because AQE sizes partitions by bytes and would merge
-    these small rows back into one task, though the regex work per row is
-    what costs."""
-    return orders.repartition(orders.sparkSession.sparkContext.defaultParallelism, "o_orderkey")
-
-
 def _pages_from_orders(orders: DataFrame) -> DataFrame:
     suffix = F.element_at(F.array(*[F.lit(s) for s in CATALOGUE_SUFFIXES]),
                           (F.col("o_orderkey") % 4 + 1).cast("int"))
@@ -282,7 +267,7 @@ def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title filter. ``year`` is the catalogue year the page was listed under.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return _pages_from_orders(_spread(orders))
+    return _pages_from_orders(orders)
 
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,8 +275,15 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fulfilled orders (status ``F``) placed before 2001. Their manifest paths
     form the listing of existing objects."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    return _pages_from_orders(_spread(orders.filter((F.col("o_orderstatus") == "F")
-                                                    & (F.col("o_orderdate") < F.lit("2001-01-01")))))
+    return _pages_from_orders(orders.filter((F.col("o_orderstatus") == "F")
+                                            & (F.col("o_orderdate") < F.lit("2001-01-01"))))
+
+
+def failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue pages whose files could not be fetched: those of partly
+    filled orders (status ``P``)."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return _pages_from_orders(orders.filter(F.col("o_orderstatus") == "P"))
 
 
 def dirty_staging(stg: DataFrame) -> DataFrame:
@@ -313,11 +305,11 @@ def dirty_staging(stg: DataFrame) -> DataFrame:
     return dirty.withColumn("unique_row_id", unique_row_id())
 
 
-def dirty_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_raw_flights(cells: DataFrame) -> DataFrame:
     """Raw rows with malformed periods planted for the quarantine: charter
     rows of December 1997 carry month 13 and charter rows of May 1996 a
     slash-separated period. All other rows are unchanged."""
-    raw = raw_flights(spark, sf_dir)
+    raw = raw_flights(cells)
     period = F.col("reporting_period")
     charter = F.col("scheduled_charter") == "C"
     return raw.withColumn(
@@ -327,6 +319,45 @@ def dirty_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(period))
 
 
+# ------------------------------------------------------------- CSV landing
+
+# Airline names that a CSV reader can get wrong (separator and
+# doubled quotes, a backslash before the closing quote, a letter whose bytes
+# differ between the encodings), by part brand.
+LANDED_AIRLINES = (
+    ("Brand#11", 'AIR "11" LTD, CO'),
+    ("Brand#12", "BACK, 12\\"),
+    ("Brand#13", "MÁLAGA AIR 13"),
+)
+
+
+def landed_cells(cells: DataFrame) -> DataFrame:
+    """Cells as they are landed: renamed airlines, and the folder year. The
+    charter rows of December 1996 lie in the folder of 1997."""
+    airline = F.col("al")
+    for brand, name in LANDED_AIRLINES:
+        airline = F.when(F.col("al") == brand, F.lit(name)).otherwise(airline)
+    stray = (F.col("sc") == "C") & (F.col("m") == 12) & (F.col("y") == 1996)
+    return cells.withColumns({"al": airline,
+                              "folder": F.when(stray, F.lit(1997)).otherwise(F.col("y"))})
+
+
+def land_csv(cells: DataFrame, root: str) -> None:
+    """Write the cells as CSV files under ``root/<year>``: coarse years in
+    Latin-1, fine ones in UTF-8, missing values as ``NA``, and the second half
+    of each year in a folder below the year's."""
+    landed = landed_cells(cells)
+    years = [r["folder"] for r in landed.select("folder").distinct().collect()]
+    for year in sorted(years):
+        of_year = landed.filter(F.col("folder") == year)
+        name, encoding = ("coarse", "ISO-8859-1") if year <= LAST_COARSE_YEAR else ("fine", "UTF-8")
+        for rows, where in ((of_year.filter("m <= 6"), f"{root}/{year}"),
+                            (of_year.filter("m > 6"), f"{root}/{year}/second_half")):
+            (as_text(raw_layouts(rows)[name]).write.mode("append").option("header", True)
+             .option("encoding", encoding).option("quote", '"').option("escape", '"')
+             .option("nullValue", "NA").csv(where))
+
+
 def loaded_years(spark: SparkSession, sf_dir: str, as_of_year: int) -> DataFrame:
     """Years already loaded into the warehouse: every shipment year before
     ``as_of_year`` (only the current year is still open)."""

@@ -1,85 +1,151 @@
-"""Materialised staging table, the lineage cut every model starts from.
+"""Tables written once that many queries read: the raw cells, the staging
+table and its deduplicated scheduled rows.
 
 The staging model is a table, not a view, for the same reason as in the
-original pipeline: a dozen models read it. It is written once per input and
-code version under the session's ``spark.checkpoint.dir`` (a shared folder
-on a cluster), partitioned by year and month, and read back by the models.
-Reading a written table also cuts the lineage, so a lost executor costs a
-re-read of files, not a re-run of the ingest joins.
+original pipeline: a dozen models read it; and every scheduled model needs the
+same deduplication, whose shuffle is the largest of the pipeline. Both are
+written in one build per input and code version under the session's
+``spark.checkpoint.dir`` (a shared folder on a cluster), partitioned by year
+and month. Reading a written table also cuts the lineage, so a lost executor
+costs a re-read of files, not a re-run of the ingest joins.
+
+A build writes a folder of its own and a marker after it, so readers only see
+whole builds; the newest marker counts. The version is a digest of the input
+files' names, sizes and times (for any file system) and of this package's
+code; a build removes what older versions of the same input left, but for the
+newest of them, which a running query may still read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import time
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights, scheduled
+from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights
+from tarmac.operators.views import dashboard_bundle
 from tarmac.plans.build import Flights, flights
+from tarmac.plans.fixture import flight_cells, land_csv
+from tarmac.plans.load import load_union, load_year
 from tarmac.session import ensure_checkpoint_dir
-from tarmac.sources.tables import mark_complete, read_staging, write_staging
+from tarmac.sources import files
+from tarmac.sources.tables import mark_complete, read_staging, write_mart, write_staging
 
 _INPUTS = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 _PACKAGE = Path(__file__).resolve().parents[1]
+_PARTS = ("functions", "operators", "plans", "sources")
 
 
 def _code_digest() -> str:
     h = hashlib.sha1()
-    for path in sorted(_PACKAGE.rglob("*.py")):
-        h.update(path.relative_to(_PACKAGE).as_posix().encode())
-        h.update(path.read_bytes())
+    for part in _PARTS:
+        for path in sorted((_PACKAGE / part).rglob("*.py")):
+            h.update(path.relative_to(_PACKAGE).as_posix().encode())
+            h.update(path.read_bytes())
     return h.hexdigest()
 
 
-def _input_digest(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
-    for name in _INPUTS:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if "://" not in path and os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        else:
-            h.update(name.encode())
-    return h.hexdigest()
-
-
-def staging_path(spark: SparkSession, sf_dir: str) -> str:
+def _bases(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str]:
+    """Folder of all builds of an input, and that of its current version."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    digest = hashlib.sha1((_input_digest(sf_dir) + _code_digest()).encode()).hexdigest()[:20]
-    return f"{root}/tarmac/staging/{digest}"
-
-
-def _complete_attempt(spark: SparkSession, base: str) -> str | None:
-    """A committed copy of the table under ``base``, if any. Each marker
-    holds its attempt's path; the marker is only written after the table."""
-    try:
-        rows = spark.read.text(f"{base}/*.complete").select("value").distinct().collect()
-    except AnalysisException:
-        return None
-    return min(r["value"] for r in rows) if rows else None
-
-
-def build_staging(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """Write the staging table unless a committed copy exists; return its
-    path. Every build writes its own attempt folder, so concurrent builds
-    never overwrite each other and readers only see committed attempts."""
-    base = staging_path(spark, sf_dir)
+    where = files.qualified(spark, sf_dir.rstrip("/"))
+    state = files.fingerprint(spark, [f"{where}/{name}.parquet" for name in _INPUTS])
+    version = hashlib.sha1((state + _code_digest()).encode()).hexdigest()[:20]
+    family = f"{root}/tarmac/{kind}/{hashlib.sha1(where.encode()).hexdigest()[:20]}"
+    return family, f"{family}/{version}"
+
+
+def _complete_attempts(spark: SparkSession, base: str) -> list[str]:
+    """Whole builds under ``base``, oldest first (names start with their time)."""
+    return [f"{base}/{f.name.removesuffix('.complete')}" for f in files.listing(spark, base)
+            if f.name.endswith(".complete")]
+
+
+def _retire(spark: SparkSession, family: str, base: str) -> None:
+    """Remove all builds of the input but the newest two of the current
+    version and the newest of any older one."""
+    current = _complete_attempts(spark, base)
+    for old in current[:-2]:
+        files.delete(spark, f"{old}.complete")
+        files.delete(spark, old)
+    versions = sorted((f for f in files.listing(spark, family) if f.is_dir and not base.endswith(f.name)),
+                      key=lambda f: f.modified)
+    for f in versions[:-1]:
+        files.delete(spark, f.path)
+
+
+def _built(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None],
+           force: bool) -> str:
+    family, base = _bases(spark, sf_dir, kind)
     if not force:
-        found = _complete_attempt(spark, base)
+        found = _complete_attempts(spark, base)
         if found:
-            return found
-    attempt = f"{base}/v-{uuid.uuid4().hex[:16]}"
-    write_staging(flights(spark, sf_dir).stg, attempt)
+            return found[-1]
+    attempt = f"{base}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write(attempt)
     mark_complete(spark, attempt)
+    _retire(spark, family, base)
     return attempt
 
 
+def build_staging(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
+    """Write ``stg`` and ``sch`` unless a whole build of this version exists;
+    return its folder. ``force`` builds anew, and readers then see that."""
+    def write(path: str) -> None:
+        write_staging(flights(spark, sf_dir).stg, f"{path}/stg")
+        stg = read_staging(spark, f"{path}/stg", STAGING_NAMES)
+        write_staging(int_scheduled_flights(stg), f"{path}/sch")
+
+    return _built(spark, sf_dir, "staging", write, force)
+
+
 def staged_flights(spark: SparkSession, sf_dir: str) -> Flights:
-    """Models' inputs over the written staging table."""
-    stg = read_staging(spark, build_staging(spark, sf_dir), STAGING_NAMES)
-    return Flights(normalized=None, quarantine=None, stg=stg,
-                   sch=int_scheduled_flights(stg), periods=scheduled(stg))
+    """Models' inputs over the written tables. The latest-period subqueries read
+    the deduplicated table's partition values: it keeps a row of every period."""
+    path = build_staging(spark, sf_dir)
+    sch = read_staging(spark, f"{path}/sch", STAGING_NAMES)
+    return Flights(normalized=None, quarantine=None,
+                   stg=read_staging(spark, f"{path}/stg", STAGING_NAMES), sch=sch, periods=sch)
+
+
+def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's aggregated cells, written once: both raw layouts and all
+    ingest queries read them, so the joins run once."""
+    def write(path: str) -> None:
+        flight_cells(spark, sf_dir).hint("rebalance").write.mode("overwrite").parquet(path)
+
+    return spark.read.parquet(_built(spark, sf_dir, "cells", write, False))
+
+
+def landed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The fixture landed as CSV files; returns the landing folder."""
+    return _built(spark, sf_dir, "landing", lambda path: land_csv(raw_cells(spark, sf_dir), path), False)
+
+
+def landed_years(spark: SparkSession, landing: str) -> list[str]:
+    return [f.name for f in files.listing(spark, landing) if f.is_dir]
+
+
+def loaded_tables(spark: SparkSession, sf_dir: str) -> str:
+    """The landing folder loaded: yearly tables and the union table."""
+    def write(path: str) -> None:
+        landing = landed_csv(spark, sf_dir)
+        for year in landed_years(spark, landing):
+            load_year(spark, landing, path, year)
+        load_union(spark, path)
+
+    return _built(spark, sf_dir, "tables", write, False)
+
+
+def written_marts(spark: SparkSession, sf_dir: str, as_of: str) -> str:
+    """The dashboard's marts as tables; returns their folder."""
+    def write(path: str) -> None:
+        f = staged_flights(spark, sf_dir)
+        for name, mart in dashboard_bundle(f.stg, f.sch, as_of).items():
+            write_mart(mart, f"{path}/{name}")
+
+    return _built(spark, sf_dir, "marts", write, False)

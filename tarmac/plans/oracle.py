@@ -1,14 +1,14 @@
-"""Independent SQL (DuckDB dialect) for every registered query.
+"""SQL (DuckDB dialect) for every registered query.
 
 The driver runs these against the same parquet tables, registered as views,
 and compares results with the Spark queries. The fixture is written here a
-second time, directly in SQL with typed values (the Spark side goes through
-text columns and the normaliser), so the two paths share no code.
+second time, directly in SQL with typed values; no constant or expression is
+taken from the Spark side, so an error there cannot repeat itself here.
 """
 
 from __future__ import annotations
 
-from tarmac.operators.staging import DEDUPE_ORDER
+from tarmac.plans.oracle_manifest import manifest_sql
 
 # ------------------------------------------------------------ flights
 
@@ -227,8 +227,19 @@ dsch AS (
   WHERE rn = 1
 )"""
 
+# Survivor order within a key: flights first, then every other column.
+_ORDER = (
+    "number_flights_matched", "reporting_airport", "origin_destination_country",
+    "origin_destination", "airline_name", "actual_flights_unmatched",
+    "early_to_15_mins_late_percent", "16_to_30_mins_late_percent", "31_to_60_mins_late_percent",
+    "61_to_180_mins_late_percent", "181_to_360_mins_late_percent",
+    "more_than_360_mins_late_percent", "average_delay_mins", "planned_flights_unmatched",
+    "more_than_15_mins_early_percent", "15_mins_early_to_1_minute_early_percent",
+    "0_to_15_mins_late_percent", "flights_unmatched_percent", "flights_cancelled_percent",
+    "number_flights_cancelled",
+)
 FLIGHTS_CTES = _FACTS.replace(
-    "__DEDUPE_ORDER__", ", ".join(f'"{c}" DESC NULLS LAST' for c in DEDUPE_ORDER))
+    "__DEDUPE_ORDER__", ", ".join(f'"{c}" DESC NULLS LAST' for c in _ORDER))
 
 
 def _flights(select: str, extra: str = "") -> str:
@@ -367,20 +378,6 @@ SELECT DISTINCT reporting_period,
        CAST(substr(reporting_period, 1, 4) AS INTEGER) AS year,
        CAST(right(reporting_period, 2) AS INTEGER) AS month
 FROM layouts""")
-    q["period_quarantine"] = _flights(r"""
-SELECT reporting_period, period_problem, count(*) AS n_rows
-FROM (
-  SELECT reporting_period,
-         CASE WHEN NOT regexp_full_match(reporting_period, '(\d{4})-?(\d{2})') THEN 'format'
-              ELSE 'month' END AS period_problem
-  FROM (
-    SELECT CASE WHEN scheduled_charter = 'C' AND reporting_period = '199712' THEN '199713'
-                WHEN scheduled_charter = 'C' AND reporting_period = '199605' THEN '1996/05'
-                ELSE reporting_period END AS reporting_period
-    FROM layouts) dirty
-  WHERE NOT regexp_full_match(reporting_period, '(\d{4})-?(\d{2})')
-     OR CAST(right(reporting_period, 2) AS INTEGER) NOT BETWEEN 1 AND 12) bad
-GROUP BY reporting_period, period_problem""")
     renamed = """
 SELECT reporting_airport, origin_destination_country, origin_destination, airline_name,
        scheduled_charter, number_flights_matched, actual_flights_unmatched,
@@ -430,12 +427,52 @@ FROM ({renamed}) renamed""")
             "flights_between_181_and_360_minutes_late_percent",
             "flights_more_than_360_minutes_late_percent", "flights_cancelled_percent",
             "number_flights_cancelled", "previous_year_month_flights_matched")
+    raw_text = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in cols if c != "reporting_period")
+    q["period_quarantine"] = _flights(f"""
+SELECT {raw_text},
+       CASE reporting_period WHEN '199712' THEN '199713' ELSE '1996/05' END AS reporting_period,
+       CASE reporting_period WHEN '199712' THEN 'month' ELSE 'format' END AS period_problem
+FROM layouts
+WHERE scheduled_charter = 'C' AND reporting_period IN ('199712', '199605')""")
     q["null_tokens"] = _flights("\nUNION ALL\n".join(
         f"SELECT {_q(c)} AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count "
         f"FROM layouts" for c in cols))
     return q
 
 
+_LANDED_AIRLINE = """CASE airline_name WHEN 'Brand#11' THEN 'AIR "11" LTD, CO'
+  WHEN 'Brand#12' THEN 'BACK, 12\\' WHEN 'Brand#13' THEN 'MÁLAGA AIR 13' ELSE airline_name END"""
+_FOLDER = """CAST(CASE WHEN scheduled_charter = 'C' AND year = 1996 AND month = 12 THEN 1997
+  ELSE year END AS VARCHAR)"""
+
+
+def load_sql() -> dict[str, str]:
+    """Queries over the fixture landed as CSV files and loaded again."""
+    q: dict[str, str] = {}
+    q["csv_load"] = _flights(f"""
+SELECT reporting_period, reporting_airport, origin_destination_country, origin_destination,
+       {_LANDED_AIRLINE} AS airline_name, scheduled_charter,
+       CAST(number_flights_matched AS VARCHAR) AS number_flights_matched,
+       CAST(average_delay_mins AS VARCHAR) AS average_delay_mins
+FROM layouts""")
+    q["parse_file"] = _flights(f"""
+SELECT CAST(left(reporting_period, 4) AS INTEGER) AS year,
+       CAST(right(reporting_period, 2) AS INTEGER) AS month, reporting_period,
+       {_LANDED_AIRLINE} AS airline_name, count(*) AS n_rows
+FROM layouts GROUP BY ALL""")
+    q["yearly_table"] = _flights(f"""
+SELECT 'punctuality_data_' || {_FOLDER} AS table_name, year, month, reporting_airport,
+       {_LANDED_AIRLINE} AS airline_name, scheduled_charter
+FROM raw_all""")
+    q["union_table"] = _flights(f"""
+SELECT * REPLACE ({_LANDED_AIRLINE} AS airline_name),
+       CAST(NULL AS DOUBLE) AS "61_and_120_mins_late_percent",
+       CAST(NULL AS DOUBLE) AS "121_and_180_mins_late_percent"
+FROM normalized""")
+    q["source_years"] = _flights(f"SELECT DISTINCT {_FOLDER} AS year FROM raw_all")
+    return q
+
+
 def staging_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["surrogate_key"] = _flights("""
@@ -490,14 +527,32 @@ GROUP BY unique_row_id HAVING count(*) > 1""")
              SELECT unique_row_id FROM dsch WHERE unique_row_id IS NOT NULL
              GROUP BY unique_row_id HAVING count(*) > 1) d""",
     ]
-    q["dq_report"] = _flights(
-        "SELECT check_name, failing_rows, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status\n"
-        "FROM (" + "\nUNION ALL\n".join(parts) + ") checks")
+    report = ("SELECT check_name, failing_rows, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END "
+              "AS status\nFROM (" + "\nUNION ALL\n".join(parts) + ") checks")
+    q["dq_report"] = _flights(report)
+    q["dq_gate"] = _flights(report.replace("dstg", "stg").replace("dsch", "sch"))
+    q["dq_unique_repeated"] = _flights("""
+SELECT unique_row_id, count(*) AS n FROM (
+  SELECT unique_row_id FROM sch UNION ALL SELECT unique_row_id FROM sch WHERE month = 1) twice
+GROUP BY unique_row_id HAVING count(*) > 1""")
     return q
 
 
 def view_sql(marts: dict[str, str]) -> dict[str, str]:
     q: dict[str, str] = {}
+    q["mart_roundtrip"] = marts["fct_recent_airport_delays"]
+    bundle = ("fct_delay_over_years", "fct_recent_published_date",
+              "fct_recent_number_tracked_flights", "fct_delay_vs_month_last_year",
+              "fct_recent_airport_delays")
+
+    def counted(name: str) -> str:
+        return f"SELECT {_q(name)} AS table_name, count(*) AS n_rows FROM ({marts[name]}) m"
+
+    q["dashboard_bundle"] = "\nUNION ALL\n".join(counted(n) for n in bundle)
+    q["model_inventory"] = "SELECT *, CAST(NULL AS VARCHAR) AS error FROM (" + "\nUNION ALL\n".join(
+        counted(n) for n in ("fct_delay_over_years", "fct_recent_airport_delays")) + """) found
+UNION ALL SELECT 'no_such_model', NULL,
+  'there is no table no_such_model yet; build its model first'"""
     q["view_annual_trend"] = _flights(f"""
 SELECT CAST(year AS VARCHAR) AS year, {_wmean(0)} AS avg_delay_mins
 FROM sch WHERE number_flights_matched > 0 GROUP BY year""")
@@ -518,10 +573,10 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(flights_sql())
     out.update(ingest_sql())
+    out.update(load_sql())
     out.update(staging_sql())
     out.update(primitive_sql())
     out.update(quality_sql())
     out.update(view_sql(out))
-    from tarmac.plans.oracle_manifest import manifest_sql
     out.update(manifest_sql())
     return out

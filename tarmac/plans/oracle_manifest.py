@@ -1,14 +1,22 @@
 """Oracle SQL (DuckDB) for the manifest queries.
 
-Written independently of the Spark column expressions. Two simplifications,
-both absent from the driver tables and covered by unit tests on the Spark
-side instead: numeric character references are not decoded, and URL
-resolution does not remove ``.``/``..`` segments.
+Written with other means than the Spark column expressions: pages are cut at
+fixed strings, not read by tag patterns, and catalogue values are written out.
+What the driver tables do not have (character references by number, quoted
+``>``, unclosed anchors, dot segments) is covered by unit tests on the Spark
+side instead.
 """
 
 from __future__ import annotations
 
-from tarmac.plans.fixture import CATALOGUE_BASE_URL, CATALOGUE_SUFFIXES
+# Fixed values of the catalogue pages.
+CATALOGUE_BASE_URL = "https://data.example.org/punctuality/"
+CATALOGUE_SUFFIXES = (
+    " FullAnalysis (CSV document)",
+    " Punctuality Statistics Full Analysis (CSV document)",
+    " Arrival Departure Full Analysis (CSV document)",
+    " Summary Analysis (PDF)",
+)
 
 AS_OF_YEAR = 2001
 PREFIX = "raw/"
@@ -33,38 +41,26 @@ def _decode(x: str) -> str:
 
 
 def _links_ctes(src: str, keep: str) -> str:
-    """CTEs ``anchors_<src>`` and ``links_<src>`` over a pages relation."""
+    """CTEs ``cuts_<src>`` and ``links_<src>`` over a pages relation: what
+    follows each ``<a `` is the attributes up to ``>`` and the text up to
+    ``</a>``."""
     return f"""
-cleaned_{src} AS (
-  SELECT {keep}, url AS page_url,
-         regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '<!>', 'g') AS h
-  FROM {src}
+cuts_{src} AS (
+  SELECT {keep}, url AS page_url, unnest(cut) AS piece,
+         CAST(unnest(range(len(cut))) AS INTEGER) AS pos
+  FROM (SELECT *, string_split(html, '<a ')[2:] AS cut FROM {src}) t
 ),
-anchors_{src} AS (
-  SELECT {keep}, page_url, unnest(a) AS anchor, CAST(unnest(range(len(a))) AS INTEGER) AS pos
-  FROM (SELECT *, regexp_extract_all(h, '(?is)<a(?:\\s[^>]*)?>.*?</a\\s*>') AS a FROM cleaned_{src}) t
-),
-parts_{src} AS (
-  SELECT {keep}, page_url, pos,
-         regexp_extract(anchor, '(?is)^<a(\\s[^>]*)?>(.*)</a\\s*>$', 1) AS attrs,
-         regexp_extract(anchor, '(?is)^<a(\\s[^>]*)?>(.*)</a\\s*>$', 2) AS inner_html
-  FROM anchors_{src}
+pieces_{src} AS (
+  SELECT {keep}, page_url, pos, split_part(piece, '>', 1) AS attrs,
+         split_part(substr(piece, length(split_part(piece, '>', 1)) + 2), '</a>', 1) AS inner_html
+  FROM cuts_{src}
 ),
 links_{src} AS (
   SELECT * FROM (
-    SELECT {keep}, page_url, pos,
-           array_to_string(list_filter(
-             list_transform(string_split(regexp_replace(inner_html, '(?s)<[^>]*>', chr(1), 'g'), chr(1)),
-                            lambda x: trim({_decode('x')}, {_WS})),
-             lambda x: x <> ''), ' ') AS title,
-           CASE WHEN regexp_matches(attrs, '(?i)(?:^|\\s)href(?:\\s*=|\\s|$)') THEN
-             {_decode('''coalesce(
-               nullif(regexp_extract(attrs, '(?is)(?:^|\\s)href\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 1), ''),
-               nullif(regexp_extract(attrs, '(?is)(?:^|\\s)href\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 2), ''),
-               nullif(regexp_extract(attrs, '(?is)(?:^|\\s)href\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 3), ''),
-               '')''')}
-           END AS href
-    FROM parts_{src}) l
+    SELECT {keep}, page_url, pos, trim({_decode('inner_html')}, {_WS}) AS title,
+           CASE WHEN contains(attrs, 'href="')
+                THEN {_decode("split_part(split_part(attrs, 'href=\"', 2), '\"', 1)")} END AS href
+    FROM pieces_{src}) l
   WHERE title <> '' AND href IS NOT NULL
 )"""
 
@@ -163,12 +159,15 @@ SELECT title, url, reporting_period, filename, year, page_id, pos FROM manifest_
     q["manifest_pending"] = _with(*man, *landed, select="""
 SELECT filename, path FROM paths_catalogue
 WHERE path NOT IN (SELECT path FROM paths_landed)""")
-    q["manifest_summary"] = _with(*man, *landed, select="""
+    lost = [_catalogue("lost", "WHERE o_orderstatus = 'P'"), _links_ctes("lost", "page_id, year"),
+            _manifest_ctes("lost")]
+    q["manifest_summary"] = _with(*man, *landed, *lost, select="""
 SELECT 'pages_scanned' AS metric, count(*) AS value FROM catalogue
 UNION ALL SELECT 'links_matched', count(*) FROM manifest_catalogue
 UNION ALL
 SELECT 'files_' || status, count(*) FROM (
-  SELECT CASE WHEN path IN (SELECT path FROM paths_landed) THEN 'skipped' ELSE 'pending' END AS status
+  SELECT CASE WHEN path IN (SELECT path FROM paths_landed) THEN 'skipped'
+              WHEN path IN (SELECT path FROM paths_lost) THEN 'failed' ELSE 'pending' END AS status
   FROM paths_catalogue) s
 GROUP BY status""")
     q["manifest_years"] = _with(*man, select="""

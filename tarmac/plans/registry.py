@@ -19,11 +19,15 @@ from tarmac.functions.periods import latest_period_filter
 from tarmac.functions.text import null_tokens, period_month, period_year, reporting_period_from_text
 from tarmac.functions.text import safe_filename as safe_name
 from tarmac.operators import manifest, models, normalize, quality, staging, views
-from tarmac.plans import fixture
+from tarmac.plans import fixture, load
 from tarmac.plans.build import flights
-from tarmac.plans.materialize import staged_flights
+from tarmac.plans.materialize import (
+    landed_csv, loaded_tables, raw_cells, staged_flights, written_marts,
+)
 from tarmac.plans.oracle import AS_OF
 from tarmac.plans.oracle_manifest import AS_OF_YEAR, PREFIX
+from tarmac.sources.csv import read_csv_mixed_encoding
+from tarmac.sources.tables import load_model, loaded_years, source_tables
 from tarmac.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +72,10 @@ def _flight_queries() -> dict[str, Query]:
 
 def _ingest_queries() -> dict[str, Query]:
     def raw(spark, sf_dir):
-        return fixture.raw_flights(spark, sf_dir)
+        return fixture.raw_flights(raw_cells(spark, sf_dir))
 
     def union_layouts(spark, sf_dir):
-        layouts = fixture.raw_layouts(spark, sf_dir)
+        layouts = fixture.raw_layouts(raw_cells(spark, sf_dir))
         return normalize.union_layouts([layouts["coarse"], layouts["fine"]])
 
     def parse_period(spark, sf_dir):
@@ -80,9 +84,8 @@ def _ingest_queries() -> dict[str, Query]:
             period_month("reporting_period").alias("month")).distinct()
 
     def period_quarantine(spark, sf_dir):
-        _, bad = normalize.normalize_files([fixture.dirty_raw_flights(spark, sf_dir)])
-        return bad.groupBy("reporting_period", "period_problem").agg(
-            F.count(F.lit(1)).alias("n_rows"))
+        _, bad = normalize.normalize_files([fixture.dirty_raw_flights(raw_cells(spark, sf_dir))])
+        return bad
 
     def coalesce_rename(spark, sf_dir):
         return normalize.coalesce_rename(normalize.drop_noise(raw(spark, sf_dir)))
@@ -99,7 +102,38 @@ def _ingest_queries() -> dict[str, Query]:
                             for c in text.columns])
         return counts.unpivot([], counts.columns, "column_name", "null_count")
 
+    def csv_load(spark, sf_dir):
+        return read_csv_mixed_encoding(spark, landed_csv(spark, sf_dir)).select(
+            "reporting_period", "reporting_airport", "origin_destination_country",
+            "origin_destination", "airline_name", "scheduled_charter",
+            null_tokens("number_flights_matched").alias("number_flights_matched"),
+            null_tokens("average_delay_mins").alias("average_delay_mins"))
+
+    def parse_file(spark, sf_dir):
+        parsed = normalize.parse_file(read_csv_mixed_encoding(spark, landed_csv(spark, sf_dir)))
+        return parsed.groupBy("year", "month", "reporting_period", "airline_name").agg(
+            F.count(F.lit(1)).alias("n_rows"))
+
+    def yearly_table(spark, sf_dir):
+        tables = loaded_tables(spark, sf_dir)
+        names = source_tables(spark, tables, load.PREFIX, load.DESTINATION)
+        frames = [load_model(spark, f"{tables}/{n}").select(
+            F.lit(n).alias("table_name"), "year", "month", "reporting_airport", "airline_name",
+            "scheduled_charter") for n in names]
+        return normalize.union_layouts(frames)
+
+    def union_table(spark, sf_dir):
+        return load_model(spark, f"{loaded_tables(spark, sf_dir)}/{load.DESTINATION}")
+
+    def source_years(spark, sf_dir):
+        return loaded_years(spark, loaded_tables(spark, sf_dir), load.PREFIX)
+
     return {
+        "csv_load": csv_load,
+        "parse_file": parse_file,
+        "yearly_table": yearly_table,
+        "union_table": union_table,
+        "source_years": source_years,
         "union_layouts": union_layouts,
         "parse_period": parse_period,
         "period_quarantine": period_quarantine,
@@ -165,7 +199,19 @@ def _quality_queries() -> dict[str, Query]:
         stg = dirty(spark, sf_dir)
         return quality.dq_report(stg, staging.int_scheduled_flights(stg))
 
+    def duplicates(spark, sf_dir):
+        """The clean table holds no duplicate key; staged twice, it holds some."""
+        f = staged_flights(spark, sf_dir)
+        again = f.sch.filter("month = 1")
+        return quality.duplicate_keys(f.sch.unionByName(again))
+
+    def gate(spark, sf_dir):
+        f = staged_flights(spark, sf_dir)
+        return quality.dq_gate(quality.dq_report(f.stg, f.sch))
+
     return {
+        "dq_gate": gate,
+        "dq_unique_repeated": duplicates,
         "dq_not_null": lambda spark, sf_dir: quality.check_not_null(dirty(spark, sf_dir)),
         "dq_unique": lambda spark, sf_dir: quality.duplicate_keys(staged_flights(spark, sf_dir).sch),
         "dq_duplicate_keys": lambda spark, sf_dir: quality.duplicate_keys(
@@ -186,7 +232,31 @@ def _view_queries() -> dict[str, Query]:
         return views.kpis(models.fct_recent_number_tracked_flights(f.stg),
                           models.fct_recent_published_date(f.stg))
 
+    def marts(spark, sf_dir):
+        return written_marts(spark, sf_dir, AS_OF)
+
+    def bundle(spark, sf_dir):
+        f = b(spark, sf_dir)
+        return normalize.union_layouts([
+            mart.select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("row"))
+            for name, mart in views.dashboard_bundle(f.stg, f.sch, AS_OF).items()]).groupBy(
+            "table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def inventory(spark, sf_dir):
+        """Which models a reader finds; a missing one is an error that names it."""
+        root, rows = marts(spark, sf_dir), []
+        for name in ("fct_delay_over_years", "fct_recent_airport_delays", "no_such_model"):
+            try:
+                rows.append((name, load_model(spark, f"{root}/{name}", name).count(), None))
+            except ValueError as error:
+                rows.append((name, None, str(error)))
+        return spark.createDataFrame(rows, "table_name string, n_rows bigint, error string")
+
     return {
+        "mart_roundtrip": lambda spark, sf_dir: load_model(
+            spark, f"{marts(spark, sf_dir)}/fct_recent_airport_delays"),
+        "model_inventory": inventory,
+        "dashboard_bundle": bundle,
         "view_annual_trend": lambda spark, sf_dir: views.annual_trend(
             models.fct_delay_over_years(b(spark, sf_dir).sch)),
         "view_monthly_bars": lambda spark, sf_dir: views.monthly_bars(
@@ -214,6 +284,10 @@ def _manifest_queries() -> dict[str, Query]:
         landed = manifest.build_manifest(fixture.landed_pages(spark, sf_dir), AS_OF_YEAR)
         return manifest.manifest_paths(landed, PREFIX).select("path")
 
+    def failed(spark, sf_dir):
+        lost = manifest.build_manifest(fixture.failed_pages(spark, sf_dir), AS_OF_YEAR)
+        return manifest.manifest_paths(lost, PREFIX).select("path")
+
     return {
         "link_extract": lambda spark, sf_dir: supplied_links(spark, sf_dir).select(
             "page_id", "page_url", "pos", "title", "href"),
@@ -236,8 +310,8 @@ def _manifest_queries() -> dict[str, Query]:
         "manifest_pending": lambda spark, sf_dir: manifest.pending_files(
             built(spark, sf_dir), existing(spark, sf_dir), PREFIX).select("filename", "path"),
         "manifest_summary": lambda spark, sf_dir: manifest.manifest_summary(
-            fixture.catalogue_pages(spark, sf_dir), built(spark, sf_dir),
-            existing(spark, sf_dir), PREFIX),
+            fixture.catalogue_pages(spark, sf_dir), AS_OF_YEAR, existing(spark, sf_dir), PREFIX,
+            failed=failed(spark, sf_dir)),
         "manifest_years": lambda spark, sf_dir: manifest.manifest_years(built(spark, sf_dir)),
         "pending_years": lambda spark, sf_dir: manifest.pending_years(
             built(spark, sf_dir), fixture.loaded_years(spark, sf_dir, AS_OF_YEAR)),

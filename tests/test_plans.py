@@ -1,10 +1,17 @@
 """The physical plans keep the properties the design relies on."""
 
+import os
+import re
+import shutil
+
 import pytest
 
 from tarmac.operators import views
-from tarmac.plans.materialize import staged_flights
+from tarmac.operators.staging import int_scheduled_flights
+from tarmac.plans.materialize import _INPUTS, build_staging, staged_flights
 from tarmac.plans.registry import queries
+from tarmac.session import ensure_checkpoint_dir
+from tarmac.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,11 +26,33 @@ def q():
     return queries()
 
 
-def test_dedupe_limits_before_the_shuffle(spark, q):
-    plan = _plan(q["int_scheduled_flights"](spark, SF))
+def test_dedupe_limits_before_the_shuffle(spark):
+    stg = staged_flights(spark, SF).stg
+    plan = _plan(int_scheduled_flights(stg))
     assert plan.count("WindowGroupLimit") >= 2      # partial (map side) + final
 
 
+def test_models_read_the_deduplicated_table(spark, q):
+    for name in ("fct_delay_over_years", "fct_airport_least_delays_by_year", "int_scheduled_flights"):
+        plan = _plan(q[name](spark, SF))
+        assert "unique_row_id ASC" not in plan and "WindowGroupLimit [unique_row_id" not in plan
+    plan = _plan(q["fct_delay_over_years"](spark, SF))
+    assert "Window" not in plan
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan)[1]
+    assert len(schema.split(",")) <= 4
+
+
+def test_layouts_come_from_one_scan_of_written_cells(spark, q):
+    assert "lineitem" not in _plan(q["union_layouts"](spark, SF))
+
+
+def test_summary_reads_pages_once(spark, q):
+    plan = _plan(q["manifest_summary"](spark, SF))
+    final = plan.split("== Initial Plan ==")[0]
+    # pages counted, manifest, landed and failed listings
+    assert final.count("FileScan parquet") <= 4
+
+
 def test_latest_month_prunes_partitions(spark, q):
     plan = _plan(q["fct_recent_airport_delays"](spark, SF))
     assert "PartitionFilters: [isnotnull(year" in plan and "Subquery" in plan
@@ -56,3 +85,46 @@ def test_dashboard_bundle_and_kpis(spark):
     assert (none.recent_published_date, none.total_tracked_flights) == ("N/A", "N/A")
     trend = views.annual_trend(bundle["fct_delay_over_years"])
     assert dict(trend.dtypes)["year"] == "string"
+
+
+def test_newest_build_counts_and_old_ones_go(spark):
+    first = build_staging(spark, SF)
+    second = build_staging(spark, SF, force=True)
+    assert second != first and build_staging(spark, SF) == second
+    third = build_staging(spark, SF, force=True)
+    assert not files.exists(spark, first) and files.exists(spark, second)
+    assert build_staging(spark, SF) == third
+
+
+def test_changed_input_is_built_anew(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    for name in _INPUTS:
+        shutil.copy(f"{SF}/{name}.parquet", f"{scratch}/in/{name}.parquet")
+    first = build_staging(spark, f"{scratch}/in")
+    assert build_staging(spark, f"{scratch}/in") == first
+    os.utime(f"{scratch}/in/lineitem.parquet", (1, 1))
+    assert build_staging(spark, f"{scratch}/in") != first
+
+
+def test_checkpoint_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master, folder = "spark://host:7077", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+    Session.sparkContext.master = "local[4]"
+    folder = ensure_checkpoint_dir(Session())
+    assert folder and ensure_checkpoint_dir(Session()) == folder

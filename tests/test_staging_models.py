@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators import models, quality
@@ -65,6 +66,14 @@ def test_quality_checks(spark):
     assert report["non_negative_counts"] == (1, "fail")
     assert report["percent_bounds"] == (1, "fail")
     assert report["unique_int_unique_row_id"] == (0, "pass")
+    bad = spark.createDataFrame([("x",)], "reporting_period string")
+    with_bad = {r.check_name: r.failing_rows for r in
+                quality.dq_report(stg, int_scheduled_flights(stg), bad).collect()}
+    assert with_bad["quarantined_rows"] == 1
+    with pytest.raises(quality.DataQualityError, match="non_negative_counts: 1 rows"):
+        quality.dq_gate(quality.dq_report(stg, int_scheduled_flights(stg)))
+    clean = stg.filter("scheduled_charter = 'S'")
+    assert quality.dq_gate(quality.dq_report(clean, int_scheduled_flights(clean))).count() == 13
     nulls = {r.column_name: r.failing_rows for r in quality.check_not_null(stg).collect()}
     assert nulls["airline_name"] == 0 and len(nulls) == 9
 
