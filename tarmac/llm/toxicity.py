@@ -42,10 +42,11 @@ TABLE_BITS = 18
 PREFIXES = (3, 4, 5, 6)
 
 #: Labelled documents of each class, and chains of each, that the field learns from.
-PER_CLASS = 1500
+PER_CLASS = 3000
 TRAIN_CHAINS = 48
 
-#: A toxic feature has so many contexts, and so many times a clean one's rate.
+#: A toxic feature has so many contexts at least, so many times a clean one's
+#: rate, and is so rarely that toxic by chance that one of all features would be.
 MIN_CONTEXTS = 3
 MIN_RATIO = 20.0
 
@@ -237,7 +238,13 @@ def _weak_labels(tokens: _Tokens, toxic_row: np.ndarray) -> np.ndarray:
         bad = np.bincount(tokens.features[first, i], toxic[first], size)
         good = np.bincount(tokens.features[first, i], ~toxic[first], size)
         rate = (bad / max(bad.sum(), 1)) / ((good + 0.5) / max(good.sum(), 1))
-        marks = (bad >= MIN_CONTEXTS) & (rate >= MIN_RATIO)
+        # Chernoff bound of a binomial tail: bad of (bad + good) contexts toxic
+        # when each one is with the share of all.
+        n, q = np.maximum(bad + good, 1), max(bad.sum(), 1) / max(bad.sum() + good.sum(), 2)
+        share = np.clip(bad / n, 1e-12, 1 - 1e-12)
+        surprise = n * (share * np.log(share / q) + (1 - share) * np.log((1 - share) / (1 - q)))
+        tested = max((n >= MIN_CONTEXTS).sum(), 1)
+        marks = (bad >= MIN_CONTEXTS) & (rate >= MIN_RATIO) & (surprise >= np.log(tested))
         mark |= marks[tokens.features[:, i]]
     return (mark & toxic).astype(float)
 
