@@ -17,6 +17,9 @@ from tarmac.llm.common import Block
 #: Zero bytes behind each text, so that no filter sees the next text.
 MARGIN = 8
 
+#: Steps of training at least, however few windows there are.
+LEAST_STEPS = 300
+
 #: Positions computed at a time, so that intermediate values stay in cache.
 STRIP = 1 << 14
 
@@ -100,8 +103,10 @@ class ByteCnn:
 
     def fit(self, windows: np.ndarray, labels: np.ndarray, weights: np.ndarray, epochs: int,
             rate: float = 0.01, decay: float = 1e-5, batch: int = 128, seed: int = 0) -> None:
-        """Cross-entropy by Adam. ``windows``: (n, unit + MARGIN) bytes."""
+        """Cross-entropy by Adam. ``windows``: (n, unit + MARGIN) bytes. A small
+        sample is gone through more often, for ``LEAST_STEPS`` steps at least."""
         rng = np.random.default_rng(seed)
+        epochs = max(epochs, -(-LEAST_STEPS * batch // len(windows)))
         adam = Adam([*self.tables, self.bias, self.head, self.head_bias], rate)
         positions = windows.shape[1] - MARGIN
         for epoch in range(epochs):
