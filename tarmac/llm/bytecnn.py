@@ -5,7 +5,7 @@ table of w x 256 weights. A unit (a fixed number of byte positions) is pooled
 by the maximum of each filter over its positions, passed through a ReLU and a
 linear head. For speed two neighbouring bytes are looked up at once in a table
 of their summed weights. Texts lie behind each other in one array, each padded
-with zero bytes to whole units, so a block of many texts is one computation.
+with zero bytes before and up to whole units, so a block of many texts is one computation.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 
 from tarmac.llm.common import Block
 
-#: Zero bytes behind each text, so that no filter sees the next text.
+#: Zero bytes before each text, so that no filter sees two texts.
 MARGIN = 8
 
 #: Steps of training at least, however few windows there are.
@@ -30,7 +30,7 @@ def padded(block: Block, unit: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.diff(block.off)
     units = np.concatenate(([0], np.cumsum(-(-(sizes + MARGIN) // unit))))
     flat = np.zeros(int(units[-1]) * unit + MARGIN, np.uint8)
-    moved = np.repeat(units[:-1] * unit - block.off[:-1], sizes)
+    moved = np.repeat(units[:-1] * unit + MARGIN - block.off[:-1], sizes)
     flat[np.arange(len(block.buf)) + moved] = block.buf
     return flat, units
 
