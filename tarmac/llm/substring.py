@@ -13,9 +13,10 @@ Spark then joins paths by k-mer:
 * if all occurrences of a k-mer are the same path (an independent 64-bit hash
   of all its tokens agrees), the path does not branch: it stays compacted, and
   its source is its occurrence in the smallest document;
-* otherwise it branches. One source coordinate of each distinct path is looked
-  up in its document, the path is taken apart into its windows, and each
-  window's smallest document is found by a further aggregate and join.
+* otherwise it branches. Behind a distinct path's smallest document all its
+  windows are repeats; for that document, the path is looked up at its source
+  coordinate, taken apart into its windows, and a further aggregate and join
+  finds those that another path of the k-mer has in a smaller document.
 
 So a repeat is verified by the 128 bits of k-mer and window or path hash at
 its source coordinates, and a window counts as repeated in a document exactly
@@ -31,10 +32,11 @@ result. Words are runs without ASCII white space, compared byte by byte.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (Block, RangeHash, blocks, byte_prefix, byte_ranges, free_name, mix,
@@ -123,11 +125,14 @@ def _compacted(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
     return docs.mapInArrow(read, "kmer bigint, path bigint, doc bigint, start int, n int")
 
 
-def _windows_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+def _windows_of(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """Windows of the wanted paths, read at their source coordinates."""
     lists = wanted.groupBy(F.col("doc").alias("k")).agg(
         F.collect_list(F.struct("kmer", "path", "start", "n")).alias("paths"))
-    joined = docs.join(lists, F.col("doc") == F.col("k")).select("doc", "text", "paths")
+    # All columns of ``rows`` are passed on, so that this join and the one that
+    # cuts the texts read one shuffle of them.
+    joined = rows.join(lists, F.col("doc") == F.col("k")).select(
+        "doc", text_of("text").alias("text"), "paths", *[c for c in rows.columns if c not in ("doc", "text")])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,50 +156,61 @@ def _windows_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     return joined.mapInArrow(read, "kmer bigint, path bigint, nth int, win bigint, doc bigint")
 
 
-def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
+def _meet(many: DataFrame, one: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """Join rows with an aggregate of them. The hash of the key is joined too:
+    the aggregate is dealt by the key alone, so both sides are dealt anew and
+    AQE can split a key with many rows."""
+    return many.join(one, (F.xxhash64(*left) == F.xxhash64(*right)) & reduce(
+        lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in zip(left, right)]))
+
+
+def _ranges(rows: DataFrame, window: int, seed_words: int) -> DataFrame:
     """(doc, start, n): n windows from word ``start`` on, each of which some
-    document with a smaller id has too."""
-    texts = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("doc"), text_of(text_col).alias("text"))
+    document with a smaller id has too. ``rows``: doc (not null), text, ..."""
+    texts = rows.select("doc", text_of("text").alias("text"))
     paths = written(_compacted(texts, window, seed_words), "substring-paths")
     kmers = paths.groupBy(F.col("kmer").alias("k")).agg(
         F.min("doc").alias("low"), F.max("doc").alias("high"),
         (F.min("path") != F.max("path")).alias("branches")).filter("low < high")
-    shared = written(paths.join(kmers, F.col("kmer") == F.col("k")).select(
+    shared = written(_meet(paths, kmers, ["kmer"], ["k"]).select(
         "kmer", "path", "doc", "start", "n", "low", "branches"), "substring-shared")
     straight = shared.filter("not branches and doc > low").select("doc", "start", "n")
-    forked = shared.filter("branches")
-    sources = forked.groupBy("kmer", "path", "n").agg(
-        F.min("doc").alias("doc"), F.min_by("start", "doc").alias("start"))
-    windows = written(_windows_of(texts, sources, window), "substring-windows")
+    forked = shared.filter("branches").select("kmer", "path", "doc", "start", "n")
+    sources = written(forked.groupBy("kmer", "path", "n").agg(
+        F.min("doc").alias("doc"), F.min_by("start", "doc").alias("start")), "substring-sources")
+    # Behind a path's smallest document all its windows are repeats.
+    placed = _meet(forked, sources.select(F.col("kmer").alias("sk"), F.col("path").alias("sp"),
+                                          F.col("doc").alias("first")), ["kmer", "path"], ["sk", "sp"])
+    later = placed.filter("doc > first").select("doc", "start", "n")
+    # In it, those are that another path has in a smaller document.
+    windows = _windows_of(rows, sources, window)
     least = windows.groupBy(F.col("kmer").alias("wk"), F.col("win").alias("ww")).agg(
-        F.min("doc").alias("low"))
-    # By path: for each of its windows the smallest document that has it.
-    lows = (windows.join(least, (F.col("kmer") == F.col("wk")) & (F.col("win") == F.col("ww")))
-            .groupBy(F.col("kmer").alias("pk"), F.col("path").alias("pp"))
-            .agg(F.collect_list(F.struct("nth", "low")).alias("lows")))
-    taken = (forked.select("kmer", "path", "doc", "start")
-             .join(lows, (F.col("kmer") == F.col("pk")) & (F.col("path") == F.col("pp")))
-             .select("doc", "start", F.explode(F.filter("lows", lambda x: x["low"] < F.col("doc"))).alias("w"))
-             .select("doc", (F.col("start") + F.col("w.nth")).alias("start"), F.lit(1).alias("n")))
-    return straight.union(taken)
+        F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    earlier = _meet(windows, least, ["kmer", "win"], ["wk", "ww"]).filter("low < doc").select(
+        F.col("kmer").alias("ek"), F.col("path").alias("ep"), "nth")
+    firsts = placed.filter("doc = first").join(
+        earlier, (F.col("kmer") == F.col("ek")) & (F.col("path") == F.col("ep"))).select(
+        "doc", (F.col("start") + F.col("nth")).alias("start"), F.lit(1).alias("n"))
+    return straight.union(later).union(firsts)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
     """``docs`` with a new struct column, named by :func:`result_column`:
     n_words, n_removed, and ``kept``, the words that stay, joined by a space."""
-    result, key, ranges = result_column(docs), free_name(docs, "_doc"), free_name(docs, "_ranges")
-    found = repeated_ranges(docs, id_col, text_col, window, seed_words).groupBy(
-        F.col("doc").alias(key)).agg(F.collect_list(F.struct("start", "n")).alias(ranges))
+    result, others = result_column(docs), [c for c in docs.columns if c not in (id_col, text_col)]
+    rows = docs.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []))
+    found = _ranges(rows, window, seed_words).groupBy(F.col("doc").alias("k")).agg(
+        F.collect_list(F.struct("start", "n")).alias("ranges"))
 
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept: string>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         n_words, n_removed, kept = [], [], []
         for text, span in zip(texts.to_pylist(), spans):
             words = text.encode().split()
-            removed = 0
+            n_words.append(len(words))
             if span.is_valid and len(span):
                 start = span.values.field(0).to_numpy().astype(np.int64)
                 stop = start + span.values.field(1).to_numpy() + window - 1
@@ -202,20 +218,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 np.add.at(depth, start, 1)
                 np.add.at(depth, stop, -1)
                 gone = np.cumsum(depth)[:-1] > 0
-                removed = int(gone.sum())
-                n_words.append(len(words))
                 words = [w for w, g in zip(words, gone.tolist()) if not g]
-            else:
-                n_words.append(len(words))
-            n_removed.append(removed)
+            n_removed.append(n_words[-1] - len(words))
             kept.append(b" ".join(words).decode())
         return pa.StructArray.from_arrays(
             [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
             names=["n_words", "n_removed", "kept"])
 
-    return (docs.join(found, F.col(id_col).cast("bigint") == F.col(key), "left")
-            .withColumn(result, cut(text_of(text_col), F.col(ranges)))
-            .drop(key, ranges))
+    def shaped(df: DataFrame, ranges: Column, columns: dict[str, Column]) -> DataFrame:
+        return df.select(*[columns[c].alias(c) for c in docs.columns],
+                         cut(text_of(columns[text_col]), ranges).alias(result))
+
+    kind = docs.schema[id_col].dataType
+    named = {id_col: F.col("doc").cast(kind), text_col: F.col("text"),
+             **{c: F.col("rest").getField(c) for c in others}}
+    nothing = F.lit(None).cast("array<struct<start: int, n: int>>")
+    cut_rows = shaped(rows.join(found, F.col("doc") == F.col("k"), "left"), F.col("ranges"), named)
+    # A document without an id takes no part.
+    unnamed = docs.filter(F.col(id_col).isNull())
+    return cut_rows.union(shaped(unnamed, nothing, {c: F.col(f"`{c}`") for c in docs.columns}))
 
 
 def result_column(docs: DataFrame) -> str:
