@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tarmac.session import ensure_checkpoint_dir
 
 #: Bytes of text that one numpy block holds; a longer single text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: ASCII white space: the bytes that separate words.
 SPACE = np.zeros(256, dtype=bool)
@@ -194,12 +194,3 @@ def byte_prefix(buf: np.ndarray) -> np.ndarray:
 def byte_ranges(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte strings between ``starts`` and ``ends``."""
     return mix(_BYTE_HASH.ranges(prefix, starts, ends))
-
-
-def text_strings(column: pa.Array) -> list[str]:
-    return column.to_pylist()
-
-
-def as_array(batch: pa.RecordBatch, name: str) -> pa.Array:
-    col = batch.column(name)
-    return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
