@@ -99,17 +99,24 @@ def decode_entities(c: str | Column) -> Column:
 
 
 def strip_markup_blocks(html: str | Column) -> Column:
-    """Comments, scripts and styles become a tag boundary."""
-    return F.regexp_replace(_col(html), NON_MARKUP, "<!>")
+    """Comments, scripts and styles become a tag boundary. A page without any
+    is not searched by the pattern."""
+    c = _col(html)
+    some = c.contains("<!--") | c.rlike(r"(?i)<s(?:cript|tyle)")
+    return F.when(some, F.regexp_replace(c, NON_MARKUP, "<!>")).otherwise(c)
 
 
 def anchor_text(inner: str | Column) -> Column:
     """Visible text: the text pieces between tags, entity-decoded, each
     stripped of white space, empty ones dropped, joined by one space."""
-    marked = F.regexp_replace(_col(inner), TAG, _BOUNDARY)
-    pieces = F.transform(F.split(marked, _BOUNDARY, -1),
-                         lambda p: F.btrim(decode_entities(p), F.lit(WHITESPACE)))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
+    c = _col(inner)
+
+    def stripped(piece: Column) -> Column:
+        return F.btrim(decode_entities(piece), F.lit(WHITESPACE))
+
+    pieces = F.transform(F.split(F.regexp_replace(c, TAG, _BOUNDARY), _BOUNDARY, -1), stripped)
+    joined = F.array_join(F.filter(pieces, lambda p: p != ""), " ")
+    return F.when(c.contains("<"), joined).otherwise(stripped(c))
 
 
 def anchor_href(attributes: str | Column) -> Column:

@@ -249,7 +249,9 @@ def _pages_from_orders(orders: DataFrame) -> DataFrame:
                           (F.col("o_orderkey") % 4 + 1).cast("int"))
     title = F.concat(F.date_format("o_orderdate", "yyyyMM"), suffix)
     year = F.year("o_orderdate")
-    return orders.select(
+    # A page table lies in many files; the driver's single row group would put
+    # all pages in one task. AQE sizes the pieces.
+    return orders.hint("rebalance").select(
         F.col("o_orderkey").alias("page_id"),
         year.alias("year"),
         F.concat(F.lit(CATALOGUE_BASE_URL), year.cast("string"), F.lit("/")).alias("url"),
