@@ -32,6 +32,12 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import shuffle_partitions, text_of
 
 SAMPLES = 32
+
+#: Characters of text in a range, so that counting its words needs little
+#: memory, and the number of ranges at most (beyond it, ranges grow and Spark
+#: spills what does not fit).
+RANGE_CHARS = 4_000_000
+MAX_RANGES = 50_000
 WORD_BREAK = r"[\s\p{Punct}]+"
 
 _LOW = (1 << 32) - 1
@@ -104,7 +110,8 @@ def _ranges(ids: DataFrame, parts: int) -> list[int]:
 
 def _range_of(ord_: Column, bounds: list[int]) -> Column:
     """How many of the bounds are at most ``ord_``, by binary search."""
-    table = F.lit(bounds).cast("array<bigint>")
+    # one literal, folded into an array when the plan is made
+    table = F.split(F.lit(" ".join(map(str, bounds))), " ").cast("array<bigint>")
     steps, step = [], (len(bounds) + 1) // 2
     while step:
         steps.append(step)
@@ -119,17 +126,19 @@ def _with_next(docs: DataFrame, parts: int) -> DataFrame:
     ends with a copy of the row that follows it in the next range."""
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LEAST_ID)).alias("ord"), "text")
     bounds = _ranges(rows.select("ord"), parts)
-    rows = rows.withColumn("part", _range_of(F.col("ord"), bounds))
+    # never null, so no later join adds a test for null to one use of the rows
+    rows = rows.withColumn("part", F.coalesce(_range_of(F.col("ord"), bounds), F.lit(0)))
     # One row for each range, so at most ``parts`` rows.
     tops = sorted(tuple(r) for r in rows.groupBy("part").agg(F.max("ord")).collect())
     follows = [(top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)]
     borders = docs.sparkSession.createDataFrame(follows, "top bigint, into int")
     copies = rows.join(F.broadcast(borders), F.col("ord") == F.col("top")).select(
-        "doc_id", "ord", "text", F.col("into").alias("part"), F.lit(True).alias("copy"))
+        "doc_id", "ord", "text", F.coalesce("into", F.lit(0)).alias("part"), F.lit(True).alias("copy"))
     both = rows.select("doc_id", "ord", "text", "part", F.lit(False).alias("copy")).union(copies)
+    dealt = both.repartitionById(len(bounds) + 1, F.col("part"))
     order = Window.partitionBy("part").orderBy("copy", F.desc("ord"), F.xxhash64("text"))
-    return both.select("part", "copy", "doc_id", "text", F.row_number().over(order).alias("place"),
-                       F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"))
+    return dealt.select("part", "copy", "doc_id", "ord", "text", F.row_number().over(order).alias("place"),
+                        F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -144,9 +153,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_chars, the edited text's hash, both fingerprints, and the
     likeness of a document to its edited text and to the next document."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
-    rows = _with_next(docs, max(1, shuffle_partitions(docs.sparkSession)))
+    total = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    parts = min(-(-total // RANGE_CHARS), MAX_RANGES)
+    rows = _with_next(docs, max(1, shuffle_partitions(docs.sparkSession), parts))
     rows = rows.withColumn("edit", edited(F.col("text"), F.col("next_text")))
-    texts = rows.select("part", "place", F.inline(F.array(
+    # The filter lets every row pass. It keeps the id in the dealt rows, so that
+    # both uses of them read one shuffle.
+    texts = rows.filter(F.col("ord") <= F.coalesce("doc_id", "ord")).select("part", "place", F.inline(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
         F.struct(F.lit(1).alias("kind"), F.col("edit").alias("text")))))
     found = signatures(texts, ["part", "place", "kind"], samples)
