@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.bytecnn import Adam, Logistic
-from tarmac.llm.common import (LOWER, Block, blocks, byte_prefix, byte_ranges, mix, text_of,
+from tarmac.llm.common import (BLOCK_BYTES, LOWER, Block, blocks, byte_prefix, byte_ranges, mix, text_of,
                                word_bounds)
 from tarmac.llm.sampling import class_sample
 
@@ -42,8 +42,11 @@ TABLE_BITS = 18
 PREFIXES = (3, 4, 5, 6)
 
 #: Labelled documents of each class, and chains of each, that the field learns from.
-PER_CLASS = 3000
-TRAIN_CHAINS = 48
+PER_CLASS = 2000
+TRAIN_CHAINS = 32
+
+#: Chains that advance together; bounds the memory of a pass over many tokens.
+CHAINS_AT_ONCE = 4096
 
 #: A toxic feature has so many contexts at least, so many times a clean one's
 #: rate, and is so rarely that toxic by chance that one of all features would be.
@@ -71,8 +74,27 @@ class _Tokens:
         for size in PREFIXES:
             hashes.append(mix(byte_ranges(prefix, start, np.minimum(start + size, end))
                               + np.uint64(size)))
-        self.features = np.stack(hashes, axis=1) >> np.uint64(64 - TABLE_BITS)
-        self.features = self.features.astype(np.int32)
+        self.features = np.empty((len(hashes[0]), len(hashes)), np.int32)
+        for i, h in enumerate(hashes):
+            self.features[:, i] = h >> np.uint64(64 - TABLE_BITS)
+
+
+class _Sample:
+    """Tokens of many texts, read a block at a time."""
+
+    def __init__(self, texts: list[bytes]):
+        features, word, first, lo, size, words = [], [], [np.zeros(1, np.int64)], 0, 0, 0
+        for hi, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= BLOCK_BYTES // 2 or hi == len(texts):
+                tokens = _Tokens(_one_block(texts[lo:hi]))
+                features.append(tokens.features)
+                word.append(tokens.word)
+                first.append(tokens.first[1:] + words)
+                words, lo, size = words + len(tokens.word), hi, 0
+        self.first, self.word = np.concatenate(first), np.concatenate(word)
+        self.row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.first))
+        self.features = np.concatenate(features)
 
 
 def _chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -84,6 +106,16 @@ def _chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     return np.repeat(base, counts) + nth // CHAIN, nth % CHAIN, int(per_row.sum())
 
 
+def _passes(first: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, int]]:
+    """Tokens of at most ``CHAINS_AT_ONCE`` chains: their slice, the chain and
+    step of each, and the number of chains."""
+    chain, step, n = _chains(first)
+    for lo in range(0, n, CHAINS_AT_ONCE):
+        hi = min(lo + CHAINS_AT_ONCE, n)
+        part = slice(*np.searchsorted(chain, (lo, hi)).tolist())
+        yield part, chain[part] - lo, step[part], hi - lo
+
+
 class ChainField:
     """Weights of the field: emission table, bias, and transitions [from, to]."""
 
@@ -133,46 +165,44 @@ class ChainField:
             marginal[i] = toxic / (clean + toxic)
         return marginal, counts
 
-    def marginals(self, tokens: _Tokens) -> np.ndarray:
-        """Toxic probability of each token of a block."""
-        chain, step, n = _chains(tokens.first)
-        if not n:
-            return np.zeros(0)
-        score = np.zeros((CHAIN, n))
-        real = np.zeros((CHAIN, n), bool)
-        score[step, chain] = self.emission(tokens.features)
-        real[step, chain] = True
-        return self.forward_backward(score, real)[0][step, chain]
-
-    def fit(self, tokens: _Tokens, toxic: np.ndarray, epochs: int = 25, rate: float = 0.25,
+    def marginals(self, tokens: _Tokens | _Sample) -> np.ndarray:
+        """Toxic probability of each token."""
+        out = np.zeros(len(tokens.features))
+        for part, chain, step, n in _passes(tokens.first):
+            score, real = np.zeros((CHAIN, n)), np.zeros((CHAIN, n), bool)
+            score[step, chain] = self.emission(tokens.features[part])
+            real[step, chain] = True
+            out[part] = self.forward_backward(score, real)[0][step, chain]
+        return out
+
+    def fit(self, tokens: _Tokens | _Sample, toxic: np.ndarray, epochs: int = 25, rate: float = 0.25,
             decay: float = 2e-6) -> None:
         """Gradient steps on the likelihood of the token labels."""
-        chain, step, n = _chains(tokens.first)
-        real = np.zeros((CHAIN, n), bool)
-        real[step, chain] = True
-        gold = np.zeros((CHAIN, n))
-        gold[step, chain] = toxic
-        both = real[1:]
-        want = np.array([[((1 - gold[:-1]) * (1 - gold[1:]) * both).sum(),
-                          ((1 - gold[:-1]) * gold[1:] * both).sum()],
-                         [(gold[:-1] * (1 - gold[1:]) * both).sum(), (gold[:-1] * gold[1:] * both).sum()]])
         adam = Adam([self.table, self.bias, self.moves], rate)
         scale = 1.0 / max(toxic.sum(), 1.0)
-        score = np.zeros((CHAIN, n))
         for epoch in range(epochs):
             adam.rate = rate * (1 - epoch / epochs) + 0.02
-            score[step, chain] = self.emission(tokens.features)
-            marginal, counts = self.forward_backward(score, real, pairs=True)
-            error = (marginal[step, chain] - toxic) * scale
-            grad = np.zeros(len(self.table))
-            for i in range(tokens.features.shape[1]):
-                grad += np.bincount(tokens.features[:, i], error, len(self.table))
+            grad, bias, moves = np.zeros(len(self.table)), 0.0, np.zeros((2, 2))
+            for part, chain, step, n in _passes(tokens.first):
+                features, want = tokens.features[part], toxic[part]
+                score, gold = np.zeros((CHAIN, n)), np.zeros((CHAIN, n))
+                real = np.zeros((CHAIN, n), bool)
+                score[step, chain], gold[step, chain] = self.emission(features), want
+                real[step, chain] = True
+                marginal, counts = self.forward_backward(score, real, pairs=True)
+                error = (marginal[step, chain] - want) * scale
+                for i in range(features.shape[1]):
+                    grad += np.bincount(features[:, i], error, len(self.table))
+                bias += error.sum()
+                a, b, both = gold[:-1], gold[1:], real[1:]
+                moves += counts - np.array([[((1 - a) * (1 - b) * both).sum(), ((1 - a) * b * both).sum()],
+                                            [(a * (1 - b) * both).sum(), (a * b * both).sum()]])
             grad[np.abs(grad) < 1e-9] = 0
-            adam.step([(grad + decay * self.table).astype(np.float32), np.array([error.sum()]),
-                       (counts - want) * scale + 1e-3 * self.moves])
+            adam.step([(grad + decay * self.table).astype(np.float32), np.array([bias]),
+                       moves * scale + 1e-3 * self.moves])
 
 
-def _described(field: ChainField, tokens: _Tokens, rows: int) -> tuple[np.ndarray, np.ndarray]:
+def _described(field: ChainField, tokens: _Tokens | _Sample, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row the log-odds of its most toxic token and the logarithm of its
     expected number of toxic tokens; and each token's marginal."""
     p = field.marginals(tokens)
@@ -223,7 +253,7 @@ def _one_block(texts: list[bytes]) -> Block:
     return Block(0, len(texts), np.frombuffer(b"".join(texts), np.uint8), off)
 
 
-def _weak_labels(tokens: _Tokens, toxic_row: np.ndarray) -> np.ndarray:
+def _weak_labels(tokens: _Tokens | _Sample, toxic_row: np.ndarray) -> np.ndarray:
     """1 for the tokens of toxic rows with a feature that marks toxic contexts."""
     toxic = toxic_row[tokens.row]
     before = np.concatenate(([np.uint64(0)], tokens.word[:-1])) if len(tokens.word) else tokens.word
@@ -279,7 +309,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(None, None, 0.5 if not len(y) else float((y.sum() + 1) / (len(y) + 2)))
-    tokens = _Tokens(_one_block([r[1] for r in rows]))
+    tokens = _Sample([r[1] for r in rows])
     field = ChainField()
     field.fit(tokens, _weak_labels(tokens, y > 0))
     features, _ = _described(field, tokens, len(rows))
