@@ -98,7 +98,7 @@ CONTRACT = {
 
 def test_contract_columns(spark):
     con = duckdb.connect()
-    n = {t: con.sql(f"SELECT count(*) FROM '{SF}/{t}.parquet'").fetchone()[0] for t in ("documents", "pages")}
+    n = {t: con.sql(f"SELECT count(*) FROM '{SF}/{t}.parquet'").fetchall()[0][0] for t in ("documents", "pages")}
     for prefix, columns in CONTRACT.items():
         names = [k for k in entry.queries() if k.startswith(prefix)]
         assert len(names) == 1

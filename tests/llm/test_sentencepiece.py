@@ -36,10 +36,10 @@ def test_best_score_of_a_unigram_vocabulary():
     vocab.merged, vocab.usable = False, np.ones(len(vocab.keys), bool)
     rng = random.Random(0)
     words = {MARK + "".join(rng.choice("abcdefghtioné日") for _ in range(rng.randint(1, 12))) for _ in range(300)}
-    words |= {MARK * 3 + "the", MARK, "x"}
-    vocab._learn(words)
+    words |= {MARK * 3 + "the", MARK}
+    vocab._learn({w[1:] for w in words})
     for word in words:
-        pieces = [vocab.pieces[i] for i in memoryview(vocab.known[word]).cast("I")]
+        pieces = [vocab.pieces[i] for i in memoryview(vocab.known[word[1:]]).cast("I")]
         unknown = sum(1 for c in word if c not in SCORES)
         got = sum(SCORES[p] for p in pieces if p in SCORES) + unknown * vocab.unknown_score
         assert abs(got - brute(word)) < 1e-6
@@ -61,7 +61,7 @@ def test_ids_are_the_librarys(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"], exclude_characters=[MARK]), max_size=80))
 def test_round_trip(text):
-    assert VOCAB.decode(ids_of(VOCAB, text)) == text
+    assert VOCAB.decode(np.array(ids_of(VOCAB, text), np.int64)) == text
 
 
 def test_columns(spark):

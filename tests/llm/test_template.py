@@ -27,6 +27,13 @@ def test_repeated_article_text_is_no_template(spark):
     assert all("copied text" in got[i] for i in range(4)) and "own text 9" in got[9]
 
 
+def test_host_of_copies_keeps_its_text(spark):
+    pages = [page(i, f"<p>{'copied text ' * 20}</p>") for i in range(10)]
+    got = {r.page_id: r.text for r in main_texts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all("copied text" in got[i] for i in range(10))
+
+
 def test_lone_and_odd_pages(spark):
     rows = [
         (1, "http://a/", "<article><h1>A</h1><p><b>one<br>two<p>three<aside>no</aside></article><p>out"),
