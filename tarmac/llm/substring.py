@@ -10,10 +10,11 @@ paths of the same k-mer, and a corpus of n tokens has about n / 20 paths.
 Spark then joins paths by k-mer:
 
 * a k-mer that occurs in one document only has no repeated window;
-* if all occurrences of a k-mer are the same path (an independent 64-bit hash
-  of all its tokens agrees), the path does not branch: it stays compacted, and
-  its source is its occurrence in the smallest document;
-* otherwise it branches. Behind a distinct path's smallest document all its
+* occurrences of the path that the k-mer's smallest document has (an
+  independent 64-bit hash of all its tokens agrees) stay compacted: their
+  source is the occurrence in that document, and behind it all their windows
+  are repeats. Where the paths of a k-mer do not branch, these are all;
+* the others branch off. Behind such a path's own smallest document all its
   windows are repeats; for that document, the path is looked up at its source
   coordinate, taken apart into its windows, and a further aggregate and join
   finds those that another path of the k-mer has in a smaller document.
@@ -170,12 +171,14 @@ def _ranges(rows: DataFrame, window: int, seed_words: int) -> DataFrame:
     texts = rows.select("doc", text_of("text").alias("text"))
     paths = written(_compacted(texts, window, seed_words), "substring-paths")
     kmers = paths.groupBy(F.col("kmer").alias("k")).agg(
-        F.min("doc").alias("low"), F.max("doc").alias("high"),
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min_by("path", "doc").alias("trunk"),
         (F.min("path") != F.max("path")).alias("branches")).filter("low < high")
     shared = written(_meet(paths, kmers, ["kmer"], ["k"]).select(
-        "kmer", "path", "doc", "start", "n", "low", "branches"), "substring-shared")
-    straight = shared.filter("not branches and doc > low").select("doc", "start", "n")
-    forked = shared.filter("branches").select("kmer", "path", "doc", "start", "n")
+        "kmer", "path", "doc", "start", "n", "low", "trunk", "branches"), "substring-shared")
+    # The path of a k-mer's smallest document, met again: all of it is a repeat.
+    straight = shared.filter("path = trunk and doc > low").select("doc", "start", "n")
+    forked = shared.filter("branches and (path != trunk or doc = low)").select(
+        "kmer", "path", "doc", "start", "n")
     sources = written(forked.groupBy("kmer", "path", "n").agg(
         F.min("doc").alias("doc"), F.min_by("start", "doc").alias("start")), "substring-sources")
     # Behind a path's smallest document all its windows are repeats.
