@@ -151,8 +151,10 @@ def repeated_fingerprints(fingerprints: DataFrame, segments: int) -> DataFrame:
     return parts.groupBy("segment").applyInArrow(merge, "fp bigint, n bigint")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 with_hash: bool = False) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256, and
+    with ``with_hash`` a 32-bit text_hash."""
     text = text_of(text_col)
     segments = max(1, shuffle_partitions(docs.sparkSession))
     repeated = repeated_fingerprints(docs.select(F.xxhash64(text).alias("fp")), segments)
@@ -166,31 +168,37 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.sha2("t", 256).alias("sha"), F.col("top").alias("keep_id"),
                 F.col("n").alias("group_size"))
     )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"),
+                       F.hash(text).alias("text_hash"))
     grouped = F.col("group_size").isNotNull()
     keep_id = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
     return (
         rows.join(suspects, F.col("text_sha256") == F.col("sha"), "left")
         .select("doc_id", keep_id.alias("keep_id"),
                 F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-                F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
+                F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
+                *(["text_hash"] if with_hash else []))
     )
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns kept."""
-    groups = exact_groups(docs, id_col, text_col)
-    sha, dup, key, top = (free_name(docs, x) for x in ("_sha", "_dup", "_key", "_n_top"))
-    # One row for each group above one: which id stays, and how many rows have it.
-    large = written(
-        groups.filter("group_size > 1")
-        .groupBy(F.col("text_sha256").alias(key), F.col("keep_id").alias(dup))
-        .agg(F.count_if("kept").alias(top)), "exact-groups")
-    hashed = docs.withColumn(sha, F.sha2(text_of(text_col), 256))
-    stays = F.col(id_col).eqNullSafe(F.col(dup))
-    single = (hashed.join(large, F.col(sha) == F.col(key), "left")
-              .filter(F.col(key).isNull() | (stays & (F.col(top) == 1))))
-    # Repeated rows of the id that stays: one of them is enough.
-    several = (hashed.join(large.filter(F.col(top) > 1), F.col(sha) == F.col(key))
-               .filter(stays).dropDuplicates([id_col, sha]))
-    return single.select(docs.columns).unionByName(several.select(docs.columns))
+    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col, with_hash=True).filter(
+        "group_size > 1")
+    # What goes, named by id and a hash of the text: two numbers a row, so the
+    # planner may send a short list to the texts instead of dealing them anew.
+    rows = written(groups.select("doc_id", "text_hash", "kept", "keep_id"), "exact-copies")
+    tops = rows.filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = written(tops.select("doc_id", "text_hash"), "exact-repeated")
+    gone = written(rows.filter("not kept").select("doc_id", "text_hash").union(several), "exact-gone")
+    ids, hashes, own = (free_name(docs, x) for x in ("_gone_id", "_gone_hash", "_text_hash"))
+    hashed = docs.withColumn(own, F.hash(text_of(text_col)))
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes))
+
+    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(own) == F.col(hashes))
+    left = hashed.join(named(gone), same, "left_anti")
+    # Repeated rows of an id that stays went too: one of each comes back.
+    again = hashed.join(named(several), same, "left_semi").dropDuplicates([id_col, own])
+    return left.select(docs.columns).unionByName(again.select(docs.columns))
