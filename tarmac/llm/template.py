@@ -47,6 +47,9 @@ SUPPORT = 0.9
 MAIN_SHARE = 0.5
 MIN_PAGES = 5
 
+#: Places that the pages of one host are dealt over.
+SALTS = 32
+
 # Element names of the HTML standard, by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q "
@@ -211,17 +214,20 @@ class Page:
             self._flush()
 
     def tokens(self) -> list[tuple[int, int, bool, int, int]]:
-        """(token, parent, is_text, number, characters of running text below)."""
+        """(token, parent, is_text, number, characters of running text below it,
+        or of the text itself)."""
         chars: Counter = Counter()
         texts: Counter = Counter()
+        size: Counter = Counter()
         for b in self.blocks:
             if not b.never:
                 texts[b.token, b.chain[-1] if b.chain else _ROOT] += 1
+                size[b.token] += len(b.text)
                 if not b.linked:
                     for path in b.chain:
                         chars[path] += len(b.text)
         out = [(t, p, False, n, chars[t]) for (t, p), n in Counter(self.elements).items()]
-        out += [(t, p, True, n, 0) for (t, p), n in texts.items()]
+        out += [(t, p, True, n, size[t]) for (t, p), n in texts.items()]
         return out
 
     def main_text(self, main: int | None, constants: frozenset) -> list[str]:
@@ -247,7 +253,7 @@ def templates(pages: DataFrame) -> DataFrame:
     tokens that are constant. ``pages``: host, key (names a page), html."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             rows: list[tuple] = []
             for host, key, source in zip(*(c.to_pylist() for c in batch.columns)):
                 page = Page(source)
@@ -270,7 +276,9 @@ def templates(pages: DataFrame) -> DataFrame:
     hosts = vectors.filter(F.col("token") == _ROOT).select(
         "host", F.col("support").alias("pages"), F.col("chars").alias("all_chars")).filter(
         F.col("pages") >= MIN_PAGES)
-    frequent = vectors.join(hosts, "host").filter(F.col("support") >= F.col("pages") * SUPPORT)
+    # Most tokens are a page's own text; they go before the join.
+    common = vectors.filter(F.col("support") >= MIN_PAGES * SUPPORT)
+    frequent = common.join(hosts, "host").filter(F.col("support") >= F.col("pages") * SUPPORT)
     # Classes: tokens of a host with one vector, a bounded number (a page's tokens).
     classes = frequent.groupBy("host", "vector", "support", "most", "pages", "all_chars").agg(
         F.collect_list(F.struct("token", "parent", "is_text", "chars")).alias("tokens"))
@@ -307,7 +315,12 @@ def _template(total: int, classes: list[dict]) -> tuple[int | None, list[int]]:
     slots = [(d, once[t]["chars"], t) for t, d in nested.items()
              if d > 0 and not once[t]["is_text"] and once[t]["chars"] >= MAIN_SHARE * total and total]
     main = max(slots)[2] if slots else None
-    return main, sorted(t for t, d in nested.items() if d > 0 and once[t]["is_text"])
+    constants = sorted(t for t, d in nested.items() if d > 0 and once[t]["is_text"])
+    # Pages that are copies of one article have no text but constants: those
+    # are the article, not the template.
+    if main is not None and sum(once[t]["chars"] for t in constants) >= MAIN_SHARE * once[main]["chars"]:
+        constants = []
+    return main, constants
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -317,8 +330,11 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         host_of(F.col(url_col)).alias("host"), source.alias("html"),
                         F.xxhash64(F.col(id_col), F.col(url_col), source).alias("key"))
-    known = templates(rows)
-    joined = rows.join(known.withColumnRenamed("host", "h"), F.col("host") == F.col("h"), "left")
+    # A host may have a third of all pages: its template, one row, is sent to
+    # ``SALTS`` places, and its pages are dealt over them.
+    known = templates(rows).select(F.col("host").alias("h"), "main", "constants",
+                                   F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    joined = rows.join(known, (F.col("host") == F.col("h")) & (F.pmod("key", F.lit(SALTS)) == F.col("s")), "left")
 
     @F.arrow_udf("string")
     def extracted(html: pa.Array, main: pa.Array, constants: pa.Array) -> pa.Array:
