@@ -40,7 +40,11 @@ CACHE_ENTRIES = 1_000_000
 #: Words that advance together at most, times their length.
 BATCH_CELLS = 1 << 18
 
+#: Bits of the table that tells which hashes may be pieces.
+SEEN_BITS = 20
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_CHECK = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _codes(words: list[str], length: int) -> np.ndarray:
@@ -65,6 +69,9 @@ class Vocabulary:
                 plain.append(i)
         self.id_bytes = {i: b for b, i in self.byte_ids.items()}
         self.unknown = model.unk_id()
+        self.piece_array = np.array(self.pieces, dtype=object)
+        self.is_byte = np.zeros(size, bool)
+        self.is_byte[list(self.id_bytes)] = True
         keys = np.concatenate([self.hashes(_codes([self.pieces[i]], len(self.pieces[i])))[:, -1]
                                for i in plain])
         order = np.argsort(keys)
@@ -74,8 +81,14 @@ class Vocabulary:
         self.sizes = np.array([len(self.pieces[i]) for i in self.ids], np.int64)
         self.lengths = sorted(set(self.sizes.tolist()))
         self.unknown_score = scores.min() - 10.0
-        self.powers = np.ones(int(self.sizes.max()) + 1, np.uint64)
-        np.cumprod(np.full(len(self.powers) - 1, _BASE, np.uint64), out=self.powers[1:])
+        self.checks = np.array([self.hashes(_codes([self.pieces[i]], len(self.pieces[i])), _CHECK)[0, -1]
+                                for i in self.ids], np.uint64)
+        # Most substrings are no piece: a bit by the hash's top bits tells at once.
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.seen[self.keys >> np.uint64(64 - SEEN_BITS)] = True
+        longest = int(self.sizes.max())
+        self.powers, self.check_powers = (np.cumprod(
+            np.array([1] + [int(base)] * longest, np.uint64), dtype=np.uint64) for base in (_BASE, _CHECK))
         self.known: dict[str, bytes] = {}
         # Merges are scored 0, -1, -2, ...: log-probabilities are no whole numbers.
         long = self.sizes > 1
@@ -127,99 +140,135 @@ class Vocabulary:
         return allowed
 
     @staticmethod
-    def hashes(codes: np.ndarray) -> np.ndarray:
+    def hashes(codes: np.ndarray, base: np.uint64 = _BASE) -> np.ndarray:
         """Prefix hashes: column j has the first j + 1 characters."""
         out = np.empty(codes.shape, np.uint64)
         value = np.zeros(len(codes), np.uint64)
-        mixed = mix(codes.astype(np.uint64) + np.uint64(1))
+        mixed = mix(codes.astype(np.uint64) + base)
         for j in range(codes.shape[1]):
-            value = value * _BASE + mixed[:, j]
+            value = value * base + mixed[:, j]
             out[:, j] = value
         return out
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys, hashes)
+        """Place of each hash in the sorted keys, or -1."""
+        out = np.full(hashes.shape, -1, np.int64)
+        maybe = np.flatnonzero(self.seen[hashes >> np.uint64(64 - SEEN_BITS)])
+        at = np.searchsorted(self.keys, hashes[maybe])
         at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == hashes, at, -1)
+        out[maybe] = np.where(self.keys[at] == hashes[maybe], at, -1)
+        return out
 
-    def _viterbi(self, words: list[str], length: int) -> list[list[int]]:
-        """Ids of words that all have ``length`` characters."""
-        prefix = np.zeros((len(words), length + 1), np.uint64)
-        prefix[:, 1:] = self.hashes(_codes(words, length))
+    def _viterbi(self, words: list[str], length: int) -> list[bytes]:
+        """Packed ids of words that all have ``length`` characters."""
+        codes = _codes(words, length)
+        prefix = np.zeros((length + 1, len(words)), np.uint64)
+        prefix[1:] = self.hashes(codes).T
         best = np.full((length + 1, len(words)), -np.inf)
         best[0] = 0
         step = np.ones((length + 1, len(words)), np.int32)
         piece = np.full((length + 1, len(words)), -1, np.int64)  # place in the sorted keys
+        sizes = np.array([x for x in self.lengths if x <= length], np.int64)
         for end in range(1, length + 1):
             # an unknown character, unless there is a piece
             best[end] = best[end - 1] + self.unknown_score * (length + 1.0 if self.merged else 1.0)
-            for size in self.lengths:
-                if size > end:
-                    break
-                at = self._find(prefix[:, end] - prefix[:, end - size] * self.powers[size])
-                rows = np.flatnonzero((at >= 0) & self.usable[at])
-                if self.merged and len(rows):
-                    rows = rows[self._may_meet(piece[end - size, rows], at[rows])]
-                total = best[end - size, rows] + self.scores[at[rows]]
-                better = total >= best[end, rows]
-                rows = rows[better]
-                best[end, rows], step[end, rows] = total[better], size
-                piece[end, rows] = at[rows]
-        out: list[list[int]] = []
-        for row, word in enumerate(words):
-            ids, end = [], length
-            while end:
-                if piece[end, row] >= 0:
-                    ids.append(int(self.ids[piece[end, row]]))
-                else:
-                    ids.extend(self.byte_ids.get(b, self.unknown)
-                               for b in reversed(word[end - 1].encode("utf-8", "surrogatepass")))
-                end -= step[end, row]
-            out.append(ids[::-1])
+            fit = sizes[sizes <= end]
+            hashes = prefix[end] - prefix[end - fit] * self.powers[fit, None]
+            at = self._find(hashes.ravel())
+            hits = np.flatnonzero(at >= 0)
+            at, which, rows = at[hits], hits // len(words), hits % len(words)
+            keep = self.usable[at]
+            if self.merged:
+                keep[keep] = self._may_meet(piece[end - fit[which[keep]], rows[keep]], at[keep])
+            at, which, rows = at[keep], which[keep], rows[keep]
+            # by piece length; the rows of one length are distinct
+            for k in np.unique(which):
+                part = which == k
+                row, found = rows[part], at[part]
+                total = best[end - fit[k], row] + self.scores[found]
+                better = total >= best[end, row]
+                row = row[better]
+                best[end, row], step[end, row] = total[better], fit[k]
+                piece[end, row] = found[better]
+        # All words follow their backpointers together; ids fill up from the right.
+        checks = np.zeros((length + 1, len(words)), np.uint64)
+        checks[1:] = self.hashes(codes, _CHECK).T
+        ids = np.zeros((len(words), length), np.uint32)
+        filled = np.zeros(len(words), np.int64)
+        odd = np.zeros(len(words), bool)
+        rows, end = np.arange(len(words)), np.full(len(words), length)
+        while len(rows):
+            at, start = piece[end, rows], end - step[end, rows]
+            real = checks[end, rows] - checks[start, rows] * self.check_powers[end - start] == self.checks[at]
+            odd[rows[(at < 0) | ~real]] = True
+            filled[rows] += 1
+            ids[rows, length - filled[rows]] = self.ids[at]
+            on = start > 0
+            rows, end = rows[on], start[on]
+        used = np.arange(length)[None, :] >= length - filled[:, None]
+        flat = ids[used].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(filled)).tolist()
+        out = [flat[a:b] for a, b in zip([0, *stops], stops)]
+        for row in np.flatnonzero(odd).tolist():
+            out[row] = self._spelled(words[row], step[:, row], piece[:, row], checks[:, row])
         return out
 
-    def _check(self, word: str, ids: list[int]) -> list[int]:
-        if self.unknown in ids or self._join(ids) == word:
-            return ids
-        # a colliding hash: take the word's characters one by one
-        single = [i for c in word for i in self._viterbi([c], 1)[0]]
-        return single if self._join(single) == word else \
-            [self.byte_ids.get(b, self.unknown) for b in word.encode("utf-8", "surrogatepass")]
-
-    def _learn(self, words: set[str]) -> None:
+    def _spelled(self, word: str, step: np.ndarray, piece: np.ndarray, checks: np.ndarray) -> bytes:
+        """The same for one word with an unknown character, or with a piece whose
+        hash collides: their bytes are spelled out."""
+        ids, end = [], len(word)
+        while end:
+            start, at = end - int(step[end]), int(piece[end])
+            if at >= 0 and self.pieces[self.ids[at]] == word[start:end]:
+                ids.append(int(self.ids[at]))
+            else:
+                ids.extend(self.byte_ids.get(b, self.unknown)
+                           for b in reversed(word[start:end].encode("utf-8", "surrogatepass")))
+            end = start
+        return np.array(ids[::-1], "<u4").tobytes()
+
+    def _learn(self, keys: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
-        for word in sorted(words):
-            by_length.setdefault(len(word), []).append(word)
+        for key in keys:
+            by_length.setdefault(len(key), []).append(key)
         for length, same in by_length.items():
-            most = max(1, BATCH_CELLS // length)
+            most = max(1, BATCH_CELLS // (length + 1))
             for lo in range(0, len(same), most):
                 part = same[lo:lo + most]
-                for word, ids in zip(part, self._viterbi(part, length)):
-                    self.known[word] = np.array(self._check(word, ids), "<u4").tobytes()
+                self.known.update(zip(part, self._viterbi([MARK + k for k in part], length + 1)))
 
     @staticmethod
-    def words(text: str) -> list[str]:
-        """Words of a text with its marks; they join to the whole."""
+    def keys_of(text: str) -> list[str]:
+        """A text's words, each without its first mark."""
         if not text:
             return []
-        parts = (" " + text).replace(" ", MARK).split(MARK)[1:]
+        if "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
         out, marks = [], 0
-        for part in parts:
-            marks += 1
+        for part in text.replace(" ", MARK).split(MARK):
             if part:
                 out.append(MARK * marks + part)
                 marks = 0
+            else:
+                marks += 1
         if marks:
-            out.append(MARK * marks)
+            out.append(MARK * (marks - 1))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        split = [self.words(t) for t in texts]
-        self._learn({w for words in split for w in words if w not in self.known})
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        found, new = [], set()
+        for text in texts:
+            keys = self.keys_of(text)
+            ids = list(map(self.known.get, keys))
+            if None in ids:
+                new.update(k for k, x in zip(keys, ids) if x is None)
+            found.append((keys, ids))
+        self._learn(new)
+        return [b"".join(self.known[k] if x is None else x for k, x in zip(keys, ids))
+                if None in ids else b"".join(ids) for keys, ids in found]
 
     def _join(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -235,8 +284,12 @@ class Vocabulary:
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        return self._join(ids).replace(MARK, " ")[1:]
+    def decode(self, ids: np.ndarray) -> str:
+        if self.is_byte[ids].any():
+            text = self._join(ids.tolist())
+        else:
+            text = "".join(self.piece_array[ids])
+        return text.replace(MARK, " ")[1:]
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -249,7 +302,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 #: Texts encoded at a time, so that a batch of long ones needs little memory.
-TEXTS = 256
+TEXTS = 2048
 
 
 def encode(text: Column, path: str) -> Column:
@@ -271,7 +324,8 @@ def decode(ids: Column, path: str) -> Column:
     """The text of an array of ids."""
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
-        vocab = vocabulary(path)
-        return pa.array([vocab.decode(x or []) for x in lists.to_pylist()], pa.string())
+        vocab, values = vocabulary(path), lists.values.to_numpy(zero_copy_only=False)
+        at = lists.offsets.to_numpy()
+        return pa.array([vocab.decode(values[a:b]) for a, b in zip(at[:-1], at[1:])], pa.string())
 
     return decoded(ids)
