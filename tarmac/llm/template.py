@@ -14,10 +14,13 @@ its path and words. The pages of one host come from one template, so:
    page. Valid classes nest into it by their paths; text tokens of the root
    class are constants of the template.
 4. *Slots.* What is left of a page are the slots between template tokens. The
-   main slot is the deepest element of the root class that holds most of the
-   host's running text. Its blocks, without the template's constants and
-   without elements that are never an article (menus, notices, forms, scripts,
-   comments and the like), are the page's text.
+   main slot is the article (or main) element of the root class, if it has most
+   of the host's own running text; else the smallest element of the root class
+   around all of its slots and the headings and paragraphs beside them. Its
+   blocks, without the template's constants and without elements that are never
+   an article (menus, notices, forms, scripts, comments and the like), are the
+   page's text. Where no article or main element marks it, running text outside
+   the slot that is no constant stays as well.
 
 A host with fewer than ``MIN_PAGES`` pages, or a page without its host's main
 element, has no template to speak of: there the page's own article or main
@@ -61,6 +64,8 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main nav ol pre section table ul".split())
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th "
+                    "caption figure figcaption details summary".split())
 SCOPE = frozenset("table ul ol dl div section article aside nav header footer form main body html".split())
 
 # Names in class, id and role attributes of what is not an article.
@@ -77,6 +82,13 @@ _MARKUP = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*
 
 _ROOT = 0x9E3779B9
 
+#: Roles of elements: what a slot is made of, and what marks one.
+CONTAINER, TEXT, SECTION, ARTICLE, MAIN = range(5)
+
+
+def _role(name: str) -> int:
+    return {"section": SECTION, "article": ARTICLE, "main": MAIN}.get(name, TEXT if name in TEXTUAL else CONTAINER)
+
 
 def _digest(text: str, seed: int) -> int:
     """A signed 64-bit hash."""
@@ -108,7 +120,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[BlockOfText] = []
-        self.elements: list[tuple[int, int]] = []  # (token, token of the parent)
+        self.elements: list[tuple[int, int, int]] = []  # (token, token of the parent, role)
         self._paths: dict[tuple[int, str], int] = {}
         self._stack = [_Element("", _ROOT, False, False)]
         self._text: list[str] = []
@@ -190,7 +202,7 @@ class Page:
             path = self._paths.get((outer.path, label))
             if path is None:
                 path = self._paths[outer.path, label] = _digest(label, outer.path)
-            self.elements.append((path, outer.path))
+            self.elements.append((path, outer.path, _role(name)))
         self._stack.append(_Element(name, path, never, parent.link or name == "a"))
 
     def _end_implied(self, ends) -> None:
@@ -213,34 +225,42 @@ class Page:
         if name == "p":
             self._flush()
 
-    def tokens(self) -> list[tuple[int, int, bool, int, int]]:
+    def tokens(self) -> list[tuple[int, int, bool, int, int, int]]:
         """(token, parent, is_text, number, characters of running text below it,
-        or of the text itself)."""
+        or of the text itself if it is no link, role)."""
         chars: Counter = Counter()
         texts: Counter = Counter()
         size: Counter = Counter()
         for b in self.blocks:
             if not b.never:
                 texts[b.token, b.chain[-1] if b.chain else _ROOT] += 1
-                size[b.token] += len(b.text)
                 if not b.linked:
+                    size[b.token] += len(b.text)
                     for path in b.chain:
                         chars[path] += len(b.text)
-        out = [(t, p, False, n, chars[t]) for (t, p), n in Counter(self.elements).items()]
-        out += [(t, p, True, n, size[t]) for (t, p), n in texts.items()]
+        out = [(t, p, False, n, chars[t], role) for (t, p, role), n in Counter(self.elements).items()]
+        out += [(t, p, True, n, size[t], CONTAINER) for (t, p), n in texts.items()]
         return out
 
     def main_text(self, main: int | None, constants: frozenset) -> list[str]:
         """Blocks of the main slot in page order."""
         blocks = [b for b in self.blocks if not b.never]
-        inside = [b for b in blocks if main is not None and main in b.chain]
-        if inside:
-            return [b.text for b in inside if b.token not in constants]
+        place = next((b.names[b.chain.index(main)] for b in blocks if main in b.chain), None)
+        if place in ("article", "main"):
+            return [b.text for b in blocks if main in b.chain and b.token not in constants]
+        # An article whose class differs from page to page is in no class of the host.
+        running = sum(len(b.text) for b in blocks if not b.linked and b.token not in constants)
         for name in ("article", "main"):
             inside = [b for b in blocks if name in b.names]
-            if inside:
-                return [b.text for b in inside]
-        return [b.text for b in blocks if not b.linked]
+            own = sum(len(b.text) for b in inside if not b.linked and b.token not in constants)
+            if inside and (place is None or running and own >= MAIN_SHARE * running):
+                return [b.text for b in inside if place is None or b.token not in constants]
+        if place is None:
+            return [b.text for b in blocks if not b.linked]
+        # links outside the slot, or in the whole page, are no article
+        links = place not in ("html", "body")
+        return [b.text for b in blocks if b.token not in constants
+                and (not b.linked or links and main in b.chain)]
 
 
 def host_of(url: Column) -> Column:
@@ -258,21 +278,21 @@ def templates(pages: DataFrame) -> DataFrame:
             for host, key, source in zip(*(c.to_pylist() for c in batch.columns)):
                 page = Page(source)
                 rows.append((host, key, _ROOT, 0, False, 1, sum(
-                    len(b.text) for b in page.blocks if not b.never and not b.linked)))
+                    len(b.text) for b in page.blocks if not b.never and not b.linked), CONTAINER))
                 rows.extend((host, key, *t) for t in page.tokens())
             cols = list(zip(*rows))
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["host", "key", "token", "parent", "is_text", "n", "chars"])
+                                             names=["host", "key", "token", "parent", "is_text", "n", "chars", "role"])
 
     tokens = pages.select("host", "key", "html").mapInArrow(
-        read, "host string, key bigint, token bigint, parent bigint, is_text boolean, n int, chars bigint")
+        read, "host string, key bigint, token bigint, parent bigint, is_text boolean, n int, chars bigint, role int")
     # The vector of a token, as a sum over pages; a token in one place has one parent.
     vectors = written(tokens.groupBy("host", "token").agg(
         F.min("parent").alias("parent"), F.max("is_text").alias("is_text"),
         F.count(F.lit(1)).alias("support"), F.max("n").alias("most"),
         F.sum(F.xxhash64("key", "n").cast("decimal(38,0)")).alias("vector"),
-        F.sum("chars").alias("chars")), "template-vectors")
+        F.sum("chars").alias("chars"), F.max("role").alias("role")), "template-vectors")
     hosts = vectors.filter(F.col("token") == _ROOT).select(
         "host", F.col("support").alias("pages"), F.col("chars").alias("all_chars")).filter(
         F.col("pages") >= MIN_PAGES)
@@ -281,7 +301,7 @@ def templates(pages: DataFrame) -> DataFrame:
     frequent = common.join(hosts, "host").filter(F.col("support") >= F.col("pages") * SUPPORT)
     # Classes: tokens of a host with one vector, a bounded number (a page's tokens).
     classes = frequent.groupBy("host", "vector", "support", "most", "pages", "all_chars").agg(
-        F.collect_list(F.struct("token", "parent", "is_text", "chars")).alias("tokens"))
+        F.collect_list(F.struct("token", "parent", "is_text", "chars", "role")).alias("tokens"))
     found = classes.groupBy("host").agg(
         F.first("all_chars").alias("all_chars"),
         F.collect_list(F.struct("support", "most", "tokens")).alias("classes"))
@@ -298,29 +318,59 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def _template(total: int, classes: list[dict]) -> tuple[int | None, list[int]]:
-    """The main slot's token and the constant text tokens of one host."""
-    once = {t["token"]: t for c in classes if c["most"] == 1 for t in c["tokens"]}
+    """The main slot's token and the text tokens of one host that are cut."""
     every = {t["token"]: t for c in classes for t in c["tokens"]}
+    most = {t["token"]: c["most"] for c in classes for t in c["tokens"]}
 
-    def depth(token: int) -> int:
-        """Elements above a token; -1 if one of them is in no valid class."""
-        steps = 0
+    def above(token: int) -> list[int] | None:
+        """Elements around a token, innermost first; None if one is in no valid class."""
+        out: list[int] = []
         while token != _ROOT:
-            if token not in every or steps > 1000:
-                return -1
-            token, steps = every[token]["parent"], steps + 1
-        return steps
-
-    nested = {token: depth(token) for token in once}
-    slots = [(d, once[t]["chars"], t) for t, d in nested.items()
-             if d > 0 and not once[t]["is_text"] and once[t]["chars"] >= MAIN_SHARE * total and total]
-    main = max(slots)[2] if slots else None
-    constants = sorted(t for t, d in nested.items() if d > 0 and once[t]["is_text"])
+            if token not in every or len(out) > 1000:
+                return None
+            token = every[token]["parent"]
+            out.append(token)
+        return out
+
+    places = {t: p for t in every if t != _ROOT and (p := above(t)) is not None}
+    fixed = [t for t in places if every[t]["is_text"] and most[t] == 1]
+    own = {t: every[t]["chars"] for t in places if not every[t]["is_text"]}
+    own[_ROOT] = total
+    for t in fixed:
+        for place in places[t]:
+            own[place] -= every[t]["chars"]
+    if own[_ROOT] <= 0:  # copies of one page: their text is the article
+        own = {t: total if t == _ROOT else every[t]["chars"] for t in own}
+    if own[_ROOT] <= 0:
+        return None, sorted(fixed)
+
+    def role(token: int) -> int:
+        return CONTAINER if token == _ROOT else every[token]["role"]
+
+    marked = [(role(t), len(places[t]), t) for t in own if t != _ROOT and most[t] == 1
+              and role(t) in (ARTICLE, MAIN) and own[t] >= MAIN_SHARE * own[_ROOT]]
+    if marked:
+        main = min(marked)[2]
+    else:
+        below: dict[int, list[int]] = {}
+        for t in own:
+            if t != _ROOT and every[t]["chars"] > 0 and (own[t] > 0 or role(t) in (TEXT, SECTION)):
+                below.setdefault(every[t]["parent"], []).append(t)
+        main, slot = None, _ROOT
+        while len(below.get(slot, ())) == 1:
+            slot = below[slot][0]
+            if (most[slot] > 1 or role(slot) == TEXT or own[slot] < SUPPORT * own[_ROOT]
+                    or every[slot]["chars"] < MAIN_SHARE * total):
+                break
+            main = slot
+
+    outside = [t for t in fixed if main not in places[t]]
+    inside = [t for t in fixed if main in places[t]]
     # Pages that are copies of one article have no text but constants: those
     # are the article, not the template.
-    if main is not None and sum(once[t]["chars"] for t in constants) >= MAIN_SHARE * once[main]["chars"]:
-        constants = []
-    return main, constants
+    if main is not None and sum(every[t]["chars"] for t in inside) >= MAIN_SHARE * every[main]["chars"]:
+        inside = []
+    return main, sorted(outside + inside)
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

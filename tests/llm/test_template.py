@@ -72,3 +72,31 @@ def test_blocks_name_their_place():
     p = Page("<div><p>a <i>b</i><p>c</div>d")
     assert [b.text for b in p.blocks] == ["a b", "c", "d"]
     assert p.blocks[0].chain == p.blocks[1].chain and len(p.blocks[2].chain) == 0
+
+
+def texts_of(spark, sources):
+    rows = [(i, f"https://h.example.org/{i}", source) for i, source in enumerate(sources)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r.text for r in sorted(main_texts(df).collect(), key=lambda r: r.page_id)]
+
+
+def article(i, tag="article"):
+    return (f"<body><nav><a href='/'>Home</a></nav><{tag} class=c><h1>Title {i}</h1><p class=lead>Lead of {i}.</p>"
+            f"<div class=body><p>Body {i} {'word ' * 60}</p></div><section class=one><p>First section {i}.</p></section>"
+            f"<section class=two><p>Second section {i} {'text ' * 30}</p></section></{tag}><footer>f</footer></body>")
+
+
+def test_hosts_of_four_and_five_pages_keep_the_whole_article(spark):
+    four, five = (texts_of(spark, [article(i) for i in range(n)]) for n in (4, 5))
+    assert four == five[:4]
+    for i, text in enumerate(five):
+        assert text.split("\n") == [f"Title {i}", f"Lead of {i}.", f"Body {i} {'word ' * 60}".strip(),
+                                    f"First section {i}.", f"Second section {i} {'text ' * 30}".strip()]
+    # without an article element the slot is around all of these
+    assert texts_of(spark, [article(i, "div") for i in range(5)]) == five
+
+
+def test_article_of_one_paragraph_keeps_its_heading(spark):
+    got = texts_of(spark, [f"<body><article><h1>Title {i}</h1><p>{f'own {i} ' * 20}</p></article></body>"
+                           for i in range(6)])
+    assert [t.split("\n")[0] for t in got] == [f"Title {i}" for i in range(6)]
