@@ -37,6 +37,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -68,12 +69,22 @@ TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre table
                     "caption figure figcaption details summary".split())
 SCOPE = frozenset("table ul ol dl div section article aside nav header footer form main body html".split())
 
-# Names in class, id and role attributes of what is not an article.
-_NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-?bar|menu|nav|navbar|navigation|"
+# Names in class, id and role attributes of what is not an article. A
+# name counts as a whole, or by its first or last part.
+_WHOLE = re.compile(
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-?bar|menu|nav|navbar|navigation|"
     r"breadcrumbs?|header|masthead|footer|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|"
     r"subscribe|subscription|share|sharing|social|related|recommended|comments?|replies|reply|disqus|"
-    r"widget|pagination|pager|search|login|signup|toolbar|skip)(?:$|[\s_-])", re.I)
+    r"widget|pagination|pager|search|login|signup|toolbar|skip)")
+_FIRST = re.compile(
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|"
+    r"cookies?|consent|popup|modal|newsletter|subscribe|subscription|share|sharing|social|related|recommended|"
+    r"comments?|disqus|pagination|pager|toolbar)")
+_LAST = re.compile(_FIRST.pattern[:-1] + r"|masthead|notices?|alert|overlay|replies)")
+_PAIR = re.compile(r"(?:site|top|global|main)[_-]header|widget[_-]area|skip[_-](?:link|links|to[_-]\w+)|reply[_-]\w+|"
+                   r"(?:search|login|signup)[_-](?:form|box|bar|field|panel|widget)")
+#: Words that say how a page is laid out, not what an element is.
+_LAYOUT = frozenset("has with no without not".split())
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""",
                      re.I)
@@ -90,6 +101,19 @@ def _role(name: str) -> int:
     return {"section": SECTION, "article": ARTICLE, "main": MAIN}.get(name, TEXT if name in TEXTUAL else CONTAINER)
 
 
+@lru_cache(4096)
+def _names_no_article(names: str) -> bool:
+    """Whether a class, id or role names an element that is not an article."""
+    for name in names.lower().split():
+        parts = [x for x in re.split(r"[_-]+", name) if x]
+        if not parts or _LAYOUT.intersection(parts):
+            continue
+        if (_WHOLE.fullmatch(name) or _PAIR.fullmatch(name)
+                or len(parts) > 1 and (_FIRST.fullmatch(parts[0]) or _LAST.fullmatch(parts[-1]))):
+            return True
+    return False
+
+
 def _digest(text: str, seed: int) -> int:
     """A signed 64-bit hash."""
     value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed & (2**64 - 1))
@@ -97,20 +121,23 @@ def _digest(text: str, seed: int) -> int:
 
 
 class _Element:
-    __slots__ = ("name", "path", "never", "link")
+    __slots__ = ("name", "path", "never", "link", "named")
 
-    def __init__(self, name: str, path: int, never: bool, link: bool):
+    def __init__(self, name: str, path: int, never: bool, link: bool, named: tuple = ()):
         self.name, self.path, self.never, self.link = name, path, never, link
+        self.named = named
 
 
 class BlockOfText:
     """One block: its text, the hashes of the elements around it (outermost
-    first), its own token, and whether it lies in a never or a link element."""
+    first), its own token, whether it lies in a never or a link element, and the
+    elements around it that are named as no article."""
 
-    __slots__ = ("text", "chain", "token", "never", "linked", "names")
+    __slots__ = ("text", "chain", "token", "never", "linked", "names", "named")
 
-    def __init__(self, text: str, chain: tuple, never: bool, linked: bool, names: tuple):
+    def __init__(self, text: str, chain: tuple, never: bool, linked: bool, names: tuple, named: tuple = ()):
         self.text, self.chain, self.never, self.linked, self.names = text, chain, never, linked, names
+        self.named = named
         self.token = _digest(text, chain[-1] if chain else _ROOT)
 
 
@@ -125,8 +152,10 @@ class Page:
         self._stack = [_Element("", _ROOT, False, False)]
         self._text: list[str] = []
         self._letters = self._linked = 0
+        self._serial = 0
         self._read(source)
         self._flush()
+        self._exclude_named()
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
@@ -173,7 +202,7 @@ class Page:
             place = [e for e in self._stack if e.name not in INLINE]
             self.blocks.append(BlockOfText(
                 text, tuple(e.path for e in place[1:]), self._stack[-1].never,
-                2 * linked > letters, tuple(e.name for e in place[1:])))
+                2 * linked > letters, tuple(e.name for e in place[1:]), self._stack[-1].named))
 
     def _open(self, name: str, rest: str) -> None:
         inline = name in INLINE
@@ -189,12 +218,14 @@ class Page:
         parent = self._stack[-1]
         outer = next(e for e in reversed(self._stack) if e.name not in INLINE)
         label = name
-        never = parent.never or name in NEVER
+        never, named = parent.never or name in NEVER, parent.named
         if rest.strip():
             names = " ".join(a or b or c for a, b, c in _NAMED.findall(rest))
             if names:
                 label = f"{name} {re.sub(r'[0-9]+', '0', names)}"
-                never = never or bool(_NOT_ARTICLE.search(names)) and name not in ("html", "body", "article", "main")
+                if not never and name not in ("html", "body", "main") and _names_no_article(names):
+                    self._serial += 1
+                    named += ((self._serial, name == "article"),)
             never = never or bool(_HIDDEN.search(rest))
         if inline:
             path = outer.path
@@ -203,7 +234,7 @@ class Page:
             if path is None:
                 path = self._paths[outer.path, label] = _digest(label, outer.path)
             self.elements.append((path, outer.path, _role(name)))
-        self._stack.append(_Element(name, path, never, parent.link or name == "a"))
+        self._stack.append(_Element(name, path, never, parent.link or name == "a", named))
 
     def _end_implied(self, ends) -> None:
         for i in range(len(self._stack) - 1, 0, -1):
@@ -225,6 +256,32 @@ class Page:
         if name == "p":
             self._flush()
 
+    def _exclude_named(self) -> None:
+        """Blocks in elements named as no article are left out, unless the name is
+        that of a wrapper of the page's article or of most of its running text."""
+        blocks = [b for b in self.blocks if not b.never]
+        if not any(b.named for b in blocks):
+            return
+        total = rest = articles = headings = 0
+        size, article, heading = Counter(), Counter(), Counter()  # inside each named element
+        for b in blocks:
+            if b.linked:
+                continue
+            inside = {serial for serial, own in b.named if not own}
+            # an article that is itself named, such as a comment, is not the page's
+            marked = ("article" in b.names or "main" in b.names) and not any(own for _, own in b.named)
+            total, articles, headings = total + len(b.text), articles + marked, headings + ("h1" in b.names)
+            if not inside:
+                rest += len(b.text)
+            for serial in inside:
+                size[serial] += len(b.text)
+                article[serial] += marked
+                heading[serial] += "h1" in b.names
+        wrappers = {s for s, n in size.items() if article[s] == articles and (
+            articles and n > rest or 2 * n > total and heading[s] == headings)}
+        for b in blocks:
+            b.never = any(not own and serial not in wrappers for serial, own in b.named)
+
     def tokens(self) -> list[tuple[int, int, bool, int, int, int]]:
         """(token, parent, is_text, number, characters of running text below it,
         or of the text itself if it is no link, role)."""

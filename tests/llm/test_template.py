@@ -100,3 +100,36 @@ def test_article_of_one_paragraph_keeps_its_heading(spark):
     got = texts_of(spark, [f"<body><article><h1>Title {i}</h1><p>{f'own {i} ' * 20}</p></article></body>"
                            for i in range(6)])
     assert [t.split("\n")[0] for t in got] == [f"Title {i}" for i in range(6)]
+
+
+def test_layout_classes_are_no_menus():
+    def kept(source):
+        return Page(source).main_text(None, frozenset())
+
+    for names in ("content with-sidebar", "page no-sidebar", "layout has-sidebar", "post no-comments",
+                  "search-results", "elementor-widget elementor-widget-text-editor"):
+        # the text beside it is longer: only the name speaks
+        assert kept(f"<h1>T</h1><div class='{names}'><p>own</p></div><p>{'other ' * 9}</p>")[1] == "own", names
+    for names in ("ad", "ad-slot", "site-footer", "main-nav", "comments", "comment-list", "cookie-banner",
+                  "left-sidebar", "search-form", "widget widget_recent", "related-posts", "x menu"):
+        assert kept(f"<h1>T</h1><div class='{names}'><p>no</p></div><p>own text</p>") == ["T", "own text"], names
+
+
+def test_wrapper_of_the_article_is_kept_whatever_its_name():
+    def kept(source):
+        return Page(source).main_text(None, frozenset())
+
+    long = "reply " * 50
+    comments = f"<div class=comments><article class=comment><p>{long}</p></article></div>"
+    wrapped = "<div class='wrap sidebar-open'><article><h1>T</h1><p>own text</p></article>"
+    assert kept(f"{wrapped}{comments}</div>") == ["T", "own text"]
+    assert kept(f"{wrapped}</div>{comments}") == ["T", "own text"]
+    assert kept("<div class=modal-open><h1>T</h1><p>own text</p></div><div class=share>x</div>") == ["T", "own text"]
+    # long comments beside an article of another place stay out
+    assert kept(f"<div><h1>T</h1><p>own text</p></div><div class=comments><p>{long}</p></div>") == ["T", "own text"]
+
+
+def test_host_with_a_layout_class_keeps_its_pages(spark):
+    got = texts_of(spark, [f"<body class=x><div class='layout has-sidebar'><article><h1>Title {i}</h1><p>own {i}</p>"
+                           "</article></div></body>" for i in range(6)])
+    assert got == [f"Title {i}\nown {i}" for i in range(6)]
