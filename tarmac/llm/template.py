@@ -421,8 +421,19 @@ def _template(total: int, classes: list[dict]) -> tuple[int | None, list[int]]:
                 break
             main = slot
 
+    def of_template(token: int) -> bool:
+        """Whether a constant of the main slot is no running text: a link, or at
+        a place of its own that never has a page's own text."""
+        if not every[token]["chars"]:
+            return True
+        around = iter(places[token])
+        place = next(around)
+        while not marked and role(place) in (TEXT, SECTION):
+            place = next(around)
+        return role(place) == CONTAINER and own[place] <= 0
+
     outside = [t for t in fixed if main not in places[t]]
-    inside = [t for t in fixed if main in places[t]]
+    inside = [t for t in fixed if main in places[t] and of_template(t)]
     # Pages that are copies of one article have no text but constants: those
     # are the article, not the template.
     if main is not None and sum(every[t]["chars"] for t in inside) >= MAIN_SHARE * every[main]["chars"]:

@@ -133,3 +133,14 @@ def test_host_with_a_layout_class_keeps_its_pages(spark):
     got = texts_of(spark, [f"<body class=x><div class='layout has-sidebar'><article><h1>Title {i}</h1><p>own {i}</p>"
                            "</article></div></body>" for i in range(6)])
     assert got == [f"Title {i}\nown {i}" for i in range(6)]
+
+
+def test_text_shared_by_all_articles_of_a_host_stays(spark):
+    shared = "shared passage " * 20
+    for tag in ("article", "div"):
+        got = texts_of(spark, [
+            f"<body><div class=top><p>Welcome here</p></div><{tag} id=c><h1>Common heading</h1><p class=lead>{shared}</p>"
+            f"<p>{f'own {i} ' * 60}</p><p class=end>The end.</p><p class=go><a href='/'>Go on</a></p>"
+            f"<div class=x>Read our other pages</div></{tag}></body>" for i in range(8)])
+        for i, text in enumerate(got):
+            assert text.split("\n") == ["Common heading", shared.strip(), f"own {i} " * 59 + f"own {i}", "The end."]
