@@ -160,29 +160,50 @@ def near_links(fps: DataFrame, radius: int) -> DataFrame:
     return buckets.select("fps").mapInArrow(link, "a bigint, b bigint").distinct()
 
 
+def _rooted(signed: DataFrame, radius: int, name: str, order: Column) -> DataFrame:
+    """(nfp, ``name``): the least ``order`` of the component of each fingerprint."""
+    distinct = signed.groupBy("fp").agg(F.min(order).alias("least"))
+    roots = components(near_links(distinct.select("fp"), radius), "simhash-links")
+    rooted = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
+              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias(name))
+    return (rooted.join(least, F.col("root") == F.col("r"))
+            .select(F.col("fp").alias("nfp"), name))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest id
     that is reachable over links."""
     signed = written(docs.select(F.col(id_col).alias("doc_id"),
                                  fingerprints(text_of(text_col), shingle).alias("fp")), "simhash")
-    distinct = signed.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(near_links(distinct.select("fp"), radius), "simhash-links")
-    # The smallest id of a component, by fingerprint.
-    rooted = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
-              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
-    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    named = (rooted.join(least, F.col("root") == F.col("r"))
-             .select(F.col("fp").alias("nfp"), "component_id"))
+    named = _rooted(signed, radius, "component_id", F.col("doc_id"))
     return signed.join(named, F.col("fp") == F.col("nfp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of each component, all its columns kept."""
-    gone = free_name(docs, "_gone")
-    found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    dropped = found.filter("doc_id != component_id or (doc_id is null and component_id is not null)")
-    ids = dropped.select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")
+    """``docs`` with one row of each component, all its columns kept: the
+    smallest id, null ids last, and of its texts the one with the smallest hash."""
+    signed = written(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
+                                 fingerprints(text_of(text_col), shingle).alias("fp")), "simhash")
+    named = _rooted(signed, radius, "top", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("text_hash") == F.col("top.text_hash"))
+    # What goes, named by id and a hash of the text: neither alone names a row.
+    rows = written(signed.join(named, F.col("fp") == F.col("nfp"))
+                   .groupBy("doc_id", "text_hash", stays.alias("stays")).agg(F.count(F.lit(1)).alias("n"))
+                   .filter("not stays or n > 1"), "near-rows")
+    several = written(rows.filter("stays").select("doc_id", "text_hash"), "near-repeated")
+    gone = written(rows.select("doc_id", "text_hash"), "near-gone")
+    ids, hashes, own = (free_name(docs, x) for x in ("_gone_id", "_gone_hash", "_text_hash"))
+    hashed = docs.withColumn(own, F.xxhash64(text_of(text_col)))
+
+    def listed(df: DataFrame) -> DataFrame:
+        return df.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes))
+
+    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(own) == F.col(hashes))
+    left = hashed.join(listed(gone), same, "left_anti")
+    # Repeated rows of a document that stays went too: one of each comes back.
+    again = hashed.join(listed(several), same, "left_semi").dropDuplicates([id_col, own])
+    return left.select(docs.columns).unionByName(again.select(docs.columns))

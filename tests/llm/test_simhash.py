@@ -5,6 +5,7 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from tarmac.llm import simhash
 
 
@@ -116,3 +117,27 @@ def test_forest_of_close_values():
     values = np.unique(rng.integers(0, 4096, 400).astype(np.uint64))
     a, b = simhash._forest(values, 1)
     assert len(a) == len(values) - len(set(brute_components([int(v) for v in values], 1)))
+
+
+def test_one_row_of_each_component_stays(spark, docs_of):
+    def kept(rows):
+        df = docs_of(rows)
+        out = simhash.drop_near_duplicates(df)
+        assert out.columns == df.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    # a null id beside a real one takes no other null id with it
+    assert kept([(None, "a b c d"), (3, "a b c d"), (None, "q r s t u")]) == [(3, "a b c d"), (None, "q r s t u")]
+    # null ids alone leave one row of a component, as do repeated rows
+    assert kept([(None, "a b c d"), (None, "A b c d"), (None, "a b c d"), (7, "q r s t u"), (7, "q r s t u")]) in (
+        [(7, "q r s t u"), (None, text)] for text in ("a b c d", "A b c d"))
+    # two texts under one id: only the copy goes
+    assert kept([(1, "a b c d"), (2, "a b c d"), (2, "q r s t u")]) == [(1, "a b c d"), (2, "q r s t u")]
+    assert kept([(2, "a b c d"), (2, "A b c d"), (5, "a b c d")]) in ([(2, text)] for text in ("a b c d", "A b c d"))
+
+
+def test_near_stage_of_the_pipeline_with_null_and_repeated_ids(spark):
+    rows = [(None, "a b c d", 1), (3, "a b c d", 2), (None, "q r s t u", 3), (3, "v w x y z", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns and {r.n for r in out.collect()} == {2, 3, 4}
