@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (exact, fingerprint, language, packing, quality, sentencepiece, simhash,
+from tarmac.llm import (exact, fingerprint, language, packing, quality, rules, sentencepiece, simhash,
                         substring, template, toxicity)
 from tarmac.llm.common import documents, fold, read_table
 
@@ -95,6 +95,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=1024, end_id=2)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = F.col(rules.result_column(docs))
+    return rules.quality_rules(docs).select("doc_id", *[found[c].alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_lines_removed", "kept_chars")])
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -107,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprint": op8_fingerprint,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
@@ -147,5 +156,56 @@ FROM words LEFT JOIN marked USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+OP13_SQL = rf"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS MATERIALIZED (
+    SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+    SELECT r, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS x
+    FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM words WHERE len(w) >= 3)),
+again AS (
+    SELECT r, unnest([p, p + 1, p + 2]) AS i
+    FROM (SELECT r, p, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT i) AS n FROM again GROUP BY r),
+lines AS MATERIALIZED (
+    SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line),
+judged AS (
+    SELECT r, n, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS ink,
+           NOT regexp_matches(line, {_quoted(rules.SENTENCE_END)})
+           OR 100 * len(list_filter(w, lambda x: regexp_matches(x, {_quoted(rules.ODD_WORD)})))
+              > {rules.MAX_ODD} * len(w)
+           OR regexp_matches(line, {_quoted(rules.MENU_LABEL)})
+           OR len(list_filter(w, lambda x: regexp_matches(x, {_quoted(rules.SEPARATOR)}))) >= 2
+           OR len(w) <= {rules.BOILERPLATE_WORDS} AND regexp_matches(line, {_quoted(rules.BOILERPLATE)})
+           AS fails
+    FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM lines)),
+of_lines AS (
+    SELECT r, sum(n) AS n, sum(n - 1) AS dup, sum(n - (CASE WHEN fails THEN 0 ELSE 1 END)) AS removed,
+           sum(CASE WHEN fails THEN 0 ELSE ink END) AS kept_chars
+    FROM judged GROUP BY r),
+facts AS (
+    SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(l.dup, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+           coalesce(l.n, 0) AS n_lines, coalesce(removed, 0) AS n_lines_removed,
+           coalesce(kept_chars, 0) AS kept_chars
+    FROM docs JOIN words USING (r) LEFT JOIN repeated USING (r) LEFT JOIN of_lines l USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND 100 * (word_chars - kept_chars) <= {rules.MAX_LOST} * word_chars AS kept,
+       CAST(n_lines AS BIGINT) AS n_lines, CAST(n_lines_removed AS BIGINT) AS n_lines_removed,
+       CAST(kept_chars AS BIGINT) AS kept_chars
+FROM (SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words
+             AS base_failed FROM facts)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_substring_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL, "op13_quality_rules": OP13_SQL}
