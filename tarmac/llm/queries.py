@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (exact, fingerprint, language, packing, quality, rules, sentencepiece, simhash,
-                        substring, template, toxicity)
+from tarmac.llm import (divergence, exact, fingerprint, language, packing, quality, rules, sentencepiece,
+                        simhash, substring, template, toxicity)
 from tarmac.llm.common import documents, fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=1024, end_id=2)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir), min_docs=10, top=10)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = F.col(rules.result_column(docs))
@@ -115,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprint": op8_fingerprint,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
+        "op11_source_divergence": op11_source_divergence,
         "op13_quality_rules": op13_quality_rules,
     }
 
@@ -156,6 +161,51 @@ FROM words LEFT JOIN marked USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+OP11_SQL = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+counts AS MATERIALIZED (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS d
+    FROM (SELECT r, lang, source, unnest(w) AS term FROM docs) GROUP BY lang, source, term),
+kept AS MATERIALIZED (
+    SELECT lang, term, CAST(sum(n) AS BIGINT) AS n_lang FROM counts GROUP BY lang, term HAVING sum(d) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS total FROM kept GROUP BY lang),
+known AS MATERIALIZED (
+    SELECT counts.lang, source, term, n, n_lang FROM counts JOIN kept USING (lang, term)),
+groups AS MATERIALIZED (
+    SELECT g.lang, g.source, coalesce(langs.v, 0) AS v, coalesce(langs.total, 0) AS lang_total,
+           coalesce(k.total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM known GROUP BY lang, source) k USING (lang, source)),
+shares AS MATERIALIZED (
+    SELECT g.lang, g.source, kept.term, coalesce(known.n, 0) AS n,
+           CAST(1 + (1000000000 * CAST(coalesce(known.n, 0) + 2 AS HUGEINT)) // (g.total + 2 * g.v) AS BIGINT) AS p,
+           CAST(1 + (1000000000 * CAST(kept.n_lang + 2 AS HUGEINT)) // (g.lang_total + 2 * g.v) AS BIGINT) AS q
+    FROM groups g JOIN kept USING (lang)
+    LEFT JOIN known ON known.lang = g.lang AND known.source = g.source AND known.term = kept.term),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+pairs AS (
+    SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN sums ON sums.lang = g.lang AND sums.source = g.source AND sums.item = h.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value
+    FROM shares WHERE n > 0 AND p > q)
+SELECT * FROM (
+    SELECT lang, source, part, item, value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -208,4 +258,5 @@ FROM (SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_substring_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL, "op13_quality_rules": OP13_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL,
+            "op11_source_divergence": OP11_SQL, "op13_quality_rules": OP13_SQL}
