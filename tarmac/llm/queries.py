@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (divergence, exact, fingerprint, language, packing, quality, rules, sentencepiece,
-                        simhash, substring, template, toxicity)
+                        simhash, substring, template, toxicity, whitening)
 from tarmac.llm.common import documents, fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(documents(spark, sf_dir), min_docs=10, top=10)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=4)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = F.col(rules.result_column(docs))
@@ -120,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
         "op11_source_divergence": op11_source_divergence,
+        "op12_whitening": op12_whitening,
         "op13_quality_rules": op13_quality_rules,
     }
 
