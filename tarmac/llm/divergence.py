@@ -168,6 +168,7 @@ def _block_pairs(table: pa.Table) -> pa.Table:
         groups[int(tile[rows[0]])].append(_Group(
             name, word[words], bits[words], level[words], int(total[rows[head[rows]][0]]), terms))
     out: list[tuple] = []
+    groups[a].sort(key=lambda g: g.name)  # a pair has the same order in every block
     for i, one in enumerate(groups[a]):
         others = groups[b] if a != b else groups[a][i + 1:]
         if others:
