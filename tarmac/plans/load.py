@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tarmac.operators.normalize import (
     assert_periods, conform, normalize, parse_file, parse_rows, typed, union_layouts,
 )
-from tarmac.sources import files
+from tarmac.sources import files, versioned
 from tarmac.sources.csv import REJECTED, read_csv, read_csv_mixed_encoding
-from tarmac.sources.tables import source_tables, write_normalized, write_year, year_table
+from tarmac.sources.tables import source_tables, write_year, year_exists
 
 PREFIX = "punctuality_data_"
 DESTINATION = "punctuality_data_all_years"
@@ -39,7 +39,7 @@ def parsed_year(spark: SparkSession, landing: str, year: str | int) -> tuple[Dat
 def load_year(spark: SparkSession, landing: str, tables: str, year: str | int, prefix: str = PREFIX,
               on_bad: str = "quarantine", overwrite: bool = True) -> bool:
     """Load one landed year; False when its table exists and stays as it is."""
-    if not overwrite and files.exists(spark, year_table(tables, prefix, year)):
+    if not overwrite and year_exists(spark, tables, prefix, year):
         return False
     if on_bad == "fail":
         raw = read_csv_mixed_encoding(spark, landing, year)
@@ -47,15 +47,17 @@ def load_year(spark: SparkSession, landing: str, tables: str, year: str | int, p
         write_year(parse_file(raw), tables, prefix, year)
         return True
     good, bad = parsed_year(spark, landing, year)
+    # The rejected rows first: a year that can be read has its quarantine.
+    versioned.replace(bad, f"{tables.rstrip('/')}/{QUARANTINE}/{prefix}{year}")
     write_year(good, tables, prefix, year)
-    bad.write.mode("overwrite").parquet(f"{tables.rstrip('/')}/{QUARANTINE}/{prefix}{year}")
     return True
 
 
 def quarantined(spark: SparkSession, tables: str) -> DataFrame | None:
     """All quarantined rows, or None when no year was loaded."""
     root = f"{tables.rstrip('/')}/{QUARANTINE}"
-    frames = [spark.read.parquet(f.path) for f in files.listing(spark, root) if f.is_dir]
+    frames = [versioned.read(spark, f.path) for f in files.listing(spark, root)
+              if f.is_dir and versioned.exists(spark, f.path)]
     return union_layouts(frames) if frames else None
 
 
@@ -63,13 +65,29 @@ def united(spark: SparkSession, tables: str, prefix: str = PREFIX,
            destination: str = DESTINATION) -> DataFrame:
     """The normalised union of all yearly tables but the union table itself."""
     names = source_tables(spark, tables, prefix, destination)
-    frames = [typed(spark.read.parquet(f"{tables.rstrip('/')}/{n}")) for n in names]
-    return conform(normalize(union_layouts(frames)))
+    return union_layouts([_normalized(spark, tables, name) for name in names])
+
+
+def _normalized(spark: SparkSession, tables: str, name: str) -> DataFrame:
+    return conform(normalize(typed(versioned.read(spark, f"{tables.rstrip('/')}/{name}"))))
 
 
 def load_union(spark: SparkSession, tables: str, prefix: str = PREFIX,
-               destination: str = DESTINATION) -> str:
-    """Write the union table; returns its path."""
+               destination: str = DESTINATION, full: bool = False) -> str:
+    """Bring the union table up to date; returns its path.
+
+    A part remembers which data of its yearly table it was made from. Parts
+    of other data are written anew, those of tables that are gone leave, and
+    all others stay as they are (``full`` rewrites all). Normalisation looks at
+    single rows, so the parts together are the union's normalisation."""
     path = f"{tables.rstrip('/')}/{destination}"
-    write_normalized(united(spark, tables, prefix, destination), path)
+    names = source_tables(spark, tables, prefix, destination)
+    now = {name: versioned.state(spark, f"{tables.rstrip('/')}/{name}") for name in names}
+    version = versioned.current(spark, path)
+    before = version.parts if version and not full else {}
+    stale = [name for name in names if name not in before or before[name].source != now[name]]
+    gone = tuple(name for name in (version.parts if version else {}) if name not in now)
+    if stale or gone:
+        versioned.replace_parts(spark, path, {name: _normalized(spark, tables, name) for name in stale},
+                                {name: now[name] for name in stale}, drop=gone)
     return path

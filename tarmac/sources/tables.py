@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.sources import files
-
-# Rows per output file; bounds file size however the input is partitioned.
-MAX_RECORDS_PER_FILE = 5_000_000
+from tarmac.sources import files, versioned
+from tarmac.sources.versioned import MAX_RECORDS_PER_FILE
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,8 +35,13 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def load_model(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """Read a written table, with a clear error naming it when it is missing."""
-    if not path_exists(spark, path):
+    """Read a written table (the newest version of one that has versions), with
+    a clear error naming it when it is missing."""
+    if versioned.exists(spark, path):
+        return versioned.read(spark, path)
+    # a folder of versions without any whole one is no table yet
+    if not path_exists(spark, path) or any(
+            f.name.startswith("data-") for f in files.listing(spark, path)):
         raise ValueError(f"there is no table {name or path} yet; build its model first")
     return spark.read.parquet(path)
 
@@ -51,18 +54,26 @@ def year_table(root: str, prefix: str, year: str | int) -> str:
 
 
 def write_year(df: DataFrame, root: str, prefix: str, year: str | int) -> None:
-    """Replace the table of one landed year, whatever years its rows name: a
-    stray row of another year stays in the table of the folder it came from."""
-    (df.hint("rebalance").write.mode("overwrite")
-       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .parquet(year_table(root, prefix, year)))
+    """Replace the table of one landed year in one step, whatever years its
+    rows name: a stray row of another year stays in the table of the folder it
+    came from. Readers see the old rows until the new ones are all there."""
+    versioned.replace(df, year_table(root, prefix, year))
+
+
+def year_exists(spark: SparkSession, root: str, prefix: str, year: str | int) -> bool:
+    return versioned.exists(spark, year_table(root, prefix, year))
+
+
+def _loaded(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Names of whole tables under ``root`` that start with ``prefix``, sorted."""
+    return [f.name for f in files.listing(spark, root)
+            if f.is_dir and f.name.startswith(prefix) and versioned.exists(spark, f.path)]
 
 
 def source_tables(spark: SparkSession, root: str, prefix: str, destination: str | None = None) -> list[str]:
     """Names of the tables under ``root`` that start with ``prefix``, sorted,
     without the union table itself. Raises when there are none."""
-    found = [f.name for f in files.listing(spark, root)
-             if f.is_dir and f.name.startswith(prefix) and f.name != destination]
+    found = [name for name in _loaded(spark, root, prefix) if name != destination]
     if not found:
         raise ValueError(f"no table under {root} starts with {prefix!r}")
     return found
@@ -70,15 +81,13 @@ def source_tables(spark: SparkSession, root: str, prefix: str, destination: str
 
 def loaded_years(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     """(year): the years that have a table under ``root``."""
-    names = [f.name.removeprefix(prefix) for f in files.listing(spark, root)
-             if f.is_dir and f.name.startswith(prefix)]
+    names = [name.removeprefix(prefix) for name in _loaded(spark, root, prefix)]
     return spark.createDataFrame([(n,) for n in names if n.isdigit()], "year string")
 
 
 def write_normalized(df: DataFrame, path: str) -> None:
-    """Full overwrite of the normalised union table."""
-    (df.hint("rebalance").write.mode("overwrite")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path))
+    """Replace the whole normalised union table in one step."""
+    versioned.replace(df, path)
 
 
 # ------------------------------------------------------- staging and marts

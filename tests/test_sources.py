@@ -108,8 +108,7 @@ def test_yearly_tables_keep_stray_rows(spark, scratch):
     _write(f"{landing}/2011/a.csv", HEADER + "201103,B,EU,R,X,S,30,5\n")
     load_year(spark, landing, tables, 2011)
     load_union(spark, tables)
-    spark.catalog.refreshByPath(tables)
-    got = spark.read.parquet(f"{tables}/{DESTINATION}").collect()
+    got = load_model(spark, f"{tables}/{DESTINATION}").collect()
     assert sorted((r.year, r.month) for r in got) == [(2010, 1), (2010, 2), (2011, 3)]
 
 
@@ -143,12 +142,12 @@ def test_write_year_and_other_sinks(spark, scratch):
     write_year(df, scratch, "t_", 2010)
     write_year(df.filter("year = 2011"), scratch, "t_", 2011)
     write_year(df.filter("v = 'c'"), scratch, "t_", 2011)
-    assert spark.read.parquet(year_table(scratch, "t_", 2010)).count() == 2
-    assert spark.read.parquet(year_table(scratch, "t_", 2011)).count() == 0
+    assert load_model(spark, year_table(scratch, "t_", 2010)).count() == 2
+    assert load_model(spark, year_table(scratch, "t_", 2011)).count() == 0
     for sink in (write_normalized, write_mart):
-        sink(df, f"{scratch}/once")
-        sink(df.limit(1), f"{scratch}/once")
-        assert spark.read.parquet(f"{scratch}/once").count() == 1
+        sink(df, f"{scratch}/{sink.__name__}")
+        sink(df.limit(1), f"{scratch}/{sink.__name__}")
+        assert load_model(spark, f"{scratch}/{sink.__name__}").count() == 1
 
 
 def test_staging_rebuild_drops_absent_months(spark, scratch):
@@ -170,6 +169,38 @@ def test_fingerprint_follows_the_files(spark, scratch):
     assert files.fingerprint(spark, [f"{scratch}/none"]) and files.listing(spark, f"{scratch}/none") == []
 
 
+def test_fingerprint_sees_changes_below_folders(spark, scratch):
+    """A partitioned input: a file two levels down is rewritten, added, renamed."""
+    base = f"{scratch}/t/year=2001/month=1"
+    _write(f"{base}/a.csv", "x")
+    _write(f"{scratch}/one.csv", "x")
+    paths = [f"{scratch}/t", f"{scratch}/one.csv", f"{scratch}/none"]
+    seen = [files.fingerprint(spark, paths)]
+    assert seen == [files.fingerprint(spark, paths)]
+    changes = (lambda: _write(f"{base}/a.csv", "xy"),
+               lambda: os.utime(f"{base}/a.csv", (1, 1)),
+               lambda: _write(f"{scratch}/t/year=2001/month=2/b.csv", "x"),
+               lambda: os.rename(f"{base}/a.csv", f"{base}/c.csv"),
+               lambda: _write(f"{scratch}/one.csv", "xy"))
+    for change in changes:
+        change()
+        seen.append(files.fingerprint(spark, paths))
+    assert len(set(seen)) == len(changes) + 1
+
+
+def test_staging_is_rebuilt_when_a_nested_file_changes(spark, scratch):
+    """The same through the build: tables in folders, one file two levels down."""
+    from tarmac.plans.materialize import _bases
+
+    for name in ("lineitem", "orders", "customer", "supplier", "part", "nation", "region"):
+        _write(f"{scratch}/in/{name}.parquet/year=1/month=1/f.parquet", "x")
+    before = _bases(spark, f"{scratch}/in", "staging")
+    assert before == _bases(spark, f"{scratch}/in", "staging")
+    _write(f"{scratch}/in/orders.parquet/year=1/month=1/f.parquet", "xyz")
+    after = _bases(spark, f"{scratch}/in", "staging")
+    assert after[0] == before[0] and after[1] != before[1]
+
+
 def test_staging_sink_partitions_and_marker(spark, scratch):
     path = f"{scratch}/stg"
     df = spark.createDataFrame([(2001, 1, "R", "X", 1), (2001, 2, "Q", "Y", 2)],

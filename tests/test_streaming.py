@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from tarmac.plans.load import PREFIX, quarantined
+from tarmac.sources.tables import load_model
 from tarmac.streaming.landing import start_incremental_load
 
 HEADER = ("reporting_period,reporting_airport,origin_destination_country,origin_destination,"
@@ -17,9 +18,8 @@ def _write(root, year, name, rows):
 
 
 def _rows(spark, tables, year):
-    spark.catalog.refreshByPath(tables)
     return sorted((r.year, r.month, r.number_flights_matched)
-                  for r in spark.read.parquet(f"{tables}/{PREFIX}{year}").collect())
+                  for r in load_model(spark, f"{tables}/{PREFIX}{year}").collect())
 
 
 def test_incremental_load_rebuilds_touched_years(spark, scratch):
