@@ -38,10 +38,12 @@ WINDOW = 3
 MAX_LOST = 30      # per cent of the word characters
 MAX_ODD = 30       # per cent of a line's words with symbols or doubled marks
 BOILERPLATE_WORDS = 40
+#: Places of windows that fit beside 40 bits of their hash.
+PLACES = 1 << 24
 
 # White space between words, and the symbols counted.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]+"
 
 INK = r"[^\x20\x09-\x0D]"
 GAP = r"[\x20\x09-\x0D]+"
@@ -49,6 +51,8 @@ GAP = r"[\x20\x09-\x0D]+"
 SENTENCE_END = r"[.!?…。！？][\"'”’»)\]]*([\x20\x09-\x0D]|\z)"
 #: A word that is no prose: it holds a symbol, or ends in doubled marks.
 ODD_WORD = r"[#*$%&|<>{}\\~^=]|[!?]{2,}\z"
+#: What every odd word and every separator holds.
+ODD_MARK = r"[#*$%&|<>{}\\~^=/«»‹›•·→]|[!?]{2}|::|--"
 #: A word that only separates menu items.
 SEPARATOR = r"\A([|/<>«»‹›•·→]|::|>>|<<|--+)\z"
 MENU_LABEL = (
@@ -56,10 +60,10 @@ MENU_LABEL = (
     r"prev|back( to top)?|read more|more|share( this)?|print|skip to (main )?content|contact( us)?|"
     r"about( us)?|site ?map|help|faq|older posts|newer posts|loading)[\x20\x09-\x0D.!?:>»›…]*\z")
 BOILERPLATE = (
-    r"(?i)all rights reserved|©|\(c\) ?[0-9]{4}|copyright [0-9]{4}|licensed under|released under the|"
+    r"(?i)©|\(c\) ?[0-9]{4}|(?:\A|[^a-z])(?:all rights reserved|copyright [0-9]{4}|licensed under|released under the|"
     r"terms of (use|service)|privacy policy|cookie policy|(uses?|accept|our) cookies|enable javascript|"
     r"lorem ipsum|click here|subscribe (to|now)|sign up for|our newsletter|powered by|follow us on|"
-    r"share (this|on) ")
+    r"share (this|on) )")
 
 
 def words(text: Column) -> Column:
@@ -74,37 +78,51 @@ def _ink(text: Column) -> Column:
 
 def repeated_words(w: Column) -> Column:
     """How many words lie in a window of three words that the list ``w`` has
-    twice or more. Equal windows are neighbours once the windows are sorted;
-    they are compared word by word, the hash before them only saves time."""
-    def window(x: Column, i: Column) -> Column:
-        second, third = F.get(w, i + 1), F.get(w, i + 2)
-        return F.struct(F.xxhash64(x, second, third).alias("h"), x.alias("a"), second.alias("b"),
-                        third.alias("c"), i.alias("i"))
+    twice or more. Sorted hashes that carry their place find the windows that
+    may be equal; those are then sorted as words, so equal ones are neighbours."""
+    def hashed(x: Column, i: Column) -> Column:
+        return F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(
+            F.lit(-PLACES)).bitwiseOR(i.cast("bigint"))
+
+    def alike(x: Column, y: Column) -> Column:
+        return F.shiftrightunsigned(x.bitwiseXOR(y), 24).eqNullSafe(F.lit(0).cast("bigint"))
+
+    def maybe(s: Column) -> Column:
+        found = F.filter(s, lambda x, k: alike(x, F.get(s, k - 1)) | alike(x, F.get(s, k + 1)))
+        return F.transform(found, lambda x: x.bitwiseAND(F.lit(PLACES - 1)).cast("int"))
+
+    def window(i: Column) -> Column:
+        return F.struct(*[F.get(w, i + k).alias(f"w{k}") for k in range(WINDOW)], i.alias("i"))
 
     def same(x: Column, y: Column) -> Column:
-        return F.coalesce((x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) &
-                          (x["c"] == y["c"]), F.lit(False))
+        equal = x["w0"] == y["w0"]
+        for k in range(1, WINDOW):
+            equal = equal & (x[f"w{k}"] == y[f"w{k}"])
+        return F.coalesce(equal, F.lit(False))
 
     def covered(s: Column) -> Column:
         again = F.filter(s, lambda x, k: same(x, F.get(s, k - 1)) | same(x, F.get(s, k + 1)))
-        places = F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))
+        places = F.transform(again, lambda x: F.array(*[x["i"] + k for k in range(WINDOW)]))
         return F.size(F.array_distinct(F.flatten(places)))
 
-    starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (WINDOW - 1), F.lit(0)))
-    return let(F.sort_array(F.transform(starts, window)), covered)
+    n = F.greatest(F.size(w) - (WINDOW - 1), F.lit(0))
+    hashes = F.sort_array(F.transform(F.slice(w, F.lit(1), n), hashed))
+    # A list whose places do not fit beside the hashes has all its windows sorted.
+    candidates = F.when(n < PLACES, let(hashes, maybe)).otherwise(F.sequence(F.lit(0), n - 1))
+    return let(F.sort_array(F.transform(candidates, window)), covered)
 
 
 def line_fails(line: Column) -> Column:
     """Whether a line fails one of the rules that look at it alone."""
-    def judged(w: Column) -> Column:
+    def by_word(w: Column) -> Column:
         odd = F.size(F.filter(w, lambda x: x.rlike(ODD_WORD)))
-        punctuation = ~line.rlike(SENTENCE_END) | (odd * 100 > F.size(w) * MAX_ODD)
-        navigation = line.rlike(MENU_LABEL) | (
+        return (odd * 100 > F.size(w) * MAX_ODD) | (
             F.size(F.filter(w, lambda x: x.rlike(SEPARATOR))) >= 2)
-        boilerplate = (F.size(w) <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
-        return punctuation | navigation | boilerplate
 
-    return let(words(line), judged)
+    # Most lines hold no mark that could make a word odd or a separator.
+    marked = F.when(line.rlike(ODD_MARK), let(words(line), by_word)).otherwise(F.lit(False))
+    boilerplate = line.rlike(BOILERPLATE) & (F.size(words(line)) <= BOILERPLATE_WORDS)
+    return ~line.rlike(SENTENCE_END) | line.rlike(MENU_LABEL) | marked | boilerplate
 
 
 def _facts(text: Column) -> Column:
@@ -116,7 +134,7 @@ def _facts(text: Column) -> Column:
         F.size(w).alias("n"), repeated_words(w).alias("n_repeated")))
     return F.struct(
         _ink(text).alias("word_chars"),
-        (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
+        (F.char_length(text) - F.char_length(F.regexp_replace(text, SYMBOLS, ""))).alias("n_symbols"),
         of_lines.alias("lines"), of_words.alias("words"))
 
 
@@ -134,7 +152,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", result: str = "rules"
 
     def judged(f: Column) -> Column:
         n, lines = f["words"]["n"], f["lines"]
-        kept_chars = F.aggregate(lines["kept"], F.lit(0).cast("bigint"), lambda s, x: s + _ink(x))
+        kept_chars = F.when(lines["n"] == F.size(lines["kept"]), f["word_chars"].cast("bigint")).otherwise(
+            F.aggregate(lines["kept"], F.lit(0).cast("bigint"), lambda s, x: s + _ink(x)))
         base_failed = (n < MIN_WORDS) | (f["words"]["n_repeated"].cast("bigint") * 100 >
                                          n.cast("bigint") * MAX_REPEATED)
         enough = (f["word_chars"] - kept_chars) * 100 <= f["word_chars"].cast("bigint") * MAX_LOST
