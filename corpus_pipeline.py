@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import exact, packing, quality, simhash, substring
-from tarmac.llm.common import documents, fold, free_name, read_table, ship_package, written
+from tarmac.llm.common import (documents, fold, free_name, own_columns, read_table, ship_package,
+                               written)
 from tarmac.llm.queries import GOOD_FROM, tokenizer_file
 
 
@@ -55,7 +56,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(shorter, F.char_length(found["kept"])).otherwise(
             F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return cut.withColumns(changed).select(docs.columns)
+    return cut.withColumns(changed).select(own_columns(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names have."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """128 bits that name a text: two independent 64-bit hashes."""
+    return F.xxhash64(text), F.xxhash64(F.lit("text"), text)
+
+
 class Block:
     """Texts of consecutive rows as one byte array; ``off`` has a text's first
     byte at its row and the end of the last text as its last entry."""

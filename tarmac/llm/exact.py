@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import free_name, shuffle_partitions, text_of, written
+from tarmac.llm.common import (free_name, own_columns, shuffle_partitions, text_hashes, text_of,
+                               written)
 
 #: Quotient bits: 2^24 runs; a merged segment covers a range of them.
 QUOTIENT_BITS = 24
@@ -154,7 +155,7 @@ def repeated_fingerprints(fingerprints: DataFrame, segments: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  with_hash: bool = False) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256, and
-    with ``with_hash`` a 32-bit text_hash."""
+    with ``with_hash`` the two numbers that name a text (text_a, text_b)."""
     text = text_of(text_col)
     segments = max(1, shuffle_partitions(docs.sparkSession))
     repeated = repeated_fingerprints(docs.select(F.xxhash64(text).alias("fp")), segments)
@@ -168,8 +169,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.sha2("t", 256).alias("sha"), F.col("top").alias("keep_id"),
                 F.col("n").alias("group_size"))
     )
+    a, b = text_hashes(text)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"),
-                       F.hash(text).alias("text_hash"))
+                       a.alias("text_a"), b.alias("text_b"))
     grouped = F.col("group_size").isNotNull()
     keep_id = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
     return (
@@ -177,7 +179,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("doc_id", keep_id.alias("keep_id"),
                 F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
                 F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
-                *(["text_hash"] if with_hash else []))
+                *(["text_a", "text_b"] if with_hash else []))
     )
 
 
@@ -185,20 +187,28 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with one row of each group of equal texts, all its columns kept."""
     groups = exact_groups(docs.select(id_col, text_col), id_col, text_col, with_hash=True).filter(
         "group_size > 1")
-    # What goes, named by id and a hash of the text: two numbers a row, so the
+    # What goes, named by id and 128 bits of the text: three numbers a row, so the
     # planner may send a short list to the texts instead of dealing them anew.
-    rows = written(groups.select("doc_id", "text_hash", "kept", "keep_id"), "exact-copies")
-    tops = rows.filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    several = written(tops.select("doc_id", "text_hash"), "exact-repeated")
-    gone = written(rows.filter("not kept").select("doc_id", "text_hash").union(several), "exact-gone")
-    ids, hashes, own = (free_name(docs, x) for x in ("_gone_id", "_gone_hash", "_text_hash"))
-    hashed = docs.withColumn(own, F.hash(text_of(text_col)))
+    # The id alone names no row: it may be null, or on rows of several texts.
+    rows = written(groups.select("doc_id", "text_a", "text_b", "kept"), "exact-copies")
+    name = ["doc_id", "text_a", "text_b"]
+    tops = rows.filter("kept").groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = written(tops.select(name), "exact-repeated")
+    gone = written(rows.filter("not kept").select(name).union(several), "exact-gone")
+    return without_rows(docs, gone, several, id_col, text_col)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, several: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows named (doc_id, text_a, text_b) by ``gone``; of
+    those named by ``several`` as well, one row comes back."""
+    ids, first, second, a, b = (free_name(docs, x) for x in (
+        "_gone_id", "_gone_a", "_gone_b", "_text_a", "_text_b"))
+    hashed = docs.withColumns(dict(zip((a, b), text_hashes(text_of(text_col)))))
 
     def named(df: DataFrame) -> DataFrame:
-        return df.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes))
+        return df.select(F.col("doc_id").alias(ids), F.col("text_a").alias(first), F.col("text_b").alias(second))
 
-    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(own) == F.col(hashes))
+    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(a) == F.col(first)) & (F.col(b) == F.col(second))
     left = hashed.join(named(gone), same, "left_anti")
-    # Repeated rows of an id that stays went too: one of each comes back.
-    again = hashed.join(named(several), same, "left_semi").dropDuplicates([id_col, own])
-    return left.select(docs.columns).unionByName(again.select(docs.columns))
+    again = hashed.join(named(several), same, "left_semi").dropDuplicates([id_col, a, b])
+    return left.select(own_columns(docs)).unionByName(again.select(own_columns(docs)))

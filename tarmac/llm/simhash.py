@@ -32,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import LOWER, free_name, text_of, written
+from tarmac.llm.common import LOWER, text_hashes, text_of, written
 from tarmac.llm.components import components
+from tarmac.llm.exact import without_rows
 
 BITS = 64
 SEED = 42
@@ -186,24 +187,17 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, all its columns kept: the
     smallest id, null ids last, and of its texts the one with the smallest hash."""
-    signed = written(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
+    a, b = text_hashes(text_of(text_col))
+    name = ["doc_id", "text_a", "text_b"]
+    signed = written(docs.select(F.col(id_col).alias("doc_id"), a.alias("text_a"), b.alias("text_b"),
                                  fingerprints(text_of(text_col), shingle).alias("fp")), "simhash")
-    named = _rooted(signed, radius, "top", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
-    stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("text_hash") == F.col("top.text_hash"))
-    # What goes, named by id and a hash of the text: neither alone names a row.
+    named = _rooted(signed, radius, "top", F.struct(F.col("doc_id").isNull(), *name))
+    stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("text_a") == F.col("top.text_a")) & (
+        F.col("text_b") == F.col("top.text_b"))
+    # What goes, named by id and 128 bits of the text: neither alone names a row.
     rows = written(signed.join(named, F.col("fp") == F.col("nfp"))
-                   .groupBy("doc_id", "text_hash", stays.alias("stays")).agg(F.count(F.lit(1)).alias("n"))
+                   .groupBy(*name, stays.alias("stays")).agg(F.count(F.lit(1)).alias("n"))
                    .filter("not stays or n > 1"), "near-rows")
-    several = written(rows.filter("stays").select("doc_id", "text_hash"), "near-repeated")
-    gone = written(rows.select("doc_id", "text_hash"), "near-gone")
-    ids, hashes, own = (free_name(docs, x) for x in ("_gone_id", "_gone_hash", "_text_hash"))
-    hashed = docs.withColumn(own, F.xxhash64(text_of(text_col)))
-
-    def listed(df: DataFrame) -> DataFrame:
-        return df.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes))
-
-    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(own) == F.col(hashes))
-    left = hashed.join(listed(gone), same, "left_anti")
-    # Repeated rows of a document that stays went too: one of each comes back.
-    again = hashed.join(listed(several), same, "left_semi").dropDuplicates([id_col, own])
-    return left.select(docs.columns).unionByName(again.select(docs.columns))
+    several = written(rows.filter("stays").select(name), "near-repeated")
+    gone = written(rows.select(name), "near-gone")
+    return without_rows(docs, gone, several, id_col, text_col)

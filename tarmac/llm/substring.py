@@ -25,8 +25,9 @@ if some document with a smaller id has it. All groups are reduced to minima
 in every task before a shuffle, and hot keys meet only joins, which AQE splits.
 
 Defined results: a null text has no words; a document with a null id neither
-loses words nor is a source; repeated rows of one id do not remove each other;
-texts shorter than a window stay as they are; an empty table gives an empty
+loses words nor is a source; rows of one id do not remove each other, and if
+their texts differ each is judged as a text of that id (a 64-bit hash beside the
+id tells them apart); texts shorter than a window stay as they are; an empty table gives an empty
 result. Words are runs without ASCII white space, compared byte by byte.
 """
 
@@ -113,26 +114,27 @@ def _paths(block: Block, window: int, seed_words: int) -> dict[str, np.ndarray]:
 def _compacted(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1)):
+            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for block in blocks(batch.column(2)):
                 p = _paths(block, window, seed_words)
                 if len(p["row"]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(p["kmer"]), pa.array(p["path"]),
                          pa.array(ids[block.lo + p["row"]], pa.int64()),
+                         pa.array(tags[block.lo + p["row"]], pa.int64()),
                          pa.array(p["start"].astype(np.int32)), pa.array(p["n"].astype(np.int32))],
-                        names=["kmer", "path", "doc", "start", "n"])
+                        names=["kmer", "path", "doc", "tag", "start", "n"])
 
-    return docs.mapInArrow(read, "kmer bigint, path bigint, doc bigint, start int, n int")
+    return docs.mapInArrow(read, "kmer bigint, path bigint, doc bigint, tag bigint, start int, n int")
 
 
 def _windows_of(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """Windows of the wanted paths, read at their source coordinates."""
-    lists = wanted.groupBy(F.col("doc").alias("k")).agg(
+    lists = wanted.groupBy(F.col("doc").alias("k"), F.col("tag").alias("kt")).agg(
         F.collect_list(F.struct("kmer", "path", "start", "n")).alias("paths"))
     # All columns of ``rows`` are passed on, so that this join and the one that
     # cuts the texts read one shuffle of them.
-    joined = rows.join(lists, F.col("doc") == F.col("k")).select(
+    joined = rows.join(lists, (F.col("doc") == F.col("k")) & (F.col("tag") == F.col("kt"))).select(
         "doc", text_of("text").alias("text"), "paths", *[c for c in rows.columns if c not in ("doc", "text")])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,25 +168,27 @@ def _meet(many: DataFrame, one: DataFrame, left: list[str], right: list[str]) ->
 
 
 def _ranges(rows: DataFrame, window: int, seed_words: int) -> DataFrame:
-    """(doc, start, n): n windows from word ``start`` on, each of which some
-    document with a smaller id has too. ``rows``: doc (not null), text, ..."""
-    texts = rows.select("doc", text_of("text").alias("text"))
+    """(doc, tag, start, n): n windows from word ``start`` on of the document's
+    text with that tag, each of which some document with a smaller id has too.
+    ``rows``: doc (not null), tag, text, ..."""
+    texts = rows.select("doc", "tag", text_of("text").alias("text"))
     paths = written(_compacted(texts, window, seed_words), "substring-paths")
     kmers = paths.groupBy(F.col("kmer").alias("k")).agg(
         F.min("doc").alias("low"), F.max("doc").alias("high"), F.min_by("path", "doc").alias("trunk"),
         (F.min("path") != F.max("path")).alias("branches")).filter("low < high")
     shared = written(_meet(paths, kmers, ["kmer"], ["k"]).select(
-        "kmer", "path", "doc", "start", "n", "low", "trunk", "branches"), "substring-shared")
+        "kmer", "path", "doc", "tag", "start", "n", "low", "trunk", "branches"), "substring-shared")
     # The path of a k-mer's smallest document, met again: all of it is a repeat.
-    straight = shared.filter("path = trunk and doc > low").select("doc", "start", "n")
+    straight = shared.filter("path = trunk and doc > low").select("doc", "tag", "start", "n")
     forked = shared.filter("branches and (path != trunk or doc = low)").select(
-        "kmer", "path", "doc", "start", "n")
+        "kmer", "path", "doc", "tag", "start", "n")
     sources = written(forked.groupBy("kmer", "path", "n").agg(
-        F.min("doc").alias("doc"), F.min_by("start", "doc").alias("start")), "substring-sources")
+        F.min(F.struct("doc", "tag", "start")).alias("at")).select("kmer", "path", "n", "at.*"),
+        "substring-sources")
     # Behind a path's smallest document all its windows are repeats.
     placed = _meet(forked, sources.select(F.col("kmer").alias("sk"), F.col("path").alias("sp"),
                                           F.col("doc").alias("first")), ["kmer", "path"], ["sk", "sp"])
-    later = placed.filter("doc > first").select("doc", "start", "n")
+    later = placed.filter("doc > first").select("doc", "tag", "start", "n")
     # In it, those are that another path has in a smaller document.
     windows = _windows_of(rows, sources, window)
     least = windows.groupBy(F.col("kmer").alias("wk"), F.col("win").alias("ww")).agg(
@@ -193,7 +197,7 @@ def _ranges(rows: DataFrame, window: int, seed_words: int) -> DataFrame:
         F.col("kmer").alias("ek"), F.col("path").alias("ep"), "nth")
     firsts = placed.filter("doc = first").join(
         earlier, (F.col("kmer") == F.col("ek")) & (F.col("path") == F.col("ep"))).select(
-        "doc", (F.col("start") + F.col("nth")).alias("start"), F.lit(1).alias("n"))
+        "doc", "tag", (F.col("start") + F.col("nth")).alias("start"), F.lit(1).alias("n"))
     return straight.union(later).union(firsts)
 
 
@@ -203,9 +207,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_words, n_removed, and ``kept``, the words that stay, joined by a space."""
     result, others = result_column(docs), [c for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []))
-    found = _ranges(rows, window, seed_words).groupBy(F.col("doc").alias("k")).agg(
+        F.col(id_col).cast("bigint").alias("doc"), F.xxhash64(text_of(text_col)).alias("tag"),
+        F.col(text_col).alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []))
+    found = _ranges(rows, window, seed_words).groupBy(F.col("doc").alias("k"), F.col("tag").alias("kt")).agg(
         F.collect_list(F.struct("start", "n")).alias("ranges"))
 
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept: string>")
@@ -236,7 +240,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = {id_col: F.col("doc").cast(kind), text_col: F.col("text"),
              **{c: F.col("rest").getField(c) for c in others}}
     nothing = F.lit(None).cast("array<struct<start: int, n: int>>")
-    cut_rows = shaped(rows.join(found, F.col("doc") == F.col("k"), "left"), F.col("ranges"), named)
+    own = (F.col("doc") == F.col("k")) & (F.col("tag") == F.col("kt"))
+    cut_rows = shaped(rows.join(found, own, "left"), F.col("ranges"), named)
     # A document without an id takes no part.
     unnamed = docs.filter(F.col(id_col).isNull())
     return cut_rows.union(shaped(unnamed, nothing, {c: F.col(f"`{c}`") for c in docs.columns}))

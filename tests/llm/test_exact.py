@@ -2,9 +2,11 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tarmac.llm.exact import (CountingQuotientFilter, drop_duplicates, exact_groups,
                               repeated_fingerprints)
+from tarmac.llm.simhash import drop_near_duplicates
 
 
 def test_filter_round_trip_and_lossless_merge():
@@ -53,6 +55,25 @@ def test_drop_keeps_columns_and_one_of_repeated_rows(spark, docs_of):
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(2, "x"), (4, ""), (5, "y")]
 
 
+def test_equal_hashes_of_32_bits_are_not_equal_texts(spark, docs_of):
+    """Two texts of one 32-bit hash under null ids, one of them with copies."""
+    seen = spark.range(400_000).select(F.concat(F.lit("t"), "id").alias("t")).groupBy(F.hash("t").alias("h")).agg(
+        F.collect_list("t").alias("ts")).filter("size(ts) > 1").first()
+    a, b = sorted(seen.ts)[:2]
+    rows = [(None, a), (None, a), (None, b), (5, a), (5, b), (None, "c")]
+    kept = sorted((r.doc_id is None, r.doc_id, r.text) for r in drop_duplicates(docs_of(rows)).collect())
+    assert kept == [(False, 5, a), (False, 5, b), (True, None, "c")]
+    only = sorted(r.text for r in drop_duplicates(docs_of([(None, a), (None, a), (None, b)])).collect())
+    assert only == sorted([a, b])
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "x", 5), (2, "x", 6)], "doc_id long, text string, `a.b` int")
+    for drop in (drop_duplicates, drop_near_duplicates):
+        out = drop(df)
+        assert out.columns == df.columns and len(out.collect()) == 1
+
+
 def test_empty_table(spark, docs_of):
     empty = docs_of([(1, "x")]).filter("false")
     assert exact_groups(empty).count() == 0 and drop_duplicates(empty).count() == 0

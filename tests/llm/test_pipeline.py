@@ -55,6 +55,33 @@ def test_stages_hold_against_brute_force(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(rows)
 
 
+def test_null_and_repeated_ids_through_every_stage(spark):
+    """No stage loses a text that its rule does not name, whatever its id is."""
+    rng = __import__("random").Random(5)
+
+    def prose(n):
+        return " ".join(rng.choice("abcdefghijklmnopqrst") + str(rng.randint(0, 999)) for _ in range(n)) + "."
+    texts = [prose(rng.randint(60, 200)) for _ in range(24)]
+    rows = [(None, texts[0], 1), (None, texts[1], 2), (None, texts[1], 3), (None, None, 4)]
+    rows += [(7, texts[2], 5), (7, texts[3], 6), (7, texts[3], 6), (7, None, 7)]
+    rows += [(i, t, 8) for i, t in enumerate(texts[4:], 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `source.x` int")
+    texts_of = lambda df: sorted({(r.text or "") for r in df.collect()})
+    want = sorted({t or "" for _, t, _ in rows})
+    for stage in (corpus_pipeline.drop_exact_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.cut_repeats):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert texts_of(out) == want
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    # equal texts left once, under the largest id; the empty text too
+    assert docs.count() == len(want)
+    scored = corpus_pipeline.drop_low_quality(spark, docs, SF)
+    assert scored.columns == docs.columns and set(texts_of(scored)) <= set(want)
+    packed = corpus_pipeline.pack_sequences(spark, docs, SF)
+    assert packed.count() == docs.count()
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
+
+
 def test_run_and_extra_columns(spark):
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
     assert entry.queries()["pipeline"](spark, SF).count() > 100
@@ -70,7 +97,8 @@ def test_run_and_extra_columns(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op5_substring_dedup", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op5_substring_dedup", "op9_exact_dedup", "op11_source_divergence",
+                                  "op13_quality_rules"])
 def test_oracle(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
@@ -92,6 +120,9 @@ CONTRACT = {
     "op7_": ("doc_id", "fingerprint", "component_id"),
     "op8_": ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"),
     "op9_": ("doc_id", "keep_id", "group_size", "kept", "text_sha256"),
+    "op11_": ("lang", "source", "part", "item", "value", "rank"),
+    "op12_": ("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"),
+    "op13_": ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"),
     "op10_": ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"),
 }
 
@@ -104,7 +135,7 @@ def test_contract_columns(spark):
         assert len(names) == 1
         df = entry.queries()[names[0]](spark, SF)
         assert tuple(df.columns[:len(columns)]) == columns
-        if prefix not in ("op10_",):
+        if prefix not in ("op10_", "op11_", "op12_"):
             assert df.count() == n["pages" if prefix == "op3_" else "documents"]
 
 

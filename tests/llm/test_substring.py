@@ -67,6 +67,18 @@ def test_small_windows_many_repeats(spark, docs_of):
     check(docs_of, rows, window=8, seed_words=3)
 
 
+def test_one_id_with_several_texts(spark, docs_of):
+    """Rows of one id are judged each by its own text; they spare each other."""
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join(rng.choice("abcdefghijklmnop") + str(rng.randint(0, 99)) for _ in range(n))
+    shared, other, long = prose(120), prose(200), prose(400)
+    rows = [(1, shared), (2, "too short"), (2, "x " + shared + " y"), (2, other), (2, "z " + shared),
+            (3, other), (3, long), (4, long + " " + other), (4, "q"), (2, other)]
+    check(docs_of, rows)
+
+
 def test_columns_kept_and_empty(spark, docs_of):
     df = docs_of([(1, "a")])
     out = remove_repeats(df.filter("false"))
