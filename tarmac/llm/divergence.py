@@ -14,11 +14,12 @@ which is multiplied by the cell's f. Cells with a zero count follow by
 complement: what a bitmap shares with none of the other group's, and what no
 bitmap of either group holds.
 
-Terms are counted by Spark, with partial aggregates. Ids are given in the
-order of falling counts, so a word of 64 ids meets few different counts where
-terms are rare, and a bitmap is stored as its non-zero words. Blocks of 4,096
-ids and tiles of about 64 groups bound what a task holds, whatever the numbers
-of terms and sources: a task ANDs the bitmaps of one block and two tiles.
+Terms are counted in the tasks, in bounded tables, and summed by Spark. Ids
+are given in the order of falling counts, so a word of 64 ids meets few
+different counts where terms are rare, and a bitmap is stored as its non-zero
+words. Blocks of 4,096 ids and tiles of about 64 groups bound what a task
+holds, whatever the numbers of terms and sources: a task ANDs the bitmaps of
+one block and two tiles.
 
 Defined results: a null text, language or source is the empty string; a group
 without kept terms is compared like any other; without any kept term all pair
@@ -29,16 +30,18 @@ columns are not read. Exact for counts below 9 * 10^15.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.exprs import let
 from tarmac.llm.common import text_of, written
 
-# What a term is, the share's scale, and the count added to all.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# What is no term in ASCII, the share's scale, and the count added to all.
+NO_TERM = (*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80))
 SCALE = 1_000_000_000
 ADDED = 2
 
@@ -50,24 +53,62 @@ TILE = 64
 #: Pairs of words that are ANDed at once.
 AT_ONCE = 1 << 20
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Distinct terms of its groups that a task counts before it hands them on, and
+#: rows of what it hands on at once.
+HELD_TERMS = 400_000
+ROWS = 50_000
+
+#: Lower-cases A-Z, and makes every byte that is in no term a space.
+_TERM_BYTES = bytes(32 if b in NO_TERM else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def _terms(text: bytes) -> list[bytes]:
+    """The terms of a text in UTF-8. A term is a run of letters A-Z and of code
+    points beyond ASCII, and all bytes of the latter are beyond ASCII as well."""
+    return text.translate(_TERM_BYTES).split()
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's documents, handed on whenever they fill the memory set aside."""
+    occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)
+    with_term: dict[tuple[str, str], Counter] = defaultdict(Counter)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), n in occurrences.items():
+            in_docs = with_term[lang, source]
+            rows = pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.repeat(pa.scalar(source, pa.string()), len(n)),
+                 pa.array(n, pa.binary(), size=len(n)).cast(pa.string()),
+                 pa.array(n.values(), pa.int64(), size=len(n)),
+                 pa.array(map(in_docs.__getitem__, n), pa.int64(), size=len(n))],
+                names=["lang", "source", "term", "n", "docs"])
+            for lo in range(0, len(n), ROWS):
+                yield rows.slice(lo, ROWS)
+        occurrences.clear()
+        with_term.clear()
+
+    held = 0
+    for batch in batches:
+        langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for lang, source, text in zip(langs, sources, batch.column(2)):
+            words = _terms(text.as_buffer().to_pybytes())
+            known = occurrences[lang, source]
+            held -= len(known)
+            known.update(words)
+            held += len(known)
+            with_term[lang, source].update(set(words))
+            if held > HELD_TERMS:
+                yield from flush()
+                held = 0
+    yield from flush()
 
 
 def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents with the term."""
-    terms = F.regexp_extract_all(
-        F.translate(text_of(text_col), UPPER, UPPER.lower()), F.lit(TERM), F.lit(0))
-
-    def marked(w: Column) -> Column:
-        once, seen = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        return F.concat(
-            F.transform(w, lambda t: F.struct(t.alias("term"), once.alias("n"), seen.alias("docs"))),
-            F.transform(F.array_distinct(w),
-                        lambda t: F.struct(t.alias("term"), seen.alias("n"), once.alias("docs"))))
-
-    found = docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"),
-                        F.inline(let(terms, marked)))
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    texts = docs.select(*[text_of(F.col(f"`{c}`")).alias(name) for c, name in (
+        (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    counts = texts.mapInArrow(_count, "lang string, source string, term string, n bigint, docs bigint")
+    return counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
@@ -230,7 +271,8 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
               .agg(F.count(F.lit(1)).alias("ids"))
               .groupBy("lang").agg(F.collect_list(F.struct("block", "ids")).alias("blocks")))
     langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n_lang").alias("lang_total"))
-    all_groups = docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source")).distinct()
+    all_groups = docs.select(text_of(F.col(f"`{lang_col}`")).alias("lang"),
+                             text_of(F.col(f"`{source_col}`")).alias("source")).distinct()
     sizes = all_groups.groupBy("lang").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(TILE))).cast("int").alias("tiles"))
     zero = F.lit(0).cast("bigint")
