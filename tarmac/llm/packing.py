@@ -16,12 +16,10 @@ rows are packed once each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
-import re
-import sys
 import zlib
-from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,86 +32,71 @@ from tarmac.llm.common import text_of, written
 CAPACITY = 1024
 END_ID = 2
 
-#: Word chunks whose ids a Python worker remembers at most.
-CACHE_ENTRIES = 1_500_000
 
+#: The pre-tokenizer settings that BytePairIds reproduces, and its public pattern.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-class ChunkedTokenizer:
-    """Ids of a byte-level BPE tokenizer, remembered by word chunk.
 
-    A single space between two characters that are not white space always
-    starts a new pre-token of this tokenizer, so a text may be cut there
-    and each chunk (with its space) be encoded on its own; the ids are
-    those of the whole text. A text with one of the tokenizer's special strings
-    is encoded whole.
+def _byte_of_char() -> dict[str, int]:
+    """The public byte alphabet of byte-level vocabularies: printable bytes stand
+    for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
+
+
+class BytePairIds:
+    """Ids of whole texts by a byte-level BPE file of the ``tokenizers`` library.
+
+    Where the file's merges stand in the order of their ids, merging by rank in
+    :mod:`tiktoken` gives the same ids at a quarter of the time and without a
+    memory of words. Any other file, and any text with one of the file's special
+    strings, goes to the file's own library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._other_space = re.compile(r"[^\S ]+")
-        self._cut = re.compile(r"(?<=\S) (?=\S)")
-        self._known: dict[str, bytes] = {}
+        self._library = Tokenizer.from_file(path)
+        self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._ranked = self._by_rank(path)
 
     @staticmethod
-    def _pack(ids: Sequence[int]) -> bytes:
-        packed = array("I", ids)  # four bytes each
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
-
-    def _plain(self, text: str) -> bool:
-        """Every space stands between characters that are not white space."""
-        return not (text.startswith(" ") or text.endswith(" ") or "  " in text or any(
-            text[m.start() - 1:m.start()] == " " or text[m.end():m.end() + 1] == " "
-            for m in self._other_space.finditer(text)))
-
-    def _chunks(self, text: str) -> list[str]:
-        parts = text.split(" ") if self._plain(text) else self._cut.split(text)
-        return [parts[0], *[f" {p}" for p in parts[1:]]]
-
-    def _learn(self, chunks: set[str]) -> None:
-        new = list(chunks)
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            # without offsets, which nobody needs here
-            encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self._known.update(zip(part, [self._pack(e.ids) for e in encoded]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        if len(self._known) > CACHE_ENTRIES:
-            self._known.clear()
-        known, found, new = self._known, [], set()
-        for text in texts:
-            if any(s in text for s in self._special):
-                found.append((None, None))
-                continue
-            chunks = self._chunks(text)
-            ids = list(map(known.get, chunks))
-            if None in ids:
-                new.update(c for c, x in zip(chunks, ids) if x is None)
-            found.append((chunks, ids))
-        self._learn(new)
-        out = []
-        for text, (chunks, ids) in zip(texts, found):
-            if chunks is None:
-                out.append(self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids))
-            else:
-                out.append(b"".join(known[c] if x is None else x for c, x in zip(chunks, ids))
-                           if None in ids else b"".join(ids))
-        return out
-
-
-_TOKENIZERS: dict[str, ChunkedTokenizer] = {}
-
-
-def _tokenizer(path: str) -> ChunkedTokenizer:
+    def _by_rank(path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, split = file["model"], file.get("pre_tokenizer") or {}
+        vocab = model.get("vocab")
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
+        ordered = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") \
+            and not file.get("normalizer") and all(split.get(k) == v for k, v in _BYTE_LEVEL.items()) \
+            and len(vocab) == 256 + len(merges) \
+            and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+        if not ordered:
+            return None
+        byte = _byte_of_char()
+        ranks = {bytes(byte[c] for c in piece): i for piece, i in vocab.items()}
+        return tiktoken.Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        if self._ranked is None or any(s in text for s in self._special):
+            ids = self._library.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self._ranked.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
+
+
+_TOKENIZERS: dict[str, BytePairIds] = {}
+
+
+def _tokenizer(path: str) -> BytePairIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkedTokenizer(path)
+        _TOKENIZERS[path] = BytePairIds(path)
     return _TOKENIZERS[path]
 
 
@@ -139,8 +122,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 ids, rows = part.column(0).to_pylist(), []
-                for doc, data in zip(ids, tokenizer.encode(part.column(1).to_pylist())):
-                    data += end
+                for doc, text in zip(ids, part.column(1)):
+                    data = tokenizer.encode(text.as_py()) + end
                     n = len(data) // 4
                     at, piece = 0, 0
                     while at < n:

@@ -7,27 +7,46 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tarmac.llm.packing import ChunkedTokenizer, _fullest, pack, packing_plan
+from tarmac.llm.packing import BytePairIds, _fullest, pack, packing_plan
 
 PATH = P.path("byte_bpe_50k.json")
 WHOLE = Tokenizer.from_file(PATH)
-CHUNKED = ChunkedTokenizer(PATH)
+IDS = BytePairIds(PATH)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t\r  'sabZé1.,!日\x1c")), st.characters(
     exclude_categories=["Cs"])), max_size=60))
-def test_chunks_give_the_whole_texts_ids(text):
+def test_ids_are_the_librarys(text):
     want = WHOLE.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(CHUNKED.encode([text])[0], "<u4").tolist() == want
+    assert np.frombuffer(IDS.encode(text), "<u4").tolist() == want
 
 
 def test_special_string():
     text = "a <|endoftext|> b"
-    assert np.frombuffer(CHUNKED.encode([text])[0], "<u4").tolist() == \
+    assert np.frombuffer(IDS.encode(text), "<u4").tolist() == \
         WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point_and_long_words():
+    """Both libraries cut a text alike around every character there is."""
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for lo in range(0, len(chars), 400):
+        text = "".join(f"a{c}b1{c}2 {c}{c} .{c}" for c in chars[lo:lo + 400:7])
+        assert np.frombuffer(IDS.encode(text), "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+    for text in ("a" * 300_000, "abcdefghij" * 30_000, " " * 100_000, "é日" * 50_000):
+        assert np.frombuffer(IDS.encode(text), "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_files_of_other_kinds_go_to_their_library():
+    other = P.path("word_bpe_49k.json")
+    text = "Some words, and MORE <|endoftext|> words"
+    ids = BytePairIds(other)
+    assert ids._ranked is None
+    assert np.frombuffer(ids.encode(text), "<u4").tolist() == Tokenizer.from_file(other).encode(
+        text, add_special_tokens=False).ids
+
+
 def test_fullest_is_optimal():
     rng = random.Random(0)
     for _ in range(200):
