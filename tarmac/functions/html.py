@@ -1,8 +1,9 @@
 """HTML anchor extraction and URL resolution as column expressions.
 
-Pages are processed whole. A page is cut at its ``<a`` start tags; an anchor's
-text is the tag-separated pieces up to its end, entity-decoded, stripped and
-joined by one space; relative links are resolved against the
+Pages are processed whole. One pattern cuts a page into its anchors, each from
+its ``<a`` start tag to where its text ends; they become rows, and all that
+follows works on one anchor at a time. An anchor's text is the tag-separated
+pieces, entity-decoded, stripped and joined by one space; relative links are resolved against the
 page URL with RFC 3986 dot-segment removal done by ``aggregate``. No Python
 runs per row.
 """
@@ -10,12 +11,12 @@ runs per row.
 from __future__ import annotations
 
 import json
+from functools import cache
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tarmac.functions.exprs import let
 from tarmac.functions.text import WHITESPACE
 
 # Blocks whose content is not markup (comments, scripts and
@@ -25,12 +26,14 @@ NON_MARKUP = (r"(?is)<!--.*?(?:-->|$(?!\n))|<script\b.*?(?:</script\s*>|$(?!\n))
 # The attributes of a start tag: anything but ``>``, which may
 # stand inside quotes. Possessive, so no text makes it slow or deep.
 _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-ANCHOR_START = rf"(?is)<a(?=[\s/>])({_INSIDE})>"
+_START = rf"<a(?=[\s/>]){_INSIDE}>"
 TAG = rf"(?s)</?[a-zA-Z!?]{_INSIDE}>|<!?>"
 # Where an anchor's text ends: its end tag, or else the end of
 # an element around it.
-ANCHOR_END = (r"(?is)</(?:a|p|li|ul|ol|dl|dd|dt|td|th|tr|table|div|section|article|nav|header|footer|main"
-              r"|aside|h[1-6]|form|body|html)\s*>")
+_END = (r"</(?:a|p|li|ul|ol|dl|dd|dt|td|th|tr|table|div|section|article|nav|header|footer|main"
+        r"|aside|h[1-6]|form|body|html)\s*>")
+# An anchor: its start tag and what follows up to its end or the next anchor.
+ANCHOR = rf"(?is){_START}(?:[^<]++|<(?!{_START[1:]}|{_END[1:]}))*+"
 # One attribute, its name and its value in any of three forms.
 ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
 
@@ -42,175 +45,204 @@ REPLACEMENT = "�"
 _BOUNDARY = "\u0001"
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _sql(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _named() -> Column:
-    """Map from a reference's name (with its semicolon where it needs one) to
-    its characters, as the HTML standard has them: a constant of the plan."""
-    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+def _name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
-def _windows() -> Column:
-    """Map for the numbers 128 to 159, which mean Windows-1252 characters."""
-    found = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
-    return F.from_json(F.lit(json.dumps(found)), "map<string,string>")
+# The references most pages have, ``&amp;`` last.
+COMMON = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+# Any reference that is none of these.
+_UNCOMMON = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)[#a-zA-Z]"
+
+# The expressions below are written as SQL text over a column or lambda variable:
+# one call to the engine builds what would take hundreds, column by column.
 
 
-def _character(code: Column) -> Column:
-    """The character of a number, given as decimal text without leading
-    zeros; the replacement character for what is none."""
-    number = code.try_cast("bigint")
-    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    return (F.when(~F.coalesce(valid, F.lit(False)), F.lit(REPLACEMENT))
-            .when(number.between(128, 159), F.element_at(_windows(), code))
-            .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")))
+@cache
+def _named_sql() -> str:
+    """The characters of every reference's name (with its semicolon where it
+    needs one), as the HTML standard has them: a constant of the plan, in short
+    lists by the first two letters, since lists are searched in order."""
+    lists: dict[str, dict[str, str]] = {}
+    for key, text in html5.items():
+        lists.setdefault(key[:2], {})[key] = text
+    return f"from_json({_sql(json.dumps(lists))}, 'map<string,map<string,string>>')"
 
 
-def _decode_reference(ref: Column) -> Column:
-    """Text of one reference (without ``&``); an unknown one stays as it is."""
-    bare = F.rtrim(ref, F.lit(";"))
-    digits = F.ltrim(F.regexp_replace(bare, "^#[xX]?", ""), F.lit("0"))
+@cache
+def _windows_sql() -> str:
+    """Map for the numbers 128 to 159, which mean Windows-1252 characters."""
+    found = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+    return f"from_json({_sql(json.dumps(found))}, 'map<string,string>')"
+
+
+@cache
+def _decode_reference_sql(ref: str) -> str:
+    """Text of one reference (without ``&``); an unknown one stays as it is. A
+    number out of range, or of no character, gives the replacement character."""
+    bare = f"rtrim(';', {ref})"
+    digits = f"ltrim('0', regexp_replace({bare}, '^#[xX]?', ''))"
     # More digits than any character's number has: out of range.
-    number = (F.when(F.length(digits) > 9, F.lit("9999999999"))
-              .when(bare.startswith("#x") | bare.startswith("#X"),
-                    F.conv(F.concat(F.lit("0"), digits), 16, 10))
-              .otherwise(F.concat(F.lit(""), digits)))
-    named = F.coalesce(F.element_at(_named(), ref),
-                       # without its semicolon only some names are known
-                       F.concat(F.element_at(_named(), bare), F.when(ref != bare, F.lit(";"))))
-    return F.when(ref.startswith("#"), _character(number)).otherwise(
-        F.coalesce(named, F.concat(F.lit("&"), ref)))
-
-
-def decode_entities(c: str | Column) -> Column:
-    """Decode character references: ``&#233;``, ``&#xE9;`` and every named one
-    of the standard, with or without a semicolon. No reference is an error:
-    a number out of range gives U+FFFD, an unknown name stays. Text without
-    ``&`` passes untouched."""
-    s = _col(c)
-    pieces = F.split(s, REFERENCE, -1)
-    found = F.transform(F.regexp_extract_all(s, F.lit(REFERENCE), 1), _decode_reference)
-    rebuilt = F.array_join(
-        F.zip_with(pieces, F.concat(found, F.array(F.lit(""))),
-                   lambda p, x: F.concat(F.coalesce(p, F.lit("")), F.coalesce(x, F.lit("")))), "")
-    return F.when(s.contains("&"), rebuilt).otherwise(s)
-
-
-def strip_markup_blocks(html: str | Column) -> Column:
+    code = (f"CASE WHEN length({digits}) > 9 THEN '9999999999' "
+            f"WHEN lower({ref}) LIKE '#x%' THEN conv(concat('0', {digits}), 16, 10) ELSE {digits} END")
+    character = (
+        f"element_at(transform(array({code}), code -> CASE "
+        f"WHEN NOT coalesce(try_cast(code AS bigint) BETWEEN 1 AND {0x10FFFF} "
+        f"AND NOT try_cast(code AS bigint) BETWEEN {0xD800} AND {0xDFFF}, false) THEN {_sql(REPLACEMENT)} "
+        f"WHEN try_cast(code AS bigint) BETWEEN 128 AND 159 THEN {_windows_sql()}[code] "
+        f"ELSE decode(unhex(lpad(hex(try_cast(code AS bigint)), 8, '0')), 'UTF-32') END), 1)")
+
+    def named(name: str) -> str:
+        return f"element_at(element_at({_named_sql()}, left({name}, 2)), {name})"
+
+    # without its semicolon only some names are known
+    return (f"CASE WHEN {ref} LIKE '#%' THEN {character} ELSE coalesce({named(ref)}, "
+            f"concat({named(bare)}, CASE WHEN {ref} != {bare} THEN ';' END), concat('&', {ref})) END")
+
+
+def _decode_sql(s: str) -> str:
+    """``s`` (a name) with its character references decoded."""
+    plain = s
+    for reference, text in COMMON:
+        plain = f"replace({plain}, {_sql(reference)}, {_sql(text)})"
+    found = f"transform(regexp_extract_all({s}, {_sql(REFERENCE)}, 1), ref -> {_decode_reference_sql('ref')})"
+    rebuilt = (f"array_join(zip_with(split({s}, {_sql(REFERENCE)}, -1), concat({found}, array('')), "
+               f"(p, x) -> concat(coalesce(p, ''), coalesce(x, ''))), '')")
+    return (f"CASE WHEN NOT contains({s}, '&') THEN {s} WHEN NOT {s} RLIKE {_sql(_UNCOMMON)} THEN {plain} "
+            f"ELSE {rebuilt} END")
+
+
+def decode_entities(c: str) -> Column:
+    """Decode the character references of column ``c``: ``&#233;``, ``&#xE9;``
+    and every named one of the standard, with or without a semicolon. No
+    reference is an error: a number out of range gives U+FFFD, an unknown name
+    stays. Text without ``&`` passes untouched."""
+    return F.expr(_decode_sql(_name(c)))
+
+
+def _without_blocks_sql(html: str) -> str:
     """Comments, scripts and styles become a tag boundary. A page without any
     is not searched by the pattern."""
-    c = _col(html)
-    some = c.contains("<!--") | c.rlike(r"(?i)<s(?:cript|tyle)")
-    return F.when(some, F.regexp_replace(c, NON_MARKUP, "<!>")).otherwise(c)
+    some = f"(contains({html}, '<!--') OR {html} RLIKE {_sql('(?i)<s(?:cript|tyle)')})"
+    return f"CASE WHEN {some} THEN regexp_replace({html}, {_sql(NON_MARKUP)}, '<!>') ELSE {html} END"
 
 
-def anchor_text(inner: str | Column) -> Column:
-    """Visible text: the text pieces between tags, entity-decoded, each
-    stripped of white space, empty ones dropped, joined by one space."""
-    c = _col(inner)
+def _text_sql(raw: str, tag: str) -> str:
+    """Visible text of an anchor: the text pieces between tags, entity-decoded,
+    each stripped of white space, empty ones dropped, joined by one space."""
+    def stripped(piece: str) -> str:
+        return f"btrim({_decode_sql(piece)}, {_sql(WHITESPACE)})"
 
-    def stripped(piece: Column) -> Column:
-        return F.btrim(decode_entities(piece), F.lit(WHITESPACE))
+    pieces = f"split(regexp_replace(inner, {_sql(TAG)}, {_sql(_BOUNDARY)}), {_sql(_BOUNDARY)}, -1)"
+    joined = f"array_join(filter(transform({pieces}, piece -> {stripped('piece')}), p -> p != ''), ' ')"
+    return (f"element_at(transform(array(substring({raw}, length({tag}) + 1)), inner -> "
+            f"CASE WHEN contains(inner, '<') THEN {joined} ELSE {stripped('inner')} END), 1)")
 
-    pieces = F.transform(F.split(F.regexp_replace(c, TAG, _BOUNDARY), _BOUNDARY, -1), stripped)
-    joined = F.array_join(F.filter(pieces, lambda p: p != ""), " ")
-    return F.when(c.contains("<"), joined).otherwise(stripped(c))
 
-
-def anchor_href(attributes: str | Column) -> Column:
+def _href_sql(tag: str) -> str:
     """The first ``href`` value (entity-decoded), empty text for ``href=""`` or
     a bare ``href``, null when there is none. Attributes are read from the
     start one by one, so text inside another one's quotes is none."""
-    c = _col(attributes)
-    names = F.regexp_extract_all(c, F.lit(ATTRIBUTE), 1)
-    values = F.regexp_extract_all(c, F.lit(ATTRIBUTE), 2)
-    at = F.array_position(F.transform(names, F.lower), "href")
-    raw = F.element_at(values, F.when(at > 0, at).cast("int"))
-    return decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
+    attributes = f"substring({tag}, 3, length({tag}) - 3)"
+    names = f"regexp_extract_all({attributes}, {_sql(ATTRIBUTE)}, 1)"
+    values = f"regexp_extract_all({attributes}, {_sql(ATTRIBUTE)}, 2)"
+    at = f"nullif(array_position(transform({names}, n -> lower(n)), 'href'), 0)"
+    quotes = "^[\"']|[\"']$"
+    value = f"regexp_replace(element_at({values}, cast({at} AS int)), {_sql(quotes)}, '')"
+    return f"element_at(transform(array({value}), value -> {_decode_sql('value')}), 1)"
+
 
+def raw_anchors(html: str) -> Column:
+    """Array of the anchors' source text, one for every ``<a`` start tag of
+    column ``html`` in document order, closed or not. A start tag ends an anchor
+    that is still open, as anchors do not nest."""
+    return F.expr(f"regexp_extract_all({_without_blocks_sql(_name(html))}, {_sql(ANCHOR)}, 0)")
 
-def anchors(html: str | Column) -> Column:
-    """Array of (text, href), one for every ``<a`` start tag in document order,
-    closed or not. A start tag ends an anchor that is still open, as anchors
-    do not nest."""
-    def read(clean: Column) -> Column:
-        attributes = F.regexp_extract_all(clean, F.lit(ANCHOR_START), 1)
-        rest = F.slice(F.split(clean, ANCHOR_START, -1), 2, F.greatest(F.size(attributes), F.lit(1)))
-        return F.zip_with(attributes, rest, lambda a, r: F.struct(
-            anchor_text(F.element_at(F.split(r, ANCHOR_END, 2), 1)).alias("title"),
-            anchor_href(a).alias("href")))
 
-    return let(strip_markup_blocks(html), read)
+def start_tag(raw: str) -> Column:
+    """The start tag of an anchor's source."""
+    return F.expr(f"regexp_extract({_name(raw)}, {_sql(f'(?is)^{_START}')}, 0)")
+
+
+def anchor_text(raw: str, tag: str) -> Column:
+    """Visible text of an anchor's source and its start tag (columns)."""
+    return F.expr(_text_sql(_name(raw), _name(tag)))
+
+
+def anchor_href(tag: str) -> Column:
+    """The ``href`` of a start tag (a column)."""
+    return F.expr(_href_sql(_name(tag)))
+
+
+def anchors(html: str) -> Column:
+    """Array of (title, href) of :func:`raw_anchors`."""
+    tag = f"regexp_extract(raw, {_sql(f'(?is)^{_START}')}, 0)"
+    return F.expr(
+        f"transform(regexp_extract_all({_without_blocks_sql(_name(html))}, {_sql(ANCHOR)}, 0), raw -> "
+        f"element_at(transform(array({tag}), tag -> named_struct("
+        f"'title', {_text_sql('raw', 'tag')}, 'href', {_href_sql('tag')})), 1))")
 
 
 # ------------------------------------------------------------ URL resolution
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _NETLOC = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
+_HAS_NETLOC = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 _QUERY = r"^[^?#]*(\?[^#]*)?"
 _HREF_PATH = r"^([^?#]*)"
 _HREF_REST = r"^[^?#]*(.*)$"
 
 
-def _remove_dot_segments(segments: Column) -> Column:
+def _without_dots_sql(segments: str) -> str:
     """Resolve ``.`` and ``..`` over an array of path segments; ``..`` at
     the top is dropped. A trailing ``.`` or ``..`` keeps a trailing slash."""
-    empty = F.array().cast("array<string>")
-    resolved = F.aggregate(
-        segments, empty,
-        lambda acc, seg: F.when(seg == "..", F.when(F.size(acc) > 0,
-                                                   F.slice(acc, 1, F.size(acc) - 1))
-                                .otherwise(acc))
-                          .when(seg == ".", acc)
-                          .otherwise(F.concat(acc, F.array(seg))))
-    last = F.element_at(segments, -1)
-    return F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
-
-
-def resolve_url(base: str | Column, href: str | Column) -> Column:
-    """Resolve ``href`` against the page URL ``base``: absolute links are
-    kept, ``//host`` takes the base scheme, ``/path``, ``?query``,
+    resolved = (
+        f"aggregate({segments}, cast(array() AS array<string>), (acc, seg) -> CASE "
+        f"WHEN seg = '..' THEN CASE WHEN size(acc) > 0 THEN slice(acc, 1, size(acc) - 1) ELSE acc END "
+        f"WHEN seg = '.' THEN acc ELSE concat(acc, array(seg)) END)")
+    return (f"CASE WHEN element_at({segments}, -1) IN ('.', '..') THEN concat({resolved}, array('')) "
+            f"ELSE {resolved} END")
+
+
+def resolve_url(base: str, href: str) -> Column:
+    """Resolve column ``href`` against the page URL in column ``base``: absolute
+    links are kept, ``//host`` takes the base scheme, ``/path``, ``?query``,
     ``#fragment`` and relative paths are joined to the base."""
-    base, href = _col(base), _col(href)
-    scheme = F.regexp_extract(base, _SCHEME, 1)
-    netloc = F.regexp_extract(base, _NETLOC, 1)
-    has_netloc = base.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://")
-    bpath = F.regexp_extract(base, _PATH, 1)
-    bquery = F.regexp_extract(base, _QUERY, 1)
-    hpath = F.regexp_extract(href, _HREF_PATH, 1)
-    hrest = F.regexp_extract(href, _HREF_REST, 1)
-    origin = F.concat(scheme, F.lit(":"), F.when(has_netloc, F.concat(F.lit("//"), netloc))
-                      .otherwise(F.lit("")))
-
-    base_parts = F.split(bpath, "/", -1)
-    base_dir = F.when(F.element_at(base_parts, -1) != "",
-                      F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
-    joined = F.concat(base_dir, F.split(hpath, "/", -1))
-    n = F.size(joined)
-    squeezed = F.when(n >= 2, F.concat(F.slice(joined, 1, 1),
-                                       F.filter(F.slice(joined, 2, n - 2), lambda x: x != ""),
-                                       F.slice(joined, n, 1))).otherwise(joined)
-    segments = F.when(hpath.startswith("/"), F.split(hpath, "/", -1)).otherwise(squeezed)
-    path = F.array_join(_remove_dot_segments(segments), "/")
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    path = F.when(has_netloc & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-    without_fragment = F.regexp_extract(base, r"^([^#]*)", 1)
-
-    # Fast path: a root-relative link without dot segments resolves to the
-    # base origin followed by the link, so one regex replaces the general
-    # resolution below (which only runs for the other rows).
-    root_plain = href.startswith("/") & ~href.startswith("//") & ~href.contains("/.")
-    base_origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)", 1)
-
-    return (F.when(root_plain & has_netloc, F.concat(base_origin, href))
-            .when(href.rlike(_SCHEME), href)
-            .when(href == "", base)
-            .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("#"), F.concat(without_fragment, href))
-            .when(hpath == "", F.concat(origin, bpath,
-                                        F.when(hrest.startswith("#"), F.concat(bquery, hrest))
-                                        .otherwise(hrest)))
-            .otherwise(F.concat(origin, path, hrest)))
+    base, href = _name(base), _name(href)
+
+    def part(text: str, pattern: str) -> str:
+        return f"regexp_extract({text}, {_sql(pattern)}, 1)"
+
+    scheme, bpath = part(base, _SCHEME), part(base, _PATH)
+    hpath, hrest = part(href, _HREF_PATH), part(href, _HREF_REST)
+    has_netloc = f"{base} RLIKE {_sql(_HAS_NETLOC)}"
+    origin = f"concat({scheme}, ':', CASE WHEN {has_netloc} THEN concat('//', {part(base, _NETLOC)}) ELSE '' END)"
+    base_dir = "CASE WHEN element_at(b, -1) != '' THEN slice(b, 1, size(b) - 1) ELSE b END"
+    joined = (f"concat(element_at(transform(array(split({bpath}, '/', -1)), b -> {base_dir}), 1), "
+              f"split({hpath}, '/', -1))")
+    squeezed = (
+        f"element_at(transform(array({joined}), j -> CASE WHEN size(j) >= 2 THEN concat(slice(j, 1, 1), "
+        f"filter(slice(j, 2, size(j) - 2), x -> x != ''), slice(j, size(j), 1)) ELSE j END), 1)")
+    segments = f"CASE WHEN startswith({hpath}, '/') THEN split({hpath}, '/', -1) ELSE {squeezed} END"
+    path = (f"element_at(transform(transform(array({segments}), s -> array_join({_without_dots_sql('s')}, '/')), "
+            f"p -> CASE WHEN p = '' THEN '/' WHEN {has_netloc} AND NOT startswith(p, '/') THEN concat('/', p) "
+            f"ELSE p END), 1)")
+    # A root-relative link without dot segments resolves to the base's origin
+    # followed by the link: one pattern in place of the general resolution.
+    root_plain = (f"startswith({href}, '/') AND NOT startswith({href}, '//') AND NOT contains({href}, '/.') "
+                  f"AND {has_netloc}")
+    return F.expr(
+        f"CASE WHEN {root_plain} THEN concat({part(base, _ORIGIN)}, {href}) "
+        f"WHEN {href} RLIKE {_sql(_SCHEME)} THEN {href} WHEN {href} = '' THEN {base} "
+        f"WHEN startswith({href}, '//') THEN concat({scheme}, ':', {href}) "
+        f"WHEN startswith({href}, '#') THEN concat({part(base, r'^([^#]*)')}, {href}) "
+        f"WHEN {hpath} = '' THEN concat({origin}, {bpath}, CASE WHEN startswith({hrest}, '#') "
+        f"THEN concat({part(base, _QUERY)}, {hrest}) ELSE {hrest} END) "
+        f"ELSE concat({origin}, {path}, {hrest}) END")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.html import anchors, resolve_url
+from tarmac.functions.html import anchor_href, anchor_text, raw_anchors, resolve_url, start_tag
 from tarmac.functions.text import destination_path, record_filename, reporting_period_from_text
 
 # Titles of monthly full-analysis files, excluding the
@@ -34,9 +34,12 @@ def extract_links(pages: DataFrame, html_col: str = "html", url_col: str = "url"
     ``keep`` columns, ``page_url``, ``pos`` (anchor index in the page),
     ``title`` and ``href``."""
     kept = [c for c in keep if c in pages.columns]
-    exploded = pages.select(*kept, F.col(url_col).alias("page_url"),
-                            F.posexplode(anchors(html_col)).alias("pos", "anchor"))
-    links = exploded.select(*kept, "page_url", "pos", "anchor.title", "anchor.href")
+    # One row an anchor first: what follows is plain projections of its text.
+    raw = pages.select(*kept, F.col(url_col).alias("page_url"),
+                       F.posexplode(raw_anchors(html_col)).alias("pos", "raw"))
+    tags = raw.select(*kept, "page_url", "pos", "raw", start_tag("raw").alias("tag"))
+    links = tags.select(*kept, "page_url", "pos", anchor_text("raw", "tag").alias("title"),
+                        anchor_href("tag").alias("href"))
     return links.filter((F.col("title") != "") & F.col("href").isNotNull())
 
 
