@@ -27,17 +27,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights
-from tarmac.operators.views import dashboard_bundle
+from tarmac.operators.views import delay_levels, marts_of_levels, staging_marts
 from tarmac.plans.build import Flights, flights
 from tarmac.plans.fixture import flight_cells, land_csv
 from tarmac.plans.load import load_union, load_year
 from tarmac.session import ensure_checkpoint_dir
 from tarmac.sources import files
-from tarmac.sources.tables import mark_complete, read_staging, write_mart, write_staging
+from tarmac.sources.tables import (
+    load_model, mark_complete, read_staging, write_mart, write_staging,
+)
 
 _INPUTS = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 _PACKAGE = Path(__file__).resolve().parents[1]
 _PARTS = ("functions", "operators", "plans", "sources")
+LEVELS = "delay_levels"
 
 
 def _code_digest() -> str:
@@ -142,10 +145,18 @@ def loaded_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def written_marts(spark: SparkSession, sf_dir: str, as_of: str) -> str:
-    """The dashboard's marts as tables; returns their folder."""
+    """The dashboard's marts as tables; returns their folder. The deduplicated
+    flights are read once, for a small table of sums that three marts share."""
     def write(path: str) -> None:
         f = staged_flights(spark, sf_dir)
-        for name, mart in dashboard_bundle(f.stg, f.sch, as_of).items():
+        write_mart(delay_levels(f.sch), f"{path}/{LEVELS}")
+        levels = load_model(spark, f"{path}/{LEVELS}", LEVELS)
+        for name, mart in {**marts_of_levels(levels, as_of), **staging_marts(f.stg)}.items():
             write_mart(mart, f"{path}/{name}")
 
     return _built(spark, sf_dir, "marts", write, False)
+
+
+def written_models(spark: SparkSession, root: str) -> list[str]:
+    """Names of the models written under a folder, but for the shared sums."""
+    return [f.name for f in files.listing(spark, root) if f.is_dir and f.name != LEVELS]

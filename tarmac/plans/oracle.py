@@ -456,10 +456,7 @@ SELECT reporting_period, reporting_airport, origin_destination_country, origin_d
        CAST(average_delay_mins AS VARCHAR) AS average_delay_mins
 FROM layouts""")
     q["parse_file"] = _flights(f"""
-SELECT CAST(left(reporting_period, 4) AS INTEGER) AS year,
-       CAST(right(reporting_period, 2) AS INTEGER) AS month, reporting_period,
-       {_LANDED_AIRLINE} AS airline_name, count(*) AS n_rows
-FROM layouts GROUP BY ALL""")
+SELECT * REPLACE ({_LANDED_AIRLINE} AS airline_name) FROM raw_all""")
     q["yearly_table"] = _flights(f"""
 SELECT 'punctuality_data_' || {_FOLDER} AS table_name, year, month, reporting_airport,
        {_LANDED_AIRLINE} AS airline_name, scheduled_charter
@@ -548,9 +545,15 @@ def view_sql(marts: dict[str, str]) -> dict[str, str]:
     def counted(name: str) -> str:
         return f"SELECT {_q(name)} AS table_name, count(*) AS n_rows FROM ({marts[name]}) m"
 
-    q["dashboard_bundle"] = "\nUNION ALL\n".join(counted(n) for n in bundle)
+    keys = dict(zip(bundle, ("CAST(year AS VARCHAR)", "recent_published_date", "''",
+                             "CAST(month AS VARCHAR) || ' ' || month_name", "reporting_airport")))
+    values = dict(zip(bundle, ("avg_delay_mins", "NULL", "total_tracked_flights", "avg_delay_mins",
+                               "avg_delay_mins")))
+    q["dashboard_bundle"] = "\nUNION ALL\n".join(
+        f"SELECT {_q(n)} AS table_name, {keys[n]} AS key, CAST({values[n]} AS DOUBLE) AS value "
+        f"FROM ({marts[n]}) m" for n in bundle)
     q["model_inventory"] = "SELECT *, CAST(NULL AS VARCHAR) AS error FROM (" + "\nUNION ALL\n".join(
-        counted(n) for n in ("fct_delay_over_years", "fct_recent_airport_delays")) + """) found
+        counted(n) for n in bundle) + """) found
 UNION ALL SELECT 'no_such_model', NULL,
   'there is no table no_such_model yet; build its model first'"""
     q["view_annual_trend"] = _flights(f"""

@@ -22,7 +22,7 @@ from tarmac.operators import manifest, models, normalize, quality, staging, view
 from tarmac.plans import fixture, load
 from tarmac.plans.build import flights
 from tarmac.plans.materialize import (
-    landed_csv, loaded_tables, raw_cells, staged_flights, written_marts,
+    landed_csv, loaded_tables, raw_cells, staged_flights, written_marts, written_models,
 )
 from tarmac.plans.oracle import AS_OF
 from tarmac.plans.oracle_manifest import AS_OF_YEAR, PREFIX
@@ -110,9 +110,9 @@ def _ingest_queries() -> dict[str, Query]:
             null_tokens("average_delay_mins").alias("average_delay_mins"))
 
     def parse_file(spark, sf_dir):
+        """Every parsed row of every file, each column cast to its type."""
         parsed = normalize.parse_file(read_csv_mixed_encoding(spark, landed_csv(spark, sf_dir)))
-        return parsed.groupBy("year", "month", "reporting_period", "airline_name").agg(
-            F.count(F.lit(1)).alias("n_rows"))
+        return normalize.typed(normalize.drop_noise(parsed.drop("source_file", "reporting_period")))
 
     def yearly_table(spark, sf_dir):
         tables = loaded_tables(spark, sf_dir)
@@ -236,16 +236,15 @@ def _view_queries() -> dict[str, Query]:
         return written_marts(spark, sf_dir, AS_OF)
 
     def bundle(spark, sf_dir):
-        f = b(spark, sf_dir)
-        return normalize.union_layouts([
-            mart.select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("row"))
-            for name, mart in views.dashboard_bundle(f.stg, f.sch, AS_OF).items()]).groupBy(
-            "table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+        """Every row of the written marts in one long table."""
+        root = marts(spark, sf_dir)
+        return views.long_form({name: load_model(spark, f"{root}/{name}", name) for name in views.BUNDLE})
 
     def inventory(spark, sf_dir):
-        """Which models a reader finds; a missing one is an error that names it."""
+        """All written models, by listing them, and a missing one, which is an
+        error that names it."""
         root, rows = marts(spark, sf_dir), []
-        for name in ("fct_delay_over_years", "fct_recent_airport_delays", "no_such_model"):
+        for name in [*written_models(spark, root), "no_such_model"]:
             try:
                 rows.append((name, load_model(spark, f"{root}/{name}", name).count(), None))
             except ValueError as error:
