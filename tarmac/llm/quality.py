@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.bytecnn import ByteCnn, Logistic, padded, sample_windows
 from tarmac.llm.common import blocks, text_of, written
-from tarmac.llm.sampling import class_sample
+from tarmac.llm.sampling import class_sample, sampled_texts
 
 CHUNK = 256
 WIDTHS = (2, 4)
@@ -73,10 +73,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_c
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("k"), F.col(label).cast("int").alias("y"))
     chosen = class_sample(known, "y", "k", per_class).groupBy("k").agg(F.max("y").alias("y"))
-    # The chosen ids are a bounded set, so they may be sent to every task.
-    sample = written(
-        docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
-        .join(F.broadcast(chosen), F.col("id") == F.col("k")).select("id", "y", "t"), "quality-sample")
+    sample = written(sampled_texts(docs, chosen, id_col, text_col), "quality-sample")
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

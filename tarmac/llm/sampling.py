@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import text_of
 
 def class_sample(rows: DataFrame, label: str, key: str, per_class: int) -> DataFrame:
     """About ``per_class`` rows of each label (all of a rarer one), chosen by a
@@ -17,3 +18,13 @@ def class_sample(rows: DataFrame, label: str, key: str, per_class: int) -> DataF
     keep = [(F.col(label) == F.lit(value)) & (drawn < min(1.0, per_class / n))
             for value, n in counts.items() if value is not None]
     return rows.filter(reduce(lambda a, b: a | b, keep, F.lit(False)))
+
+
+def sampled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, y, t): one text of each chosen id ``k`` with its label ``y``. An id on
+    rows of several texts gives the one with the smallest hash, so the sample
+    has no more rows than ids."""
+    return (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
+            # The chosen ids are a bounded set, so they may be sent to every task.
+            .join(F.broadcast(chosen), F.col("id") == F.col("k"))
+            .groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")))

@@ -35,15 +35,15 @@ from pyspark.sql import functions as F
 from tarmac.llm.bytecnn import Adam, Logistic
 from tarmac.llm.common import (BLOCK_BYTES, LOWER, Block, blocks, byte_prefix, byte_ranges, mix, text_of,
                                word_bounds)
-from tarmac.llm.sampling import class_sample
+from tarmac.llm.sampling import class_sample, sampled_texts
 
 CHAIN = 64
 TABLE_BITS = 18
 PREFIXES = (3, 4, 5, 6)
 
 #: Labelled documents of each class, and chains of each, that the field learns from.
-PER_CLASS = 2000
-TRAIN_CHAINS = 32
+PER_CLASS = 3000
+TRAIN_CHAINS = 48
 
 #: Chains that advance together; bounds the memory of a pass over many tokens.
 CHAINS_AT_ONCE = 4096
@@ -301,11 +301,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
                 [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())],
                 names=["y", "part"])
 
-    # The chosen ids are a bounded set, so they may be sent to every task.
     rows = sorted({(r["y"], bytes(r["part"])) for r in
-                   docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
-                   .join(F.broadcast(chosen), F.col("id") == F.col("k")).select("id", "y", "t")
-                   .mapInArrow(chains, "y int, part binary").collect()})
+                   sampled_texts(docs, chosen, id_col, text_col).mapInArrow(chains, "y int, part binary").collect()})
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(None, None, 0.5 if not len(y) else float((y.sum() + 1) / (len(y) + 2)))
