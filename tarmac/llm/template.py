@@ -7,24 +7,33 @@ its path and words. The pages of one host come from one template, so:
    page of the host. It is never built: each page adds a hash of (page, number)
    to a sum, so equal sums (with equal numbers of pages) are equal vectors, and
    a host of any size is one aggregate.
-2. *Equivalence classes.* Tokens of one host with one vector form a class. A
-   class is valid if it covers at least ``SUPPORT`` of the host's pages, and
-   its tokens nest: the class of each element's parent is valid too.
-3. *Template.* The root class has the tokens that occur once on each such
-   page. Valid classes nest into it by their paths; text tokens of the root
-   class are constants of the template.
+2. *Equivalence classes.* Tokens of one host with one vector form a class. The
+   root class has the root's vector: its tokens occur once on every page. A
+   class is valid if it covers at least ``SUPPORT`` of the host's pages, has
+   several tokens (or elements that every page has equally often), and nests:
+   the parent of each of its tokens is in a valid class. A text whose vector no
+   other token shares is a passage that pages repeat, not template.
+3. *Template.* Valid classes nest into the root class by their paths; their
+   text tokens are constants. Like containers side by side are told apart by
+   their order, so a host needs neither names nor classes on its elements.
 4. *Slots.* What is left of a page are the slots between template tokens. The
-   main slot is the article (or main) element of the root class, if it has most
-   of the host's own running text; else the smallest element of the root class
-   around all of its slots and the headings and paragraphs beside them. Its
-   blocks, without the template's constants and without elements that are never
-   an article (menus, notices, forms, scripts, comments and the like), are the
+   main slot is the article (or main) element of a valid class, if it has most
+   of the host's own running text; else the smallest element around all of its
+   slots and the headings and paragraphs beside them. Its blocks, without the
+   template's constants and without elements that are never an article, are the
    page's text. Where no article or main element marks it, running text outside
    the slot that is no constant stays as well.
 
-A host with fewer than ``MIN_PAGES`` pages, or a page without its host's main
-element, has no template to speak of: there the page's own article or main
-element counts, else its body, under the same exclusions.
+Names decide only what the template leaves open. Elements that are never an
+article (menus, buttons, scripts and the like) are left out; so are forms and
+elements named as menu, notice, comments and so on, unless one wraps the page's
+article or most of its text. Inside an article only a class that is such a name
+itself counts, an article's own header is part of it, and hidden elements are
+text like any other.
+
+A lone page of a host, or a page without its host's main element, has no
+template to speak of: there the page's own article or main element counts, else
+its body without links other than linked headings and paragraphs.
 
 Defined results: null or empty html, and a page without text, give the empty
 string; a null url is a host of its own; repeated rows get equal texts, and
@@ -49,7 +58,10 @@ from tarmac.llm.common import text_of, written
 #: Share of a host's pages that a template token is on, and of a host's text in its main slot.
 SUPPORT = 0.9
 MAIN_SHARE = 0.5
-MIN_PAGES = 5
+MIN_PAGES = 2
+
+#: Containers of one label side by side that are told apart; later ones are alike.
+TWINS = 8
 
 #: Places that the pages of one host are dealt over.
 SALTS = 32
@@ -58,7 +70,7 @@ SALTS = 32
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q "
                    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-NEVER = frozenset("script style noscript template head title nav header footer aside form button select "
+NEVER = frozenset("script style noscript template head title nav header footer aside button select "
                   "option textarea input label fieldset iframe object svg canvas dialog menu".split())
 RAW = frozenset("script style textarea title noscript template iframe".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -67,6 +79,7 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
                      "header hr main nav ol pre section table ul".split())
 TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th "
                     "caption figure figcaption details summary".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote".split())
 SCOPE = frozenset("table ul ol dl div section article aside nav header footer form main body html".split())
 
 # Names in class, id and role attributes of what is not an article. A
@@ -82,12 +95,11 @@ _FIRST = re.compile(
     r"comments?|disqus|pagination|pager|toolbar)")
 _LAST = re.compile(_FIRST.pattern[:-1] + r"|masthead|notices?|alert|overlay|replies)")
 _PAIR = re.compile(r"(?:site|top|global|main)[_-]header|widget[_-]area|skip[_-](?:link|links|to[_-]\w+)|reply[_-]\w+|"
-                   r"(?:search|login|signup)[_-](?:form|box|bar|field|panel|widget)")
+                   r"(?:search|login|signup)[_-](?:form|box|bar|field|panel|widget)|"
+                   r"comments?[_-](?:list|area|section|form|thread|wrapper|box|body|reply)")
 #: Words that say how a page is laid out, not what an element is.
 _LAYOUT = frozenset("has with no without not".split())
-_NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""",
-                     re.I)
+_NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _MARKUP = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                      r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
 
@@ -114,31 +126,70 @@ def _names_no_article(names: str) -> bool:
     return False
 
 
+@lru_cache(4096)
+def _class_in_article(name: str) -> bool:
+    parts = [x for x in re.split(r"[_-]+", name) if x]
+    return bool(parts) and not _LAYOUT.intersection(parts) and bool(
+        _WHOLE.fullmatch(name) or _PAIR.fullmatch(name) or len(parts) > 1 and _LAST.fullmatch(parts[-1]))
+
+
+def _named_inside(name: str, found: list[tuple[str, str]]) -> bool:
+    """Whether an element inside an article is named as none of its text. There
+    a class or role must be such a name itself or end in one; an id, a section's
+    name or a first part (related-work, ad-hoc) says what the text is about."""
+    return name != "section" and any(
+        kind != "id" and any(_class_in_article(x) for x in value.lower().split()) for kind, value in found)
+
+
 def _digest(text: str, seed: int) -> int:
     """A signed 64-bit hash."""
     value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed & (2**64 - 1))
     return value - (1 << 64) if value >> 63 else value
 
 
-class _Element:
-    __slots__ = ("name", "path", "never", "link", "named")
+class _Node:
+    """A block element of a page. Nodes know their parent, not their whole path,
+    so a page takes memory in proportion to its tags however deep they nest."""
+
+    __slots__ = ("name", "path", "parent", "soft", "own", "article", "heading", "size", "marks", "headings", "flag")
+
+    def __init__(self, name: str, path: int, parent: "_Node | None", soft: bool = False, own: bool = False):
+        self.name, self.path, self.parent = name, path, parent
+        self.soft = soft  # named as no article, or a form: left out unless it wraps the article
+        self.own = own or (parent is not None and parent.own)  # in an article that is itself named so
+        self.article = name in ("article", "main") or (parent is not None and parent.article)
+        self.heading = name == "h1" or (parent is not None and parent.heading)
+        self.size = self.marks = self.headings = 0
+        self.flag = False
+
+
+class _Open:
+    """An open element: its node (that around it, for an inline one)."""
+
+    __slots__ = ("name", "node", "never", "link")
 
-    def __init__(self, name: str, path: int, never: bool, link: bool, named: tuple = ()):
-        self.name, self.path, self.never, self.link = name, path, never, link
-        self.named = named
+    def __init__(self, name: str, node: _Node, never: bool, link: bool):
+        self.name, self.node, self.never, self.link = name, node, never, link
 
 
 class BlockOfText:
-    """One block: its text, the hashes of the elements around it (outermost
-    first), its own token, whether it lies in a never or a link element, and the
-    elements around it that are named as no article."""
+    """One block: its text, its place, its own token, and whether it lies in an
+    element that is never an article, or mostly in links."""
 
-    __slots__ = ("text", "chain", "token", "never", "linked", "names", "named")
+    __slots__ = ("text", "node", "token", "never", "linked")
 
-    def __init__(self, text: str, chain: tuple, never: bool, linked: bool, names: tuple, named: tuple = ()):
-        self.text, self.chain, self.never, self.linked, self.names = text, chain, never, linked, names
-        self.named = named
-        self.token = _digest(text, chain[-1] if chain else _ROOT)
+    def __init__(self, text: str, node: _Node, never: bool, linked: bool):
+        self.text, self.node, self.never, self.linked = text, node, never, linked
+        self.token = _digest(text, node.path)
+
+    @property
+    def chain(self) -> tuple:
+        """Tokens of the elements around the block, outermost first."""
+        out, node = [], self.node
+        while node.parent is not None:
+            out.append(node.path)
+            node = node.parent
+        return tuple(reversed(out))
 
 
 class Page:
@@ -148,21 +199,26 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[BlockOfText] = []
         self.elements: list[tuple[int, int, int]] = []  # (token, token of the parent, role)
+        self.nodes = [_Node("", _ROOT, None)]  # parents come before their children
         self._paths: dict[tuple[int, str], int] = {}
-        self._stack = [_Element("", _ROOT, False, False)]
+        self._stack = [_Open("", self.nodes[0], False, False)]
+        self._names: Counter = Counter()  # open elements by name
+        self._twins: Counter = Counter()  # containers of one label by the node around them
         self._text: list[str] = []
         self._letters = self._linked = 0
-        self._serial = 0
         self._read(source)
         self._flush()
         self._exclude_named()
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
+        last = source.rfind(">")  # behind it no tag ends
         while at < n:
-            found = _MARKUP.search(source, at)
+            found = _MARKUP.search(source, at, last + 1) if at <= last else None
             if not found:
-                self._add(source[at:])
+                # what opens a comment there has no end either
+                stop = source.find("<!--", max(at, last + 1))
+                self._add(source[at:stop] if stop >= 0 else source[at:])
                 return
             if found.start() > at:
                 self._add(source[at:found.start()])
@@ -184,11 +240,10 @@ class Page:
                 self._close(name)
 
     def _add(self, text: str) -> None:
-        top = self._stack[-1]
         self._text.append(text)
         size = len(text)
         self._letters += size
-        if top.link:
+        if self._stack[-1].link:
             self._linked += size
 
     def _flush(self) -> None:
@@ -198,11 +253,8 @@ class Page:
         letters, linked = self._letters, self._linked
         self._text, self._letters, self._linked = [], 0, 0
         if text:
-            # inline elements belong to the block, not to its place
-            place = [e for e in self._stack if e.name not in INLINE]
-            self.blocks.append(BlockOfText(
-                text, tuple(e.path for e in place[1:]), self._stack[-1].never,
-                2 * linked > letters, tuple(e.name for e in place[1:]), self._stack[-1].named))
+            top = self._stack[-1]
+            self.blocks.append(BlockOfText(text, top.node, top.never, 2 * linked > letters))
 
     def _open(self, name: str, rest: str) -> None:
         inline = name in INLINE
@@ -216,85 +268,104 @@ class Page:
         if name in VOID:
             return
         parent = self._stack[-1]
-        outer = next(e for e in reversed(self._stack) if e.name not in INLINE)
-        label = name
-        never, named = parent.never or name in NEVER, parent.named
-        if rest.strip():
-            names = " ".join(a or b or c for a, b, c in _NAMED.findall(rest))
-            if names:
-                label = f"{name} {re.sub(r'[0-9]+', '0', names)}"
-                if not never and name not in ("html", "body", "main") and _names_no_article(names):
-                    self._serial += 1
-                    named += ((self._serial, name == "article"),)
-            never = never or bool(_HIDDEN.search(rest))
-        if inline:
-            path = outer.path
-        else:
+        outer = parent.node
+        # An article's own header holds its title; only those of pages are left out.
+        never = parent.never or (name in NEVER and not (name == "header" and outer.article))
+        node = outer
+        if not inline:
+            label, soft = name, name == "form"
+            if rest.strip():
+                found = [(kind.lower(), a or b or c) for kind, a, b, c in _NAMED.findall(rest)]
+                names = " ".join(value for _, value in found)
+                if names:
+                    label = f"{name} {re.sub(r'[0-9]+', '0', names)}"
+                    if not never and name not in ("html", "body", "main"):
+                        soft = soft or (_named_inside(name, found) if outer.article else _names_no_article(names))
+            if _role(name) != TEXT:
+                # Like containers side by side play different parts in a template.
+                self._twins[id(outer), label] += 1
+                label = f"{label} {min(self._twins[id(outer), label], TWINS)}"
             path = self._paths.get((outer.path, label))
             if path is None:
                 path = self._paths[outer.path, label] = _digest(label, outer.path)
             self.elements.append((path, outer.path, _role(name)))
-        self._stack.append(_Element(name, path, never, parent.link or name == "a", named))
+            node = _Node(name, path, outer, soft and name != "article", soft and name == "article")
+            self.nodes.append(node)
+        self._stack.append(_Open(name, node, never, parent.link or name == "a"))
+        self._names[name] += 1
+
+    def _cut(self, i: int) -> None:
+        for e in self._stack[i:]:
+            self._names[e.name] -= 1
+        del self._stack[i:]
 
     def _end_implied(self, ends) -> None:
+        if not any(self._names[x] for x in ends):
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             if self._stack[i].name in ends:
-                del self._stack[i:]
+                self._cut(i)
                 return
             if self._stack[i].name in SCOPE:
                 return
 
     def _close(self, name: str) -> None:
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self._stack[i].name == name:
-                if name not in INLINE:
-                    self._flush()
-                del self._stack[i:]
-                return
-            if name in INLINE and self._stack[i].name not in INLINE:
-                return  # an inline end tag does not end a block
+        if self._names[name]:
+            for i in range(len(self._stack) - 1, 0, -1):
+                if self._stack[i].name == name:
+                    if name not in INLINE:
+                        self._flush()
+                    self._cut(i)
+                    return
+                if name in INLINE and self._stack[i].name not in INLINE:
+                    return  # an inline end tag does not end a block
         if name == "p":
             self._flush()
 
     def _exclude_named(self) -> None:
-        """Blocks in elements named as no article are left out, unless the name is
-        that of a wrapper of the page's article or of most of its running text."""
-        blocks = [b for b in self.blocks if not b.never]
-        if not any(b.named for b in blocks):
+        """Blocks in forms and in elements named as no article are left out, unless
+        the element wraps the page's article or most of its running text."""
+        if not any(node.soft for node in self.nodes):
             return
-        total = rest = articles = headings = 0
-        size, article, heading = Counter(), Counter(), Counter()  # inside each named element
+        blocks = [b for b in self.blocks if not b.never]
         for b in blocks:
-            if b.linked:
-                continue
-            inside = {serial for serial, own in b.named if not own}
-            # an article that is itself named, such as a comment, is not the page's
-            marked = ("article" in b.names or "main" in b.names) and not any(own for _, own in b.named)
-            total, articles, headings = total + len(b.text), articles + marked, headings + ("h1" in b.names)
-            if not inside:
-                rest += len(b.text)
-            for serial in inside:
-                size[serial] += len(b.text)
-                article[serial] += marked
-                heading[serial] += "h1" in b.names
-        wrappers = {s for s, n in size.items() if article[s] == articles and (
-            articles and n > rest or 2 * n > total and heading[s] == headings)}
+            if not b.linked:
+                b.node.size += len(b.text)
+                # an article that is itself named, such as a comment, is not the page's
+                b.node.marks += b.node.article and not b.node.own
+                b.node.headings += b.node.heading
+        for node in self.nodes[1:]:
+            node.flag = node.parent.flag or node.soft
+        rest = sum(node.size for node in self.nodes if not node.flag)
+        for node in reversed(self.nodes[1:]):
+            node.parent.size += node.size
+            node.parent.marks += node.marks
+            node.parent.headings += node.headings
+        total, articles, headings = self.nodes[0].size, self.nodes[0].marks, self.nodes[0].headings
+        for node in self.nodes[1:]:
+            wrapper = node.marks == articles and (
+                articles and node.size > rest or 2 * node.size > total and node.headings == headings)
+            node.flag = node.parent.flag or (node.soft and not wrapper)
         for b in blocks:
-            b.never = any(not own and serial not in wrappers for serial, own in b.named)
+            b.never = b.node.flag
 
     def tokens(self) -> list[tuple[int, int, bool, int, int, int]]:
         """(token, parent, is_text, number, characters of running text below it,
         or of the text itself if it is no link, role)."""
-        chars: Counter = Counter()
         texts: Counter = Counter()
         size: Counter = Counter()
+        for node in self.nodes:
+            node.size = 0
         for b in self.blocks:
             if not b.never:
-                texts[b.token, b.chain[-1] if b.chain else _ROOT] += 1
+                texts[b.token, b.node.path] += 1
                 if not b.linked:
                     size[b.token] += len(b.text)
-                    for path in b.chain:
-                        chars[path] += len(b.text)
+                    b.node.size += len(b.text)
+        chars: Counter = Counter()
+        for node in reversed(self.nodes[1:]):
+            chars[node.path] += node.size
+            node.parent.size += node.size
         out = [(t, p, False, n, chars[t], role) for (t, p, role), n in Counter(self.elements).items()]
         out += [(t, p, True, n, size[t], CONTAINER) for (t, p), n in texts.items()]
         return out
@@ -302,22 +373,32 @@ class Page:
     def main_text(self, main: int | None, constants: frozenset) -> list[str]:
         """Blocks of the main slot in page order."""
         blocks = [b for b in self.blocks if not b.never]
-        place = next((b.names[b.chain.index(main)] for b in blocks if main in b.chain), None)
+        place = None
+        self.nodes[0].flag = False
+        for node in self.nodes[1:]:
+            node.flag = node.parent.flag or node.path == main  # in the main slot
+            if place is None and node.path == main:
+                place = node.name
         if place in ("article", "main"):
-            return [b.text for b in blocks if main in b.chain and b.token not in constants]
+            return [b.text for b in blocks if b.node.flag and b.token not in constants]
         # An article whose class differs from page to page is in no class of the host.
         running = sum(len(b.text) for b in blocks if not b.linked and b.token not in constants)
         for name in ("article", "main"):
-            inside = [b for b in blocks if name in b.names]
+            self.nodes[0].own = False
+            for node in self.nodes[1:]:
+                node.own = node.parent.own or node.name == name
+            inside = [b for b in blocks if b.node.own]
             own = sum(len(b.text) for b in inside if not b.linked and b.token not in constants)
             if inside and (place is None or running and own >= MAIN_SHARE * running):
                 return [b.text for b in inside if place is None or b.token not in constants]
         if place is None:
-            return [b.text for b in blocks if not b.linked]
+            # linked titles and paragraphs are running text, other links are menus
+            return [b.text for b in blocks if b.token not in constants
+                    and (not b.linked or b.node.name in PROSE)]
         # links outside the slot, or in the whole page, are no article
         links = place not in ("html", "body")
         return [b.text for b in blocks if b.token not in constants
-                and (not b.linked or links and main in b.chain)]
+                and (not b.linked or links and b.node.flag or b.node.name in PROSE and b.node.flag)]
 
 
 def host_of(url: Column) -> Column:
@@ -348,6 +429,7 @@ def templates(pages: DataFrame) -> DataFrame:
     vectors = written(tokens.groupBy("host", "token").agg(
         F.min("parent").alias("parent"), F.max("is_text").alias("is_text"),
         F.count(F.lit(1)).alias("support"), F.max("n").alias("most"),
+        F.min("n").alias("least"),
         F.sum(F.xxhash64("key", "n").cast("decimal(38,0)")).alias("vector"),
         F.sum("chars").alias("chars"), F.max("role").alias("role")), "template-vectors")
     hosts = vectors.filter(F.col("token") == _ROOT).select(
@@ -357,11 +439,13 @@ def templates(pages: DataFrame) -> DataFrame:
     common = vectors.filter(F.col("support") >= MIN_PAGES * SUPPORT)
     frequent = common.join(hosts, "host").filter(F.col("support") >= F.col("pages") * SUPPORT)
     # Classes: tokens of a host with one vector, a bounded number (a page's tokens).
+    even = (F.col("least") == F.col("most")) & (F.col("support") == F.col("pages")) & ~F.col("is_text")
     classes = frequent.groupBy("host", "vector", "support", "most", "pages", "all_chars").agg(
+        F.bool_or(even).alias("even"),
         F.collect_list(F.struct("token", "parent", "is_text", "chars", "role")).alias("tokens"))
     found = classes.groupBy("host").agg(
         F.first("all_chars").alias("all_chars"),
-        F.collect_list(F.struct("support", "most", "tokens")).alias("classes"))
+        F.collect_list(F.struct("support", "most", "even", "tokens")).alias("classes"))
 
     def deduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,19 +461,37 @@ def templates(pages: DataFrame) -> DataFrame:
 def _template(total: int, classes: list[dict]) -> tuple[int | None, list[int]]:
     """The main slot's token and the text tokens of one host that are cut."""
     every = {t["token"]: t for c in classes for t in c["tokens"]}
+    class_of = {t["token"]: i for i, c in enumerate(classes) for t in c["tokens"]}
     most = {t["token"]: c["most"] for c in classes for t in c["tokens"]}
+    root = class_of.get(_ROOT)
+    # The root class: what is on every page as often as the page itself, once. It
+    # and other classes of several tokens are valid if they nest: the parent of
+    # each token is in a valid class. A token whose vector no other one has is no
+    # evidence of a template: a passage that most pages repeat is one.
+    # Elements that every page has equally often are on every page as well.
+    valid = {i for i, c in enumerate(classes) if i == root or len(c["tokens"]) > 1 or c["even"]}
+    changed = True
+    while changed:
+        broken = {i for i in valid if i != root and any(
+            class_of.get(t["parent"]) not in valid for t in classes[i]["tokens"])}
+        valid -= broken
+        changed = bool(broken)
+
+    places: dict[int, list[int]] = {}
 
     def above(token: int) -> list[int] | None:
         """Elements around a token, innermost first; None if one is in no valid class."""
         out: list[int] = []
         while token != _ROOT:
-            if token not in every or len(out) > 1000:
+            if class_of.get(token) not in valid or len(out) > 1000:
                 return None
             token = every[token]["parent"]
             out.append(token)
         return out
 
-    places = {t: p for t in every if t != _ROOT and (p := above(t)) is not None}
+    for t in every:
+        if t != _ROOT and (p := above(t)) is not None:
+            places[t] = p
     fixed = [t for t in places if every[t]["is_text"] and most[t] == 1]
     own = {t: every[t]["chars"] for t in places if not every[t]["is_text"]}
     own[_ROOT] = total

@@ -1,4 +1,7 @@
-from tarmac.llm.template import Page, _template, host_of, main_texts, templates
+import time
+from collections import Counter, defaultdict
+
+from tarmac.llm.template import _ROOT, SUPPORT, Page, _template, host_of, main_texts, templates
 
 HEAD = "<html><head><title>T</title><script>var a='<p>no</p>'</script></head><body>"
 
@@ -59,7 +62,7 @@ def test_vectors_are_classes(spark):
 
 
 def test_unlinked_elements_are_in_no_class():
-    classes = [{"most": 1, "tokens": [{"token": 5, "parent": 4, "is_text": False, "chars": 100}]}]
+    classes = [{"most": 1, "even": True, "tokens": [{"token": 5, "parent": 4, "is_text": False, "chars": 100}]}]
     assert _template(100, classes) == (None, [])
 
 
@@ -144,3 +147,118 @@ def test_text_shared_by_all_articles_of_a_host_stays(spark):
             f"<div class=x>Read our other pages</div></{tag}></body>" for i in range(8)])
         for i, text in enumerate(got):
             assert text.split("\n") == ["Common heading", shared.strip(), f"own {i} " * 59 + f"own {i}", "The end."]
+
+
+def plain(i):
+    """A page without an article element and without names that say anything."""
+    return (f"<html><body><div class=r1><span>Daily Paper</span><div><a href=/a>World</a><a href=/b>Sport</a></div></div>"
+            f"<div class=r2><div class=q1><h2>Title {i}</h2><p>{f'First of {i} ' * 20}</p><p>Same closing words.</p>"
+            f"<p>{f'Last of {i} ' * 15}</p></div><div class=q2>All stories of this week</div></div>"
+            f"<div class=r3>Printed in town</div></body></html>")
+
+
+def test_hosts_without_marks_are_read_by_their_template(spark):
+    want = [[f"Title {i}", f"First of {i} " * 19 + f"First of {i}", "Same closing words.",
+             f"Last of {i} " * 14 + f"Last of {i}"] for i in range(7)]
+    for n in (2, 4, 5, 7):
+        got = texts_of(spark, [plain(i) for i in range(n)])
+        assert [t.split("\n") for t in got] == want[:n], n
+    # one page alone has no template: nothing tells its frame from its text
+    assert "Daily Paper" in texts_of(spark, [plain(0)])[0]
+
+
+def brute_classes(sources):
+    """Classes by whole occurrence vectors, one number a page."""
+    found, facts = defaultdict(lambda: [0] * len(sources)), {}
+    chars = Counter()
+    for k, source in enumerate(sources):
+        page = Page(source)
+        found[_ROOT][k] = 1
+        facts[_ROOT] = (0, False, 0)
+        chars[_ROOT] += sum(len(b.text) for b in page.blocks if not b.never and not b.linked)
+        for token, parent, is_text, n, size, role in page.tokens():
+            found[token][k] += n
+            facts[token] = (parent, is_text, role)
+            chars[token] += size
+    out = defaultdict(set)
+    for token, vector in found.items():
+        if sum(v > 0 for v in vector) >= SUPPORT * len(sources):
+            out[tuple(vector)].add(token)
+    return out, chars[_ROOT], {t: {"token": t, "parent": p, "is_text": x, "chars": chars[t], "role": r}
+                               for t, (p, x, r) in facts.items()}
+
+
+def as_classes(classes, facts):
+    return [{"most": max(v), "even": min(v) == max(v) and any(not facts[t]["is_text"] for t in ts),
+             "tokens": [facts[t] for t in sorted(ts)]} for v, ts in classes.items()]
+
+
+def test_templates_against_brute_force(spark):
+    hosts = {"plain": [plain(i) for i in range(6)], "article": [article(i) for i in range(5)],
+             "varied": [plain(i).replace("<p>Same", "<p>x</p><p>Same" if i % 2 else "<p>Same") for i in range(8)],
+             "named": [page(i, f"<p>{'own ' * 30}{i}</p>", "<p>more</p>" * (i % 3))[2] for i in range(9)],
+             "two": [article(0), article(1)], "one": [plain(3)]}
+    rows = [(h, 100 * k + i, s) for k, (h, sources) in enumerate(hosts.items()) for i, s in enumerate(sources)]
+    got = {r.host: (r.main, sorted(r.constants)) for r in templates(
+        spark.createDataFrame(rows, "host string, key long, html string").repartition(3)).collect()}
+    assert set(got) == set(hosts) - {"one"}
+    for host, sources in hosts.items():
+        classes, total, facts = brute_classes(sources)
+        want = _template(total, as_classes(classes, facts))
+        if host in got:
+            assert got[host] == (want[0], sorted(want[1])), host
+            assert want[0] is not None and (want[1] or host in ("article", "two"))
+
+
+def test_vectors_decide(spark):
+    """A passage that most pages repeat alone is no template; with a box that
+    comes and goes with it, it is. With one class for all tokens both would be."""
+    alone = [plain(i).replace("<div class=r3>", f"<div class=k>{'Often here' if i else ''}</div><div class=r3>")
+             for i in range(12)]
+    boxed = [alone[0].replace("<div class=k></div>", ""), *alone[1:]]
+    assert all("Often here" in t for t in texts_of(spark, alone)[1:])
+    assert not any("Often here" in t for t in texts_of(spark, boxed))
+    for pages_, same in ((alone, False), (boxed, True)):
+        classes, total, facts = brute_classes(pages_)
+        right = _template(total, as_classes(classes, facts))
+        merged = _template(total, [{"most": 1, "even": True,
+                                    "tokens": [facts[t] for ts in classes.values() for t in sorted(ts)]}])
+        assert (right == merged) == same
+
+
+def main_of(source):
+    return Page(source).main_text(None, frozenset())
+
+
+def test_forms_and_headers_around_the_article():
+    inner = "<article><header><h1>Title</h1><p>By line</p></header><p>own text</p></article>"
+    assert main_of(f"<body><form method=post><nav>x</nav>{inner}<input value=1><button>Go</button></form></body>") == [
+        "Title", "By line", "own text"]
+    assert main_of(f"<header><h1>Site</h1></header>{inner}<form><p>Write to us</p></form>") == [
+        "Title", "By line", "own text"]
+    assert main_of("<h1><a href=/>Linked title</a></h1><p><a href=/x>All of it linked.</a></p><p>own text here</p>"
+                   "<div><a href=/>Menu</a></div>") == ["Linked title", "All of it linked.", "own text here"]
+
+
+def test_sections_named_after_their_subject_stay():
+    for attribute in ("class=related-work", "class=ad-hoc-networks", "class=social-history", "id=search", "id=notice",
+                      "class=nav-mesh", "class=comments-on-law", "class=menu-items", "style='display:none'", "hidden"):
+        assert main_of(f"<article><h1>T</h1><section {attribute}><p>of it</p></section><p>own text</p></article>") == [
+            "T", "of it", "own text"], attribute
+        assert "of it" in main_of(f"<article><h1>T</h1><div {attribute.replace('id=', 'class=x id=')}><p>of it</p></div>"
+                                  "<p>own text that is longer</p></article>"), attribute
+    for name in ("comments", "comment-list", "ad", "share", "cookie-banner", "left-sidebar", "newsletter"):
+        assert main_of(f"<article><h1>T</h1><div class={name}><p>no</p></div><p>own text</p></article>") == [
+            "T", "own text"], name
+
+
+def test_deep_nesting_and_open_tags_take_linear_time():
+    began = time.perf_counter()
+    for depth in (1000, 40_000):
+        page_ = Page("<div class=x>" * depth + "<p>deep</p>" + "</div>" * depth)
+        assert page_.main_text(None, frozenset()) == ["deep"] and len(page_.tokens()) == depth + 2
+    assert main_of("<div>" * 40_000 + "<p>a<p>b") == ["a", "b"]
+    assert main_of("<div></b></i></section>" * 20_000 + "end") == ["end"]
+    assert len(Page("<a " * 40_000 + "x").blocks) == 1
+    assert main_of("<p>x</p>" + "<!-- " * 20_000) == ["x"]
+    assert time.perf_counter() - began < 20
