@@ -78,9 +78,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Rows that a task and its Python worker exchange at once. All stages run in
+#: the same executors, so what one of them holds adds to the others' memory.
+ROWS_AT_ONCE = 2000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    docs, before = documents(spark, sf_dir), spark.conf.get(_ROWS_SETTING)
+    spark.conf.set(_ROWS_SETTING, ROWS_AT_ONCE)
+    try:
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    finally:
+        spark.conf.set(_ROWS_SETTING, before)
     return docs

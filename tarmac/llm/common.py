@@ -19,6 +19,9 @@ from tarmac.session import ensure_checkpoint_dir
 #: Bytes of text that one numpy block holds; a longer single text is a block of its own.
 BLOCK_BYTES = 1 << 20
 
+#: Bytes of a row group of the tables that operators write for themselves.
+ROW_GROUP_BYTES = 32 << 20
+
 #: ASCII white space: the bytes that separate words.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -71,7 +74,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/corpus/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Small row groups: a writer holds one of them in memory.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -92,9 +96,10 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
 
 
-def text_hashes(text: Column) -> tuple[Column, Column]:
-    """128 bits that name a text: two independent 64-bit hashes."""
-    return F.xxhash64(text), F.xxhash64(F.lit("text"), text)
+def text_hashes(text: Column) -> dict[str, Column]:
+    """A short name of a text, ``text_h``, and 128 bits in two independent
+    hashes, ``text_a`` and ``text_b``, for texts whose short names are equal."""
+    return {"text_h": F.hash(text), "text_a": F.xxhash64(text), "text_b": F.xxhash64(F.lit("text"), text)}
 
 
 class Block:

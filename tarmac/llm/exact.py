@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (free_name, own_columns, shuffle_partitions, text_hashes, text_of,
@@ -155,7 +155,7 @@ def repeated_fingerprints(fingerprints: DataFrame, segments: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  with_hash: bool = False) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256, and
-    with ``with_hash`` the two numbers that name a text (text_a, text_b)."""
+    with ``with_hash`` the columns of ``text_hashes``."""
     text = text_of(text_col)
     segments = max(1, shuffle_partitions(docs.sparkSession))
     repeated = repeated_fingerprints(docs.select(F.xxhash64(text).alias("fp")), segments)
@@ -169,9 +169,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.sha2("t", 256).alias("sha"), F.col("top").alias("keep_id"),
                 F.col("n").alias("group_size"))
     )
-    a, b = text_hashes(text)
+    hashes = text_hashes(text) if with_hash else {}
     rows = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"),
-                       a.alias("text_a"), b.alias("text_b"))
+                       *[h.alias(c) for c, h in hashes.items()])
     grouped = F.col("group_size").isNotNull()
     keep_id = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
     return (
@@ -179,36 +179,41 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("doc_id", keep_id.alias("keep_id"),
                 F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
                 F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
-                *(["text_a", "text_b"] if with_hash else []))
+                *hashes)
     )
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns kept."""
-    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col, with_hash=True).filter(
-        "group_size > 1")
-    # What goes, named by id and 128 bits of the text: three numbers a row, so the
-    # planner may send a short list to the texts instead of dealing them anew.
-    # The id alone names no row: it may be null, or on rows of several texts.
-    rows = written(groups.select("doc_id", "text_a", "text_b", "kept"), "exact-copies")
-    name = ["doc_id", "text_a", "text_b"]
-    tops = rows.filter("kept").groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    several = written(tops.select(name), "exact-repeated")
-    gone = written(rows.filter("not kept").select(name).union(several), "exact-gone")
-    return without_rows(docs, gone, several, id_col, text_col)
-
-
-def without_rows(docs: DataFrame, gone: DataFrame, several: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without the rows named (doc_id, text_a, text_b) by ``gone``; of
-    those named by ``several`` as well, one row comes back."""
-    ids, first, second, a, b = (free_name(docs, x) for x in (
-        "_gone_id", "_gone_a", "_gone_b", "_text_a", "_text_b"))
-    hashed = docs.withColumns(dict(zip((a, b), text_hashes(text_of(text_col)))))
+    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col, with_hash=True)
+    return without_rows(docs, groups.withColumnRenamed("kept", "stays"), "exact", id_col, text_col)
+
+
+def without_rows(docs: DataFrame, judged: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows that do not stay, and with one of repeated rows
+    that do. ``judged``: doc_id, the columns of ``text_hashes``, ``stays``, for
+    each row; ``name`` names the tables written.
+
+    An id alone names no row: it may be null, or on rows of several texts. A row
+    is named by its id and the short name of its text, and by all 128 bits where
+    two texts of an id have one short name. So the list of what goes is short,
+    and the planner may send it to the texts instead of dealing them anew."""
+    texts = judged.groupBy("doc_id", "text_h", "text_a", "text_b", "stays").agg(F.count(F.lit(1)).alias("n"))
+    others = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "text_h")) > 1
+    listed = written(
+        texts.withColumn("others", others).filter("not stays or n > 1").select(
+            "doc_id", "text_h", F.when(F.col("others"), F.col("text_a")).alias("text_a"),
+            F.when(F.col("others"), F.col("text_b")).alias("text_b"), "stays"), f"{name}-gone")
+    several = written(listed.filter("stays"), f"{name}-repeated")
+    own = {c: free_name(docs, f"_{c}") for c in ("text_h", "text_a", "text_b")}
+    ids, *theirs = (free_name(docs, f"_gone_{c}") for c in ("id", *own))
+    hashed = docs.withColumns({own[c]: h for c, h in text_hashes(text_of(text_col)).items()})
 
     def named(df: DataFrame) -> DataFrame:
-        return df.select(F.col("doc_id").alias(ids), F.col("text_a").alias(first), F.col("text_b").alias(second))
+        return df.select(F.col("doc_id").alias(ids), *[F.col(c).alias(x) for c, x in zip(own, theirs)])
 
-    same = F.col(id_col).eqNullSafe(F.col(ids)) & (F.col(a) == F.col(first)) & (F.col(b) == F.col(second))
-    left = hashed.join(named(gone), same, "left_anti")
-    again = hashed.join(named(several), same, "left_semi").dropDuplicates([id_col, a, b])
+    h, a, b = (F.col(own[c]) == F.col(x) for c, x in zip(own, theirs))
+    same = F.col(id_col).eqNullSafe(F.col(ids)) & h & (F.col(theirs[1]).isNull() | (a & b))
+    left = hashed.join(named(listed), same, "left_anti")
+    again = hashed.join(named(several), same, "left_semi").dropDuplicates([id_col, *own.values()])
     return left.select(own_columns(docs)).unionByName(again.select(own_columns(docs)))

@@ -26,6 +26,7 @@ null id never names a component: the component of null ids alone is null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -187,17 +188,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, all its columns kept: the
     smallest id, null ids last, and of its texts the one with the smallest hash."""
-    a, b = text_hashes(text_of(text_col))
-    name = ["doc_id", "text_a", "text_b"]
-    signed = written(docs.select(F.col(id_col).alias("doc_id"), a.alias("text_a"), b.alias("text_b"),
+    hashes = text_hashes(text_of(text_col))
+    signed = written(docs.select(F.col(id_col).alias("doc_id"), *[h.alias(c) for c, h in hashes.items()],
                                  fingerprints(text_of(text_col), shingle).alias("fp")), "simhash")
-    named = _rooted(signed, radius, "top", F.struct(F.col("doc_id").isNull(), *name))
-    stays = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("text_a") == F.col("top.text_a")) & (
-        F.col("text_b") == F.col("top.text_b"))
-    # What goes, named by id and 128 bits of the text: neither alone names a row.
-    rows = written(signed.join(named, F.col("fp") == F.col("nfp"))
-                   .groupBy(*name, stays.alias("stays")).agg(F.count(F.lit(1)).alias("n"))
-                   .filter("not stays or n > 1"), "near-rows")
-    several = written(rows.filter("stays").select(name), "near-repeated")
-    gone = written(rows.select(name), "near-gone")
-    return without_rows(docs, gone, several, id_col, text_col)
+    top = ("doc_id", "text_a", "text_b")
+    named = _rooted(signed, radius, "top", F.struct(F.col("doc_id").isNull(), *top))
+    stays = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col("top")[c]) for c in top])
+    judged = signed.join(named, F.col("fp") == F.col("nfp")).select("doc_id", *hashes, stays.alias("stays"))
+    return without_rows(docs, judged, "near", id_col, text_col)
