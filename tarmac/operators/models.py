@@ -2,7 +2,8 @@
 deduplicated scheduled subset (``sch``).
 
 Each function returns a lazy DataFrame. Latest-period predicates take a
-``periods`` frame for their subqueries; it defaults to ``sch``. Passing
+``periods`` frame (year, month) for their subqueries; it defaults to the rows
+themselves. A build writes a small table of periods for it. Passing
 ``scheduled(stg)`` instead gives the same values (deduplication keeps at
 least one row of every (year, month, key) group) without running the
 dedupe window a second time inside the subquery.
@@ -52,26 +53,26 @@ def fct_recent_airport_delays(sch: DataFrame, periods: DataFrame | None = None)
             .groupBy("reporting_airport").agg(_avg_delay(0)))
 
 
-def fct_recent_number_tracked_flights(stg: DataFrame) -> DataFrame:
+def fct_recent_number_tracked_flights(stg: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """Flights in the latest month, over all staging rows (duplicates and
     charters included). Always one row; null when nothing matches."""
-    return (stg.filter(latest_period_filter(stg))
+    return (stg.filter(latest_period_filter(stg if periods is None else periods))
             .agg(F.sum(N).alias("total_tracked_flights")))
 
 
-def fct_recent_published_date(stg: DataFrame) -> DataFrame:
+def fct_recent_published_date(stg: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """``"<Month> <year>"`` of the latest month; no row for an empty table."""
     label = F.concat(month_name("month"), F.lit(" "), F.col("year").cast("string"))
-    return (stg.filter(latest_period_filter(stg))
+    return (stg.filter(latest_period_filter(stg if periods is None else periods))
             .select(label.alias("recent_published_date"))
             .limit(1))
 
 
 # ----------------------------------------------------------- intermediate
 
-def dim_recent_reporting_airports(stg: DataFrame) -> DataFrame:
+def dim_recent_reporting_airports(stg: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """Distinct airports reporting in the latest year, sorted."""
-    return (stg.filter(latest_year_filter(stg))
+    return (stg.filter(latest_year_filter(stg if periods is None else periods))
             .select("reporting_airport").distinct()
             .orderBy("reporting_airport"))
 

@@ -76,21 +76,38 @@ def dq_report(stg: DataFrame, sch: DataFrame, quarantine: DataFrame | None = Non
     Staging checks share one aggregation pass; the deduplicated table gets a
     not-null pass and a duplicate-key pass. Rows that a load quarantined, if
     given, are a check of their own."""
-    stg_counts = stg.agg(
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"not_null_stg_{c}") for c in NOT_NULL_COLUMNS],
-        F.count_if(non_negative_violation()).alias("non_negative_counts"),
-        F.count_if(percent_violation()).alias("percent_bounds"),
-    )
-    sch_nulls = sch.agg(F.count_if(F.col("unique_row_id").isNull())
-                        .alias("not_null_int_unique_row_id"))
-    sch_dupes = duplicate_keys(sch).agg(F.count(F.lit(1)).alias("unique_int_unique_row_id"))
-    parts = [stg_counts, sch_nulls, sch_dupes]
+    rows = [_long(stg.agg(*staging_checks())), _long(sch.agg(*scheduled_checks()))]
+    return _report(rows, sch, quarantine)
+
+
+def staging_checks() -> list[Column]:
+    """The row-level checks of the staging table, each a count of failing rows."""
+    return [*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"not_null_stg_{c}") for c in NOT_NULL_COLUMNS],
+            F.count_if(non_negative_violation()).alias("non_negative_counts"),
+            F.count_if(percent_violation()).alias("percent_bounds")]
+
+
+def scheduled_checks() -> list[Column]:
+    """The row-level checks of the deduplicated table."""
+    return [F.count_if(F.col("unique_row_id").isNull()).alias("not_null_int_unique_row_id")]
+
+
+def dq_report_of_build(counted: DataFrame, sch: DataFrame, quarantine: DataFrame | None = None) -> DataFrame:
+    """The report of a build that counted its row-level checks (check_name,
+    failing_rows) while it wrote its tables: only the keys are read again."""
+    return _report([counted.select("check_name", "failing_rows")], sch, quarantine)
+
+
+def _long(counts: DataFrame) -> DataFrame:
+    return counts.unpivot([], counts.columns, "check_name", "failing_rows")
+
+
+def _report(rows: list[DataFrame], sch: DataFrame, quarantine: DataFrame | None) -> DataFrame:
+    rows = [*rows, _long(duplicate_keys(sch).agg(F.count(F.lit(1)).alias("unique_int_unique_row_id")))]
     if quarantine is not None:
-        parts.append(quarantine.agg(F.count(F.lit(1)).alias("quarantined_rows")))
-    long = reduce(lambda a, b: a.unionByName(b), [
-        part.unpivot([], part.columns, "check_name", "failing_rows") for part in parts])
-    return long.withColumn("status", F.when(F.col("failing_rows") == 0, F.lit("pass"))
-                           .otherwise(F.lit("fail")))
+        rows.append(_long(quarantine.agg(F.count(F.lit(1)).alias("quarantined_rows"))))
+    return reduce(DataFrame.unionByName, rows).withColumn(
+        "status", F.when(F.col("failing_rows") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
 class DataQualityError(RuntimeError):

@@ -61,10 +61,10 @@ def dashboard_bundle(stg: DataFrame, sch: DataFrame, as_of: str | None = None) -
     return {**marts_of_levels(delay_levels(sch), as_of), **staging_marts(stg)}
 
 
-def staging_marts(stg: DataFrame) -> dict[str, DataFrame]:
+def staging_marts(stg: DataFrame, periods: DataFrame | None = None) -> dict[str, DataFrame]:
     """The two marts over all staging rows, both of the latest month."""
-    return {"fct_recent_published_date": models.fct_recent_published_date(stg),
-            "fct_recent_number_tracked_flights": models.fct_recent_number_tracked_flights(stg)}
+    return {"fct_recent_published_date": models.fct_recent_published_date(stg, periods),
+            "fct_recent_number_tracked_flights": models.fct_recent_number_tracked_flights(stg, periods)}
 
 
 def delay_levels(sch: DataFrame) -> DataFrame:

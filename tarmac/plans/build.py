@@ -25,14 +25,17 @@ class Flights:
     quarantine: DataFrame | None
     stg: DataFrame
     sch: DataFrame
-    periods: DataFrame  # scheduled staging rows: source of latest-period subqueries
+    # (year, month) of scheduled and of all staging rows: sources of latest-period subqueries
+    periods: DataFrame
+    stg_periods: DataFrame
+    checks: DataFrame | None = None  # row-level checks, counted while the tables were written
 
 
 def flights_from_frames(frames: list[DataFrame]) -> Flights:
     normalized, quarantine = normalize_files(frames)
     stg = staging(normalized)
     return Flights(normalized=normalized, quarantine=quarantine, stg=stg,
-                   sch=int_scheduled_flights(stg), periods=scheduled(stg))
+                   sch=int_scheduled_flights(stg), periods=scheduled(stg), stg_periods=stg)
 
 
 def flights(spark: SparkSession, sf_dir: str) -> Flights:

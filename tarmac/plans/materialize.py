@@ -26,6 +26,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.operators.quality import scheduled_checks, staging_checks
 from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights
 from tarmac.operators.views import delay_levels, marts_of_levels, staging_marts
 from tarmac.plans.build import Flights, flights
@@ -34,7 +35,7 @@ from tarmac.plans.load import load_union, load_year
 from tarmac.session import ensure_checkpoint_dir
 from tarmac.sources import files
 from tarmac.sources.tables import (
-    load_model, mark_complete, read_staging, write_mart, write_staging,
+    load_model, mark_complete, periods_of, read_staging, write_mart, write_periods, write_staging,
 )
 
 _INPUTS = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
@@ -99,20 +100,27 @@ def build_staging(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Write ``stg`` and ``sch`` unless a whole build of this version exists;
     return its folder. ``force`` builds anew, and readers then see that."""
     def write(path: str) -> None:
-        write_staging(flights(spark, sf_dir).stg, f"{path}/stg")
+        counted = write_staging(flights(spark, sf_dir).stg, f"{path}/stg", staging_checks())
         stg = read_staging(spark, f"{path}/stg", STAGING_NAMES)
-        write_staging(int_scheduled_flights(stg), f"{path}/sch")
+        counted |= write_staging(int_scheduled_flights(stg), f"{path}/sch", scheduled_checks())
+        for name in ("stg", "sch"):
+            write_periods(spark, f"{path}/{name}")
+        write_mart(spark.createDataFrame(list(counted.items()), "check_name string, failing_rows bigint"),
+                   f"{path}/checks")
 
     return _built(spark, sf_dir, "staging", write, force)
 
 
 def staged_flights(spark: SparkSession, sf_dir: str) -> Flights:
     """Models' inputs over the written tables. The latest-period subqueries read
-    the deduplicated table's partition values: it keeps a row of every period."""
+    the small tables of periods written with them."""
     path = build_staging(spark, sf_dir)
-    sch = read_staging(spark, f"{path}/sch", STAGING_NAMES)
-    return Flights(normalized=None, quarantine=None,
-                   stg=read_staging(spark, f"{path}/stg", STAGING_NAMES), sch=sch, periods=sch)
+    stg, sch = (read_staging(spark, f"{path}/{name}", STAGING_NAMES) for name in ("stg", "sch"))
+    periods, stg_periods = (spark.read.schema("year int, month int").parquet(periods_of(f"{path}/{name}"))
+                            for name in ("sch", "stg"))
+    checks = spark.read.schema("check_name string, failing_rows bigint").parquet(f"{path}/checks")
+    return Flights(normalized=None, quarantine=None, stg=stg, sch=sch, periods=periods,
+                   stg_periods=stg_periods, checks=checks)
 
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +159,7 @@ def written_marts(spark: SparkSession, sf_dir: str, as_of: str) -> str:
         f = staged_flights(spark, sf_dir)
         write_mart(delay_levels(f.sch), f"{path}/{LEVELS}")
         levels = load_model(spark, f"{path}/{LEVELS}", LEVELS)
-        for name, mart in {**marts_of_levels(levels, as_of), **staging_marts(f.stg)}.items():
+        for name, mart in {**marts_of_levels(levels, as_of), **staging_marts(f.stg, f.stg_periods)}.items():
             write_mart(mart, f"{path}/{name}")
 
     return _built(spark, sf_dir, "marts", write, False)

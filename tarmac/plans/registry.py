@@ -49,10 +49,11 @@ def _flight_queries() -> dict[str, Query]:
         "fct_recent_airport_delays": f(
             lambda b: models.fct_recent_airport_delays(b.sch, b.periods)),
         "fct_recent_number_tracked_flights": f(
-            lambda b: models.fct_recent_number_tracked_flights(b.stg)),
-        "fct_recent_published_date": f(lambda b: models.fct_recent_published_date(b.stg)),
+            lambda b: models.fct_recent_number_tracked_flights(b.stg, b.stg_periods)),
+        "fct_recent_published_date": f(
+            lambda b: models.fct_recent_published_date(b.stg, b.stg_periods)),
         "dim_recent_reporting_airports": f(
-            lambda b: models.dim_recent_reporting_airports(b.stg)),
+            lambda b: models.dim_recent_reporting_airports(b.stg, b.stg_periods)),
         "fct_airport_least_delays_by_year": f(
             lambda b: models.fct_airport_least_delays_by_year(b.sch)),
         "fct_airport_most_delays_by_year": f(
@@ -170,8 +171,8 @@ def _primitive_queries() -> dict[str, Query]:
         return run
 
     def latest(spark, sf_dir):
-        stg = staged_flights(spark, sf_dir).stg
-        return stg.filter(latest_period_filter(stg)).select("year", "month").distinct()
+        f = staged_flights(spark, sf_dir)
+        return f.stg.filter(latest_period_filter(f.stg_periods)).select("year", "month").distinct()
 
     def ratio(spark, sf_dir):
         stg = staged_flights(spark, sf_dir).stg
@@ -207,7 +208,7 @@ def _quality_queries() -> dict[str, Query]:
 
     def gate(spark, sf_dir):
         f = staged_flights(spark, sf_dir)
-        return quality.dq_gate(quality.dq_report(f.stg, f.sch))
+        return quality.dq_gate(quality.dq_report_of_build(f.checks, f.sch))
 
     return {
         "dq_gate": gate,
@@ -229,8 +230,8 @@ def _view_queries() -> dict[str, Query]:
 
     def kpis(spark, sf_dir):
         f = b(spark, sf_dir)
-        return views.kpis(models.fct_recent_number_tracked_flights(f.stg),
-                          models.fct_recent_published_date(f.stg))
+        return views.kpis(models.fct_recent_number_tracked_flights(f.stg, f.stg_periods),
+                          models.fct_recent_published_date(f.stg, f.stg_periods))
 
     def marts(spark, sf_dir):
         return written_marts(spark, sf_dir, AS_OF)

@@ -7,7 +7,7 @@ and writer, and Spark's file-system layer, touch them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.sources import files, versioned
@@ -92,7 +92,7 @@ def write_normalized(df: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------- staging and marts
 
-def write_staging(stg: DataFrame, path: str) -> None:
+def write_staging(stg: DataFrame, path: str, checks: list[Column] | None = None) -> dict[str, int]:
     """Staging sink: partitioned by ``year``/``month`` so latest-period
     filters prune directories; rows sorted by route and airline inside each
     file so Parquet min/max statistics skip row groups on those columns.
@@ -101,14 +101,29 @@ def write_staging(stg: DataFrame, path: str) -> None:
     per directory) while AQE splits any partition above the advisory size,
     so a month or key holding a third of the data is written by many tasks,
     not one. ``maxRecordsPerFile`` caps file size. The whole table is
-    replaced: a month that the new rows lack is gone afterwards."""
-    (stg.hint("rebalance", "year", "month")
-        .sortWithinPartitions("year", "month", "origin_destination", "airline_name")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("year", "month")
-        .parquet(path))
+    replaced: a month that the new rows lack is gone afterwards.
+
+    ``checks`` are aggregates over the rows. They are observed by the tasks that
+    write, so they cost no further scan; the result is their values by name."""
+    rows = (stg.hint("rebalance", "year", "month")
+            .sortWithinPartitions("year", "month", "origin_destination", "airline_name"))
+    seen = Observation() if checks else None
+    ((rows.observe(seen, *checks) if seen else rows).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("year", "month").parquet(path))
+    return dict(seen.get) if seen else {}
+
+
+def write_periods(spark: SparkSession, path: str) -> None:
+    """Beside a table partitioned by ``year``/``month``, a small one of its
+    periods: looking up the latest one opens no file of the table."""
+    periods = spark.read.parquet(path).select("year", "month").distinct()
+    write_mart(periods, periods_of(path))
+
+
+def periods_of(path: str) -> str:
+    return f"{path.rstrip('/')}_periods"
 
 
 def read_staging(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:

@@ -6,12 +6,14 @@ import shutil
 
 import pytest
 
-from tarmac.operators import views
+from tarmac.operators import quality, views
 from tarmac.operators.staging import int_scheduled_flights
+from tarmac.plans.fixture import dirty_staging
 from tarmac.plans.materialize import _INPUTS, build_staging, staged_flights
 from tarmac.plans.registry import queries
 from tarmac.session import ensure_checkpoint_dir
 from tarmac.sources import files
+from tarmac.sources.tables import periods_of, write_staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -128,3 +130,37 @@ def test_checkpoint_folder(spark, monkeypatch):
     Session.sparkContext.master = "local[4]"
     folder = ensure_checkpoint_dir(Session())
     assert folder and ensure_checkpoint_dir(Session()) == folder
+
+
+def test_latest_period_reads_one_month_and_the_index(spark, q):
+    """The subqueries scan the table of periods; the flights' own scan is one month."""
+    df = q["fct_recent_airport_delays"](spark, SF)
+    plan = _plan(df)
+    # in the index year and month are columns; in the flights' table they are folders
+    assert "ReadSchema: struct<year:int,month:int>" in plan and "ReadSchema: struct<year:int>" in plan
+    assert "ReadSchema: struct<>" not in plan
+    assert sum("PartitionFilters: [isnotnull(year" in line for line in set(plan.split("\n"))) >= 1
+    path = build_staging(spark, SF)
+    for name in ("stg", "sch"):
+        table = spark.read.parquet(f"{path}/{name}")
+        index = spark.read.parquet(periods_of(f"{path}/{name}"))
+        assert sorted(map(tuple, index.collect())) == sorted(
+            map(tuple, table.select("year", "month").distinct().collect()))
+        assert len(index.inputFiles()) == 1
+
+
+def test_checks_are_counted_while_the_tables_are_written(spark, q, scratch):
+    f = staged_flights(spark, SF)
+    want = {r.check_name: r.failing_rows for r in quality.dq_report(f.stg, f.sch).collect()}
+    got = {r.check_name: r.failing_rows for r in quality.dq_report_of_build(f.checks, f.sch).collect()}
+    assert got == want and len(got) == 13
+    # the staging table is not read again, and of the other only the key
+    plan = quality.dq_report_of_build(f.checks, f.sch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "ReadSchema: struct<unique_row_id:string>" in plan
+    # bad rows are counted, once, in every month they are written to
+    bad = dirty_staging(f.stg)
+    seen = write_staging(bad, f"{scratch}/bad", quality.staging_checks())
+    rows = bad.agg(*quality.staging_checks()).first().asDict()
+    assert seen == rows and seen["non_negative_counts"] > 0 and seen["percent_bounds"] > 0
+    assert write_staging(bad.limit(0), f"{scratch}/none", quality.staging_checks())["percent_bounds"] == 0
+    assert write_staging(bad, f"{scratch}/plain") == {}
