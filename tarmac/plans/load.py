@@ -9,6 +9,9 @@ year's load). The union table is built from whatever yearly tables there are.
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,18 +20,27 @@ from tarmac.operators.normalize import (
 )
 from tarmac.sources import files, versioned
 from tarmac.sources.csv import REJECTED, read_csv, read_csv_mixed_encoding
-from tarmac.sources.tables import source_tables, write_year, year_exists
+from tarmac.sources.tables import source_tables, write_year, year_exists, year_table
 
 PREFIX = "punctuality_data_"
 DESTINATION = "punctuality_data_all_years"
 QUARANTINE = "quarantine"
 
+# Listings write one path with one or three slashes after its scheme.
+SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:/+"
+
+
+def plain_path(path: str) -> str:
+    return re.sub(SCHEME, "/", path)
 
-def parsed_year(spark: SparkSession, landing: str, year: str | int) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, quarantined rows) of one landed year. Parsed rows are raw
+
+def parsed_year(spark: SparkSession, landing: str, year: str | int,
+                paths: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows, quarantined rows) of one landed year (of just its files
+    ``paths``). Parsed rows are raw
     text plus ``year`` and ``month``; a quarantined row has all its raw columns,
     ``source_file`` and ``period_problem``, or ``fields`` and the raw record."""
-    raw = read_csv(spark, landing, year)
+    raw = read_csv(spark, landing, year, paths)
     whole = raw.filter(F.col(REJECTED).isNull()).drop(REJECTED)
     good, bad = parse_rows(whole)
     broken = raw.filter(F.col(REJECTED).isNotNull()).select(
@@ -53,6 +65,42 @@ def load_year(spark: SparkSession, landing: str, tables: str, year: str | int, p
     return True
 
 
+def append_files(spark: SparkSession, landing: str, tables: str, year: str | int, paths: list[str],
+                 prefix: str = PREFIX) -> list[str]:
+    """Add newly landed files to a year's table, as a part of their own; returns
+    the files that were not in it yet. Only those are read.
+
+    The ledger of loaded files is the table itself: every row names its file,
+    and a version either has a batch's rows or not. So loading the same files
+    again, after a failure or a batch load of the year, adds nothing. (A file
+    of which no row was good is looked up in the quarantine.) ``load_year``
+    makes one part of all."""
+    table = year_table(tables, prefix, year)
+    quarantine = f"{tables.rstrip('/')}/{QUARANTINE}/{prefix}{year}"
+    by_name = {plain_path(p): p for p in paths}
+    loaded: set[str] = set()
+    version = versioned.current(spark, table)
+    if version:
+        # The quarantine is written first: its rows count if the table has their part.
+        rejected = versioned.current(spark, quarantine)
+        parts = set(version.parts)
+        for where, only in ((table, parts), (quarantine, parts & set(rejected.parts if rejected else ()))):
+            if only:
+                rows = versioned.read(spark, where, only).select("source_file").distinct()
+                # at most one row for each file of the batch
+                named = spark.createDataFrame([(n,) for n in by_name], "n string")
+                loaded |= {r["n"] for r in rows.select(F.url_decode(F.replace(
+                    F.regexp_replace("source_file", SCHEME, "/"), F.lit("+"), F.lit("%2B"))).alias("n"))
+                    .join(F.broadcast(named), "n", "left_semi").collect()}
+    new = [p for name, p in by_name.items() if name not in loaded]
+    if new:
+        part = hashlib.sha1("\n".join(sorted(plain_path(p) for p in new)).encode()).hexdigest()
+        good, bad = parsed_year(spark, landing, year, new)
+        versioned.replace_parts(spark, quarantine, {part: bad})
+        versioned.replace_parts(spark, table, {part: good})
+    return new
+
+
 def quarantined(spark: SparkSession, tables: str) -> DataFrame | None:
     """All quarantined rows, or None when no year was loaded."""
     root = f"{tables.rstrip('/')}/{QUARANTINE}"

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.sources import files
 
@@ -41,6 +42,7 @@ _ATTEMPTS = 50
 class Part:
     folder: str          # below the table's folder
     source: str = ""     # what it was made from, as its writer says
+    schema: str = ""     # of its rows, as JSON
 
 
 @dataclass(frozen=True)
@@ -79,12 +81,21 @@ def state(spark: SparkSession, path: str) -> str:
     return ";".join(sorted(p.folder for p in version.parts.values())) if version else ""
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of the table."""
+def read(spark: SparkSession, path: str, only: set[str] | None = None) -> DataFrame:
+    """The newest version of the table (of it, ``only`` these parts). Parts may
+    lack columns that others have: those are null."""
     version = current(spark, path)
-    if version is None:
+    parts = [p for name, p in version.parts.items() if only is None or name in only] if version else []
+    if not parts:
         raise ValueError(f"there is no whole table at {path}")
-    return spark.read.parquet(*[f"{path.rstrip('/')}/{p.folder}" for p in version.parts.values()])
+    fields: dict[str, T.StructField] = {}
+    for part in parts:
+        for field in T.StructType.fromJson(json.loads(part.schema)):
+            known = fields.setdefault(field.name.lower(), field)
+            if known.dataType != field.dataType:
+                raise ValueError(f"{path}: {field.name} is {known.dataType} in one part, {field.dataType} in another")
+    return spark.read.schema(T.StructType(list(fields.values()))).parquet(
+        *[f"{path.rstrip('/')}/{p.folder}" for p in parts])
 
 
 def _commit(spark: SparkSession, path: str,
@@ -122,7 +133,8 @@ def replace(df: DataFrame, path: str, source: str = "") -> Version:
     """Replace the whole table by ``df``."""
     folder = _new_folder()
     _write(df.hint("rebalance"), f"{path.rstrip('/')}/{folder}")
-    return _commit(df.sparkSession, path, lambda _: {WHOLE: Part(folder, source)})
+    part = Part(folder, source, df.schema.json())
+    return _commit(df.sparkSession, path, lambda _: {WHOLE: part})
 
 
 def replace_parts(spark: SparkSession, path: str, frames: dict[str, DataFrame],
@@ -148,7 +160,7 @@ def replace_parts(spark: SparkSession, path: str, frames: dict[str, DataFrame],
             if f"{tag}={i}" not in written:  # a part without rows has no folder yet
                 folder = f"{base}-empty-{i}"
                 _write(frames[name].filter(F.lit(False)), f"{root}/{folder}")
-            made[name] = Part(folder, sources.get(name, ""))
+            made[name] = Part(folder, sources.get(name, ""), frames[name].schema.json())
 
     def change(parts: dict[str, Part]) -> dict[str, Part]:
         return {**{name: p for name, p in parts.items() if name not in drop}, **made}
