@@ -56,18 +56,24 @@ class BytePairIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self._path, self._own = path, None
+        self._special = [t["content"] for t in file.get("added_tokens") or ()]
+        self._ranked = self._by_rank(path, file)
+
+    def _library(self):
+        """The file's own library, loaded when a text needs it."""
+        if self._own is None:
+            from tokenizers import Tokenizer
 
-        self._library = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
-        self._ranked = self._by_rank(path)
+            self._own = Tokenizer.from_file(self._path)
+        return self._own
 
     @staticmethod
-    def _by_rank(path: str):
+    def _by_rank(path: str, file: dict):
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
         model, split = file["model"], file.get("pre_tokenizer") or {}
         vocab = model.get("vocab")
         merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
@@ -84,7 +90,7 @@ class BytePairIds:
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if self._ranked is None or any(s in text for s in self._special):
-            ids = self._library.encode(text, add_special_tokens=False).ids
+            ids = self._library().encode(text, add_special_tokens=False).ids
         else:
             ids = self._ranked.encode_ordinary(text)
         return np.array(ids, "<u4").tobytes()
