@@ -50,6 +50,8 @@ PLAIN, SPANNING, WHOLE = "plain", "spanning", "whole"
 
 #: Stands between no two fields: a line that has it is read as part of a whole file.
 _NO_SEPARATOR = "\x01\x02\x03"
+#: Bytes of paths and layouts of files up to which they are sent to every task.
+BROADCAST_BYTES = 8 << 20
 _BLANK = r"^[\x00-\x20]*$"
 #: A quoted field, from its first to its last quote.
 _QUOTED_FIELD = r'(?:\A|(?<=,))"[^"]*+(?:""[^"]*+)*+"(?=,|\z)'
@@ -166,6 +168,10 @@ def file_manifest(spark: SparkSession, where: str | list[str]) -> tuple[DataFram
     files = _listed(splits)
     spanning = files.filter("spans_lines and not odd_text").select("path")
     opens = _written(_opens(splits.join(spanning, "path")), "opens")
+    odd = F.when(F.col("odd_text"), WHOLE)
+    if opens.isEmpty():  # no lines to put together
+        return _written(files.select("path", "is_utf8", "header", odd.otherwise(PLAIN).alias("kind")),
+                        "manifest"), opens
     # A file's quotes pair up if nothing but quoted fields holds any, and if
     # its first line is its header.
     records = _spanning_records(spark, where, opens)
@@ -173,7 +179,7 @@ def file_manifest(spark: SparkSession, where: str | list[str]) -> tuple[DataFram
         (F.bool_and(~F.contains(F.regexp_replace("record", _QUOTED_FIELD, ""), F.lit('"'))) &
          (F.min(F.struct("at", "rec")) == F.struct(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))) &
          ~F.contains(F.min_by("record", F.struct("at", "rec")), F.lit("\n"))).alias("regular"))
-    kind = F.when(F.col("odd_text"), WHOLE).when(~F.col("spans_lines"), PLAIN).when(
+    kind = odd.when(~F.col("spans_lines"), PLAIN).when(
         F.coalesce("regular", F.lit(False)), SPANNING).otherwise(WHOLE)
     manifest = _written(files.join(regular, F.col("path") == F.col("p"), "left").select(
         "path", "is_utf8", "header", kind.alias("kind")), "manifest")
@@ -195,7 +201,9 @@ def _parsed(records: DataFrame, layouts: list[list[str]]) -> DataFrame:
     for i, names in enumerate(layouts):
         ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*names, REJECTED])
         structs.append(F.when(F.col("layout") == i, F.from_csv("record", ddl, _OPTIONS)).alias(f"p{i}"))
-    parsed = records.select("path", *structs)
+    # As the column of a generated row each record is parsed once: a filter or
+    # projection above would repeat the parsing for each column it names.
+    parsed = records.select("path", F.explode(F.array(F.struct(*structs))).alias("parsed")).select("path", "parsed.*")
     columns: dict[str, list[Column]] = {}
     rejected = []
     for i, names in enumerate(layouts):
@@ -257,6 +265,7 @@ def read_csv(spark: SparkSession, root: str, year: str | int | None = None,
     groups = sorted(manifest.groupBy("is_utf8", "header").agg(
         F.min("path").alias("example"), F.count_if(F.col("kind") == PLAIN).alias("plain"),
         F.count_if(F.col("kind") == SPANNING).alias("spanning"), F.min_by("kind", "path").alias("kind"),
+        F.sum(F.length("path") + 64).alias("bytes"),
         F.sort_array(F.collect_list(F.when(F.col("kind") == WHOLE, F.col("path")))).alias("whole")).collect(),
         key=lambda g: g["example"])
     if not groups:
@@ -268,6 +277,10 @@ def read_csv(spark: SparkSession, root: str, year: str | int | None = None,
     numbered = spark.createDataFrame([(g["is_utf8"], g["header"], i) for i, g in enumerate(groups)],
                                      "is_utf8 boolean, header binary, layout int")
     tagged = manifest.join(F.broadcast(numbered), ["is_utf8", "header"]).select("path", "kind", "is_utf8", "layout")
+    # Lines that are joined by path meet in one task for each file, however large
+    # it is. Only where files are too many to be sent around do lines move.
+    if sum(g["bytes"] for g in groups) <= BROADCAST_BYTES:
+        tagged = F.broadcast(tagged)
     frames = []
     if any(g["plain"] for g in groups):
         frames.append(_parsed(_plain_records(spark, where, tagged), layouts))

@@ -130,3 +130,23 @@ def test_no_path_list_reaches_the_driver(spark, scratch, monkeypatch):
     assert len(real(df)) == 30
     with pytest.raises(Exception):  # noqa: B017  (Spark's or ours: nothing to read)
         read_csv(spark, scratch, 1999)
+
+
+def test_lines_of_a_file_do_not_meet_in_one_task_and_are_parsed_once(spark, scratch):
+    """The manifest is sent to the lines; a filter on a parsed column does not
+    repeat the parsing."""
+    for i in range(3):
+        _land(f"{scratch}/2012", f"f{i}.csv", [("201201", f"A{i}", "X", "n")] * 20)
+    df = read_csv(spark, f"{scratch}/2012").filter("reporting_period like '2012%' and reporting_airport is not null")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("from_csv(") == 1
+    assert df.count() == 60
+
+
+def test_many_files_are_joined_without_sending_them_around(spark, scratch, monkeypatch):
+    monkeypatch.setattr("tarmac.sources.csv.BROADCAST_BYTES", 0)
+    rows = [("201201", f"A{i}", "X", "n") for i in range(9)]
+    for i in range(3):
+        _land(f"{scratch}/2012", f"f{i}.csv", rows[3 * i:3 * i + 3])
+    assert _got(read_csv(spark, f"{scratch}/2012")) == sorted(rows)
