@@ -55,49 +55,55 @@ def _band_key(lo: int | None, hi: int | None) -> str:
     return f"band_{'lo' if lo is None else str(lo).replace('-', 'm')}_{'hi' if hi is None else str(hi).replace('-', 'm')}"
 
 
-def flight_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with the fixture's derived attributes.
+def _places(nation: DataFrame, region: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nation keys with the place they stand for, names by place). A place
+    numbers one pair of nation and region names, so grouping by it is grouping
+    by the names, in one number. Both tables are tiny dimensions."""
+    named = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+             .select("n_nationkey", F.col("n_name").alias("od"), F.col("r_name").alias("cty"))
+             .withColumn("place", F.expr("dense_rank() OVER (ORDER BY od, cty)")))
+    return named.select("n_nationkey", "place"), named.select("place", "od", "cty").distinct()
+
+
+def _airports(nation: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for airports, which are nations by name alone."""
+    named = nation.select("n_nationkey", F.col("n_name").alias("ap")).withColumn(
+        "airport", F.expr("dense_rank() OVER (ORDER BY ap)"))
+    return named.select("n_nationkey", "airport"), named.select("airport", "ap").distinct()
 
-    Dimension joins are left to the planner: nation and region are tiny
-    files and become broadcast joins by the static size threshold; customer,
-    supplier and part grow with the data, so they shuffle unless AQE measures
-    them small enough at runtime.
+
+def flight_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item with the fixture's derived attributes; places and
+    airports as numbers.
+
+    Orders meet their customers first, so line items, the largest table, do not
+    move by customer. Dimension joins are left to the planner: nation and
+    region are tiny files and become broadcast joins by the static size
+    threshold; customer, supplier and part grow with the data, so they shuffle
+    unless AQE measures them small enough at runtime.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_shipdate")
+        "l_returnflag", F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("al"))
     nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-
-    cust_geo = (
-        customer
-        .join(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                            F.col("n_name").alias("od"),
-                            F.col("n_regionkey").alias("c_regionkey")), "c_nationkey")
-        .join(region.select(F.col("r_regionkey").alias("c_regionkey"),
-                            F.col("r_name").alias("cty")), "c_regionkey")
-        .select("c_custkey", "od", "cty")
-    )
-    supp_geo = supplier.join(
-        nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("ap")),
-        "s_nationkey").select("s_suppkey", "ap")
+    places, _ = _places(nation, table(spark, sf_dir, "region"))
+    airports, _ = _airports(nation)
+
+    cust_geo = customer.join(places, customer.c_nationkey == places.n_nationkey).select("c_custkey", "place")
+    supp_geo = supplier.join(airports, supplier.s_nationkey == airports.n_nationkey).select("s_suppkey", "airport")
+    order_geo = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey).select("o_orderkey", "place")
 
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust_geo, orders.o_custkey == cust_geo.c_custkey)
+        li.join(order_geo, li.l_orderkey == order_geo.o_orderkey)
         .join(supp_geo, li.l_suppkey == supp_geo.s_suppkey)
         .join(part, li.l_partkey == part.p_partkey)
         .select(
-            F.year("l_shipdate").alias("y"),
-            F.month("l_shipdate").alias("m"),
-            "ap", "cty", "od",
-            F.col("p_brand").alias("al"),
-            F.when(F.col("l_returnflag") == "R", "C").otherwise("S").alias("sc"),
+            "y", "m", "airport", "place", "al",
             F.col("l_returnflag").alias("rf"),
             F.col("l_quantity").cast("bigint").alias("qty"),
             ((ok * 7 + pk * 13 + ln * 31 + sk * 3) % 480 - 30).alias("delay"),
@@ -110,17 +116,29 @@ def flight_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly aggregate per cell, typed, with every band of both layouts.
 
     One hash aggregation with map-side partial aggregation; the group key
-    has eight columns, so no single key can hold a large share of rows
-    unless the input itself is one cell.
+    has six columns, so no single key can hold a large share of rows
+    unless the input itself is one cell. What a key or another sum tells
+    (names, the charter flag, bands that others add up to) is left out of the
+    rows that are grouped and added to the cells.
     """
     facts = flight_facts(spark, sf_dir)
     bands = {(lo, hi) for _, lo, hi in COARSE_BANDS + FINE_BANDS}
+    fine = {(lo, hi) for _, lo, hi in FINE_BANDS}
 
     def in_band(lo: int | None, hi: int | None) -> str:
         parts = ([f"delay >= {lo}"] if lo is not None else []) + \
                 ([f"delay <= {hi}"] if hi is not None else [])
         return " AND ".join(parts) or "true"
 
+    def inside(band: tuple, outer: tuple) -> bool:
+        return ((outer[0] is None or (band[0] is not None and band[0] >= outer[0])) and
+                (outer[1] is None or (band[1] is not None and band[1] <= outer[1])))
+
+    def band_sum(band: tuple) -> str:
+        """A coarse band is the fine bands in it."""
+        return " + ".join(_band_key(*b) for b in ([band] if band in fine else [x for x in fine if inside(x, band)]))
+
+    order = lambda b: (b[0] is not None, b[0] or 0)
     # Aggregates as SQL text (one driver call each). The period is an
     # aggregate output (equal to y*100+m within a group), so predicates on
     # the period text stay above the aggregation instead of being pushed
@@ -137,9 +155,16 @@ def flight_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "count_if((ok + ln) % 40 = 0) AS n_div40",
     )] + [
         F.expr(f"sum(CASE WHEN {in_band(lo, hi)} THEN qty ELSE 0 END) AS {_band_key(lo, hi)}")
-        for lo, hi in sorted(bands, key=lambda b: (b[0] is not None, b[0] or 0))
+        for lo, hi in sorted(fine, key=order)
     ]
-    return facts.groupBy("y", "m", "ap", "cty", "od", "al", "sc", "rf").agg(*aggs)
+    cells = facts.groupBy("y", "m", "airport", "place", "al", "rf").agg(*aggs)
+    nation = table(spark, sf_dir, "nation")
+    _, places = _places(nation, table(spark, sf_dir, "region"))
+    _, airports = _airports(nation)
+    return (cells.join(F.broadcast(airports), "airport").join(F.broadcast(places), "place").select(
+        "y", "m", "ap", "cty", "od", "al", F.expr("CASE WHEN rf = 'R' THEN 'C' ELSE 'S' END AS sc"), "rf",
+        "ym", "sum_qty", "sum_delay_qty", "sum_pk", "sum_ok", "n_rows", "n_div25", "n_div30", "n_div40",
+        *[F.expr(f"{band_sum(b)} AS {_band_key(*b)}") for b in sorted(bands, key=order)]))
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -351,7 +376,8 @@ def land_csv(cells: DataFrame, root: str) -> None:
     landed = landed_cells(cells)
     years = [r["folder"] for r in landed.select("folder").distinct().collect()]
     for year in sorted(years):
-        of_year = landed.filter(F.col("folder") == year)
+        # a folder has rows of its year and strays of the one before: other years' files are not read
+        of_year = landed.filter(F.col("y").isin(year, year - 1)).filter(F.col("folder") == year)
         name, encoding = ("coarse", "ISO-8859-1") if year <= LAST_COARSE_YEAR else ("fine", "UTF-8")
         for rows, where in ((of_year.filter("m <= 6"), f"{root}/{year}"),
                             (of_year.filter("m > 6"), f"{root}/{year}/second_half")):

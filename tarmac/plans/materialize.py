@@ -27,7 +27,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.quality import scheduled_checks, staging_checks
-from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights
+from tarmac.operators.staging import STAGING_NAMES, int_scheduled_flights, unique_row_id
 from tarmac.operators.views import delay_levels, marts_of_levels, staging_marts
 from tarmac.plans.build import Flights, flights
 from tarmac.plans.fixture import flight_cells, land_csv
@@ -100,9 +100,11 @@ def build_staging(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Write ``stg`` and ``sch`` unless a whole build of this version exists;
     return its folder. ``force`` builds anew, and readers then see that."""
     def write(path: str) -> None:
-        counted = write_staging(flights(spark, sf_dir).stg, f"{path}/stg", staging_checks())
+        # The key is 32 random digits, a large part of a shuffled row.
+        key = {"unique_row_id": unique_row_id()}
+        counted = write_staging(flights(spark, sf_dir).stg, f"{path}/stg", staging_checks(), key)
         stg = read_staging(spark, f"{path}/stg", STAGING_NAMES)
-        counted |= write_staging(int_scheduled_flights(stg), f"{path}/sch", scheduled_checks())
+        counted |= write_staging(int_scheduled_flights(stg), f"{path}/sch", scheduled_checks(), key)
         for name in ("stg", "sch"):
             write_periods(spark, f"{path}/{name}")
         write_mart(spark.createDataFrame(list(counted.items()), "check_name string, failing_rows bigint"),
@@ -125,9 +127,10 @@ def staged_flights(spark: SparkSession, sf_dir: str) -> Flights:
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture's aggregated cells, written once: both raw layouts and all
-    ingest queries read them, so the joins run once."""
+    ingest queries read them, so the joins run once. The tasks that aggregate
+    them write them, by year, so landing a year reads no others."""
     def write(path: str) -> None:
-        flight_cells(spark, sf_dir).hint("rebalance").write.mode("overwrite").parquet(path)
+        flight_cells(spark, sf_dir).write.mode("overwrite").partitionBy("y").parquet(path)
 
     return spark.read.parquet(_built(spark, sf_dir, "cells", write, False))
 

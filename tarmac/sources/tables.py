@@ -92,7 +92,8 @@ def write_normalized(df: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------- staging and marts
 
-def write_staging(stg: DataFrame, path: str, checks: list[Column] | None = None) -> dict[str, int]:
+def write_staging(stg: DataFrame, path: str, checks: list[Column] | None = None,
+                  derived: dict[str, Column] | None = None) -> dict[str, int]:
     """Staging sink: partitioned by ``year``/``month`` so latest-period
     filters prune directories; rows sorted by route and airline inside each
     file so Parquet min/max statistics skip row groups on those columns.
@@ -103,9 +104,13 @@ def write_staging(stg: DataFrame, path: str, checks: list[Column] | None = None)
     not one. ``maxRecordsPerFile`` caps file size. The whole table is
     replaced: a month that the new rows lack is gone afterwards.
 
+    ``derived`` are columns of ``stg`` that its other columns give: they are left
+    out of the shuffle and worked out again by the tasks that write.
+
     ``checks`` are aggregates over the rows. They are observed by the tasks that
     write, so they cost no further scan; the result is their values by name."""
-    rows = (stg.hint("rebalance", "year", "month")
+    derived = derived or {}
+    rows = (stg.drop(*derived).hint("rebalance", "year", "month").withColumns(derived).select(stg.columns)
             .sortWithinPartitions("year", "month", "origin_destination", "airline_name"))
     seen = Observation() if checks else None
     ((rows.observe(seen, *checks) if seen else rows).write.mode("overwrite")
